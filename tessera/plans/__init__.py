@@ -1,4 +1,4 @@
 """Named queries: each maps (spark, sf_dir) -> DataFrame, most with a DuckDB twin."""
 
-from . import q_code  # noqa: F401
+from . import q_code, q_graph  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
