@@ -106,13 +106,12 @@ def index_stats(index: DataFrame, size: str = "file_size", sha: str = "sha256")
 def human_bytes(n: Column) -> Column:
     """``%3.1f`` + unit over B, KB, MB, GB, TB, else PB (1024 steps)."""
     x = n.cast("double")
-    units = ["B", "KB", "MB", "GB", "TB"]
     expr = None
-    for i, u in enumerate(units):
+    for i, u in enumerate(["B", "KB", "MB", "GB", "TB"]):
         cond = x < F.lit(1024.0 ** (i + 1))
-        val = F.concat(F.format_number(x / F.lit(1024.0 ** i), 1), F.lit(u))
+        val = F.concat(F.format_string("%.1f", x / F.lit(1024.0 ** i)), F.lit(u))
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    return F.regexp_replace(expr.otherwise(F.concat(F.format_number(x / F.lit(1024.0 ** 5), 1), F.lit("PB"))), ",", "")
+    return expr.otherwise(F.concat(F.format_string("%.1f", x / F.lit(1024.0 ** 5)), F.lit("PB")))
 
 
 def iec_bytes(n: Column) -> Column:
