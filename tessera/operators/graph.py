@@ -209,7 +209,7 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, max_hops: int | None = No
     never reached are absent (null after a left join)."""
     visited = cut_lineage(sources.select("id").distinct().withColumn("dist", F.lit(0)))
     frontier = visited
-    e = edges.select("src", "dst").distinct()
+    e = cut_lineage(edges.select("src", "dst").distinct())
     hop = 0
     while not frontier.isEmpty():
         hop += 1
@@ -231,8 +231,8 @@ def k_hop_neighbors(edges: DataFrame, seeds: DataFrame, k: int = 2, undirected:
     e = edges.select("src", "dst")
     if undirected:
         e = e.union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    e = e.distinct()
-    visited = seeds.select(F.col("id").alias("seed"), "id").distinct().withColumn("dist", F.lit(0))
+    e = cut_lineage(e.distinct())
+    visited = cut_lineage(seeds.select(F.col("id").alias("seed"), "id").distinct().withColumn("dist", F.lit(0)))
     frontier = visited
     for hop in range(1, k + 1):
         nxt = (e.join(frontier.select("seed", F.col("id").alias("src")), "src")
@@ -240,7 +240,7 @@ def k_hop_neighbors(edges: DataFrame, seeds: DataFrame, k: int = 2, undirected:
                 .join(visited.select("seed", "id"), ["seed", "id"], "left_anti")
                 .withColumn("dist", F.lit(hop)))
         frontier = cut_lineage(nxt)
-        visited = visited.unionByName(frontier)
+        visited = cut_lineage(visited.unionByName(frontier))
     return visited.where(F.col("dist") > 0)
 
 

@@ -7,11 +7,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import metrics as M
 from ..operators import rollup as R
 from ..operators import segment as S
+from ..session import scratch_path
 from ..sources import corpus
 
+_MEMO: dict = {}
+
+
+def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """Stage boundary: write ``build()`` once per application as Parquet in
+    the shared checkpoint folder and read it back (lineage cut, survives
+    executor loss, reused by every later query of the session)."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
+        _MEMO[key] = path
+    return spark.read.parquet(_MEMO[key])
+
 
 def code_files(spark: SparkSession, sf: str) -> DataFrame:
-    return corpus.code_files(spark, sf)
+    return materialize(spark, sf, "code_files", lambda: corpus.code_files(spark, sf))
 
 
 def with_id(units: DataFrame) -> DataFrame:
@@ -19,11 +34,33 @@ def with_id(units: DataFrame) -> DataFrame:
 
 
 def c_units(spark: SparkSession, sf: str) -> DataFrame:
-    return with_id(S.segment_c_units(code_files(spark, sf)))
+    return materialize(spark, sf, "c_units", lambda: with_id(S.segment_c_units(code_files(spark, sf))))
 
 
 def asm_units(spark: SparkSession, sf: str) -> DataFrame:
-    return with_id(S.segment_asm_units(code_files(spark, sf)))
+    return materialize(spark, sf, "asm_units", lambda: with_id(S.segment_asm_units(code_files(spark, sf))))
+
+
+def call_graph(spark: SparkSession, sf: str):
+    """(units, edges, external) with edges and external names materialized."""
+    from ..operators import graph as G
+    u = c_units(spark, sf)
+
+    def build_edges():
+        e, x = G.resolve_callees(u)
+        return e.withColumn("_kind", F.lit("edge")).withColumn("callee", F.lit(None).cast("string")).unionByName(
+            x.withColumn("_kind", F.lit("ext")).withColumn("dst", F.lit(None).cast("string"))
+             .withColumn("tier", F.lit(None).cast("int")))
+    both = materialize(spark, sf, "call_graph", build_edges)
+    edges = both.where(F.col("_kind") == "edge").select("src", "dst", "tier")
+    ext = both.where(F.col("_kind") == "ext").select("src", "callee")
+    return u, edges, ext
+
+
+def degrees(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import graph as G
+    u, e, x = call_graph(spark, sf)
+    return materialize(spark, sf, "degrees", lambda: G.degree_metrics(u.select("id", "file_path"), e, x))
 
 
 def flagged(spark: SparkSession, sf: str) -> DataFrame:

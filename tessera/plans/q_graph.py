@@ -47,14 +47,11 @@ mnodes AS (SELECT src AS id FROM medges UNION SELECT dst FROM medges)
 
 
 def _graph(spark, sf):
-    u = P.c_units(spark, sf)
-    edges, ext = G.resolve_callees(u)
-    return u, edges, ext
+    return P.call_graph(spark, sf)
 
 
 def _degrees(spark, sf):
-    u, edges, ext = _graph(spark, sf)
-    return G.degree_metrics(u.select("id", "file_path"), edges, ext), edges
+    return P.degrees(spark, sf), P.call_graph(spark, sf)[1]
 
 
 @register("call_edges_in_file", WG + """
