@@ -83,6 +83,14 @@ def prompt_function(signature: Column, body: Column, is_asm: Column) -> Column:
     return dedent(raw)
 
 
+def prompt_function_graph(name, path, signature, callers, callees, headers, body) -> Column:
+    """Prompt with the function's graph context (columns by name)."""
+    c = lambda x: F.coalesce(F.col(x), F.lit(""))
+    return F.concat(F.lit("Function "), c(name), F.lit(" in "), c(path), F.lit("\nSignature: "), c(signature),
+                    F.lit("\nCallers: "), c(callers), F.lit("\nCallees: "), c(callees),
+                    F.lit("\nDeclared in: "), c(headers), F.lit("\nBody:\n"), truncate_tokens(F.col(body)))
+
+
 def prompt_file(path: Column, top_text: Column, n: int = 8) -> Column:
     head, rest = FILE_PROMPT.split("{path}")
     mid, tail = rest.split("{body}")

@@ -202,3 +202,34 @@ def q_file_members(spark, sf):
 
 
 _ = metric_cols  # re-exported for other plan modules
+
+
+@register("next_label_extent", W + "," + FILES_CTES + """
+, a AS (SELECT s, p, 'asm/f_' || s || '.asm' AS file_path, 'fn_' || p AS label, 3 + ncalls AS nl FROM fntext WHERE s % 4 = 0),
+b AS (SELECT file_path, label,
+             CAST(1 + coalesce(sum(nl) OVER (PARTITION BY s ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
+      FROM a)
+SELECT file_path, label, line_no, lead(line_no) OVER (PARTITION BY file_path ORDER BY line_no) AS next_label_line FROM b
+""")
+def q_next_label_extent(spark, sf):
+    """Each label's block ends where the next label starts: ``lead`` over
+    the label rows of a file (label rows only, so the window is small)."""
+    from pyspark.sql import Window
+    lines = S.split_lines(P.code_files(spark, sf).where(M.suffix("file_path") == ".asm"))
+    labels = lines.where(F.col("line").rlike(S.ASM_LABEL_RE)).select(
+        "file_path", F.regexp_extract("line", S.ASM_LABEL_RE, 1).alias("label"), F.col("line_no").cast("bigint").alias("line_no"))
+    w = Window.partitionBy("file_path").orderBy("line_no")
+    return labels.withColumn("next_label_line", F.lead("line_no").over(w))
+
+
+@register("ordered_distinct", WF + f"""
+, cs AS (SELECT id, unnest(regexp_extract_all(body, {q(M.CALL_SITE_RE)}, 1)) AS name,
+                generate_subscripts(regexp_extract_all(body, {q(M.CALL_SITE_RE)}, 1), 1) AS pos FROM flagged),
+firsts AS (SELECT id, name, min(pos) AS pos FROM cs GROUP BY id, name)
+SELECT f.id, coalesce((SELECT string_agg(x.name, ',' ORDER BY x.pos) FROM firsts x WHERE x.id = f.id), '') AS calls
+FROM flagged f
+""")
+def q_ordered_distinct(spark, sf):
+    """Distinct call-site names in first-occurrence order (``array_distinct``
+    keeps the first occurrence)."""
+    return P.c_units(spark, sf).select("id", P.csv(F.array_distinct(M.call_sites("body"))).alias("calls"))
