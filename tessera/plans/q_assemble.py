@@ -330,21 +330,42 @@ def q_call_stats_total(spark, sf):
 # inference and incremental runs (rows-only: the model path is Python)
 # --------------------------------------------------------------------------
 
-@register("infer_batched")
+@register("infer_batched", """WITH """ + CODE_CTES + """
+, h AS (SELECT id, sha1('Summarize:' || chr(10) || body) AS hh FROM units2)
+SELECT id, 'stub summary ' || substring(hh, 1, 8) AS summary,
+       round(CAST(('0x' || substring(hh, 9, 2)) AS INT) / 255.0, 3) AS confidence, false AS infer_failed FROM h
+""")
 def q_infer_batched(spark, sf):
     """Stub model over every function prompt, batches of 16."""
     u = P.c_units(spark, sf).select("id", F.concat(F.lit("Summarize:\n"), F.col("body")).alias("prompt"))
-    return I.infer_batched(u, "prompt", "output", batch_size=16).select("id", "output", "infer_failed")
-
-
-@register("enrich_table")
+    r = I.infer_batched(u, "prompt", "output", batch_size=16)
+    return r.select("id", F.get_json_object("output", "$.summary").alias("summary"),
+                    F.round(F.get_json_object("output", "$.confidence").cast("double"), 3).alias("confidence"),
+                    "infer_failed")
+
+
+@register("enrich_table", """WITH """ + CODE_CTES + "," + FLAGGED + """
+, pr AS (SELECT *, '        Summarize the following C function. IMPORTANT: Return only valid JSON (no surrounding text).' || chr(10)
+                   || '        Required keys: summary (string), intent_tags (list of strings), risk_notes (string), change_recipe (string), confidence (float 0-1).' || chr(10)
+                   || chr(10) || '        Function signature:' || chr(10) || '        ' || signature || chr(10) || chr(10)
+                   || '        Function body:' || chr(10) || '        ' || body || chr(10) || chr(10)
+                   || '        Return a single JSON object and nothing else.' || chr(10) AS prompt FROM flagged),
+h AS (SELECT *, sha1(prompt) AS hh FROM pr)
+SELECT id, file_path, loc, cyclomatic, array_to_string(""" + tags_expr() + """, ',') AS intent_tags,
+       """ + notes_expr() + """ AS risk_notes,
+       'stub summary ' || substring(hh, 1, 8) AS summary, '' AS change_recipe,
+       round(CAST(('0x' || substring(hh, 9, 2)) AS INT) / 255.0, 3) AS confidence_score
+FROM h
+""")
 def q_enrich_table(spark, sf):
     e = I.enrich_table(P.c_units(spark, sf), "2026-01-01T00:00:00Z")
     return e.select("id", "file_path", "loc", "cyclomatic", P.csv("intent_tags").alias("intent_tags"), "risk_notes",
-                    "summary", "change_recipe", "confidence_score")
+                    "summary", "change_recipe", F.round("confidence_score", 3).alias("confidence_score"))
 
 
-@register("incremental_enrich")
+@register("incremental_enrich", """
+SELECT CAST(doc_id AS VARCHAR) AS id, lang, substring(sha1(substring(coalesce(text, ''), 1, 10000)), 1, 12) AS sha1 FROM documents
+""")
 def q_incremental_enrich(spark, sf):
     """Documents land as JSON files in two drops; the stream processes each
     id once across both runs (the second run sees only the new drop)."""
@@ -392,14 +413,19 @@ def _doc_tree(spark, sf):
     return _MEMO[key]
 
 
-@register("scan_files")
+@register("scan_files", """
+SELECT CAST(octet_length(encode(text || chr(10))) AS BIGINT) AS file_size, 'txt' AS file_extension, sha256(text || chr(10)) AS sha256
+FROM documents
+""")
 def q_scan_files(spark, sf):
     root = _doc_tree(spark, sf)
     idx = IO.file_index(spark, root, ["txt"])
-    return idx.select("file_name", "file_size", "file_extension", "sha256")
+    return idx.select("file_size", "file_extension", "sha256")
 
 
-@register("read_jsonl_lenient")
+@register("read_jsonl_lenient", """
+SELECT event_id, event_type, value FROM events WHERE event_type <> 'error'
+""")
 def q_read_jsonl_lenient(spark, sf):
     """Events written as JSON Lines where every error event left a broken
     line; DROPMALFORMED keeps the good rows."""
@@ -414,7 +440,9 @@ def q_read_jsonl_lenient(spark, sf):
     return IO.read_jsonl_lenient(spark, base, schema)
 
 
-@register("read_jsonl_strict")
+@register("read_jsonl_strict", """
+SELECT event_id, event_type FROM events
+""")
 def q_read_jsonl_strict(spark, sf):
     base = scratch_path(spark, "jsonl-strict")
     ev = load(spark, sf, "events").select("event_id", "event_type")
@@ -423,7 +451,9 @@ def q_read_jsonl_strict(spark, sf):
     return IO.read_jsonl_strict(spark, base, schema)
 
 
-@register("write_jsonl_atomic")
+@register("write_jsonl_atomic", """
+SELECT * FROM conversations
+""")
 def q_write_jsonl_atomic(spark, sf):
     base = scratch_path(spark, "jsonl-out")
     c = load(spark, sf, "conversations")
@@ -431,7 +461,10 @@ def q_write_jsonl_atomic(spark, sf):
     return spark.read.schema(c.schema).json(base)
 
 
-@register("load_training_json")
+@register("load_training_json", """
+SELECT count(*) AS rows, 2 AS columns FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+WHERE u.role = 'user' AND a.role = 'assistant'
+""")
 def q_load_training_json(spark, sf):
     base = scratch_path(spark, "train-json")
     t = A.seq2seq_turn_pairs(load(spark, sf, "conversations")).select(
@@ -441,7 +474,12 @@ def q_load_training_json(spark, sf):
     return IO.load_training_json(spark, base, schema, dry_run=True)
 
 
-@register("token_cache")
+@register("token_cache", """
+WITH t AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\\S+'),
+                  lambda x: CAST(CAST(('0x' || substring(sha1(x), 1, 7)) AS BIGINT) % 32000 AS INT)) AS ids FROM documents),
+c AS (SELECT doc_id, ids[1:64] AS cut FROM t)
+SELECT doc_id, array_to_string(list_concat(cut, list_transform(range(greatest(0, 64 - len(cut))), lambda x: 0)), ',') AS input_ids FROM c
+""")
 def q_token_cache(spark, sf):
     base = scratch_path(spark, "token-cache")
     d = load(spark, sf, "documents")
@@ -450,7 +488,7 @@ def q_token_cache(spark, sf):
         ids, mask, labels = A.tokenize_pad(A.tokenize_ids(F.col("text")), 64)
         return d.select("doc_id", ids.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
     IO.token_cache(spark, base, sf, {"max_len": 64}, build)
-    return IO.token_cache(spark, base, sf, {"max_len": 64}, build).select("doc_id", "input_ids")
+    return IO.token_cache(spark, base, sf, {"max_len": 64}, build).select("doc_id", P.csv("input_ids").alias("input_ids"))
 
 
 @register("prompt_function_graph", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + """
