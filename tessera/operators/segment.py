@@ -40,13 +40,16 @@ def split_lines(files: DataFrame, path: str = "file_path", text: str = "text",
         files = files.repartition(path)
     t = F.col(text)
     parts = F.split(t, "\n")
-    n = F.size(parts) - F.when(t.endswith("\n"), 1).otherwise(0)
-    return (files.select(F.col(path).alias("file_path"), F.posexplode(parts).alias("pos", "line"),
-                         n.alias("n_lines"), t.endswith("\n").alias("ends_nl"))
-                 .where(F.col("pos") < F.col("n_lines"))
-                 .select("file_path", (F.col("pos") + 1).alias("line_no"), "line",
-                         ((F.col("pos") + 1 < F.col("n_lines")) | F.col("ends_nl")).alias("has_nl"),
-                         "n_lines"))
+    # computed once per file, before the explode: expressions next to a
+    # generator are evaluated per generated row (quadratic per file)
+    pre = files.select(F.col(path).alias("file_path"), parts.alias("_parts"),
+                       (F.size(parts) - F.when(t.endswith("\n"), 1).otherwise(0)).alias("n_lines"),
+                       t.endswith("\n").alias("ends_nl"))
+    return (pre.select("file_path", "n_lines", "ends_nl", F.posexplode("_parts").alias("pos", "line"))
+               .where(F.col("pos") < F.col("n_lines"))
+               .select("file_path", (F.col("pos") + 1).alias("line_no"), "line",
+                       ((F.col("pos") + 1 < F.col("n_lines")) | F.col("ends_nl")).alias("has_nl"),
+                       "n_lines"))
 
 
 def _count_char(c: Column, ch: str) -> Column:
@@ -67,23 +70,25 @@ def segment_c_units(files: DataFrame, max_body: int = M.MAX_BODY_CHARS,
     w = Window.partitionBy("file_path").orderBy("line_no")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line, ln = F.col("line"), F.col("line_no")
 
-    line = F.col("line")
+    # pass 1 (one Window operator): depth before the line, char offset, and
+    # the line joined with the next two (a header may span three lines)
     delta = _count_char(line, "{") - _count_char(line, "}")
-    joined = F.concat_ws("\n", line, F.lead("line", 1).over(w), F.lead("line", 2).over(w))
-    l1 = (lines.withColumn("delta", delta)
-               .withColumn("depth_before", F.coalesce(F.sum("delta").over(before), F.lit(0)))
-               .withColumn("char_off", F.coalesce(F.sum(F.length(line) + 1).over(before), F.lit(0)))
-               .withColumn("joined", joined))
-    m = F.regexp_extract("joined", C_HEADER_RE, 0)
-    l2 = (l1.withColumn("m", F.when((F.col("depth_before") == 0) & line.rlike(r"\S"), m).otherwise(F.lit("")))
+    l1 = lines.select(
+        "file_path", "line_no", "line", delta.alias("delta"),
+        F.coalesce(F.sum(delta).over(before), F.lit(0)).alias("depth_before"),
+        F.coalesce(F.sum(F.length(line) + 1).over(before), F.lit(0)).alias("char_off"),
+        F.concat_ws("\n", line, F.lead("line", 1).over(w), F.lead("line", 2).over(w)).alias("joined"))
+    m = F.when((F.col("depth_before") == 0) & line.rlike(r"\S"),
+               F.regexp_extract("joined", C_HEADER_RE, 0)).otherwise(F.lit(""))
+    l2 = (l1.withColumn("m", m)
             .withColumn("fname", F.regexp_extract("m", C_HEADER_RE, 2))
             .withColumn("hit", (F.col("m") != "") & ~F.col("fname").isin(*C_KEYWORDS))
-            .withColumn("brace_line", F.when(F.col("hit"), F.col("line_no") + _count_char(F.col("m"), "\n"))))
-    # A header that spans lines is matched once, at its first line.
-    covered = ((F.lag("brace_line", 1).over(w) >= F.col("line_no")) |
-               (F.lag("brace_line", 2).over(w) >= F.col("line_no")))
-    l3 = l2.withColumn("start", F.col("hit") & ~F.coalesce(covered, F.lit(False)))
+            .withColumn("brace_line", F.when(F.col("hit"), ln + _count_char(F.col("m"), "\n"))))
+    # pass 2: a header that spans lines is matched once, at its first line
+    covered = (F.lag("brace_line", 1).over(w) >= ln) | (F.lag("brace_line", 2).over(w) >= ln)
+    l3 = l2.select("*", (F.col("hit") & ~F.coalesce(covered, F.lit(False))).alias("start"))
     st = F.col("start")
 
     def last_start(c):
@@ -91,40 +96,37 @@ def segment_c_units(files: DataFrame, max_body: int = M.MAX_BODY_CHARS,
 
     sig = F.concat(_strip(F.regexp_extract("m", C_HEADER_RE, 1)), F.lit(" "), F.col("fname"), F.lit("("),
                    _strip(F.regexp_extract("m", C_HEADER_RE, 3)), F.lit(")"))
-    l4 = (l3.withColumn("unit_seq", F.sum(st.cast("int")).over(running))
-            .withColumn("u_start", last_start(F.col("line_no")))
-            .withColumn("u_brace", last_start(F.col("brace_line")))
-            .withColumn("u_bcol", last_start(F.length(F.substring_index(F.col("m"), "\n", -1))))
-            .withColumn("u_off", last_start(F.col("char_off")))
-            .withColumn("u_hlen", last_start(F.length("joined") + 1))
-            .withColumn("u_name", last_start(F.col("fname")))
-            .withColumn("u_sig", last_start(sig))
-            .where(F.col("unit_seq") > 0))
-    is_close = (F.col("line_no") >= F.col("u_brace")) & (F.col("depth_before") + F.col("delta") <= 0)
-    wu = Window.partitionBy("file_path", "unit_seq")
-    l5 = l4.withColumn("unit_end", F.min(F.when(is_close, F.col("line_no"))).over(wu))
-    closed = F.col("unit_end").isNotNull()
-    limit = F.when(closed, F.lit(max_body)).otherwise(F.lit(max_unclosed))
-    keep = ((F.col("line_no") >= F.col("u_brace")) &
-            (F.col("line_no") <= F.coalesce(F.col("unit_end"), F.lit(2**31 - 1))) &
-            (F.col("char_off") - F.col("u_off") < limit + F.col("u_hlen")))
-    units = (l5.where(keep)
-               .groupBy("file_path", "unit_seq")
+    # pass 3 (one Window operator): unit number and the unit's header facts
+    l4 = l3.select(
+        "file_path", "line_no", "line", "delta", "depth_before", "char_off",
+        F.sum(st.cast("int")).over(running).alias("unit_seq"),
+        last_start(ln).alias("u_start"), last_start(F.col("brace_line")).alias("u_brace"),
+        last_start(F.length(F.substring_index(F.col("m"), "\n", -1))).alias("u_bcol"),
+        last_start(F.col("char_off")).alias("u_off"), last_start(F.length("joined") + 1).alias("u_hlen"),
+        last_start(F.col("fname")).alias("u_name"), last_start(sig).alias("u_sig")).where(F.col("unit_seq") > 0)
+    is_close = (ln >= F.col("u_brace")) & (F.col("depth_before") + F.col("delta") <= 0)
+    # lines kept for the body: from the brace line, at most max_body chars
+    # past the header (bounded); lines after the closing line are cut below
+    keep = (ln >= F.col("u_brace")) & (F.col("char_off") - F.col("u_off") < F.lit(max_body) + F.col("u_hlen"))
+    # same clustering as the windows (file_path): no exchange for this group
+    units = (l4.groupBy("file_path", "unit_seq")
                .agg(F.first("u_name").alias("name"), F.first("u_sig").alias("signature"),
                     F.first("u_start").alias("start_line"), F.first("u_brace").alias("brace_line"),
-                    F.first("u_bcol").alias("bcol"), F.first("unit_end").alias("unit_end"),
-                    F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("ls")))
+                    F.first("u_bcol").alias("bcol"), F.first("u_off").alias("u_off"),
+                    F.min(F.when(is_close, ln)).alias("unit_end"),
+                    F.array_sort(F.collect_list(F.when(keep, F.struct("line_no", "line", "char_off")))).alias("ls")))
+    closed = F.col("unit_end").isNotNull()
+    limit = F.when(closed, F.lit(max_body)).otherwise(F.lit(max_unclosed))
+    units = units.withColumn("ls", F.filter("ls", lambda x: x["line_no"] <= F.coalesce(F.col("unit_end"), F.lit(2**31 - 1))))
     n = F.size("ls")
 
     def piece(x, i):
         t = F.when(i == 0, F.substring(x["line"], F.col("bcol"), 1 << 30)).otherwise(x["line"])
-        return F.when((i == n - 1) & F.col("unit_end").isNotNull(),
-                      F.regexp_extract(t, r"^(.*\})", 1)).otherwise(t)
+        return F.when((i == n - 1) & closed, F.regexp_extract(t, r"^(.*\})", 1)).otherwise(t)
 
     body = F.array_join(F.transform("ls", piece), "\n")
     return units.select(
-        "file_path", "name", "signature",
-        F.substring(body, 1, F.when(F.col("unit_end").isNotNull(), max_body).otherwise(max_unclosed)).alias("body"),
+        "file_path", "name", "signature", F.substring(body, 1, limit).alias("body"),
         F.col("start_line").cast("int").alias("start_line"),
         F.coalesce("unit_end", "brace_line").cast("int").alias("end_line"),
         F.lit("c").alias("language"), F.lit("function").alias("kind"))

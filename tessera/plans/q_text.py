@@ -268,10 +268,18 @@ def q_assist_payload(spark, sf):
     return u.select("id", X.assist_payload(F.col("body")).alias("input"), X.assist_prompt(F.col("body")).alias("prompt"))
 
 
-@register("prompt_function")
+@register("prompt_function", "WITH " + CODE_CTES + """
+SELECT id, '        Summarize the following C function. IMPORTANT: Return only valid JSON (no surrounding text).' || chr(10)
+           || '        Required keys: summary (string), intent_tags (list of strings), risk_notes (string), change_recipe (string), confidence (float 0-1).' || chr(10)
+           || chr(10) || '        Function signature:' || chr(10) || '        ' || signature || chr(10) || chr(10)
+           || '        Function body:' || chr(10) || '        ' || body || chr(10) || chr(10)
+           || '        Return a single JSON object and nothing else.' || chr(10) AS prompt
+FROM units2
+""")
 def q_prompt_function(spark, sf):
-    """Function prompts (dedent + token cut), rows-only: the SQL twin of
-    textwrap.dedent is not worth its weight; pytest covers the template."""
+    """Function prompts (template + dedent + token cut). Every C body has an
+    unindented line ("{"), so dedent keeps the template's indentation, which
+    is what the SQL twin writes out."""
     u = P.c_units(spark, sf)
     return u.select("id", X.prompt_function(F.col("signature"), F.col("body"),
                                             M.suffix("file_path") == ".asm").alias("prompt"))

@@ -51,10 +51,10 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
     # M = max(s)+1, planned as a scalar subquery (one value, no join).
     n_sup = load(spark, sf_dir, "lineitem").select(F.max("l_suppkey") + 1).scalar()
 
-    callee_c = (cl.withColumn("t", F.format_string("    if (x&&y) fn_%d(x);" + NL, F.col("c")))
-                  .groupBy("s", "p").agg(_ordered_concat("c", "t").alias("call_lines")))
-    callee_a = (cl.withColumn("t", F.format_string("  call fn_%d" + NL, F.col("c")))
-                  .groupBy("s", "p").agg(_ordered_concat("c", "t").alias("call_ins")))
+    callee = (cl.withColumn("t", F.format_string("    if (x&&y) fn_%d(x);" + NL, F.col("c")))
+                .withColumn("ta", F.format_string("  call fn_%d" + NL, F.col("c")))
+                .groupBy("s", "p").agg(_ordered_concat("c", "t").alias("call_lines"),
+                                       _ordered_concat("c", "ta").alias("call_ins")))
     p = F.col("p")
     feature = F.concat(
         F.when(p % 3 == 0, F.lit("    printf(msg);" + NL)).otherwise(""),
@@ -62,7 +62,7 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
         F.when(p % 11 == 0, F.lit("    strcpy(a, b);" + NL)).otherwise(""),
         F.when(p % 13 == 0, F.lit("    pthread_mutex_lock(m);" + NL)).otherwise(""),
     )
-    fn = (defs.join(callee_c, ["s", "p"], "left").join(callee_a, ["s", "p"], "left")
+    fn = (defs.join(callee, ["s", "p"], "left")
               .withColumn("c_text", F.concat(
                   F.format_string("int fn_%d(int x)" + NL + "{" + NL, p),
                   F.coalesce("call_lines", F.lit("")), feature,
