@@ -139,62 +139,80 @@ def _nodes_of(edges: DataFrame, nodes: DataFrame | None) -> DataFrame:
     return edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
 
 
-def scc(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 10_000) -> DataFrame:
+def _min_label(labels: DataFrame, edges: DataFrame, max_rounds: int, log=None) -> tuple[DataFrame, int]:
+    """Fixpoint of label(dst) = min(label(dst), label(src)) over ``edges``
+    with pointer jumping: label(v) = min(label(v), label(label(v))).
+
+    Labels are node ids standing for "a node that reaches v"; reachability
+    is transitive, so following a label's own label stays valid and doubles
+    the distance covered per round. The jump joins on the label value: a
+    large component shares one label, a hot key that AQE's skew join splits."""
+    col = cut_lineage(labels)
+    rounds = 0
+    while True:
+        rounds += 1
+        prop = (edges.join(col.withColumnRenamed("id", "src"), "src")
+                     .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("l_in")))
+        jump = col.join(col.select(F.col("id").alias("label"), F.col("label").alias("l_jump")), "label", "left")
+        new = (jump.join(prop, "id", "left")
+                   .select("id", F.least("label", F.coalesce("l_in", "label"), F.coalesce("l_jump", "label")).alias("nl"),
+                           "label"))
+        new = cut_lineage(new.select("id", F.col("nl").alias("label"), (F.col("nl") < F.col("label")).alias("changed")))
+        col = new.select("id", "label")
+        if log:
+            log("round", rounds, new.where("changed").count())
+        if new.where("changed").isEmpty() or rounds >= max_rounds:
+            return col, rounds
+
+
+def scc(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 10_000, log=None) -> DataFrame:
     """Strongly connected components: (id, scc_id, size, in_cycle).
 
-    Repeated: trim nodes without an active in- or out-edge (singletons);
-    forward min-label propagation; each label's root (label == id) collects
-    the same-label nodes that reach it backwards -> one component. scc_id is
-    the smallest member id; a self-loop alone is not a cycle."""
+    Repeated until no node is left: trim nodes without an active in- or
+    out-edge (singletons); colour = smallest id that reaches the node
+    (forward min-label); inside each colour the root (colour == id) is the
+    smallest member, and a node belongs to the root's component iff the
+    smallest id it reaches inside the colour is the root (backward
+    min-label). Both propagations use pointer jumping. scc_id is the
+    smallest member id; a self-loop alone is not a cycle."""
     active = cut_lineage(_nodes_of(edges, nodes))
     e = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
     done = None
-    rounds = 0
+    log = log or (lambda *a: None)
+    outer = 0
     while not active.isEmpty():
-        # trim: nodes with no in-edge or no out-edge inside the active set
-        for _ in range(3):
+        outer += 1
+        log("outer", outer)
+        # trim: no in-edge or no out-edge inside the active set -> singleton
+        start, n_active = active, active.count()
+        while True:
             has_in = e.select(F.col("dst").alias("id")).distinct()
             has_out = e.select(F.col("src").alias("id")).distinct()
-            keep = active.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi")
-            trimmed = active.join(keep, "id", "left_anti").select("id", F.col("id").alias("scc_id"))
-            done = trimmed if done is None else done.unionByName(trimmed)
-            active = cut_lineage(keep)
+            keep = cut_lineage(active.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi"))
+            n_keep = keep.count()
+            if n_keep == n_active:
+                break
+            active, n_active = keep, n_keep
             e = cut_lineage(e.join(active.withColumnRenamed("id", "src"), "src", "left_semi")
                              .join(active.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-            done = cut_lineage(done)
+        trimmed = start.join(active, "id", "left_anti").select("id", F.col("id").alias("scc_id"))
+        done = cut_lineage(trimmed if done is None else done.unionByName(trimmed))
         if active.isEmpty():
             break
-        # forward colouring: colour(v) = min colour over v and its predecessors
-        col = active.select("id", F.col("id").alias("color"))
-        while True:
-            rounds += 1
-            prop = (e.join(col.withColumnRenamed("id", "src"), "src")
-                     .groupBy(F.col("dst").alias("id")).agg(F.min("color").alias("c_in")))
-            new = (col.join(prop, "id", "left")
-                      .select("id", F.least("color", F.coalesce("c_in", "color")).alias("color"),
-                              (F.coalesce("c_in", "color") < F.col("color")).alias("changed")))
-            new = cut_lineage(new)
-            col = new.select("id", "color")
-            if new.where("changed").isEmpty() or rounds > max_rounds:
-                break
-        # backward reach from each root inside its colour
-        ec = (e.join(col.withColumnRenamed("id", "src").withColumnRenamed("color", "cs"), "src")
-               .join(col.withColumnRenamed("id", "dst").withColumnRenamed("color", "cd"), "dst")
-               .where(F.col("cs") == F.col("cd")).select("src", "dst", F.col("cs").alias("color")))
+        log("trimmed; colouring")
+        color, r1 = _min_label(active.select("id", F.col("id").alias("label")), e, max_rounds)
+        log("forward rounds", r1)
+        # edges inside one colour, reversed: the smallest descendant flows back
+        ec = (e.join(color.select(F.col("id").alias("src"), F.col("label").alias("cs")), "src")
+               .join(color.select(F.col("id").alias("dst"), F.col("label").alias("cd")), "dst")
+               .where(F.col("cs") == F.col("cd"))
+               .select(F.col("dst").alias("src"), F.col("src").alias("dst")))
         ec = cut_lineage(ec)
-        reach = col.where(F.col("id") == F.col("color"))
-        frontier = reach
-        while True:
-            rounds += 1
-            step = (ec.join(frontier.select(F.col("id").alias("dst"), "color"), ["dst", "color"])
-                      .select(F.col("src").alias("id"), "color").distinct()
-                      .join(reach, ["id", "color"], "left_anti"))
-            step = cut_lineage(step)
-            if step.isEmpty() or rounds > max_rounds:
-                break
-            reach = cut_lineage(reach.unionByName(step))
-            frontier = step
-        comp = reach.select("id", F.col("color").alias("scc_id"))
+        back, r2 = _min_label(active.select("id", F.col("id").alias("label")), ec, max_rounds, log)
+        log("backward rounds", r2)
+        comp = (color.join(back.withColumnRenamed("label", "down"), "id")
+                     .where(F.col("label") == F.col("down")).select("id", F.col("label").alias("scc_id")))
+        comp = cut_lineage(comp)
         done = cut_lineage(done.unionByName(comp) if done is not None else comp)
         active = cut_lineage(active.join(comp, "id", "left_anti"))
         e = cut_lineage(e.join(active.withColumnRenamed("id", "src"), "src", "left_semi")

@@ -71,11 +71,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives
-    executor loss, unlike a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
+    """Cut lineage and plan: write ``df`` as Parquet under the shared
+    checkpoint folder and read it back. Survives executor loss (unlike a
+    local checkpoint), and the next round plans against a plain file scan:
+    a ``checkpoint()``-ed frame keeps enough of its origin plan that an
+    iterative loop's planning time grows round after round."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
