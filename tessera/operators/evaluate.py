@@ -43,36 +43,39 @@ def _ngrams(tokens, n):
 
 def corpus_bleu(pairs: DataFrame, cand: str = "candidate", ref: str = "reference", max_n: int = 4) -> DataFrame:
     """Corpus BLEU (single reference, whitespace tokens, uniform weights):
-    clipped n-gram counts by a join on (pair, n, gram), brevity penalty from
-    the summed lengths. 0 when any precision is 0."""
+    candidate and reference n-grams are counted per (pair, n, gram) in one
+    partial aggregate, clipped, and summed per n; the unigram totals give the
+    lengths for the brevity penalty. 0 when any precision is 0."""
     toks = pairs.select("pair_id", F.split(F.trim(F.col(cand)), r"\s+").alias("c"),
                         F.split(F.trim(F.col(ref)), r"\s+").alias("r"))
     toks = toks.select("pair_id", F.filter("c", lambda x: x != "").alias("c"), F.filter("r", lambda x: x != "").alias("r"))
 
-    def grams(col):
+    def grams(col, role):
         arr = F.array(*[F.struct(F.lit(n).alias("n"), _ngrams(F.col(col), n).alias("g")) for n in range(1, max_n + 1)])
-        ex = toks.select("pair_id", F.explode(arr).alias("x")).select("pair_id", "x.n", F.explode("x.g").alias("gram"))
-        return ex.groupBy("pair_id", "n", "gram").agg(F.count(F.lit(1)).alias("cnt"))
-
-    cg, rg = grams("c"), grams("r")
-    clipped = (cg.join(rg.withColumnRenamed("cnt", "rcnt"), ["pair_id", "n", "gram"], "left")
-                 .groupBy("n").agg(F.sum(F.least("cnt", F.coalesce("rcnt", F.lit(0)))).alias("match"),
-                                   F.sum("cnt").alias("total")))
-    lens = toks.agg(F.sum(F.size("c")).alias("c_len"), F.sum(F.size("r")).alias("r_len"))
-    p = clipped.groupBy().pivot("n", list(range(1, max_n + 1))).agg(
-        F.first(F.col("match") / F.col("total")).alias("p"))
-    p = p.select(*[F.coalesce(F.col(str(n)), F.lit(0.0)).alias(f"p{n}") for n in range(1, max_n + 1)])
-    j = p
+        return (toks.select("pair_id", F.explode(arr).alias("x"))
+                    .select("pair_id", "x.n", F.explode("x.g").alias("gram"), F.lit(role).alias("role")))
+
+    # one shuffle: candidate and reference n-grams counted side by side
+    both = grams("c", 0).unionByName(grams("r", 1))
+    per_gram = both.groupBy("pair_id", "n", "gram").agg(
+        F.sum((F.col("role") == 0).cast("long")).alias("cnt"), F.sum((F.col("role") == 1).cast("long")).alias("rcnt"))
+    per_n = per_gram.groupBy("n").agg(F.sum(F.least("cnt", "rcnt")).alias("match"), F.sum("cnt").alias("total"),
+                                      F.sum("rcnt").alias("ref_total"))
+    row = per_n.groupBy().agg(
+        *[F.max(F.when(F.col("n") == n, F.col("match") / F.col("total"))).alias(f"p{n}") for n in range(1, max_n + 1)],
+        F.max(F.when(F.col("n") == 1, F.col("total"))).alias("c_len"),
+        F.max(F.when(F.col("n") == 1, F.col("ref_total"))).alias("r_len"))
+    p = row.select(*[F.coalesce(F.col(f"p{n}"), F.lit(0.0)).alias(f"p{n}") for n in range(1, max_n + 1)],
+                   F.coalesce("c_len", F.lit(0)).alias("c_len"), F.coalesce("r_len", F.lit(0)).alias("r_len"))
     logs = [F.log(F.col(f"p{n}")) for n in range(1, max_n + 1)]
     any_zero = None
     for n in range(1, max_n + 1):
         z = F.col(f"p{n}") <= 0
         any_zero = z if any_zero is None else (any_zero | z)
-    c_len = lens.select("c_len").scalar()
-    r_len = lens.select("r_len").scalar()
-    bp = F.when(c_len >= r_len, F.lit(1.0)).otherwise(F.exp(1 - r_len / F.greatest(c_len, F.lit(1))))
+    bp = F.when(F.col("c_len") >= F.col("r_len"), F.lit(1.0)).otherwise(
+        F.exp(1 - F.col("r_len") / F.greatest(F.col("c_len"), F.lit(1))))
     geo = F.exp(sum(logs[1:], logs[0]) / max_n)
-    return j.select(*[F.col(f"p{n}") for n in range(1, max_n + 1)], bp.alias("bp"),
+    return p.select(*[F.col(f"p{n}") for n in range(1, max_n + 1)], bp.alias("bp"),
                     F.when(any_zero, F.lit(0.0)).otherwise(bp * geo).alias("bleu"))
 
 

@@ -224,22 +224,29 @@ def scc(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 10_0
 
 def bfs_distance(edges: DataFrame, sources: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Multi-source BFS: (id, dist) = hops from the nearest source. Nodes
-    never reached are absent (null after a left join)."""
-    visited = cut_lineage(sources.select("id").distinct().withColumn("dist", F.lit(0)))
-    frontier = visited
+    never reached are absent (null after a left join). One written frontier
+    per hop; ``visited`` is the union of the frontiers written so far."""
+    frontier = cut_lineage(sources.select("id").distinct().withColumn("dist", F.lit(0)))
+    levels = [frontier]
     e = cut_lineage(edges.select("src", "dst").distinct())
     hop = 0
     while not frontier.isEmpty():
         hop += 1
         if max_hops is not None and hop > max_hops:
             break
+        visited = levels[0].select("id")
+        for lv in levels[1:]:
+            visited = visited.union(lv.select("id"))
         nxt = (e.join(frontier.select(F.col("id").alias("src")), "src")
                 .select(F.col("dst").alias("id")).distinct()
-                .join(visited.select("id"), "id", "left_anti")
+                .join(visited, "id", "left_anti")
                 .withColumn("dist", F.lit(hop)))
         frontier = cut_lineage(nxt)
-        visited = cut_lineage(visited.unionByName(frontier))
-    return visited
+        levels.append(frontier)
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
 
 
 def k_hop_neighbors(edges: DataFrame, seeds: DataFrame, k: int = 2, undirected: bool = True) -> DataFrame:

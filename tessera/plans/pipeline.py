@@ -77,3 +77,17 @@ def doc_files(spark: SparkSession, sf: str) -> DataFrame:
     d = spark.read.parquet(f"{sf}/documents.parquet")
     return d.select(F.concat_ws("/", "source", F.concat_ws(".", F.col("doc_id").cast("string"), "lang")).alias("file_path"),
                     "text", "doc_id", "lang", "source")
+
+
+def header_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage output: prototype <-> definition links by name."""
+    def build():
+        protos = S.extract_prototypes(code_files(spark, sf))
+        u = c_units(spark, sf)
+        return (protos.select(F.col("file_path").alias("header_path"), "name")
+                      .join(u.select("name", F.col("file_path").alias("implementation_path"),
+                                     F.col("id").alias("function_id")), "name")
+                      .select(M.file_name("header_path").alias("header_file"), "header_path",
+                              M.file_name("implementation_path").alias("implementation_file"),
+                              "implementation_path", "function_id"))
+    return materialize(spark, sf, "header_links", build)

@@ -60,15 +60,7 @@ def _file_rows(spark, sf):
 
 
 def _header_links(spark, sf):
-    files = P.code_files(spark, sf)
-    protos = S.extract_prototypes(files)
-    u = P.c_units(spark, sf)
-    return (protos.select(F.col("file_path").alias("header_path"), "name")
-                  .join(u.select("name", F.col("file_path").alias("implementation_path"), F.col("id").alias("function_id")),
-                        "name")
-                  .select(M.file_name("header_path").alias("header_file"), "header_path",
-                          M.file_name("implementation_path").alias("implementation_file"), "implementation_path",
-                          "function_id"))
+    return P.header_links(spark, sf)
 
 
 LINKS_SQL = """
