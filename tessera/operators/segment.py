@@ -132,53 +132,59 @@ def segment_c_units(files: DataFrame, max_body: int = M.MAX_BODY_CHARS,
         F.lit("c").alias("language"), F.lit("function").alias("kind"))
 
 
-def segment_asm_units(files: DataFrame, max_file_body: int = M.MAX_ASM_FILE_CHARS) -> DataFrame:
+def segment_asm_units(files: DataFrame, max_file_body: int = M.MAX_ASM_FILE_CHARS,
+                      max_body: int = M.MAX_BODY_CHARS) -> DataFrame:
     """Label blocks of ``.asm`` files (label to next label).
 
     A block is kept when a ``.globl/.global/.extern`` directive or a leading
     ``PUBLIC`` sits within the label line and the 5 lines above, or when a
     line of the block starts with an instruction word. When no block of a
     file qualifies all are kept; a file without labels is one ``<file>``
-    unit (body capped at 4,000 chars)."""
+    unit (body capped at 4,000 chars). Block bodies keep the unit record's
+    100,000-char limit, and only lines inside that limit are gathered."""
     a_files = files.where(M.suffix("file_path") == ".asm")
     lines = split_lines(a_files)
     w = Window.partitionBy("file_path").orderBy("line_no")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     region = w.rowsBetween(-5, Window.currentRow)
     line = F.col("line")
     nonblank = line.rlike(r"\S")
+    is_label = line.rlike(ASM_LABEL_RE)
     instr = line.rlike(ASM_INSTR_RE) | (F.col("has_nl") & line.rlike(r"^\s*[A-Za-z]+$"))
-    l1 = (lines.withColumn("label", F.regexp_extract(line, ASM_LABEL_RE, 1))
-               .withColumn("is_label", line.rlike(ASM_LABEL_RE))
-               .withColumn("instr", instr)
-               .withColumn("directive", F.max(line.rlike(ASM_DIRECTIVE_RE).cast("int")).over(region) > 0)
-               .withColumn("public", F.coalesce(
-                   F.first(F.when(nonblank, line.rlike(ASM_PUBLIC_RE)), ignorenulls=True).over(region), F.lit(False)))
-               .withColumn("label_seq", F.sum(F.col("is_label").cast("int")).over(running))
-               .withColumn("n_labels", F.sum(F.col("is_label").cast("int")).over(Window.partitionBy("file_path"))))
+    piece_len = F.length(line) + F.col("has_nl").cast("int")
+    # one Window operator: label number, char offset, directive look-back
+    l1 = lines.select(
+        "file_path", "line_no", "line", "has_nl", "n_lines",
+        F.regexp_extract(line, ASM_LABEL_RE, 1).alias("label"), is_label.alias("is_label"), instr.alias("instr"),
+        (F.max(line.rlike(ASM_DIRECTIVE_RE).cast("int")).over(region) > 0).alias("directive"),
+        F.coalesce(F.first(F.when(nonblank, line.rlike(ASM_PUBLIC_RE)), ignorenulls=True).over(region),
+                   F.lit(False)).alias("public"),
+        F.sum(is_label.cast("int")).over(running).alias("label_seq"),
+        F.coalesce(F.sum(piece_len).over(before), F.lit(0)).alias("char_off"))
+    l2 = l1.withColumn("block_off", F.min("char_off").over(Window.partitionBy("file_path", "label_seq")))
 
     text_piece = F.concat(line, F.when(F.col("has_nl"), F.lit("\n")).otherwise(F.lit("")))
-    blocks = (l1.where(F.col("label_seq") > 0)
+    keep = F.col("char_off") - F.col("block_off") < max_body
+    blocks = (l2.where(F.col("label_seq") > 0)
                 .groupBy("file_path", "label_seq")
                 .agg(F.max(F.when(F.col("is_label"), F.col("label"))).alias("name"),
                      F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
                      F.max(F.when(F.col("is_label"), F.col("directive") | F.col("public"))).alias("pre"),
                      F.max(F.col("instr")).alias("has_instr"),
-                     F.array_sort(F.collect_list(F.struct("line_no", text_piece.alias("t")))).alias("ls")))
+                     F.array_sort(F.collect_list(F.when(keep, F.struct("line_no", text_piece.alias("t"))))).alias("ls")))
     blocks = (blocks.withColumn("qualifies", F.col("pre") | F.col("has_instr"))
                     .withColumn("any_q", F.max(F.col("qualifies").cast("int")).over(Window.partitionBy("file_path")) > 0)
                     .where(F.col("qualifies") | ~F.col("any_q")))
     labelled = blocks.select(
         "file_path", "name", F.concat(F.col("name"), F.lit(" (asm)")).alias("signature"),
-        F.array_join(F.transform("ls", lambda x: x["t"]), "").alias("body"),
+        F.substring(F.array_join(F.transform("ls", lambda x: x["t"]), ""), 1, max_body).alias("body"),
         F.col("start_line").cast("int").alias("start_line"), F.col("end_line").cast("int").alias("end_line"))
-    unlabelled = (l1.where(F.col("n_labels") == 0)
-                    .groupBy("file_path")
-                    .agg(F.max("n_lines").alias("n"),
-                         F.array_sort(F.collect_list(F.struct("line_no", text_piece.alias("t")))).alias("ls"))
+    # files without any label: the first 4,000 chars of the text itself
+    n_labels = l1.groupBy("file_path").agg(F.max("label_seq").alias("n_labels"), F.max("n_lines").alias("n"))
+    unlabelled = (a_files.join(n_labels.where(F.col("n_labels") == 0), "file_path")
                     .select("file_path", F.lit("<file>").alias("name"), F.lit("<asm>").alias("signature"),
-                            F.substring(F.array_join(F.transform("ls", lambda x: x["t"]), ""), 1,
-                                        max_file_body).alias("body"),
+                            F.substring("text", 1, max_file_body).alias("body"),
                             F.lit(1).alias("start_line"), F.col("n").cast("int").alias("end_line")))
     return (labelled.unionByName(unlabelled)
                     .withColumn("language", F.lit("asm")).withColumn("kind", F.lit("asm_block")))
