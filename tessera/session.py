@@ -56,16 +56,25 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's ``spark.checkpoint.dir``; only when it is unset
     (local tests) point it at a fresh scratch folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    global _LOCAL_CKPT
     sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = sc.getCheckpointDir()
+        try:
+            d = spark.conf.get("spark.checkpoint.dir", None)
+        except Exception:  # noqa: BLE001
+            d = None
     if not d:
-        d = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        # unset (local tests only): one scratch folder per process
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        d = _LOCAL_CKPT
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
