@@ -45,11 +45,11 @@ def q_segment_c(spark, sf):
 
 
 @register("segment_asm_units", W + "," + FILES_CTES + """
-, a AS (SELECT s, p, 'asm/f_' || s || '.asm' AS file_path, 'fn_' || p AS name, a_text AS body, 3 + ncalls AS nl
+, a AS (SELECT s, p, 'asm/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.asm' AS file_path, 'fn_' || p AS name, a_text AS body, 3 + ncalls AS nl
         FROM fntext WHERE s % 4 = 0)
 SELECT file_path, name, name || ' (asm)' AS signature, body,
-       CAST(1 + coalesce(sum(nl) OVER (PARTITION BY s ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
-       CAST(coalesce(sum(nl) OVER (PARTITION BY s ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS BIGINT) AS end_line
+       CAST(1 + coalesce(sum(nl) OVER (PARTITION BY file_path ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
+       CAST(coalesce(sum(nl) OVER (PARTITION BY file_path ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS BIGINT) AS end_line
 FROM a
 """)
 def q_segment_asm(spark, sf):
@@ -149,8 +149,8 @@ def q_extract_includes(spark, sf):
 
 
 @register("extract_prototypes", W + """
-SELECT 'include/f_' || s || '.h' AS file_path, 'fn_' || p AS name, 'int fn_' || p || '(int x)' AS signature,
-       row_number() OVER (PARTITION BY s ORDER BY p) AS line_no
+SELECT 'include/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.h' AS file_path, 'fn_' || p AS name, 'int fn_' || p || '(int x)' AS signature,
+       row_number() OVER (PARTITION BY s, p // 100000 ORDER BY p) AS line_no
 FROM defs WHERE p % 2 = 0
 """)
 def q_extract_prototypes(spark, sf):
@@ -205,9 +205,9 @@ _ = metric_cols  # re-exported for other plan modules
 
 
 @register("next_label_extent", W + "," + FILES_CTES + """
-, a AS (SELECT s, p, 'asm/f_' || s || '.asm' AS file_path, 'fn_' || p AS label, 3 + ncalls AS nl FROM fntext WHERE s % 4 = 0),
+, a AS (SELECT s, p, 'asm/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.asm' AS file_path, 'fn_' || p AS label, 3 + ncalls AS nl FROM fntext WHERE s % 4 = 0),
 b AS (SELECT file_path, label,
-             CAST(1 + coalesce(sum(nl) OVER (PARTITION BY s ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
+             CAST(1 + coalesce(sum(nl) OVER (PARTITION BY file_path ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
       FROM a)
 SELECT file_path, label, line_no, lead(line_no) OVER (PARTITION BY file_path ORDER BY line_no) AS next_label_line FROM b
 """)

@@ -34,10 +34,10 @@ fn AS (SELECT d.s, d.p, coalesce(ca.ncalls, 0) AS ncalls, coalesce(ca.call_lines
               CAST(d.p % 3 = 0 AS INT) + CAST(d.p % 7 = 0 AS INT) + CAST(d.p % 11 = 0 AS INT)
                 + CAST(d.p % 13 = 0 AS INT) AS nfeat
        FROM defs d LEFT JOIN callagg ca ON ca.s = d.s AND ca.p = d.p),
-units AS (SELECT s, p, 'src/m' || (s % 5) || '/f_' || s || '.c' AS file_path, 'fn_' || p AS name,
+units AS (SELECT s, p, 'src/m' || (s % 5) || '/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.c' AS file_path, 'fn_' || p AS name,
                  'int fn_' || p || '(int x)' AS signature,
                  '{{' || {NL} || call_lines || feat || '    return x;' || {NL} || '}}' AS body,
-                 CAST(3 + coalesce(sum(4 + ncalls + nfeat) OVER (PARTITION BY s ORDER BY p
+                 CAST(3 + coalesce(sum(4 + ncalls + nfeat) OVER (PARTITION BY s, p // 100000 ORDER BY p
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
                  4 + ncalls + nfeat AS nl
           FROM fn),
@@ -96,12 +96,12 @@ fntext AS (SELECT f.s, f.p, f.ncalls,
                   'fn_' || f.p || ':' || {NL} || '  mov a, x' || {NL} || coalesce(ci.call_ins, '') || '  ret' || {NL} AS a_text
            FROM fn f LEFT JOIN callins ci ON ci.s = f.s AND ci.p = f.p),
 files AS (
-  SELECT 'src/m' || (s % 5) || '/f_' || s || '.c' AS file_path,
+  SELECT 'src/m' || (s % 5) || '/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.c' AS file_path,
          '#include "f_' || s || '.h"' || {NL} || '#include "f_' || ((s * 7 + 1) % (SELECT m FROM m)) || '.h"' || {NL}
            || string_agg(c_text, '' ORDER BY p) AS text
-  FROM fntext GROUP BY s
+  FROM fntext GROUP BY s, p // 100000
   UNION ALL
-  SELECT 'include/f_' || s || '.h', string_agg(h_text, '' ORDER BY p) FROM fntext GROUP BY s HAVING count(h_text) > 0
+  SELECT 'include/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.h', string_agg(h_text, '' ORDER BY p) FROM fntext GROUP BY s, p // 100000 HAVING count(h_text) > 0
   UNION ALL
-  SELECT 'asm/f_' || s || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s)
+  SELECT 'asm/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 100000)
 """

@@ -11,6 +11,9 @@ tree that Spark derives from ``lineitem`` (its size grows with the table):
 * ``asm/f_<s>.asm`` for s % 4 == 0 repeats the definitions as labels
 
 Files are built by grouping per supplier: one group is one source file.
+A supplier's functions are sharded by part-key range (``SHARD_PARTS`` keys
+per file: ``f_<s>.c`` for the first range, ``f_<s>.<k>.c`` after it), so a
+supplier holding a third of ``lineitem`` still yields bounded file texts.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import load
 
 NL = "\n"
+SHARD_PARTS = 100_000
 
 
 def _ordered_concat(key: str, text: str) -> F.Column:
@@ -72,22 +76,24 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
                   F.format_string("fn_%d:" + NL + "  mov a, x" + NL, p),
                   F.coalesce("call_ins", F.lit("")), F.lit("  ret" + NL))))
 
-    per_s = fn.groupBy("s").agg(
+    fn = fn.withColumn("k", F.floor(p / SHARD_PARTS))
+    per_s = fn.groupBy("s", "k").agg(
         _ordered_concat("p", "c_text").alias("c_body"),
         _ordered_concat("p", "h_text").alias("h_body"),
         F.count("h_text").alias("n_proto"),
         _ordered_concat("p", "a_text").alias("a_body"))
     s = F.col("s")
+    stem = F.when(F.col("k") == 0, F.format_string("f_%d", s)).otherwise(F.format_string("f_%d.%d", s, F.col("k")))
     c_files = per_s.select(
-        F.format_string("src/m%d/f_%d.c", s % 5, s).alias("file_path"),
+        F.format_string("src/m%d/%s.c", s % 5, stem).alias("file_path"),
         F.concat(F.format_string('#include "f_%d.h"' + NL, s),
                  F.format_string('#include "f_%d.h"' + NL, (s * 7 + 1) % n_sup),
                  F.col("c_body")).alias("text"))
     h_files = per_s.where(F.col("n_proto") > 0).select(
-        F.format_string("include/f_%d.h", s).alias("file_path"), F.col("h_body").alias("text"))
+        F.format_string("include/%s.h", stem).alias("file_path"), F.col("h_body").alias("text"))
     out = c_files.unionByName(h_files)
     if with_asm:
         a_files = per_s.where(s % 4 == 0).select(
-            F.format_string("asm/f_%d.asm", s).alias("file_path"), F.col("a_body").alias("text"))
+            F.format_string("asm/%s.asm", stem).alias("file_path"), F.col("a_body").alias("text"))
         out = out.unionByName(a_files)
     return out

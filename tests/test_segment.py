@@ -101,3 +101,15 @@ def test_includes_and_prototypes(spark):
     assert inc == ["a.h", "b.h"]
     protos = [(r["name"], r["line_no"]) for r in S.extract_prototypes(files).collect()]
     assert protos == [("f", 3)]
+
+
+def test_sharded_corpus_keeps_every_definition(spark, sf, monkeypatch):
+    """With tiny shards (many files per supplier) segmentation still
+    recovers each (supplier, part) definition exactly once."""
+    from tessera.sources import corpus
+    monkeypatch.setattr(corpus, "SHARD_PARTS", 50)
+    files = corpus.code_files(spark, sf)
+    assert files.where(files.file_path.rlike(r"/f_\d+\.\d+\.c$")).count() > 0
+    units = S.segment_c_units(files)
+    n_defs = corpus.definitions(spark, sf).count()
+    assert units.where(units.file_path.endswith(".c")).count() == n_defs
