@@ -44,19 +44,25 @@ froll AS (SELECT 'file:' || file_path AS id, file_path, count(*) AS num_function
 
 
 def _enriched(spark, sf):
-    u = R.enrich_units(P.c_units(spark, sf))
-    return (u.withColumn("summary", F.concat(F.col("name"), F.lit(": "), F.col("loc").cast("string"),
-                                             F.lit(" lines, complexity "), F.col("cyclomatic").cast("string")))
-             .withColumn("change_recipe", F.when(F.col("cyclomatic") > 3, F.concat(F.lit("Split "), F.col("name"),
-                                                                                  F.lit(" into smaller functions.")))
-                         .otherwise(F.lit(""))))
+    """Stage output: function rows with metrics and stand-in model fields."""
+    def build():
+        u = R.enrich_units(P.c_units(spark, sf))
+        return (u.withColumn("summary", F.concat(F.col("name"), F.lit(": "), F.col("loc").cast("string"),
+                                                 F.lit(" lines, complexity "), F.col("cyclomatic").cast("string")))
+                 .withColumn("change_recipe", F.when(F.col("cyclomatic") > 3, F.concat(F.lit("Split "), F.col("name"),
+                                                                                      F.lit(" into smaller functions.")))
+                             .otherwise(F.lit(""))))
+    return P.materialize(spark, sf, "enriched", build)
 
 
 def _file_rows(spark, sf):
-    roll = R.file_rollup(P.flagged(spark, sf))
-    return (roll.withColumn("summary", F.concat(F.col("file_path"), F.lit(": "), F.col("num_functions").cast("string"),
-                                                F.lit(" functions")))
-                .withColumn("change_recipe", F.lit("")))
+    """Stage output: file rows (rollup + stand-in model fields)."""
+    def build():
+        roll = R.file_rollup(P.flagged(spark, sf))
+        return (roll.withColumn("summary", F.concat(F.col("file_path"), F.lit(": "), F.col("num_functions").cast("string"),
+                                                    F.lit(" functions")))
+                    .withColumn("change_recipe", F.lit("")))
+    return P.materialize(spark, sf, "file_rows", build)
 
 
 def _header_links(spark, sf):
@@ -165,12 +171,17 @@ hctx AS (SELECT 'Header: ' || header_file || ' | Implementation: ' || implementa
 
 
 def _neighbors(spark, sf):
-    _, edges, _ = P.call_graph(spark, sf)
-    callers = A.bounded_list(edges.select(F.col("dst").alias("id"), F.col("src").alias("callers")), "id", "callers",
-                             [F.col("callers")], 16, ",")
-    callees = A.bounded_list(edges.select(F.col("src").alias("id"), F.col("dst").alias("callees")), "id", "callees",
-                             [F.col("callees")], 16, ",")
-    return callers.select("id", "callers"), callees.select("id", "callees")
+    """Stage output: bounded, sorted caller and callee lists per function."""
+    def build():
+        _, edges, _ = P.call_graph(spark, sf)
+        callers = A.bounded_list(edges.select(F.col("dst").alias("id"), F.col("src").alias("callers")), "id", "callers",
+                                 [F.col("callers")], 16, ",")
+        callees = A.bounded_list(edges.select(F.col("src").alias("id"), F.col("dst").alias("callees")), "id", "callees",
+                                 [F.col("callees")], 16, ",")
+        return callers.select("id", "callers").join(callees.select("id", "callees"), "id", "full_outer")
+    nb = P.materialize(spark, sf, "neighbors", build)
+    return (nb.where(F.col("callers").isNotNull()).select("id", "callers"),
+            nb.where(F.col("callees").isNotNull()).select("id", "callees"))
 
 
 def _fn_ctx(spark, sf):
