@@ -56,10 +56,9 @@ def file_rollup(flagged: DataFrame, path: str = "file_path") -> DataFrame:
 
 
 def file_members(units: DataFrame, id_col: str = "id", path: str = "file_path") -> DataFrame:
-    """The reference's per-file ``functions`` list, kept as rows with the
-    ordinal of each function in file order (no collect)."""
-    w = Window.partitionBy(path).orderBy("start_line", id_col)
-    return units.select(path, id_col, "start_line", F.row_number().over(w).alias("ordinal"))
+    """The reference's per-file ``functions`` list, kept as rows; file order
+    is ``start_line`` (a projection: no shuffle, no per-file group)."""
+    return units.select(path, id_col, "start_line")
 
 
 def top_n_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:

@@ -193,12 +193,11 @@ def q_running_depth(spark, sf):
 
 
 @register("file_members", W + """
-SELECT file_path, id, start_line, row_number() OVER (PARTITION BY file_path ORDER BY start_line, id) AS ordinal FROM units2
+SELECT file_path, id, start_line FROM units2
 """)
 def q_file_members(spark, sf):
     m = R.file_members(P.c_units(spark, sf))
-    return m.select("file_path", "id", F.col("start_line").cast("bigint").alias("start_line"),
-                    F.col("ordinal").cast("bigint").alias("ordinal"))
+    return m.select("file_path", "id", F.col("start_line").cast("bigint").alias("start_line"))
 
 
 _ = metric_cols  # re-exported for other plan modules

@@ -129,3 +129,16 @@ def test_k_hop(spark):
     got = {(r["seed"], r["id"], r["dist"]) for r in G.k_hop_neighbors(e, spark.createDataFrame([("b",)], ["id"]), 2).collect()}
     assert got == {("b", "a", 1), ("b", "c", 1), ("b", "d", 2)}
     _ = F
+
+
+def test_hot_callee_name_keeps_every_candidate(spark):
+    """One name defined in 40 files and called from 300 functions in other
+    files: tier 3 yields the full 300 x 40 fan-out (no cap)."""
+    defs = [(f"h{i}", f"lib/{i}.c", "helper", "{ }") for i in range(40)]
+    callers = [(f"c{j}", f"app/{j}.c", f"f{j}", "{ helper(); }") for j in range(300)]
+    units = spark.createDataFrame(defs + callers, ["id", "file_path", "name", "body"])
+    edges, ext = G.resolve_callees(units)
+    assert edges.where("tier = 3").count() == 300 * 40
+    assert ext.count() == 0
+    deg = G.degree_metrics(units.select("id"), edges, ext)
+    assert {r["in_degree"] for r in deg.where("id LIKE 'h%'").collect()} == {300}
