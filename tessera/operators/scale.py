@@ -1,11 +1,8 @@
-"""Scale helpers: distributed global ranks, size-checked broadcasts, salting."""
+"""Scale helpers: distributed global ranks."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-# Broadcast only below this many rows *after* counting them.
-DEFAULT_BROADCAST_ROWS = 100_000
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def global_rank(df: DataFrame, order: list[str], n_parts: int | None = None, name: str = "rank") -> DataFrame:
@@ -29,21 +26,3 @@ def global_rank(df: DataFrame, order: list[str], n_parts: int | None = None, nam
     return (s.join(F.broadcast(offs), "_pid")
              .withColumn(name, F.col("_off") + F.col("_local") + 1)
              .drop("_pid", "_mid", "_local", "_off"))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Count first; hint a broadcast only when the side is provably small."""
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
-
-
-def salted(df: DataFrame, key: str, salts: int, replicate: bool) -> DataFrame:
-    """Salt a join key: the big side gets a random-free salt from a hash of
-    all columns; the other side is replicated once per salt value."""
-    if replicate:
-        return df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)))
-
-
-def ordered(cols: list[str | Column]) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in cols]

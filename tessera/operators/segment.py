@@ -208,15 +208,6 @@ def segment_units(files: DataFrame) -> DataFrame:
             .unionByName(segment_whole_file(files)))
 
 
-def with_metrics(units: DataFrame, body: str = "body", path: str = "file_path") -> DataFrame:
-    """Per-unit loc, cyclomatic, call sites, tags and risk notes."""
-    b = F.col(body)
-    return units.select(
-        "*", M.loc(b).alias("loc"), M.cyclomatic(b).alias("cyclomatic"),
-        M.call_sites(b).alias("calls"), M.intent_tags(b, path).alias("intent_tags"),
-        M.risk_notes(b, path).alias("risk_notes"))
-
-
 # ---------------------------------------------------------------------------
 # Line / token windows over units
 # ---------------------------------------------------------------------------

@@ -513,4 +513,25 @@ def q_prompt_function_graph(spark, sf):
                                                    "body").alias("prompt"))
 
 
+@register("prompt_file", WFG + "," + STUB_SQL + """
+, top AS (SELECT file_path, summary, loc, start_line,
+                 row_number() OVER (PARTITION BY file_path ORDER BY loc DESC, start_line) AS rk FROM enr)
+SELECT file_path, '        Summarize this file: ' || file_path || '.' || chr(10)
+       || '        Aggregate the provided function summaries and return only a single JSON object with keys:' || chr(10)
+       || '        - summary (string)' || chr(10) || '        - intent_tags (list of strings)' || chr(10)
+       || '        - risk_notes (string)' || chr(10) || '        - change_recipe (string)' || chr(10)
+       || '        - confidence (float 0-1)' || chr(10) || chr(10)
+       || '        Content (top 8 functions by LOC):' || chr(10)
+       || '        ' || string_agg(summary, chr(10) || chr(10) ORDER BY rk) || chr(10) || chr(10)
+       || '        Return strictly one JSON object and nothing else.' || chr(10) AS prompt
+FROM top WHERE rk <= 8 GROUP BY file_path
+""")
+def q_prompt_file(spark, sf):
+    """File prompt: the 8 largest functions' summaries (top-n per file, cut
+    map-side) inside the file template."""
+    from ..functions import text as X
+    top = R.top_n_per_file(_enriched(spark, sf), 8, text="summary")
+    return top.select("file_path", X.prompt_file(F.col("file_path"), F.col("top_text"), 8).alias("prompt"))
+
+
 _ = (G, STUB_SQL)
