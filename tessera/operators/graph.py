@@ -45,15 +45,17 @@ def call_edges_in_file(units: DataFrame) -> DataFrame:
     return raw_calls(units).join(last_def, ["src_file", "callee"]).select("src", "dst", "src_file", "callee").distinct()
 
 
-def resolve_callees(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+def resolve_callees(units: DataFrame, calls: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Tiered resolution of call-site names.
 
     1. the callee text is a function id; 2. every definition of that name in
     the caller's file; 3. every definition of that name in any file;
     4. otherwise external. Returns (edges[src, dst, tier], external[src,
     callee]). Tiers are separated with semi/anti joins on distinct keys;
-    the tier-3 fan-out (hot names) is left to AQE's skew-join splitting."""
-    calls = raw_calls(units)
+    the tier-3 fan-out (hot names) is left to AQE's skew-join splitting.
+    ``calls`` may be passed precomputed (:func:`raw_calls`, e.g. written
+    once as a stage) so the call-site regex is not re-run per tier."""
+    calls = raw_calls(units) if calls is None else calls
     defs = definitions(units)
     ids = defs.select(F.col("dst").alias("callee")).distinct()
     by_id = calls.join(ids, "callee", "left_semi").select("src", F.col("callee").alias("dst"), F.lit(1).alias("tier"))

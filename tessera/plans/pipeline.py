@@ -46,8 +46,10 @@ def call_graph(spark: SparkSession, sf: str):
     from ..operators import graph as G
     u = c_units(spark, sf)
 
+    calls = materialize(spark, sf, "raw_calls", lambda: G.raw_calls(u))
+
     def build_edges():
-        e, x = G.resolve_callees(u)
+        e, x = G.resolve_callees(u, calls)
         return e.withColumn("_kind", F.lit("edge")).withColumn("callee", F.lit(None).cast("string")).unionByName(
             x.withColumn("_kind", F.lit("ext")).withColumn("dst", F.lit(None).cast("string"))
              .withColumn("tier", F.lit(None).cast("int")))
