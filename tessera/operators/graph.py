@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import metrics as M
-from ..session import cut_lineage, cut_lineage_observed
+from ..session import cut_lineage
 
 
 # ---------------------------------------------------------------------------
@@ -163,13 +163,11 @@ def _min_label(labels: DataFrame, edges: DataFrame, max_rounds: int, log=None) -
         new = (jump.join(prop, "id", "left")
                    .select("id", F.least("label", F.coalesce("l_in", "label"), F.coalesce("l_jump", "label")).alias("nl"),
                            "label"))
-        new = new.select("id", F.col("nl").alias("label"), (F.col("nl") < F.col("label")).alias("changed"))
-        # the convergence count comes from the write job itself
-        new, m = cut_lineage_observed(new, {"n_changed": F.sum(F.col("changed").cast("long"))})
+        new = cut_lineage(new.select("id", F.col("nl").alias("label"), (F.col("nl") < F.col("label")).alias("changed")))
         col = new.select("id", "label")
         if log:
-            log("round", rounds, m.get("n_changed"))
-        if not m.get("n_changed") or rounds >= max_rounds:
+            log("round", rounds)
+        if new.where("changed").isEmpty() or rounds >= max_rounds:
             return col, rounds
 
 
@@ -196,9 +194,8 @@ def scc(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 10_0
         while True:
             has_in = e.select(F.col("dst").alias("id")).distinct()
             has_out = e.select(F.col("src").alias("id")).distinct()
-            keep, m = cut_lineage_observed(active.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi"),
-                                           {"n": F.count(F.lit(1))})
-            n_keep = m.get("n") or 0
+            keep = cut_lineage(active.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi"))
+            n_keep = keep.count()
             if n_keep == n_active:
                 break
             active, n_active = keep, n_keep
@@ -250,8 +247,8 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, max_hops: int | None = No
                 .select(F.col("dst").alias("id")).distinct()
                 .join(visited, "id", "left_anti")
                 .withColumn("dist", F.lit(hop)))
-        frontier, m = cut_lineage_observed(nxt, {"n": F.count(F.lit(1))})
-        if not m.get("n"):
+        frontier = cut_lineage(nxt)
+        if frontier.isEmpty():
             break
         levels.append(frontier)
     out = levels[0]

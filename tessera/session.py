@@ -80,18 +80,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage_observed(df: DataFrame, metrics: dict, name: str = "state") -> tuple[DataFrame, dict]:
-    """:func:`cut_lineage` that also returns aggregate ``metrics`` (name ->
-    Column) computed by the same write job (Spark's ``Observation``), so an
-    iterative loop needs no second job to test for convergence."""
-    from pyspark.sql import Observation
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-    df.observe(obs, *[c.alias(k) for k, c in metrics.items()]).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), obs.get
-
-
 def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
     """Cut lineage and plan: write ``df`` as Parquet under the shared
     checkpoint folder and read it back. Survives executor loss (unlike a
