@@ -98,13 +98,19 @@ def prompt_file(path: Column, top_text: Column, n: int = 8) -> Column:
                            F.lit(tail)))
 
 
+def _valid_json(c: Column) -> Column:
+    # from_json turns malformed input into a struct of nulls, not a null:
+    # validity is checked separately
+    return F.try_parse_json(c).isNotNull()
+
+
 def parse_model_json(text: Column, schema: T.StructType = MODEL_SCHEMA) -> Column:
     """Whole text as a JSON object, else the first flat ``{...}`` block,
-    else null."""
+    else null (malformed JSON counts as no JSON)."""
     t = strip(text)
-    whole = F.when(t.startswith("{") & t.endswith("}"), F.from_json(t, schema))
+    whole = F.when(t.startswith("{") & t.endswith("}") & _valid_json(t), F.from_json(t, schema))
     block = F.regexp_extract(t, FLAT_BLOCK_RE, 0)
-    return F.coalesce(whole, F.when(block != "", F.from_json(block, schema)))
+    return F.coalesce(whole, F.when((block != "") & _valid_json(block), F.from_json(block, schema)))
 
 
 def model_defaults(parsed: Column, raw_text: Column, failed: Column | None = None) -> Column:

@@ -155,14 +155,14 @@ def q_assist_limit(spark, sf):
 
 # --------------------------------------------------------------------------
 # model I/O over events: a deterministic mix of clean JSON, JSON with junk
-# around it and plain text, derived from each event row
+# around it and malformed braces, derived from each event row
 # --------------------------------------------------------------------------
 _RAW_SQL = """CASE event_id % 4
   WHEN 0 THEN '{"summary": "' || event_type || '"}'
   WHEN 1 THEN '{"summary": "' || event_type || '", "confidence": 0.' || lpad(CAST(abs(CAST(floor(value) AS BIGINT)) % 1000 AS VARCHAR), 3, '0')
               || ', "intent_tags": ["' || event_type || '", "x"]}'
   WHEN 2 THEN 'Sure! ' || props || ' hope it helps'
-  ELSE ' plain ' || event_type || ' text ' END"""
+  ELSE ' {plain ' || event_type || ' text} ' END"""
 
 
 def _raw_model_text():
@@ -172,7 +172,7 @@ def _raw_model_text():
                                                        F.lpad((F.abs(F.floor("value").cast("bigint")) % 1000).cast("string"), 3, "0"),
                                                        F.lit(', "intent_tags": ["'), et, F.lit('", "x"]}')))
              .when(F.col("event_id") % 4 == 2, F.concat(F.lit("Sure! "), F.col("props"), F.lit(" hope it helps")))
-             .otherwise(F.concat(F.lit(" plain "), et, F.lit(" text "))))
+             .otherwise(F.concat(F.lit(" {plain "), et, F.lit(" text} "))))
 
 
 @register("parse_model_json", f"""

@@ -83,6 +83,8 @@ def test_sha1_short_and_id(spark):
     ('Sure! {"summary": "inner"} bye', "inner", 0.6),
     ("  just text  ", "just text", 0.6),
     ('{"risk_notes": "r"}', "", 0.6),
+    ("{not json}", "{not json}", 0.6),                 # malformed braces: raw text becomes the summary
+    ('{"summary": "a"} {"b": 1}', "a", 0.6),           # two objects: the first flat block
 ])
 def test_parse_and_defaults(spark, raw, summary, conf):
     d = X.model_defaults(X.parse_model_json(F.col("r")), F.col("r"))
