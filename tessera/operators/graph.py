@@ -45,15 +45,37 @@ def call_edges_in_file(units: DataFrame) -> DataFrame:
     return raw_calls(units).join(last_def, ["src_file", "callee"]).select("src", "dst", "src_file", "callee").distinct()
 
 
-def resolve_callees(units: DataFrame, calls: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def salted_name_join(calls: DataFrame, defs: DataFrame, hot_defs: int, salts: int) -> DataFrame:
+    """``calls`` x ``defs`` on ``callee`` with hot names split over
+    ``salts`` tasks: a name with more than ``hot_defs`` definitions has each
+    call replicated once per salt while each definition goes to exactly one
+    salt (hash of its id), so every (call, definition) pair appears once and
+    the fan-out of one name is spread instead of landing in one task."""
+    counts = defs.groupBy("callee").agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") > hot_defs).select("callee", F.lit(True).alias("_hot"))
+    c = calls.join(hot, "callee", "left")
+    d = defs.join(hot, "callee", "left")
+    cold = (c.where(F.col("_hot").isNull()).drop("_hot")
+             .join(d.where(F.col("_hot").isNull()).drop("_hot"), "callee"))
+    hot_calls = (c.where(F.col("_hot")).drop("_hot")
+                  .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    hot_defs_df = (d.where(F.col("_hot")).drop("_hot")
+                    .withColumn("_salt", F.pmod(F.xxhash64("dst"), F.lit(salts)).cast("int")))
+    warm = hot_calls.join(hot_defs_df, ["callee", "_salt"]).drop("_salt")
+    return cold.unionByName(warm)
+
+
+def resolve_callees(units: DataFrame, calls: DataFrame | None = None, hot_defs: int = 10_000,
+                    salts: int = 64) -> tuple[DataFrame, DataFrame]:
     """Tiered resolution of call-site names.
 
     1. the callee text is a function id; 2. every definition of that name in
     the caller's file; 3. every definition of that name in any file;
     4. otherwise external. Returns (edges[src, dst, tier], external[src,
     callee]). Tiers are separated with semi/anti joins on distinct keys;
-    the tier-3 fan-out (hot names) is left to AQE's skew-join splitting.
-    ``calls`` may be passed precomputed (:func:`raw_calls`, e.g. written
+    in tier 3, names with more than ``hot_defs`` definitions are joined
+    salted over ``salts`` tasks (:func:`salted_name_join`); AQE's skew join
+    covers the rest. ``calls`` may be passed precomputed (:func:`raw_calls`, e.g. written
     once as a stage) so the call-site regex is not re-run per tier."""
     calls = raw_calls(units) if calls is None else calls
     defs = definitions(units)
@@ -65,7 +87,7 @@ def resolve_callees(units: DataFrame, calls: DataFrame | None = None) -> tuple[D
                 .select("src", "dst", F.lit(2).alias("tier")))
     rest = rest.join(file_keys, ["src_file", "callee"], "left_anti")
     names = defs.select("callee").distinct()
-    anyf = rest.join(defs, "callee").select("src", "dst", F.lit(3).alias("tier"))
+    anyf = salted_name_join(rest, defs, hot_defs, salts).select("src", "dst", F.lit(3).alias("tier"))
     external = rest.join(names, "callee", "left_anti").select("src", "callee").distinct()
     edges = by_id.unionByName(same).unionByName(anyf)
     edges = edges.groupBy("src", "dst").agg(F.min("tier").alias("tier"))

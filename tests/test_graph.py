@@ -142,3 +142,17 @@ def test_hot_callee_name_keeps_every_candidate(spark):
     assert ext.count() == 0
     deg = G.degree_metrics(units.select("id"), edges, ext)
     assert {r["in_degree"] for r in deg.where("id LIKE 'h%'").collect()} == {300}
+
+
+def test_salted_hot_name_join_is_exact(spark):
+    """Forcing the salted path (threshold below the hot name's definition
+    count) gives exactly the plain join's pairs."""
+    defs = [(f"h{i}", f"lib/{i}.c", "helper", "{ }") for i in range(40)]
+    defs += [("q1", "lib/q.c", "quiet", "{ }")]
+    callers = [(f"c{j}", f"app/{j}.c", f"f{j}", "{ helper(); quiet(); }") for j in range(120)]
+    units = spark.createDataFrame(defs + callers, ["id", "file_path", "name", "body"])
+    plain, _ = G.resolve_callees(units, hot_defs=10_000)
+    salted, _ = G.resolve_callees(units, hot_defs=5, salts=7)
+    a = sorted((r["src"], r["dst"], r["tier"]) for r in plain.collect())
+    b = sorted((r["src"], r["dst"], r["tier"]) for r in salted.collect())
+    assert a == b and len(a) == 120 * 41
