@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import metrics as M
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_state
 
 
 # ---------------------------------------------------------------------------
@@ -176,6 +176,7 @@ def _min_label(labels: DataFrame, edges: DataFrame, max_rounds: int, log=None) -
     the distance covered per round. The jump joins on the label value: a
     large component shares one label, a hot key that AQE's skew join splits."""
     col = cut_lineage(labels)
+    state = col
     rounds = 0
     while True:
         rounds += 1
@@ -186,6 +187,9 @@ def _min_label(labels: DataFrame, edges: DataFrame, max_rounds: int, log=None) -
                    .select("id", F.least("label", F.coalesce("l_in", "label"), F.coalesce("l_jump", "label")).alias("nl"),
                            "label"))
         new = cut_lineage(new.select("id", F.col("nl").alias("label"), (F.col("nl") < F.col("label")).alias("changed")))
+        # the previous round's state is no longer referenced: drop its folder
+        drop_state(new.sparkSession, state)
+        state = new
         col = new.select("id", "label")
         if log:
             log("round", rounds)

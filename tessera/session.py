@@ -80,6 +80,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def drop_state(spark: SparkSession, df: DataFrame) -> None:
+    """Delete the folder behind a frame produced by :func:`cut_lineage`
+    once nothing refers to it (superseded loop state)."""
+    path = getattr(df, "_tessera_state_path", None)
+    if not path:
+        return
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
     """Cut lineage and plan: write ``df`` as Parquet under the shared
     checkpoint folder and read it back. Survives executor loss (unlike a
@@ -89,7 +100,9 @@ def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._tessera_state_path = path
+    return out
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
