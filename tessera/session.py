@@ -52,6 +52,12 @@ def configure(spark: SparkSession) -> SparkSession:
                 spark.conf.set(k, v)
             except Exception:  # static conf on a shared session: leave it
                 pass
+    # Python workers import this package from where the driver did, also when
+    # it isn't installed (a path that doesn't exist on a worker is ignored)
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     ensure_checkpoint_dir(spark)
     return spark
 
