@@ -34,3 +34,15 @@ def _packed(docs: DataFrame) -> DataFrame:
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _packed(documents(spark, sf_dir)).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op3_source_mixing")
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix, taken
+    return taken(*mix(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op4_sharding")
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+    return shard_documents(documents(spark, sf_dir))
