@@ -66,3 +66,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import drop_lines
     out = drop_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_simhash_near_dedup")
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_components
+    return near_components(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
