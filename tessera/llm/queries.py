@@ -73,3 +73,18 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_components
     return near_components(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+OP7_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+
+@query("op7_streaming_exact_dedup", OP7_SQL)
+def op7_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import dedup
+    return dedup(spark, f"{sf_dir.rstrip('/')}/documents.parquet").select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
