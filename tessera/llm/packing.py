@@ -13,6 +13,7 @@ saves nothing.
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,11 @@ CAPACITY = 4096
 #: Items of one partition of the packing, and so what one task holds.
 PART_ITEMS = 8192
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
+#: Words that are one pre-token of letters, and at most one more of dots and
+#: commas. Their ASCII letters may be lower-cased ahead of the tokenizer.
+_PLAIN = "^(?P<stem>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]*)$"
+_JOINED = 64
 
 _TOKENIZERS: dict[str, tuple] = {}
 
@@ -34,23 +39,71 @@ def _tokenizer(path: str):
     if path not in _TOKENIZERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        _TOKENIZERS[path] = (Tokenizer.from_file(path), {})
+        tok = Tokenizer.from_file(path)
+        last = np.zeros(tok.get_vocab_size(), bool)  # the ids that end a word
+        for token, i in tok.get_vocab().items():
+            last[i] = token.endswith("</w>")
+        _TOKENIZERS[path] = (tok, last, {})
     return _TOKENIZERS[path]
 
 
+def _encode(tok, words: list[str]) -> list[bytes]:
+    run = getattr(tok, "encode_batch_fast", tok.encode_batch)
+    return [array("I", e.ids).tobytes() for e in run(words, add_special_tokens=False)]
+
+
 def _word_ids(path: str, words: list[str]) -> list[bytes]:
-    tok, known = _tokenizer(path)
+    """The ids of each distinct word. Words of letters go to the tokenizer many
+    at a time, and the ids that end a word tell them apart again."""
+    tok, last, known = _tokenizer(path)
     new = [w for w in words if w not in known]
-    if new:
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = words
-        encode = getattr(tok, "encode_batch_fast", tok.encode_batch)
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            for w, e in zip(part, encode(part, add_special_tokens=False)):
-                known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-    return [known[w] for w in words]
+    if len(known) + len(new) > CACHE_WORDS:  # words that came again stay
+        again = {w: known[w] for w in words if w in known}
+        known.clear()
+        known.update(again)
+    found: dict[str, bytes] = {}
+    plain = [w for w in new if w.isalpha()]
+    for i in range(0, len(plain), 16_384):
+        part = plain[i:i + 16_384]
+        groups = [part[j:j + _JOINED] for j in range(0, len(part), _JOINED)]
+        for group, raw in zip(groups, _encode(tok, [" ".join(g) for g in groups])):
+            ends = np.flatnonzero(last[np.frombuffer(raw, "<u4")]) * 4 + 4
+            if len(ends) != len(group) or ends[-1] != len(raw):
+                found.update(zip(group, _encode(tok, group)))
+                continue
+            at = 0
+            for w, end in zip(group, ends.tolist()):
+                found[w] = raw[at:end]
+                at = end
+    rest = [w for w in new if w not in found]
+    for i in range(0, len(rest), 16_384):
+        found.update(zip(rest[i:i + 16_384], _encode(tok, rest[i:i + 16_384])))
+    out = [known[w] if w in known else found[w] for w in words]
+    if len(known) + len(found) <= CACHE_WORDS:
+        known.update(found)
+    return out
+
+
+def _gather(pool: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs ``pool[first[i] : first[i] + n[i]]`` one after another."""
+    ends = np.cumsum(n)
+    return pool[np.repeat(first - (ends - n), n) + np.arange(int(ends[-1]) if len(n) else 0)]
+
+
+def _distinct_ids(path: str, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pool, first, n): the ids of each of ``words`` as a run of the pool."""
+    parts = pc.extract_regex(words, _PLAIN)
+    plain = pc.is_valid(parts)
+    stem = pc.if_else(plain, pc.ascii_lower(parts.field(0)), words).dictionary_encode()
+    tail = pc.if_else(plain, parts.field(1), "").dictionary_encode()
+    stems, tails = stem.dictionary.to_pylist(), tail.dictionary.to_pylist()
+    ids = _word_ids(path, stems) + _encode(_tokenizer(path)[0], tails)
+    size = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
+    pool, first = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(size) - size
+    both = np.stack([np.asarray(stem.indices), np.asarray(tail.indices) + len(stems)], 1).astype(np.int64)
+    pool = _gather(pool, first[both.ravel()], size[both.ravel()])
+    n = size[both].sum(axis=1)
+    return pool, np.cumsum(n) - n, n
 
 
 def encode_texts(path: str, texts: pa.Array, eos: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,19 +116,14 @@ def encode_texts(path: str, texts: pa.Array, eos: int) -> tuple[np.ndarray, np.n
     full = np.asarray(pc.binary_length(flat)) > 0
     owner, coded = owner[full], flat.filter(pa.array(full)).dictionary_encode()
     codes = np.asarray(coded.indices).astype(np.int64)
-    ids = _word_ids(path, coded.dictionary.to_pylist())
-    sizes = np.fromiter((len(x) >> 2 for x in ids), np.int64, len(ids))
-    pool = np.frombuffer(b"".join(ids), dtype="<u4")
-    first = np.cumsum(sizes) - sizes
-    n = sizes[codes]
+    pool, first, size = _distinct_ids(path, coded.dictionary)
+    n = size[codes]
     per_text = np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64) + 1
     ends = np.cumsum(per_text)
     out = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
-    words_end = np.cumsum(n)
-    at = np.repeat(first[codes] - (words_end - n), n) + np.arange(int(words_end[-1]) if len(n) else 0)
     body = np.ones(len(out), bool)
     body[ends - 1] = False
-    out[body] = pool[at]
+    out[body] = _gather(pool, first[codes], n)
     out[ends - 1] = eos
     return out, np.concatenate([[0], ends])
 

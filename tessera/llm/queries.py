@@ -88,3 +88,25 @@ def op7_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import dedup
     return dedup(spark, f"{sf_dir.rstrip('/')}/documents.parquet").select(
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+g AS (SELECT t, min(page_id) AS first FROM p WHERE octet_length(encode(t)) >= 100 GROUP BY t)
+SELECT page_id, octet_length(encode(p.t)) AS payload_bytes, sha256(p.t) AS payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN g USING (t)
+"""
+
+
+@query("op8_warc_revisits", OP8_SQL)
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.session import load, scratch_path
+    from .warc import plan_records, read_archives, resolve, write_archives
+    pages = load(spark, sf_dir, "pages")
+    path = scratch_path(spark, "llm-warc")
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    write_archives(plan_records(pages), path, total_bytes=total)
+    return resolve(read_archives(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_page").alias("refers_to"))
