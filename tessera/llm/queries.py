@@ -110,3 +110,11 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_archives(plan_records(pages), path, total_bytes=total)
     return resolve(read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_page").alias("refers_to"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.session import load
+    from .toxicity import learn, score
+    docs = documents(spark, sf_dir)
+    return score(docs, learn(docs, load(spark, sf_dir, "labels")))
