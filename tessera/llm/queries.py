@@ -118,3 +118,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .toxicity import learn, score
     docs = documents(spark, sf_dir)
     return score(docs, learn(docs, load(spark, sf_dir, "labels")))
+
+
+@query("op6_quality_ngram")
+def op6_quality_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+    return judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
