@@ -125,3 +125,31 @@ def op6_quality_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import judge
     return judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
+
+
+def _license_sql() -> str:
+    from .licenses import MIN_DICE, TEMPLATES, template_words
+    rows = ", ".join(f"('{name}', '{' '.join(template_words(text))}')" for name, text in sorted(TEMPLATES.items()))
+    gap = "chr(10) || '[ \\t\\n\\x0b\\f\\r]*' || chr(10)"
+    grams = lambda w: f"list_distinct(list_transform(range(1, len({w})), lambda i: {w}[i] || ' ' || {w}[i + 1]))"
+    return rf"""
+WITH t AS (SELECT license, {grams("string_split(body, ' ')")} AS g FROM (VALUES {rows}) AS v(license, body)),
+d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, string_split(text, chr(10)) AS u, string_split_regex(text, {gap}) AS p, text FROM d),
+units AS (
+  SELECT doc_id, 'line' AS unit, unnest(u) AS x, generate_subscripts(u, 1) - 1 AS place FROM l
+  UNION ALL SELECT * FROM (SELECT doc_id, 'paragraph' AS unit, unnest(p) AS x, generate_subscripts(p, 1) - 1 AS place FROM l)
+            WHERE contains(x, chr(10))
+  UNION ALL SELECT doc_id, 'text', text, 0 FROM l WHERE len(p) > 1),
+w AS (SELECT doc_id, unit, place, string_split(trim(regexp_replace(lower(x), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS ws FROM units),
+g AS (SELECT doc_id, unit, place, {grams("ws")} AS g FROM w),
+m AS (SELECT doc_id, unit, place, license, 2.0::DOUBLE * len(list_intersect(g.g, t.g)) / (len(g.g) + len(t.g)) AS dice
+      FROM g JOIN t ON 3 * len(g.g) >= 2 * len(t.g) - 3 AND 2 * len(g.g) <= 3 * len(t.g) + 3 WHERE len(g.g) > 0)
+SELECT doc_id, license, dice, unit, CAST(place AS INTEGER) AS place FROM m WHERE dice >= {MIN_DICE}
+"""
+
+
+@query("op10_license_scan", _license_sql())
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan
+    return scan(documents(spark, sf_dir))
