@@ -69,7 +69,7 @@ def _stream(sizes: DataFrame) -> DataFrame:
     before = sums.select(F.col("source").alias("_source"), F.col("_b").alias("_bucket"), F.coalesce(F.sum("_n").over(
         Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     inside = F.coalesce(F.sum("size").over(
-        Window.partitionBy("source", "_b").orderBy("_h", "doc_id", "size")
+        Window.partitionBy("source", "_b").orderBy("_h", "doc_id", "size", "own")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (df.withColumn("_inside", inside)
             .join(before, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_b") == F.col("_bucket")))
@@ -119,8 +119,8 @@ def schedule(goal: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         block: int = BLOCK, weights=WEIGHTS, share: float = SHARE, epochs: float = EPOCHS) -> tuple[DataFrame, DataFrame]:
-    """(documents, spans). Documents: doc_id, source, size, source_size, target
-    and ``at``, the words before it in its source's stream. Spans: slot, source,
+    """(documents, spans). Documents: doc_id, source, size, own (a hash of the
+    text), source_size, target and ``at``, the words before it in its source's stream. Spans: slot, source,
     epoch, block, doc_id, size, ``at``, ``skip`` (the document's words before
     the span) and ``words``: what each slot of the mix takes from which document.
 
@@ -129,7 +129,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     Other columns of ``docs`` are left out. No words at all: targets of 0 and
     no spans."""
     sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"))
+                        F.regexp_count(text_of(text_col), F.lit(WORD)).cast("long").alias("size"),
+                        F.xxhash64(text_of(text_col)).alias("own"))
     sizes = stage(sizes, "mix-sizes")
     goal = stage(targets(sizes, weights, share, epochs), "mix-targets")
     placed = _stream(sizes)
@@ -154,3 +155,26 @@ def taken(placed: DataFrame, spans: DataFrame) -> DataFrame:
     on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("at") == F.col("_at")) & (F.col("size") > 0)
     return (placed.join(per, on, "left").withColumn("taken", F.coalesce("_taken", F.lit(0).cast("long")))
             .drop("_s", "_at", "_taken"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **how) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them: once for each epoch
+    in which it takes at least half of the document's words. A source's slots
+    end inside at most one document, so whole documents differ from its target
+    by less than one. Documents without words are in no mix."""
+    keyed = docs.withColumn("_own", F.xxhash64(text_of(text_col)))
+    placed, spans = mix(docs, id_col, source_col, text_col, **how)
+    turns = (spans.groupBy("source", "at", "epoch").agg(F.sum("words").alias("n"), F.first("size").alias("size"))
+             .filter("2 * n >= size").groupBy(F.col("source").alias("_s"), F.col("at").alias("_at"))
+             .agg(F.count(F.lit(1)).alias("times")))
+    on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("at") == F.col("_at"))
+    # rows equal in doc_id, source and text stand for each other
+    per = (placed.filter("size > 0").join(turns, on, "left").groupBy("doc_id", "source", "own")
+           .agg(F.coalesce(F.sum("times"), F.lit(0)).alias("_times"), F.count(F.lit(1)).alias("_rows"))
+           .filter("_times > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("own").alias("_hash"), "_times", "_rows"))
+    both = keyed.join(per, keyed[id_col].eqNullSafe(per["_id"]) & keyed[source_col].eqNullSafe(per["_source"]) & (keyed["_own"] == per["_hash"]))
+    # n equal rows share their turns: each takes every n-th of them
+    w = Window.partitionBy("_id", "_source", "_own").orderBy(F.lit(0))
+    share = F.expr("_times div _rows") + (F.col("_k") <= F.expr("_times % _rows")).cast("long")
+    out = both.withColumn("_k", F.row_number().over(w)).withColumn("_times", share).filter("_times > 0")
+    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_turn")).select(*docs.columns)

@@ -244,3 +244,26 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = classes.join(ids, "root").select("fp", "component_id")
     return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
+                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: of each component, the row with the
+    smallest doc_id (null is the largest), and of rows that share it one."""
+    # rows equal in doc_id and text are one here
+    own = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    arrow_limits(docs.sparkSession)
+
+    def run(batches):
+        for b in batches:
+            fp = np.array([fingerprint(t, shingle) for t in byte_values(b.column(1))], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "own", "fp"])
+    rows = stage(own.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col("_own").alias("own"))
+                 .mapInArrow(run, "doc_id long, own long, fp long"), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first")
+    distinct = stage(rows.groupBy("fp").agg(first), "gray-distinct")
+    roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    stays = (distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("s"))
+             .select(F.col("s.doc_id").alias("_id"), F.col("s.own").alias("_hash")))
+    kept = own.join(stays, own[id_col].cast("long").eqNullSafe(stays["_id"]) & (own["_own"] == stays["_hash"]))
+    return kept.select(*docs.columns, "_own").dropDuplicates([id_col, "_own"]).select(*docs.columns)
