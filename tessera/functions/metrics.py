@@ -156,9 +156,7 @@ def truncate(text, n: int) -> Column:
     return F.substring(_c(text), 1, n)
 
 
-# Truncation limits of the unit record (fixed values).
-MAX_BODY_CHARS = 100_000
-MAX_CONTEXT_CHARS = 8_000
-MAX_ASM_FILE_CHARS = 4_000
-MAX_OTHER_FILE_CHARS = 2_000
-MAX_UNCLOSED_CHARS = 2_000
+# Display limits of the unit record (fixed values). Nothing is computed from
+# the cut text.
+PREVIEW_BODY_CHARS = 100_000
+PREVIEW_FILE_CHARS = 8_000

@@ -16,6 +16,8 @@ from ..functions import metrics as M
 # The C function header and the assembly label / directive
 # patterns (the reference's definitions of a unit).
 C_HEADER_RE = r"^\s*([a-zA-Z_][\w\s\*\(\)]*?)\s+([A-Za-z_]\w*)\s*\(\s*([^)]*)\)\s*\{"
+# the same, found at the start of any line and never from a blank one
+C_HEADER_AT_LINE = r"(?m)^[^\S\n]*" + C_HEADER_RE[len(r"^\s*"):]
 ASM_LABEL_RE = r"^([A-Za-z_\.][\w\.\$@]*)\s*:\s*(?:\b.*)?$"
 ASM_DIRECTIVE_RE = r"(?i)\.(globl|global|extern)\b"
 ASM_PUBLIC_RE = r"(?i)^\s*PUBLIC\b"
@@ -56,148 +58,120 @@ def _count_char(c: Column, ch: str) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))
 
 
-def segment_c_units(files: DataFrame, max_body: int = M.MAX_BODY_CHARS,
-                    max_unclosed: int = M.MAX_UNCLOSED_CHARS) -> DataFrame:
-    """Top-level C functions of ``.c``/``.h`` files.
-
-    A unit starts on a non-blank line at brace depth 0 where the header
-    pattern matches (the header may span three lines) and ends on the first
-    line where the depth returns to 0. ``body`` runs from the opening ``{``
-    to the closing ``}`` as in the reference; unclosed bodies keep 2,000
-    chars and end on the brace line."""
-    c_files = files.where(M.suffix("file_path").isin(".c", ".h"))
-    lines = split_lines(c_files)
+def statements(files: DataFrame) -> DataFrame:
+    """Lines with the statement that they belong to: ``stmt`` numbers the
+    file's depth-0 statements. One ends with a line after which the brace
+    depth is 0 and that holds ``;`` or ``}`` or is a preprocessor line, so a
+    header of any number of lines stands with its body. Depth never falls
+    below 0 (a stray ``}`` changes nothing for what follows)."""
+    lines = split_lines(files)
     w = Window.partitionBy("file_path").orderBy("line_no")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    line, ln = F.col("line"), F.col("line_no")
-
-    # pass 1 (one Window operator): depth before the line, char offset, and
-    # the line joined with the next two (a header may span three lines)
-    delta = _count_char(line, "{") - _count_char(line, "}")
-    l1 = lines.select(
-        "file_path", "line_no", "line", delta.alias("delta"),
-        F.coalesce(F.sum(delta).over(before), F.lit(0)).alias("depth_before"),
-        F.coalesce(F.sum(F.length(line) + 1).over(before), F.lit(0)).alias("char_off"),
-        F.concat_ws("\n", line, F.lead("line", 1).over(w), F.lead("line", 2).over(w)).alias("joined"))
-    m = F.when((F.col("depth_before") == 0) & line.rlike(r"\S"),
-               F.regexp_extract("joined", C_HEADER_RE, 0)).otherwise(F.lit(""))
-    l2 = (l1.withColumn("m", m)
-            .withColumn("fname", F.regexp_extract("m", C_HEADER_RE, 2))
-            .withColumn("hit", (F.col("m") != "") & ~F.col("fname").isin(*C_KEYWORDS))
-            .withColumn("brace_line", F.when(F.col("hit"), ln + _count_char(F.col("m"), "\n"))))
-    # pass 2: a header that spans lines is matched once, at its first line
-    covered = (F.lag("brace_line", 1).over(w) >= ln) | (F.lag("brace_line", 2).over(w) >= ln)
-    l3 = l2.select("*", (F.col("hit") & ~F.coalesce(covered, F.lit(False))).alias("start"))
-    st = F.col("start")
-
-    def last_start(c):
-        return F.last(F.when(st, c), ignorenulls=True).over(running)
-
-    sig = F.concat(_strip(F.regexp_extract("m", C_HEADER_RE, 1)), F.lit(" "), F.col("fname"), F.lit("("),
-                   _strip(F.regexp_extract("m", C_HEADER_RE, 3)), F.lit(")"))
-    # pass 3 (one Window operator): unit number and the unit's header facts
-    l4 = l3.select(
-        "file_path", "line_no", "line", "delta", "depth_before", "char_off",
-        F.sum(st.cast("int")).over(running).alias("unit_seq"),
-        last_start(ln).alias("u_start"), last_start(F.col("brace_line")).alias("u_brace"),
-        last_start(F.length(F.substring_index(F.col("m"), "\n", -1))).alias("u_bcol"),
-        last_start(F.col("char_off")).alias("u_off"), last_start(F.length("joined") + 1).alias("u_hlen"),
-        last_start(F.col("fname")).alias("u_name"), last_start(sig).alias("u_sig")).where(F.col("unit_seq") > 0)
-    is_close = (ln >= F.col("u_brace")) & (F.col("depth_before") + F.col("delta") <= 0)
-    # lines kept for the body: from the brace line, at most max_body chars
-    # past the header (bounded); lines after the closing line are cut below
-    keep = (ln >= F.col("u_brace")) & (F.col("char_off") - F.col("u_off") < F.lit(max_body) + F.col("u_hlen"))
-    # same clustering as the windows (file_path): no exchange for this group
-    units = (l4.groupBy("file_path", "unit_seq")
-               .agg(F.first("u_name").alias("name"), F.first("u_sig").alias("signature"),
-                    F.first("u_start").alias("start_line"), F.first("u_brace").alias("brace_line"),
-                    F.first("u_bcol").alias("bcol"), F.first("u_off").alias("u_off"),
-                    F.min(F.when(is_close, ln)).alias("unit_end"),
-                    F.array_sort(F.collect_list(F.when(keep, F.struct("line_no", "line", "char_off")))).alias("ls")))
-    closed = F.col("unit_end").isNotNull()
-    limit = F.when(closed, F.lit(max_body)).otherwise(F.lit(max_unclosed))
-    units = units.withColumn("ls", F.filter("ls", lambda x: x["line_no"] <= F.coalesce(F.col("unit_end"), F.lit(2**31 - 1))))
-    n = F.size("ls")
-
-    def piece(x, i):
-        t = F.when(i == 0, F.substring(x["line"], F.col("bcol"), 1 << 30)).otherwise(x["line"])
-        return F.when((i == n - 1) & closed, F.regexp_extract(t, r"^(.*\})", 1)).otherwise(t)
-
-    body = F.array_join(F.transform("ls", piece), "\n")
-    return units.select(
-        "file_path", "name", "signature", F.substring(body, 1, limit).alias("body"),
-        F.col("start_line").cast("int").alias("start_line"),
-        F.coalesce("unit_end", "brace_line").cast("int").alias("end_line"),
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    line = F.col("line")
+    l1 = lines.withColumn("sum_", F.sum(_count_char(line, "{") - _count_char(line, "}")).over(running))
+    l2 = l1.withColumn("depth", F.col("sum_") - F.least(F.lit(0), F.min("sum_").over(running)))
+    ends = (F.col("depth") == 0) & (line.contains(";") | line.contains("}") | line.rlike(r"^\s*#"))
+    return (l2.withColumn("stmt", F.coalesce(F.sum(ends.cast("int")).over(before), F.lit(0)))
+              .select("file_path", "line_no", "line", "depth", "stmt"))
+
+
+def _gathered(lines: DataFrame, keep: Column | None = None) -> DataFrame:
+    """One row per statement: its text (the lines that ``keep`` holds for),
+    first and last line and final depth. Same clustering as the windows."""
+    item = F.struct("line_no", "line")
+    return (lines.groupBy("file_path", "stmt")
+                 .agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"),
+                      F.max(F.struct("line_no", "depth"))["depth"].alias("depth"),
+                      F.array_sort(F.collect_list(item if keep is None else F.when(keep, item))).alias("ls"))
+                 .withColumn("text", F.array_join(F.transform("ls", lambda x: x["line"]), "\n")).drop("ls"))
+
+
+def segment_c_units(files: DataFrame) -> DataFrame:
+    """Top-level C functions of ``.c``/``.h`` files, with their whole body.
+
+    A unit is a depth-0 statement whose text up to its first ``{`` matches the
+    header pattern; it starts on the pattern's first non-blank line and ends
+    where the depth returns to 0. ``body`` runs from the opening ``{`` to the
+    closing ``}``; one that is never closed runs to the end of the file, and
+    its end line is the brace's."""
+    c_files = files.where(M.suffix("file_path").isin(".c", ".h"))
+    u = _gathered(statements(c_files)).where(F.col("text").contains("{"))
+    head = F.concat(F.substring_index("text", "{", 1), F.lit("{"))
+    u = (u.withColumn("head", head)
+          .withColumn("pos", F.regexp_instr("head", F.lit(C_HEADER_AT_LINE)))
+          .withColumn("m", F.regexp_extract("head", C_HEADER_AT_LINE, 0))
+          .withColumn("name", F.regexp_extract("head", C_HEADER_AT_LINE, 2))
+          .where((F.col("pos") > 0) & ~F.col("name").isin(*C_KEYWORDS)))
+    sig = F.concat(_strip(F.regexp_extract("head", C_HEADER_AT_LINE, 1)), F.lit(" "), F.col("name"), F.lit("("),
+                   _strip(F.regexp_extract("head", C_HEADER_AT_LINE, 3)), F.lit(")"))
+    start = F.col("first_line") + _count_char(F.substring(F.col("head"), F.lit(1), F.col("pos") - 1), "\n")
+    rest = F.substring(F.col("text"), F.length("head"), F.length("text"))
+    closed = F.col("depth") == 0
+    body = F.when(closed, F.substring(rest, F.lit(1), F.length(rest) - F.length(F.substring_index(rest, "}", -1)))).otherwise(rest)
+    return u.select(
+        "file_path", "name", sig.alias("signature"), body.alias("body"), start.cast("int").alias("start_line"),
+        F.when(closed, F.col("last_line")).otherwise(start + _count_char(F.col("m"), "\n")).cast("int").alias("end_line"),
         F.lit("c").alias("language"), F.lit("function").alias("kind"))
 
 
-def segment_asm_units(files: DataFrame, max_file_body: int = M.MAX_ASM_FILE_CHARS,
-                      max_body: int = M.MAX_BODY_CHARS) -> DataFrame:
+def segment_asm_units(files: DataFrame) -> DataFrame:
     """Label blocks of ``.asm`` files (label to next label).
 
     A block is kept when a ``.globl/.global/.extern`` directive or a leading
     ``PUBLIC`` sits within the label line and the 5 lines above, or when a
     line of the block starts with an instruction word. When no block of a
     file qualifies all are kept; a file without labels is one ``<file>``
-    unit (body capped at 4,000 chars). Block bodies keep the unit record's
-    100,000-char limit, and only lines inside that limit are gathered."""
+    unit. Bodies are whole."""
     a_files = files.where(M.suffix("file_path") == ".asm")
     lines = split_lines(a_files)
     w = Window.partitionBy("file_path").orderBy("line_no")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     region = w.rowsBetween(-5, Window.currentRow)
     line = F.col("line")
     nonblank = line.rlike(r"\S")
     is_label = line.rlike(ASM_LABEL_RE)
     instr = line.rlike(ASM_INSTR_RE) | (F.col("has_nl") & line.rlike(r"^\s*[A-Za-z]+$"))
-    piece_len = F.length(line) + F.col("has_nl").cast("int")
-    # one Window operator: label number, char offset, directive look-back
+    # one Window operator: label number, directive look-back
     l1 = lines.select(
         "file_path", "line_no", "line", "has_nl", "n_lines",
         F.regexp_extract(line, ASM_LABEL_RE, 1).alias("label"), is_label.alias("is_label"), instr.alias("instr"),
         (F.max(line.rlike(ASM_DIRECTIVE_RE).cast("int")).over(region) > 0).alias("directive"),
         F.coalesce(F.first(F.when(nonblank, line.rlike(ASM_PUBLIC_RE)), ignorenulls=True).over(region),
                    F.lit(False)).alias("public"),
-        F.sum(is_label.cast("int")).over(running).alias("label_seq"),
-        F.coalesce(F.sum(piece_len).over(before), F.lit(0)).alias("char_off"))
-    l2 = l1.withColumn("block_off", F.min("char_off").over(Window.partitionBy("file_path", "label_seq")))
-
+        F.sum(is_label.cast("int")).over(running).alias("label_seq"))
     text_piece = F.concat(line, F.when(F.col("has_nl"), F.lit("\n")).otherwise(F.lit("")))
-    keep = F.col("char_off") - F.col("block_off") < max_body
-    blocks = (l2.where(F.col("label_seq") > 0)
+    blocks = (l1.where(F.col("label_seq") > 0)
                 .groupBy("file_path", "label_seq")
                 .agg(F.max(F.when(F.col("is_label"), F.col("label"))).alias("name"),
                      F.min("line_no").alias("start_line"), F.max("line_no").alias("end_line"),
                      F.max(F.when(F.col("is_label"), F.col("directive") | F.col("public"))).alias("pre"),
                      F.max(F.col("instr")).alias("has_instr"),
-                     F.array_sort(F.collect_list(F.when(keep, F.struct("line_no", text_piece.alias("t"))))).alias("ls")))
+                     F.array_sort(F.collect_list(F.struct("line_no", text_piece.alias("t")))).alias("ls")))
     blocks = (blocks.withColumn("qualifies", F.col("pre") | F.col("has_instr"))
                     .withColumn("any_q", F.max(F.col("qualifies").cast("int")).over(Window.partitionBy("file_path")) > 0)
                     .where(F.col("qualifies") | ~F.col("any_q")))
     labelled = blocks.select(
         "file_path", "name", F.concat(F.col("name"), F.lit(" (asm)")).alias("signature"),
-        F.substring(F.array_join(F.transform("ls", lambda x: x["t"]), ""), 1, max_body).alias("body"),
+        F.array_join(F.transform("ls", lambda x: x["t"]), "").alias("body"),
         F.col("start_line").cast("int").alias("start_line"), F.col("end_line").cast("int").alias("end_line"))
-    # files without any label: the first 4,000 chars of the text itself
+    # files without any label: the text itself
     n_labels = l1.groupBy("file_path").agg(F.max("label_seq").alias("n_labels"), F.max("n_lines").alias("n"))
     unlabelled = (a_files.join(n_labels.where(F.col("n_labels") == 0), "file_path")
                     .select("file_path", F.lit("<file>").alias("name"), F.lit("<asm>").alias("signature"),
-                            F.substring("text", 1, max_file_body).alias("body"),
+                            F.col("text").alias("body"),
                             F.lit(1).alias("start_line"), F.col("n").cast("int").alias("end_line")))
     return (labelled.unionByName(unlabelled)
                     .withColumn("language", F.lit("asm")).withColumn("kind", F.lit("asm_block")))
 
 
-def segment_whole_file(files: DataFrame, max_body: int = M.MAX_OTHER_FILE_CHARS,
-                       path: str = "file_path", text: str = "text") -> DataFrame:
+def segment_whole_file(files: DataFrame, path: str = "file_path", text: str = "text") -> DataFrame:
     """Files of any other suffix: one ``<file>`` unit each (no shuffle)."""
     other = files.where(~M.suffix(path).isin(".c", ".h", ".asm"))
     t = F.coalesce(F.col(text), F.lit(""))
     return other.select(
         F.col(path).alias("file_path"), F.lit("<file>").alias("name"), F.lit("<file>").alias("signature"),
-        F.substring(t, 1, max_body).alias("body"), F.lit(1).alias("start_line"),
+        t.alias("body"), F.lit(1).alias("start_line"),
         (_count_char(t, "\n") + 1).cast("int").alias("end_line"),
         M.language_of(F.col(path)).alias("language"), F.lit("full_file").alias("kind"))
 
@@ -237,20 +211,24 @@ def chunk_lines(units: DataFrame, size: int = 200, stride: int = 150, text: str
 
 def chunk_tokens(units: DataFrame, size: int = 512, stride: int = 384, text: str = "text") -> DataFrame:
     """Overlapping windows over whitespace tokens with token_start/token_end
-    (0-based, end exclusive). The tokenizer is pluggable: pass a column of
-    token arrays as ``text`` by pre-tokenizing with another function."""
-    toks = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+"), 0)
-    n = F.size(toks)
+    (0-based, end exclusive). The chunk is a piece of the text as it stands:
+    from its first token to its last, the white space between unchanged."""
+    t = F.coalesce(F.col(text), F.lit(""))
+    # token i is words[i] and gaps[i] the white space before it
+    words = F.regexp_extract_all(t, F.lit(r"\S+"), 0)
+    gaps = F.regexp_extract_all(t, F.lit(r"(\s*)\S+"), 1)
+    n = F.size("_toks")
     starts = F.sequence(F.lit(0), F.greatest(n - size + stride - 1, F.lit(0)), F.lit(stride))
-    base = units.withColumn("_toks", toks).withColumn("_n", n).where(F.col("_n") > 0)
+    base = units.withColumn("_toks", words).withColumn("_gaps", gaps).where(n > 0)
     ex = base.select("*", F.posexplode(starts).alias("chunk_idx", "token_start"))
-    ex = ex.where((F.col("token_start") == 0) | (F.col("token_start") + size - stride < F.col("_n")))
-    end = F.least(F.col("token_start") + size, F.col("_n"))
-    return (ex.withColumn("token_end", end.cast("int"))
+    ex = ex.where((F.col("token_start") == 0) | (F.col("token_start") + size - stride < n))
+    count = F.least(F.col("token_start") + size, n) - F.col("token_start")
+    part = F.zip_with(F.slice("_gaps", F.col("token_start") + 1, count), F.slice("_toks", F.col("token_start") + 1, count),
+                      lambda g, w: F.concat(g, w))
+    return (ex.withColumn("token_end", (F.col("token_start") + count).cast("int"))
               .withColumn("token_start", F.col("token_start").cast("int"))
-              .withColumn("chunk_text", F.array_join(F.slice("_toks", F.col("token_start") + 1,
-                                                             end - F.col("token_start")), " "))
-              .drop("_toks", "_n"))
+              .withColumn("chunk_text", F.regexp_replace(F.array_join(part, ""), r"^\s+", ""))
+              .drop("_toks", "_gaps"))
 
 
 # ---------------------------------------------------------------------------
@@ -260,6 +238,9 @@ INCLUDE_RE = r'(?m)^\s*#\s*include\s*[<"]([^>"]+)[>"]'
 PROTOTYPE_RE = r"^\s*([A-Za-z_][\w\s\*]*?)\s*\b([A-Za-z_]\w*)\s*\(([^)]*)\)\s*;\s*$"
 
 
+PROTOTYPE_AT_LINE = r"(?m)^[^\S\n]*" + PROTOTYPE_RE[len(r"^\s*"):-len(r"\s*$")] + r"[^\S\n]*$"
+
+
 def extract_includes(files: DataFrame) -> DataFrame:
     """(file_path, include, ordinal) per ``#include`` directive."""
     inc = F.regexp_extract_all(F.coalesce(F.col("text"), F.lit("")), F.lit(INCLUDE_RE), 1)
@@ -267,16 +248,15 @@ def extract_includes(files: DataFrame) -> DataFrame:
 
 
 def extract_prototypes(files: DataFrame) -> DataFrame:
-    """Depth-0 declarations ending in ``);`` in header files:
-    (file_path, name, signature, line_no)."""
+    """Depth-0 declarations ending in ``);`` in header files, over any number
+    of lines: (file_path, name, signature, line_no of the first)."""
     h = files.where(M.suffix("file_path") == ".h")
-    lines = split_lines(h)
-    w = Window.partitionBy("file_path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
-    line = F.col("line")
-    depth = F.coalesce(F.sum(_count_char(line, "{") - _count_char(line, "}")).over(w), F.lit(0))
-    hit = lines.withColumn("depth", depth).where((F.col("depth") == 0) & line.rlike(PROTOTYPE_RE))
-    name = F.regexp_extract(line, PROTOTYPE_RE, 2)
-    return hit.where(~name.isin(*C_KEYWORDS)).select(
-        "file_path", name.alias("name"),
-        F.regexp_replace(_strip(line), r"\s*;$", "").alias("signature"),
-        F.col("line_no").cast("int").alias("line_no"))
+    t = _gathered(statements(h)).where((F.col("depth") == 0) & ~F.col("text").contains("{"))
+    text = F.col("text")
+    name = F.regexp_extract(text, PROTOTYPE_AT_LINE, 2)
+    found = F.regexp_extract(text, PROTOTYPE_AT_LINE, 0)
+    pos = F.regexp_instr(text, F.lit(PROTOTYPE_AT_LINE))
+    line_no = F.col("first_line") + _count_char(F.substring(text, F.lit(1), pos - 1), "\n")
+    return t.where((found != "") & ~name.isin(*C_KEYWORDS)).select(
+        "file_path", name.alias("name"), F.regexp_replace(_strip(found), r"\s*;$", "").alias("signature"),
+        line_no.cast("int").alias("line_no"))

@@ -70,7 +70,7 @@ def _header_links(spark, sf):
 
 
 LINKS_SQL = """
-links AS (SELECT (CASE WHEN d.p // 100000 = 0 THEN 'f_' || d.s ELSE 'f_' || d.s || '.' || (d.p // 100000) END) || '.h' AS header_file, 'include/' || (CASE WHEN d.p // 100000 = 0 THEN 'f_' || d.s ELSE 'f_' || d.s || '.' || (d.p // 100000) END) || '.h' AS header_path,
+links AS (SELECT 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_file, 'include/' || 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_path,
                  regexp_extract(u.file_path, '([^/]*)$', 1) AS implementation_file, u.file_path AS implementation_path,
                  u.id AS function_id
           FROM defs d JOIN units2 u ON u.name = 'fn_' || d.p WHERE d.p % 2 = 0)
@@ -85,7 +85,7 @@ def q_link_headers(spark, sf):
 @register("link_headers_contains", W + "," + FILES_CTES + r"""
 , toks AS (SELECT DISTINCT file_path, unnest(regexp_extract_all(text, '[A-Za-z_]\w*')) AS tok FROM files
            WHERE file_path LIKE '%.c')
-SELECT 'include/' || (CASE WHEN d.p // 100000 = 0 THEN 'f_' || d.s ELSE 'f_' || d.s || '.' || (d.p // 100000) END) || '.h' AS header_path, 'fn_' || d.p AS name, t.file_path AS implementation_path
+SELECT 'include/' || 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_path, 'fn_' || d.p AS name, t.file_path AS implementation_path
 FROM (SELECT DISTINCT s, p FROM defs WHERE p % 2 = 0) d JOIN toks t ON t.tok = 'fn_' || d.p
 """)
 def q_link_headers_contains(spark, sf):

@@ -9,7 +9,7 @@ from ..operators import rollup as R
 from ..operators import segment as S
 from . import pipeline as P
 from .registry import register
-from .sql_code import CODE_CTES, FILES_CTES, FLAGGED, metric_cols, notes_expr, q, tags_expr
+from .sql_code import CODE_CTES, FILES_CTES, FLAGGED, notes_expr, q, tags_expr
 
 W = "WITH " + CODE_CTES
 WF = W + "," + FLAGGED
@@ -45,7 +45,7 @@ def q_segment_c(spark, sf):
 
 
 @register("segment_asm_units", W + "," + FILES_CTES + """
-, a AS (SELECT s, p, 'asm/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.asm' AS file_path, 'fn_' || p AS name, a_text AS body, 3 + ncalls AS nl
+, a AS (SELECT s, p, 'asm/' || 'f_' || s || '_' || (p // 1000) || '.asm' AS file_path, 'fn_' || p AS name, a_text AS body, 3 + ncalls AS nl
         FROM fntext WHERE s % 4 = 0)
 SELECT file_path, name, name || ' (asm)' AS signature, body,
        CAST(1 + coalesce(sum(nl) OVER (PARTITION BY file_path ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
@@ -60,7 +60,7 @@ def q_segment_asm(spark, sf):
 
 @register("segment_whole_file", """
 SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.' || lang AS file_path, '<file>' AS name,
-       '<file>' AS signature, substring(coalesce(text, ''), 1, 2000) AS body, CAST(1 AS BIGINT) AS start_line,
+       '<file>' AS signature, coalesce(text, '') AS body, CAST(1 AS BIGINT) AS start_line,
        CAST(length(coalesce(text, '')) - length(replace(coalesce(text, ''), chr(10), '')) + 1 AS BIGINT) AS end_line,
        'other' AS language
 FROM documents
@@ -127,14 +127,16 @@ def q_content_sha256(spark, sf):
 
 
 @register("truncate_fields", WFILES + """
-SELECT u.id, substring(u.body, 1, 100000) AS body, substring(f.text, 1, 8000) AS full_file_context
+SELECT u.id, u.body, CAST(length(u.body) AS BIGINT) AS body_chars, substring(u.body, 1, 100000) AS body_preview,
+       substring(f.text, 1, 8000) AS file_preview
 FROM units2 u JOIN files f ON f.file_path = u.file_path
 """)
 def q_truncate_fields(spark, sf):
+    """The unit with its whole body; the previews are for display alone."""
     u = P.c_units(spark, sf)
-    f = P.code_files(spark, sf)
-    return u.join(f, "file_path").select("id", M.truncate("body", M.MAX_BODY_CHARS).alias("body"),
-                                         M.truncate("text", M.MAX_CONTEXT_CHARS).alias("full_file_context"))
+    f = P.code_files(spark, sf).select("file_path", M.truncate("text", M.PREVIEW_FILE_CHARS).alias("file_preview"))
+    return u.join(f, "file_path").select("id", "body", F.length("body").cast("bigint").alias("body_chars"),
+                                         M.truncate("body", M.PREVIEW_BODY_CHARS).alias("body_preview"), "file_preview")
 
 
 @register("extract_includes", WFILES + """
@@ -149,9 +151,11 @@ def q_extract_includes(spark, sf):
 
 
 @register("extract_prototypes", W + """
-SELECT 'include/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.h' AS file_path, 'fn_' || p AS name, 'int fn_' || p || '(int x)' AS signature,
-       row_number() OVER (PARTITION BY s, p // 100000 ORDER BY p) AS line_no
-FROM defs WHERE p % 2 = 0
+, pr AS (SELECT *, CASE WHEN p % 34 = 0 THEN 3 ELSE 1 END AS nl FROM defs WHERE p % 2 = 0)
+SELECT 'include/f_' || s || '_' || (p // 1000) || '.h' AS file_path, 'fn_' || p AS name,
+       CASE WHEN nl = 3 THEN 'int fn_' || p || '(' || chr(10) || '    int x' || chr(10) || ')' ELSE 'int fn_' || p || '(int x)' END AS signature,
+       CAST(1 + coalesce(sum(nl) OVER (PARTITION BY s, p // 1000 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
+FROM pr
 """)
 def q_extract_prototypes(spark, sf):
     return S.extract_prototypes(P.code_files(spark, sf)).select(
@@ -200,11 +204,8 @@ def q_file_members(spark, sf):
     return m.select("file_path", "id", F.col("start_line").cast("bigint").alias("start_line"))
 
 
-_ = metric_cols  # re-exported for other plan modules
-
-
 @register("next_label_extent", W + "," + FILES_CTES + """
-, a AS (SELECT s, p, 'asm/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.asm' AS file_path, 'fn_' || p AS label, 3 + ncalls AS nl FROM fntext WHERE s % 4 = 0),
+, a AS (SELECT s, p, 'asm/' || 'f_' || s || '_' || (p // 1000) || '.asm' AS file_path, 'fn_' || p AS label, 3 + ncalls AS nl FROM fntext WHERE s % 4 = 0),
 b AS (SELECT file_path, label,
              CAST(1 + coalesce(sum(nl) OVER (PARTITION BY file_path ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
       FROM a)

@@ -95,11 +95,11 @@ TOK_SIZE, TOK_STRIDE = 64, 48
 
 
 @register("chunk_tokens", f"""
-WITH u AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '\\S+') AS tk FROM documents),
-s AS (SELECT doc_id, tk, len(tk) AS n, unnest(generate_series(0, greatest(len(tk) - {TOK_SIZE} + {TOK_STRIDE} - 1, 0), {TOK_STRIDE})) AS st
+WITH u AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '\\S+') AS tk, regexp_extract_all(coalesce(text, ''), '(\\s*)\\S+', 1) AS gp FROM documents),
+s AS (SELECT doc_id, tk, gp, len(tk) AS n, unnest(generate_series(0, greatest(len(tk) - {TOK_SIZE} + {TOK_STRIDE} - 1, 0), {TOK_STRIDE})) AS st
       FROM u WHERE len(tk) > 0)
 SELECT doc_id, CAST(st AS INT) AS token_start, CAST(least(st + {TOK_SIZE}, n) AS INT) AS token_end,
-       array_to_string(tk[st + 1:least(st + {TOK_SIZE}, n)], ' ') AS chunk_text
+       regexp_replace(array_to_string(list_transform(range(st + 1, least(st + {TOK_SIZE}, n) + 1), lambda i: gp[i] || tk[i]), ''), '^\\s+', '') AS chunk_text
 FROM s WHERE st = 0 OR st + {TOK_SIZE} - {TOK_STRIDE} < n
 """)
 def q_chunk_tokens(spark, sf):

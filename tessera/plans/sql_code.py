@@ -18,11 +18,17 @@ def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# Path of a definition's file without folder and suffix; of a wide header,
+# the lines before its brace; of a long body, its filler lines.
+STEM = "'f_' || s || '_' || (p // 1000)"
+ARGS = f"'int x,' || {NL} || '    int a,' || {NL} || '    int b,' || {NL} || '    int c'"
+FILL = f"CASE WHEN p % 499 = 0 THEN repeat('    x += 1;' || {NL}, 10001) ELSE '' END"
+
 CODE_CTES = f"""
-defs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem WHERE l_linenumber = 1),
+defs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
 calls AS (SELECT DISTINCT a.l_suppkey AS s, a.l_partkey AS p, b.l_partkey AS c
-          FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey
-          WHERE a.l_linenumber = 1 AND b.l_linenumber = 2 AND a.l_partkey <> b.l_partkey),
+          FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
+          WHERE a.l_partkey <> b.l_partkey),
 callagg AS (SELECT s, p, count(*) AS ncalls,
                    string_agg('    if (x&&y) fn_' || c || '(x);' || {NL}, '' ORDER BY c) AS call_lines
             FROM calls GROUP BY s, p),
@@ -32,14 +38,15 @@ fn AS (SELECT d.s, d.p, coalesce(ca.ncalls, 0) AS ncalls, coalesce(ca.call_lines
               (CASE WHEN d.p % 11 = 0 THEN '    strcpy(a, b);' || {NL} ELSE '' END) ||
               (CASE WHEN d.p % 13 = 0 THEN '    pthread_mutex_lock(m);' || {NL} ELSE '' END) AS feat,
               CAST(d.p % 3 = 0 AS INT) + CAST(d.p % 7 = 0 AS INT) + CAST(d.p % 11 = 0 AS INT)
-                + CAST(d.p % 13 = 0 AS INT) AS nfeat
+                + CAST(d.p % 13 = 0 AS INT) AS nfeat,
+              CASE WHEN d.p % 17 = 0 THEN 7 ELSE 1 END AS nhead, CASE WHEN d.p % 499 = 0 THEN 10001 ELSE 0 END AS nfill
        FROM defs d LEFT JOIN callagg ca ON ca.s = d.s AND ca.p = d.p),
-units AS (SELECT s, p, 'src/m' || (s % 5) || '/' || (CASE WHEN p // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (p // 100000) END) || '.c' AS file_path, 'fn_' || p AS name,
-                 'int fn_' || p || '(int x)' AS signature,
-                 '{{' || {NL} || call_lines || feat || '    return x;' || {NL} || '}}' AS body,
-                 CAST(3 + coalesce(sum(4 + ncalls + nfeat) OVER (PARTITION BY s, p // 100000 ORDER BY p
+units AS (SELECT s, p, 'src/m' || (s % 5) || '/' || {STEM} || '.c' AS file_path, 'fn_' || p AS name,
+                 CASE WHEN p % 17 = 0 THEN 'static int fn_' || p || '(' || {ARGS} || ')' ELSE 'int fn_' || p || '(int x)' END AS signature,
+                 '{{' || {NL} || {FILL} || call_lines || feat || '    return x;' || {NL} || '}}' AS body,
+                 CAST(3 + coalesce(sum(3 + nhead + nfill + ncalls + nfeat) OVER (PARTITION BY s, p // 1000 ORDER BY p
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
-                 4 + ncalls + nfeat AS nl
+                 3 + nhead + nfill + ncalls + nfeat AS nl
           FROM fn),
 units2 AS (SELECT *, CAST(start_line + nl - 1 AS BIGINT) AS end_line,
                   'repo:' || file_path || ':' || name || ':' || start_line AS id FROM units)
@@ -90,18 +97,20 @@ FILES_CTES = f"""
 m AS (SELECT max(l_suppkey) + 1 AS m FROM lineitem),
 callins AS (SELECT s, p, string_agg('  call fn_' || c || {NL}, '' ORDER BY c) AS call_ins FROM calls GROUP BY s, p),
 fntext AS (SELECT f.s, f.p, f.ncalls,
-                  'int fn_' || f.p || '(int x)' || {NL} || '{{' || {NL} || f.call_lines || f.feat
-                    || '    return x;' || {NL} || '}}' || {NL} AS c_text,
-                  CASE WHEN f.p % 2 = 0 THEN 'int fn_' || f.p || '(int x);' || {NL} END AS h_text,
+                  CASE WHEN f.p % 17 = 0 THEN 'static int' || {NL} || 'fn_' || f.p || '(' || {NL} || '    ' || {ARGS} || {NL} || ')' || {NL} || '{{' || {NL}
+                       ELSE 'int fn_' || f.p || '(int x)' || {NL} || '{{' || {NL} END
+                    || {FILL.replace('p %', 'f.p %')} || f.call_lines || f.feat || '    return x;' || {NL} || '}}' || {NL} AS c_text,
+                  CASE WHEN f.p % 34 = 0 THEN 'int fn_' || f.p || '(' || {NL} || '    int x' || {NL} || ');' || {NL}
+                       WHEN f.p % 2 = 0 THEN 'int fn_' || f.p || '(int x);' || {NL} END AS h_text,
                   'fn_' || f.p || ':' || {NL} || '  mov a, x' || {NL} || coalesce(ci.call_ins, '') || '  ret' || {NL} AS a_text
            FROM fn f LEFT JOIN callins ci ON ci.s = f.s AND ci.p = f.p),
 files AS (
-  SELECT 'src/m' || (s % 5) || '/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.c' AS file_path,
-         '#include "f_' || s || '.h"' || {NL} || '#include "f_' || ((s * 7 + 1) % (SELECT m FROM m)) || '.h"' || {NL}
+  SELECT 'src/m' || (s % 5) || '/f_' || s || '_' || (p // 1000) || '.c' AS file_path,
+         '#include "f_' || s || '_' || (p // 1000) || '.h"' || {NL} || '#include "f_' || ((s * 7 + 1) % (SELECT m FROM m)) || '_' || (p // 1000) || '.h"' || {NL}
            || string_agg(c_text, '' ORDER BY p) AS text
-  FROM fntext GROUP BY s, p // 100000
+  FROM fntext GROUP BY s, p // 1000
   UNION ALL
-  SELECT 'include/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.h', string_agg(h_text, '' ORDER BY p) FROM fntext GROUP BY s, p // 100000 HAVING count(h_text) > 0
+  SELECT 'include/f_' || s || '_' || (p // 1000) || '.h', string_agg(h_text, '' ORDER BY p) FROM fntext GROUP BY s, p // 1000 HAVING count(h_text) > 0
   UNION ALL
-  SELECT 'asm/' || (CASE WHEN min(p) // 100000 = 0 THEN 'f_' || s ELSE 'f_' || s || '.' || (min(p) // 100000) END) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 100000)
+  SELECT 'asm/f_' || s || '_' || (p // 1000) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 1000)
 """

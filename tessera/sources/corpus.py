@@ -3,17 +3,20 @@
 The driver tables hold no source code, so the code operators run over a
 tree that Spark derives from ``lineitem`` (its size grows with the table):
 
-* definitions: distinct (supplier s, part p) of line-1 rows -> ``fn_<p>``
-  defined in ``src/m<s%5>/f_<s>.c``
-* calls: distinct (s, p, c) where c is the part of a line-2 row of the
-  same order and c != p
-* headers ``include/f_<s>.h`` declare the definitions with even p
-* ``asm/f_<s>.asm`` for s % 4 == 0 repeats the definitions as labels
-
-Files are built by grouping per supplier: one group is one source file.
-A supplier's functions are sharded by part-key range (``SHARD_PARTS`` keys
-per file: ``f_<s>.c`` for the first range, ``f_<s>.<k>.c`` after it), so a
-supplier holding a third of ``lineitem`` still yields bounded file texts.
+* definitions: distinct (supplier s, part p) -> ``fn_<p>`` defined in
+  ``src/m<s%5>/f_<s>_<k>.c`` with ``k = p div STEP``
+* calls: distinct (s, p, c) where c is the part of the order's next line
+  and c != p
+* headers ``include/f_<s>_<k>.h`` declare the definitions with even p
+* ``asm/f_<s>_<k>.asm`` for s % 4 == 0 repeats the definitions as labels
+
+Awkward shapes are part of it: every 17th part has its header over seven
+lines (and its prototype over three), and every 499th a body of more than
+120,000 characters with the calls behind the filler.
+
+One group is one source file of at most ``STEP`` functions, whatever the
+size of the table, so a supplier with a third of ``lineitem`` has more files
+and not longer ones.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import load
 
 NL = "\n"
-SHARD_PARTS = 100_000
+STEP = 1000
+WIDE, LONG, FILL = 17, 499, 10_001
+FILL_LINE = "    x += 1;" + NL
 
 
 def _ordered_concat(key: str, text: str) -> F.Column:
@@ -35,17 +40,14 @@ def _ordered_concat(key: str, text: str) -> F.Column:
 
 def definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem")
-    return (li.where(F.col("l_linenumber") == 1)
-              .select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"))
-              .distinct())
+    return li.select(F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p")).distinct()
 
 
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey")
-    a = li.where(F.col("l_linenumber") == 1).select(
-        "l_orderkey", F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"))
-    b = li.where(F.col("l_linenumber") == 2).select("l_orderkey", F.col("l_partkey").alias("c"))
-    return a.join(b, "l_orderkey").where(F.col("p") != F.col("c")).select("s", "p", "c").distinct()
+    a = li.select("l_orderkey", (F.col("l_linenumber") + 1).alias("n"), F.col("l_suppkey").alias("s"), F.col("l_partkey").alias("p"))
+    b = li.select("l_orderkey", F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("c"))
+    return a.join(b, ["l_orderkey", "n"]).where(F.col("p") != F.col("c")).select("s", "p", "c").distinct()
 
 
 def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataFrame:
@@ -66,28 +68,32 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
         F.when(p % 11 == 0, F.lit("    strcpy(a, b);" + NL)).otherwise(""),
         F.when(p % 13 == 0, F.lit("    pthread_mutex_lock(m);" + NL)).otherwise(""),
     )
+    head = F.when(p % WIDE == 0, F.format_string(
+        NL.join(["static int", "fn_%d(", "    int x,", "    int a,", "    int b,", "    int c", ")", "{", ""]), p)).otherwise(
+        F.format_string("int fn_%d(int x)" + NL + "{" + NL, p))
+    filler = F.when(p % LONG == 0, F.repeat(F.lit(FILL_LINE), FILL)).otherwise("")
+    proto = F.when(p % WIDE == 0, F.format_string("int fn_%d(" + NL + "    int x" + NL + ");" + NL, p)).otherwise(
+        F.format_string("int fn_%d(int x);" + NL, p))
     fn = (defs.join(callee, ["s", "p"], "left")
-              .withColumn("c_text", F.concat(
-                  F.format_string("int fn_%d(int x)" + NL + "{" + NL, p),
-                  F.coalesce("call_lines", F.lit("")), feature,
-                  F.lit("    return x;" + NL + "}" + NL)))
-              .withColumn("h_text", F.when(p % 2 == 0, F.format_string("int fn_%d(int x);" + NL, p)))
+              .withColumn("c_text", F.concat(head, filler, F.coalesce("call_lines", F.lit("")), feature,
+                                             F.lit("    return x;" + NL + "}" + NL)))
+              .withColumn("h_text", F.when(p % 2 == 0, proto))
               .withColumn("a_text", F.concat(
                   F.format_string("fn_%d:" + NL + "  mov a, x" + NL, p),
                   F.coalesce("call_ins", F.lit("")), F.lit("  ret" + NL))))
 
-    fn = fn.withColumn("k", F.floor(p / SHARD_PARTS))
+    fn = fn.withColumn("k", F.floor(p / STEP))
     per_s = fn.groupBy("s", "k").agg(
         _ordered_concat("p", "c_text").alias("c_body"),
         _ordered_concat("p", "h_text").alias("h_body"),
         F.count("h_text").alias("n_proto"),
         _ordered_concat("p", "a_text").alias("a_body"))
-    s = F.col("s")
-    stem = F.when(F.col("k") == 0, F.format_string("f_%d", s)).otherwise(F.format_string("f_%d.%d", s, F.col("k")))
+    s, k = F.col("s"), F.col("k")
+    stem = F.format_string("f_%d_%d", s, k)
     c_files = per_s.select(
         F.format_string("src/m%d/%s.c", s % 5, stem).alias("file_path"),
-        F.concat(F.format_string('#include "f_%d.h"' + NL, s),
-                 F.format_string('#include "f_%d.h"' + NL, (s * 7 + 1) % n_sup),
+        F.concat(F.format_string('#include "f_%d_%d.h"' + NL, s, k),
+                 F.format_string('#include "f_%d_%d.h"' + NL, (s * 7 + 1) % n_sup, k),
                  F.col("c_body")).alias("text"))
     h_files = per_s.where(F.col("n_proto") > 0).select(
         F.format_string("include/%s.h", stem).alias("file_path"), F.col("h_body").alias("text"))

@@ -103,13 +103,43 @@ def test_includes_and_prototypes(spark):
     assert protos == [("f", 3)]
 
 
-def test_sharded_corpus_keeps_every_definition(spark, sf, monkeypatch):
-    """With tiny shards (many files per supplier) segmentation still
-    recovers each (supplier, part) definition exactly once."""
+def test_header_and_prototype_over_many_lines(spark):
+    head = ["static", "unsigned long", "wide(", *[f"    int a{i}," for i in range(6)], "    int z)", "{"]
+    text = "\n".join(["#define X 1", "", *head, "  return a0;", "}", "} ", "int after(void) {", "}", ""])
+    u = units(spark, [("w.c", text)])
+    assert set(u) == {("wide", 3, 15), ("after", 17, 18)}  # the stray brace on line 16 hides nothing
+    h = "int\nf(\n  int x,\n  int y\n);\n\nvoid g(void); \nstruct s {\n int h(void);\n};\nint q(int a) ;\n"
+    files = spark.createDataFrame([("m.h", h)], ["file_path", "text"])
+    got = {(r["name"], r["line_no"], r["signature"]) for r in S.extract_prototypes(files).collect()}
+    assert got == {("f", 1, "int\nf(\n  int x,\n  int y\n)"), ("g", 7, "void g(void)"), ("q", 11, "int q(int a)")}
+
+
+def test_bodies_are_whole(spark):
+    from tessera.functions import metrics as M
+    long = "int big(int x)\n{\n" + "    x += 1;\n" * 10_005 + "    last_call(x);\n}\n"
+    asm = "main:\n" + "  mov a, b\n" * 20_000
+    df = spark.createDataFrame([("a.c", long), ("b.asm", asm), ("c.asm", "  nop\n" * 3000), ("d.txt", "y" * 9000),
+                                ("e.c", "void open_end(void) {\n" + "  x();\n" * 2000)], ["file_path", "text"])
+    r = S.segment_c_units(df).where("name = 'big'").select("body", M.loc("body").alias("loc"), M.call_sites("body").alias("calls")).first()
+    assert r["loc"] == 10_008 and r["calls"] == ["last_call"] and len(r["body"]) > 100_000
+    assert len(S.segment_c_units(df).where("name = 'open_end'").first()["body"]) > 12_000
+    assert sorted(len(x["body"]) for x in S.segment_asm_units(df).collect()) == [18_000, len(asm)]
+    assert len(S.segment_whole_file(df).first()["body"]) == 9000
+
+
+def test_chunk_tokens_keep_the_text(spark):
+    df = spark.createDataFrame([("  a\tb\n\n c   d e ",)], ["text"])
+    rows = sorted(S.chunk_tokens(df, size=3, stride=2).collect(), key=lambda r: r["token_start"])
+    assert [r["chunk_text"] for r in rows] == ["a\tb\n\n c", "c   d e"]
+
+
+def test_corpus_keeps_every_definition(spark, sf, monkeypatch):
+    """Many files per supplier: segmentation still recovers each (supplier,
+    part) definition exactly once."""
     from tessera.sources import corpus
-    monkeypatch.setattr(corpus, "SHARD_PARTS", 50)
+    monkeypatch.setattr(corpus, "STEP", 50)
     files = corpus.code_files(spark, sf)
-    assert files.where(files.file_path.rlike(r"/f_\d+\.\d+\.c$")).count() > 0
+    assert files.where(files.file_path.rlike(r"/f_\d+_[1-9]\d*\.c$")).count() > 0
     units = S.segment_c_units(files)
     n_defs = corpus.definitions(spark, sf).count()
     assert units.where(units.file_path.endswith(".c")).count() == n_defs
