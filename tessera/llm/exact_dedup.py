@@ -54,6 +54,9 @@ def update_state(spark: SparkSession, path: str, state: str, id_col: str = "doc_
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    # a store is closed with its task: else each partition's files stay open on
+    # its executor until maintenance comes round
+    spark.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
     reader = spark.readStream.schema(spark.read.parquet(path).schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
