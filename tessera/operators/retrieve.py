@@ -1,10 +1,9 @@
 """Exact vector search and retrieval helpers.
 
-``knn_l2`` is exact: every vector is compared with every query. The query
-side is counted first and shipped to the tasks only below a row bound (a
-proven size); larger query sets are processed in bounded batches. Each task
-keeps a partial top-k per query (numpy over Arrow batches), so only
-k x queries rows per partition reach the final shuffle.
+``knn_l2`` is exact: every vector is compared with every query, which is all
+pairs of compute by nature. Neither side passes through the driver: queries are
+dealt to blocks and vectors to slices of a bounded number of rows, a task
+compares one block with one slice (numpy), and only its k best per query go on.
 """
 
 from __future__ import annotations
@@ -13,63 +12,63 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-MAX_QUERY_ROWS = 4096          # queries shipped to tasks per batch
-MAX_QUERY_CELLS = 16 << 20     # rows x dims per batch (128 MB of float64)
-
-
-def _partial_topk(bc, k, id_col, vec_col):
-    def run(it):
-        qids, qmat = bc.value
-        best_d = [np.empty(0) for _ in qids]
-        best_i = [np.empty(0, dtype=object) for _ in qids]
-        for pdf in it:
-            if pdf.empty:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col].values])
-            ids = pdf[id_col].values
-            step = max(1, (8 << 20) // max(1, len(qids) * x.shape[1]))
-            for s in range(0, len(x), step):
-                xs = x[s:s + step]
-                d = ((xs[:, None, :] - qmat[None, :, :]) ** 2).sum(axis=2)
-                for j in range(len(qids)):
-                    dd = np.concatenate([best_d[j], d[:, j]])
-                    ii = np.concatenate([best_i[j], ids[s:s + step]])
-                    order = np.lexsort((ii.astype(str) if ii.dtype == object else ii, dd))[:k]
-                    best_d[j], best_i[j] = dd[order], ii[order]
-        rows = [(qids[j], best_i[j][r], float(best_d[j][r])) for j in range(len(qids)) for r in range(len(best_d[j]))]
-        if rows:
-            yield pd.DataFrame(rows, columns=["qid", "id", "distance"])
+BLOCK_ROWS, SLICE_ROWS = 4096, 65_536
+_CELLS = 8 << 20  # numbers of one step of the kernel
+
+
+def _grid(vectors: DataFrame, queries: DataFrame, block_rows: int, slice_rows: int):
+    """Both sides grouped by (block, slice): each query once a slice, each
+    vector once a block."""
+    blocks = max(1, -(-queries.count() // block_rows))
+    slices = max(1, -(-vectors.count() // slice_rows))
+    q = (queries.withColumn("block", F.pmod(F.xxhash64("qid"), F.lit(blocks)).cast("int"))
+                .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
+    v = (vectors.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int"))
+                .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))))
+    return q.groupBy("block", "slice").cogroup(v.groupBy("block", "slice"))
+
+
+def _distances(x: np.ndarray, q: np.ndarray):
+    """(first row, squared L2 of those rows to all of q), step by step."""
+    step = max(1, _CELLS // max(1, q.size))
+    for s in range(0, len(x), step):
+        yield s, ((x[s:s + step, None, :] - q[None, :, :]) ** 2).sum(axis=2)
+
+
+def _matrix(column) -> np.ndarray:
+    return np.stack([np.asarray(v, dtype=np.float64) for v in column])
+
+
+def _best(k: int):
+    def run(qs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
+        out = {"qid": [], "id": [], "distance": []}
+        if len(qs) and len(vs):
+            x, ids = _matrix(vs["v"]), vs["id"].to_numpy()
+            order = np.argsort(ids.astype(str) if ids.dtype == object else ids, kind="stable")
+            x, ids = x[order], ids[order]  # a stable sort by distance then leaves ties to the lower id
+            part = max(1, _CELLS // max(1, x.size))
+            for a in range(0, len(qs), part):
+                q = qs.iloc[a:a + part]
+                d = np.concatenate([d for _, d in _distances(x, _matrix(q["qv"]))])
+                top = np.argsort(d, axis=0, kind="stable")[:k]
+                for j, qid in enumerate(q["qid"]):
+                    out["qid"] += [qid] * len(top)
+                    out["id"] += ids[top[:, j]].tolist()
+                    out["distance"] += d[top[:, j], j].tolist()
+        return pd.DataFrame(out)
     return run
 
 
 def knn_l2(vectors: DataFrame, queries: DataFrame, k: int = 3, id_col: str = "id", vec_col: str = "embedding",
-           qid_col: str = "qid", qvec_col: str = "embedding", max_query_rows: int = MAX_QUERY_ROWS) -> DataFrame:
+           qid_col: str = "qid", qvec_col: str = "embedding", block_rows: int = BLOCK_ROWS,
+           slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Top-k by squared L2 (float64) per query: (qid, id, distance, rank);
-    ties go to the lower id."""
-    spark = vectors.sparkSession
+    ties go to the lower id. No queries or no vectors: no rows."""
     q = queries.select(F.col(qid_col).alias("qid"), F.col(qvec_col).alias("qv"))
-    n_q = q.count()
-    id_type = vectors.schema[id_col].dataType
-    qid_type = q.schema["qid"].dataType
-    schema = T.StructType([T.StructField("qid", qid_type), T.StructField("id", id_type),
-                           T.StructField("distance", T.DoubleType())])
     v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
-    parts = []
-    n_batches = max(1, -(-n_q // max_query_rows))
-    qb = q.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(n_batches))) if n_batches > 1 else q.withColumn("_b", F.lit(0))
-    for b in range(n_batches):
-        # bounded by max_query_rows (checked above): safe to ship to tasks
-        pdf = qb.where(F.col("_b") == b).select("qid", "qv").toPandas()
-        if pdf.empty:
-            continue
-        qmat = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["qv"].values])
-        if qmat.size > MAX_QUERY_CELLS:
-            raise ValueError("query batch exceeds the broadcast bound; lower max_query_rows")
-        bc = spark.sparkContext.broadcast((list(pdf["qid"].values), qmat))
-        parts.append(v.mapInPandas(_partial_topk(bc, k, "id", "v"), schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    schema = T.StructType([T.StructField("qid", q.schema["qid"].dataType), T.StructField("id", v.schema["id"].dataType),
+                           T.StructField("distance", T.DoubleType())])
+    out = _grid(v, q, block_rows, slice_rows).applyInPandas(_best(k), schema)
     w = Window.partitionBy("qid").orderBy("distance", "id")
     return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
@@ -101,13 +100,24 @@ def embedding_upsert(old: DataFrame, new: DataFrame, id_col: str, version: str)
     return best.select(id_col, *[F.col("_r")[c].alias(c) for c in cols])
 
 
-def retrieve_graph_boost(hits: DataFrame, neighbors: DataFrame, k: int) -> DataFrame:
-    """Re-rank hits: those within the seed's graph neighbourhood first, then
-    by distance, then id. ``hits``: qid, id, distance; ``neighbors``: qid, id."""
-    near = neighbors.select("qid", "id").distinct().withColumn("near", F.lit(True))
-    h = hits.join(near, ["qid", "id"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
-    w = Window.partitionBy("qid").orderBy(F.col("near").desc(), "distance", "id")
-    return h.withColumn("boost_rank", F.row_number().over(w)).where(F.col("boost_rank") <= k)
+def l2(a, b):
+    """Squared L2 of two array columns."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) ** 2), F.lit(0.0), lambda t, x: t + x)
+
+
+def retrieve_graph_boost(vectors: DataFrame, queries: DataFrame, neighbors: DataFrame, k: int) -> DataFrame:
+    """The k best vectors per query, those in the query's graph neighbourhood
+    first, then by distance, then id. Exact: the k best of the neighbourhood
+    (distances of its pairs alone) beside the k best of all."""
+    near = (neighbors.select("qid", "id").distinct().join(vectors.select("id", F.col("embedding").alias("v")), "id")
+            .join(queries.select("qid", F.col("embedding").alias("q")), "qid")
+            .select("qid", "id", l2(F.col("v"), F.col("q")).alias("distance"), F.lit(True).alias("near")))
+    w = Window.partitionBy("qid").orderBy("distance", "id")
+    near = near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("rank")
+    far = knn_l2(vectors, queries, k).drop("rank").join(
+        neighbors.select("qid", "id").distinct(), ["qid", "id"], "left_anti").withColumn("near", F.lit(False))
+    both = Window.partitionBy("qid").orderBy(F.col("near").desc(), "distance", "id")
+    return near.unionByName(far).withColumn("boost_rank", F.row_number().over(both)).where(F.col("boost_rank") <= k)
 
 
 def compose_prompt(question: DataFrame, hits: DataFrame, snippet: str, k: int) -> DataFrame:
@@ -121,35 +131,27 @@ def compose_prompt(question: DataFrame, hits: DataFrame, snippet: str, k: int) -
                         F.coalesce("context", F.lit(""))).alias("prompt"))
 
 
-def _nearest(bc, id_col, vec_col):
-    def run(it):
-        cids, cmat = bc.value
-        for pdf in it:
-            if pdf.empty:
-                continue
-            x = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col].values])
-            d = ((x[:, None, :] - cmat[None, :, :]) ** 2).sum(axis=2)
-            # ties -> the smallest center id: centers are pre-sorted by id
+def _nearest(cs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
+    out = {"id": [], "center": [], "distance": []}
+    if len(cs) and len(vs):
+        cs = cs.sort_values("qid", kind="stable")  # ties go to the smallest centre id
+        cids, x, c = cs["qid"].to_numpy(), _matrix(vs["v"]), _matrix(cs["qv"])
+        for s, d in _distances(x, c):
             j = np.argmin(d, axis=1)
-            yield pd.DataFrame({"id": pdf[id_col].values, "center": [cids[i] for i in j],
-                                "distance": d[np.arange(len(j)), j]})
-    return run
+            out["id"] += vs["id"].iloc[s:s + len(j)].tolist()
+            out["center"] += cids[j].tolist()
+            out["distance"] += d[np.arange(len(j)), j].tolist()
+    return pd.DataFrame(out)
 
 
 def assign_nearest(vectors: DataFrame, centers: DataFrame, id_col: str = "id", vec_col: str = "embedding",
-                   cid_col: str = "qid", cvec_col: str = "embedding", max_centers: int = MAX_QUERY_ROWS) -> DataFrame:
-    """Nearest center per vector (squared L2): (id, center, distance).
-    The center set is counted and must stay below ``max_centers``."""
-    c = centers.select(F.col(cid_col).alias("cid"), F.col(cvec_col).alias("cv"))
-    n = c.count()
-    if n > max_centers:
-        raise ValueError(f"{n} centers exceed the broadcast bound {max_centers}")
-    pdf = c.orderBy("cid").toPandas()  # bounded by the check above
-    cmat = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["cv"].values])
-    spark = vectors.sparkSession
-    bc = spark.sparkContext.broadcast((list(pdf["cid"].values), cmat))
-    schema = T.StructType([T.StructField("id", vectors.schema[id_col].dataType),
-                           T.StructField("center", c.schema["cid"].dataType),
+                   cid_col: str = "qid", cvec_col: str = "embedding", block_rows: int = BLOCK_ROWS,
+                   slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Nearest center per vector id (squared L2): (id, center, distance). Each
+    task finds the nearest of its block; the least of those is the answer."""
+    c = centers.select(F.col(cid_col).alias("qid"), F.col(cvec_col).alias("qv"))
+    v = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))
+    schema = T.StructType([T.StructField("id", v.schema["id"].dataType), T.StructField("center", c.schema["qid"].dataType),
                            T.StructField("distance", T.DoubleType())])
-    return vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("v")).mapInPandas(
-        _nearest(bc, "id", "v"), schema)
+    part = _grid(v, c, block_rows, slice_rows).applyInPandas(_nearest, schema)
+    return part.groupBy("id").agg(F.min(F.struct("distance", "center")).alias("b")).select("id", "b.center", "b.distance")

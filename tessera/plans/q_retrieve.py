@@ -219,7 +219,7 @@ top AS (SELECT id, out_degree FROM deg WHERE in_degree = 0 ORDER BY out_degree D
 qv AS (SELECT t.id AS qid, f.v AS q FROM top t JOIN feat f ON f.id = t.id),
 dd AS (SELECT qv.qid, f.id, list_sum(list_transform(range(1, 6), lambda i: (f.v[i] - qv.q[i]) ^ 2)) AS d
        FROM qv CROSS JOIN feat f),
-hits AS (SELECT qid, id, d FROM (SELECT qid, id, d, row_number() OVER (PARTITION BY qid ORDER BY d, id) AS rk FROM dd) WHERE rk <= 20),
+hits AS (SELECT qid, id, d FROM dd),
 ue AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
 h1 AS (SELECT DISTINCT t.id AS qid, e.dst AS id FROM top t JOIN ue e ON e.src = t.id WHERE e.dst <> t.id),
 h2 AS (SELECT DISTINCT h.qid, e.dst AS id FROM h1 h JOIN ue e ON e.src = h.id WHERE e.dst <> h.qid),
@@ -244,7 +244,6 @@ def q_retrieve_graph_boost(spark, sf):
                                                     F.col("out_degree").cast("double")).alias("embedding"))
     top = G.top_entry_points(deg, 10).select("id")
     queries = feat.join(top, "id").withColumnRenamed("id", "qid")
-    hits = RT.knn_l2(feat, queries, 20)
     near = G.k_hop_neighbors(edges, top, 2).select(F.col("seed").alias("qid"), "id")
-    b = RT.retrieve_graph_boost(hits, near, 5)
+    b = RT.retrieve_graph_boost(feat, queries, near, 5)
     return b.select("qid", "id", F.col("boost_rank").cast("bigint").alias("boost_rank"), "near")

@@ -64,9 +64,35 @@ def test_knn_matches_numpy(spark):
     for j in range(4):
         for rank, i in enumerate(np.lexsort((np.arange(300), d[:, j]))[:3], start=1):
             assert got[(j, rank)] == i
-    # batched query path gives the same answer
-    got2 = {(r["qid"], r["rank"]): r["id"] for r in RT.knn_l2(vec, qs, 3, max_query_rows=1).collect()}
+    # many blocks and slices give the same answer
+    got2 = {(r["qid"], r["rank"]): r["id"] for r in RT.knn_l2(vec, qs, 3, block_rows=1, slice_rows=40).collect()}
     assert got2 == got
+    assert RT.knn_l2(vec, qs.limit(0), 3).collect() == [] and RT.knn_l2(vec.limit(0), qs, 3).collect() == []
+
+
+def test_knn_and_nearest_at_many_queries(spark):
+    import numpy as np
+    rnd = np.random.default_rng(1)
+    x, q = rnd.integers(0, 9, (200, 3)), rnd.integers(0, 9, (10_000, 3))
+    vec = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], ["id", "embedding"])
+    qs = spark.createDataFrame([(j, [float(v) for v in row]) for j, row in enumerate(q)], ["qid", "embedding"])
+    d = ((q[:, None, :] - x[None]) ** 2).sum(-1)
+    want = np.argsort(d, axis=1, kind="stable")[:, :2]
+    got = {(r["qid"], r["rank"]): r["id"] for r in RT.knn_l2(vec, qs, 2).collect()}
+    assert all(got[(j, r + 1)] == want[j, r] for j in range(len(q)) for r in range(2))
+    near = {r["id"]: (r["center"], r["distance"]) for r in RT.assign_nearest(vec, qs.limit(5000)).collect()}
+    cs = [r["qid"] for r in qs.limit(5000).collect()]
+    for i in range(200):
+        best = min((d[c, i], c) for c in cs)
+        assert near[i] == (best[1], float(best[0]))
+
+
+def test_graph_boost_finds_far_neighbours(spark):
+    vec = spark.createDataFrame([(i, [float(i)]) for i in range(100)], ["id", "embedding"])
+    qs = spark.createDataFrame([(0, [0.0])], ["qid", "embedding"])
+    near = spark.createDataFrame([(0, 90), (0, 50), (0, 2)], ["qid", "id"])
+    got = [(r["id"], r["near"]) for r in RT.retrieve_graph_boost(vec, qs, near, 5).orderBy("boost_rank").collect()]
+    assert got == [(2, True), (50, True), (90, True), (0, False), (1, False)]
 
 
 def test_eval_exact(spark):
