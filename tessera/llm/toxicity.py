@@ -207,28 +207,37 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN)
     return docs.select("doc_id", "text").join(F.broadcast(told), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
 
 
-def learn_stems(train: DataFrame) -> dict[str, float]:
-    """Word stems that tell label 1 from 0, with their log odds. Of stems that
-    start with one another, those with the most evidence stay."""
+def _stem_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
+    """stem and the number of texts with it; only of the stems in ``among``."""
     def run(batches):
-        pos, neg = Counter(), Counter()
+        n = Counter()
         for b in batches:
-            for text, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for text in b.column(0).to_pylist():
                 words = {w.lower().strip(_TRIM) for w in set((text or "").split())}
-                stems = {w[:n] for w in words for n in STEM_LETTERS if len(w) >= n}
-                (pos if y else neg).update(stems)
-        names = list(pos.keys() | neg.keys())
+                stems = {w[:k] for w in words for k in STEM_LETTERS if len(w) >= k}
+                n.update(stems if among is None else stems & among)
+        names = list(n)
         for i in range(0, len(names), 100_000):
             part = names[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([pos[s] for s in part], pa.int64()),
-                                              pa.array([neg[s] for s in part], pa.int64())], names=["stem", "pos", "neg"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([n[s] for s in part], pa.int64())], names=["stem", "n"])
+    return rows.select("text").mapInArrow(run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+
+
+def learn_stems(train: DataFrame) -> dict[str, float]:
+    """Word stems that tell label 1 from 0, with their log odds. Of stems that
+    start with one another, those with the most evidence stay. Texts of label 1
+    name the candidates; only those are counted in the others. ``train`` is
+    bounded, and so is what its stems take."""
     n = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     n_pos, n_neg = n.get(1, 0), sum(v for k, v in n.items() if k != 1)
     if n_pos < MIN_SUPPORT or n_neg < MIN_SUPPORT:
         return {}
-    seen = train.mapInArrow(run, "stem string, pos long, neg long").groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    seen = stage(_stem_counts(train.filter("toxic = 1")).filter(F.col("n") >= MIN_SUPPORT).withColumnRenamed("n", "pos"), "toxic-stems")
+    among = {r.stem for r in seen.collect()}
+    neg = _stem_counts(train.filter("toxic <> 1"), among).withColumnRenamed("n", "neg")
+    seen = seen.join(neg, "stem", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    best = (seen.filter(F.col("pos") >= MIN_SUPPORT).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
+    best = (seen.withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
             .withColumn("proof", F.col("pos") * F.col("odds"))
             .orderBy(F.desc("proof"), F.desc(F.length("stem")), "stem").limit(8 * MAX_STEMS).collect())
     kept: dict[str, float] = {}
