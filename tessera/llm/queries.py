@@ -103,11 +103,11 @@ FROM p LEFT JOIN g USING (t)
 @query("op8_warc_revisits", OP8_SQL)
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.session import load, scratch_path
-    from .warc import plan_records, read_archives, resolve, write_archives
+    from .warc import files_for, plan_records, read_archives, resolve, write_archives
     pages = load(spark, sf_dir, "pages")
     path = scratch_path(spark, "llm-warc")
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
-    write_archives(plan_records(pages), path, total_bytes=total)
+    write_archives(plan_records(pages, files_for(total)), path)
     return resolve(read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_page").alias("refers_to"))
 

@@ -26,8 +26,15 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NL = "\r\n"
 
 
-def _record_id(page_id: Column, digest: Column, copy: Column) -> Column:
-    h = F.sha2(F.concat_ws("|", F.coalesce(page_id.cast("string"), F.lit("")), digest, copy.cast("string")), 256)
+def _key(page_id: Column, url: Column, digest: Column) -> Column:
+    """What tells rows apart that aren't repeated rows; never null, so that one
+    shuffle serves the window, the join and the files."""
+    text = lambda c: F.concat(c.isNull().cast("string"), F.coalesce(c.cast("string"), F.lit("")))
+    return F.sha2(F.concat_ws("|", text(page_id), digest, text(url)), 256)
+
+
+def _record_id(key: Column, copy: Column) -> Column:
+    h = F.sha2(F.concat_ws("|", key, copy.cast("string")), 256)
     part = lambda a, n: F.substring(h, a, n)
     return F.concat(F.lit("<urn:uuid:"), part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-8"),
                     part(18, 3), F.lit("-"), part(21, 12), F.lit(">"))
@@ -38,9 +45,11 @@ def _uri(url: Column) -> Column:
     return F.regexp_replace(F.coalesce(url, F.lit("about:blank")), r"[\x00-\x20\x7f]", "%20")
 
 
-def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+def plan_records(pages: DataFrame, n_files: int = 1, id_col: str = "page_id", url_col: str = "url",
+                 payload_col: str = "html") -> DataFrame:
     """page_id, url, payload, digest, payload_bytes, record_id, and refers_to /
-    refers_uri / refers_page of those that are to be revisits.
+    refers_uri of those that are to be revisits, dealt to ``n_files`` partitions.
+    Payloads move once; who refers to whom is found from headers alone.
 
     A null payload is empty. Of equal payloads of ``MIN_REVISIT`` bytes or more
     the record with the smallest page_id is the response (null is the largest;
@@ -49,29 +58,30 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"),
                         F.octet_length(payload).cast("long").alias("payload_bytes"))
-    key = ["page_id", "url", "digest"]
+    rows = rows.withColumn("key", _key(F.col("page_id"), F.col("url"), F.col("digest")))
     order = F.struct(F.col("page_id").isNull(), "page_id", "url")
-    heads = stage(rows.filter(F.col("payload_bytes") >= MIN_REVISIT).groupBy(*key).agg(F.count(F.lit(1)).alias("n")), "warc-heads")
+    heads = stage(rows.filter(F.col("payload_bytes") >= MIN_REVISIT).groupBy("key").agg(
+        F.first("page_id").alias("page_id"), F.first("url").alias("url"), F.first("digest").alias("digest"),
+        F.count(F.lit(1)).alias("n")), "warc-heads")
     firsts = heads.groupBy("digest").agg(F.min(order).alias("first"), F.sum("n").alias("n")).filter("n > 1").drop("n")
-    shared = heads.drop("n").join(firsts, "digest").select(
-        F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.col("digest").alias("_digest"),
-        F.col("first.page_id").alias("refers_page"), F.col("first.url").alias("_first_url"))
-    on = (rows["page_id"].eqNullSafe(shared["_id"]) & rows["url"].eqNullSafe(shared["_url"])
-          & (rows["digest"] == shared["_digest"]))
-    copy = F.row_number().over(Window.partitionBy(*key).orderBy("payload_bytes"))
-    out = rows.withColumn("copy", copy).join(shared, on, "left")
-    own = F.col("page_id").eqNullSafe(F.col("refers_page")) & F.col("url").eqNullSafe(F.col("_first_url")) & (F.col("copy") == 1)
-    revisit = F.col("_digest").isNotNull() & ~own
+    shared = heads.select("key", "digest").join(firsts, "digest").select(
+        "key", F.col("first.url").alias("first_url"),
+        _key(F.col("first.page_id"), F.col("first.url"), F.col("digest")).alias("first_key"))
+    copy = F.row_number().over(Window.partitionBy("key").orderBy("payload_bytes"))
+    out = rows.repartition(n_files, "key").withColumn("copy", copy).join(shared, "key", "left")
+    revisit = F.col("first_key").isNotNull() & ((F.col("first_key") != F.col("key")) | (F.col("copy") > 1))
     return out.select(
-        "page_id", "url", "payload", "digest", "payload_bytes",
-        _record_id(F.col("page_id"), F.concat(F.col("digest"), _uri(F.col("url"))), F.col("copy")).alias("record_id"),
-        F.when(revisit, _record_id(F.col("refers_page"), F.concat(F.col("digest"), _uri(F.col("_first_url"))), F.lit(1))).alias("refers_to"),
-        F.when(revisit, _uri(F.col("_first_url"))).alias("refers_uri"))
+        "page_id", "url", "payload", "digest", "payload_bytes", _record_id(F.col("key"), F.col("copy")).alias("record_id"),
+        F.when(revisit, _record_id(F.col("first_key"), F.lit(1))).alias("refers_to"),
+        F.when(revisit, _uri(F.col("first_url"))).alias("refers_uri"))
+
+
+def files_for(total_bytes: int, file_bytes: int = FILE_BYTES) -> int:
+    return buckets_for(total_bytes, file_bytes)
 
 
-def write_archives(planned: DataFrame, path: str, file_bytes: int = FILE_BYTES, total_bytes: int | None = None,
-                   date: str = DATE) -> None:
-    """Write the records as gzipped archives of about ``file_bytes`` under
+def write_archives(planned: DataFrame, path: str, date: str = DATE) -> None:
+    """Write the records as gzipped archives, one of each partition, under
     ``path``, through Spark's own writer (any storage that Spark reaches)."""
     revisit = F.col("refers_to").isNotNull()
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(NL))
@@ -90,10 +100,7 @@ def write_archives(planned: DataFrame, path: str, file_bytes: int = FILE_BYTES,
                                  line("WARC-Refers-To-Date", F.lit(date)))).otherwise(""),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", length.cast("string")), F.lit(NL), whole)
-    out = planned.select(record.alias("value"), "record_id")
-    if total_bytes is not None:
-        out = out.repartition(buckets_for(total_bytes, file_bytes), "record_id")
-    out.select("value").write.option("lineSep", NL + NL).option("compression", "gzip").text(path)
+    planned.select(record.alias("value")).write.option("lineSep", NL + NL).option("compression", "gzip").text(path)
 
 
 def parse(raw: bytes):

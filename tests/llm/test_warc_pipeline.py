@@ -21,7 +21,7 @@ ROWS = [(5, "http://a/5", LONG, "x"), (3, "http://a/3\r\nX: y", LONG, "x"), (9,
 def test_round_trip(spark, tmp_path):
     pages = spark.createDataFrame(ROWS, SCHEMA)
     path = str(tmp_path / "warc")
-    warc.write_archives(warc.plan_records(pages), path, file_bytes=100_000, total_bytes=300_000)
+    warc.write_archives(warc.plan_records(pages, warc.files_for(300_000, 100_000)), path)
     rows = warc.resolve(warc.read_archives(spark, path)).collect()
     first = {}
     for i, _, html, _ in ROWS:
@@ -58,7 +58,7 @@ def test_belied_digests_raise(spark, tmp_path):
 
 def test_no_pages(spark, tmp_path):
     path = str(tmp_path / "none")
-    warc.write_archives(warc.plan_records(spark.createDataFrame([], SCHEMA)), path, total_bytes=0)
+    warc.write_archives(warc.plan_records(spark.createDataFrame([], SCHEMA)), path)
     assert warc.resolve(warc.read_archives(spark, path)).collect() == []
 
 
