@@ -136,7 +136,8 @@ def risk_notes(body, path) -> Column:
 
 
 def sha1_short(text, length: int = 12) -> Column:
-    """First ``length`` hex chars of SHA-1 over the first 10,000 chars."""
+    """First ``length`` hex chars of SHA-1 over the first 10,000 chars: a label
+    for display. Texts are told apart by the SHA-256 of all of them."""
     t = F.coalesce(_c(text), F.lit(""))
     return F.substring(F.sha1(F.substring(t, 1, 10000).cast("binary")), 1, length)
 

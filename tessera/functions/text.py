@@ -58,28 +58,45 @@ def strip(c: Column) -> Column:
 
 def dedent(c: Column) -> Column:
     """``textwrap.dedent`` for space indentation: whitespace-only lines
-    become empty, then the common leading spaces of the other lines go."""
+    become empty, then the common leading spaces of the other lines go. Lines
+    and margin are bound to a lambda, so each is worked out once a text."""
     lines = F.transform(F.split(c, "\n"), lambda l: F.when(l.rlike(r"^\s*$"), F.lit("")).otherwise(l))
-    widths = F.transform(F.filter(lines, lambda l: l != ""),
-                         lambda l: F.length(F.regexp_extract(l, r"^( *)", 1)))
-    margin = F.coalesce(F.array_min(widths), F.lit(0))
-    return F.array_join(F.transform(lines, lambda l: F.when(l == "", l).otherwise(F.substring(l, margin + 1, 1 << 30))), "\n")
 
+    def measured(ls):
+        widths = F.transform(F.filter(ls, lambda l: l != ""), lambda l: F.length(F.regexp_extract(l, r"^( *)", 1)))
+        return F.struct(ls.alias("ls"), F.coalesce(F.array_min(widths), F.lit(0)).alias("margin"))
 
-def truncate_tokens(text: Column, n: int = MAX_PROMPT_TOKENS) -> Column:
-    """Whitespace-token stand-in for the tokenizer cut: texts of at most n
-    tokens pass unchanged, longer ones keep their first n tokens."""
-    toks = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(r"\S+"), 0)
-    return F.when(F.size(toks) <= n, F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.slice(toks, 1, n), " "))
+    def cut(x):
+        return F.array_join(F.transform(x["ls"], lambda l: F.when(l == "", l).otherwise(F.substring(l, x["margin"] + 1, 1 << 30))), "\n")
+    return F.transform(F.transform(F.array(lines), measured), cut)[0]
+
+
+def token_windows(text: Column, n: int = MAX_PROMPT_TOKENS) -> Column:
+    """The text as pieces of at most ``n`` whitespace tokens, each as it stands
+    in the text; only the white space at a cut is left out. A text of at most
+    ``n`` tokens is one piece, unchanged."""
+    t = F.coalesce(text, F.lit(""))
+    bound = F.array(F.struct(F.regexp_extract_all(t, F.lit(r"\s*\S+"), 0).alias("p"), F.regexp_extract(t, r"(\s*)\z", 1).alias("tail")))
+
+    def cut(x):  # the pieces are worked out once and bound to x
+        last = F.greatest(F.lit(0), F.ceil(F.size(x["p"]) / F.lit(n)).cast("int") - 1)
+
+        def window(i):
+            part = F.array_join(F.slice(x["p"], i * n + 1, n), "")
+            return F.concat(F.when(i == 0, part).otherwise(F.regexp_replace(part, r"^\s+", "")),
+                            F.when(i == last, x["tail"]).otherwise(F.lit("")))
+        return F.transform(F.sequence(F.lit(0), last), window)
+    return F.transform(bound, cut)[0]
 
 
 def prompt_function(signature: Column, body: Column, is_asm: Column) -> Column:
+    """The prompt for a body, or for one of its token windows."""
     lang = F.when(is_asm, F.lit("assembly")).otherwise(F.lit("C"))
     head, rest = FUNCTION_PROMPT.split("{lang}")
     mid, tail = rest.split("{signature}")
     mid2, tail2 = tail.split("{body}")
     raw = F.concat(F.lit(head), lang, F.lit(mid), F.coalesce(signature, F.lit("")), F.lit(mid2),
-                   truncate_tokens(body), F.lit(tail2))
+                   F.coalesce(body, F.lit("")), F.lit(tail2))
     return dedent(raw)
 
 
@@ -88,7 +105,7 @@ def prompt_function_graph(name, path, signature, callers, callees, headers, body
     c = lambda x: F.coalesce(F.col(x), F.lit(""))
     return F.concat(F.lit("Function "), c(name), F.lit(" in "), c(path), F.lit("\nSignature: "), c(signature),
                     F.lit("\nCallers: "), c(callers), F.lit("\nCallees: "), c(callees),
-                    F.lit("\nDeclared in: "), c(headers), F.lit("\nBody:\n"), truncate_tokens(F.col(body)))
+                    F.lit("\nDeclared in: "), c(headers), F.lit("\nBody:\n"), c(body))
 
 
 def prompt_file(path: Column, top_text: Column, n: int = 8) -> Column:
@@ -150,6 +167,17 @@ def strip_completion(output: Column, prompt: Column, stop: str | None = None) ->
     return out
 
 
+def assist_record(chunks_name, source_file, start_line, end_line, language, text, output, mode: str = "summarize") -> Column:
+    """The before/after record of one assisted chunk: the payload as input, the
+    model's text as target, the hash over text and output."""
+    out = F.coalesce(output, F.lit(""))
+    return F.struct(
+        F.lit("seq2seq_pair").alias("type"), F.lit("seq2seq").alias("kind"), chunks_name.alias("name"),
+        source_file.alias("source_file"), start_line.alias("start_line"), end_line.alias("end_line"), language.alias("language"),
+        F.sha2(F.concat(F.coalesce(text, F.lit("")), out), 256).alias("sha256"),
+        assist_payload(text, mode).alias("input"), out.alias("target"))
+
+
 def assist_prompt(chunk: Column, mode: str = "summarize") -> Column:
     a, b = ASSIST_PROMPT[mode].split("{chunk}")
     return F.concat(F.lit(a), chunk, F.lit(b))

@@ -30,12 +30,9 @@ def qna_generate(functions: DataFrame, files: DataFrame | None = None,
     """Questions per function (summary always; risks, tags, change recipe,
     headers when non-empty) and per file (summary always, then risks, tags,
     recipe). ``functions``: id, name, file_path, summary, risk_notes,
-    intent_tags (array), change_recipe; ``headers``: id, headers (text)."""
+    intent_tags (array), change_recipe; ``headers``: id, part, headers (text).
+    A header list of several parts is asked for once a part."""
     f = functions
-    if headers is not None:
-        f = f.join(headers, "id", "left")
-    else:
-        f = f.withColumn("headers", F.lit(None).cast("string"))
     base = F.concat(F.lit("Function '"), F.coalesce("name", F.lit("<unknown>")), F.lit("' in file '"),
                     F.coalesce("file_path", F.lit("<unknown file>")), F.lit("'"))
     answers = {
@@ -43,14 +40,21 @@ def qna_generate(functions: DataFrame, files: DataFrame | None = None,
         "risk_notes": F.col("risk_notes"),
         "intent_tags": F.array_join(F.col("intent_tags"), ", "),
         "change_recipe": F.col("change_recipe"),
-        "headers": F.col("headers"),
     }
     items = []
     for i, (field, tmpl) in enumerate(FN_QUESTIONS):
+        if field == "headers":
+            continue
         present = F.lit(True) if field == "summary" else (answers[field].isNotNull() & (answers[field] != ""))
         items.append(F.when(present, F.struct(F.lit(i).alias("qn"), _fmt(tmpl, base).alias("question"),
                                               answers[field].alias("answer"), F.lit("function").alias("level"))))
-    out = f.select("id", F.explode(F.array_compact(F.array(*items))).alias("q")).select("id", "q.*")
+    none = F.lit(0).alias("part")
+    out = f.select("id", none, F.explode(F.array_compact(F.array(*items))).alias("q")).select("id", "part", "q.*")
+    if headers is not None:
+        (qn, tmpl), = [(i, t) for i, (field, t) in enumerate(FN_QUESTIONS) if field == "headers"]
+        out = out.unionByName(f.join(headers.where(F.col("headers") != ""), "id").select(
+            "id", "part", F.lit(qn).alias("qn"), _fmt(tmpl, base).alias("question"), F.col("headers").alias("answer"),
+            F.lit("function").alias("level")))
     if files is not None:
         fbase = F.concat(F.lit("File '"), F.coalesce("file_path", F.lit("<unknown file>")), F.lit("'"))
         fitems = []
@@ -60,25 +64,24 @@ def qna_generate(functions: DataFrame, files: DataFrame | None = None,
             fitems.append(F.when(present, F.struct(F.lit(i).alias("qn"), _fmt(tmpl, fbase).alias("question"),
                                                    F.coalesce(ans, F.lit("")).alias("answer"),
                                                    F.lit("file").alias("level"))))
-        fo = files.select("id", F.explode(F.array_compact(F.array(*fitems))).alias("q")).select("id", "q.*")
+        fo = files.select("id", none, F.explode(F.array_compact(F.array(*fitems))).alias("q")).select("id", "part", "q.*")
         out = out.unionByName(fo)
     return out
 
 
-def bounded_list(pairs: DataFrame, key: str, item: str, order: list[Column], limit: int, sep: str) -> DataFrame:
-    """Per ``key``: the first ``limit`` items joined by ``sep`` plus the total
-    count. Rows past the limit are cut by a partial WindowGroupLimit before
-    the shuffle, so a hub key never gathers its whole list in one task; when
-    the list is longer, ``+N more`` is appended (the count stays exact)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    top = pairs.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= limit)
-    lst = top.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rk", F.col(item).alias("v")))),
-                                                        lambda x: x["v"]), sep).alias("_txt"))
-    cnt = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return lst.join(cnt, key).select(
-        key, F.when(F.col("n") > limit, F.concat(F.col("_txt"), F.lit(f"{sep}+"), (F.col("n") - limit).cast("string"),
-                                                 F.lit(" more"))).otherwise(F.col("_txt")).alias(item),
-        F.col("n").alias("n_" + item))
+PART_ITEMS = 64
+
+
+def list_parts(pairs: DataFrame, key: str, item: str, sep: str, size: int = PART_ITEMS) -> DataFrame:
+    """(key, part, parts, ``item``, n): every item of every key's list, split
+    over rows of about ``size`` items. An item's part is its hash modulo the
+    number of parts, so a hub's list never sits in one task; within a part the
+    items are in order. ``n`` counts the whole list."""
+    n = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / F.lit(size)).cast("int"))
+    h = F.conv(F.substring(F.sha1(F.col(item).cast("string")), 1, 7), 16, 10).cast("bigint")
+    cut = pairs.join(n, key).withColumn("part", (h % F.col("parts")).cast("int"))
+    return cut.groupBy(key, "part", "parts", "n").agg(
+        F.array_join(F.array_sort(F.collect_list(F.col(item))), sep).alias(item))
 
 
 def train_function_context(fn: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ def train_function_context(fn: DataFrame) -> DataFrame:
                       F.concat(F.lit("Risk notes: "), F.coalesce("risk_notes", F.lit(""))),
                       F.concat(F.lit("Callers: "), F.coalesce("callers", F.lit(""))),
                       F.concat(F.lit("Callees: "), F.coalesce("callees", F.lit(""))))
-    return fn.select("id", ctx.alias("input_text"), F.coalesce("summary", F.lit("")).alias("target_text"))
+    return fn.select("id", "part", ctx.alias("input_text"), F.coalesce("summary", F.lit("")).alias("target_text"))
 
 
 def train_file_context(files: DataFrame) -> DataFrame:
@@ -174,14 +177,30 @@ def tokenize_ids(text: Column, vocab: int = 32000) -> Column:
     return F.transform(toks, lambda t: (F.conv(F.substring(F.sha1(t), 1, 7), 16, 10).cast("bigint") % vocab).cast("int"))
 
 
-def tokenize_pad(ids: Column, max_len: int, pad_id: int = 0, label_pad: int = -100) -> tuple[Column, Column, Column]:
-    """(input_ids padded to max_len, attention_mask, labels with pad -> -100)."""
-    cut = F.slice(ids, 1, max_len)
-    pad_n = F.greatest(F.lit(0), F.lit(max_len) - F.size(cut))
-    input_ids = F.concat(cut, F.array_repeat(F.lit(pad_id), pad_n))
-    mask = F.concat(F.array_repeat(F.lit(1), F.size(cut)), F.array_repeat(F.lit(0), pad_n))
-    labels = F.concat(cut, F.array_repeat(F.lit(label_pad), pad_n))
-    return input_ids, mask, labels
+def pad_to(ids: Column, max_len: int, pad) -> Column:
+    return F.concat(ids, F.array_repeat(F.lit(pad), F.greatest(F.lit(0), F.lit(max_len) - F.size(ids))))
+
+
+def tokenize_windows(ids: Column, max_len: int, target_ids: Column | None = None, pad_id: int = 0, label_pad: int = -100) -> Column:
+    """Array of (window, start, end, input_ids, attention_mask, labels), each
+    ``max_len`` wide: as many windows as the ids need, so none is lost. Labels
+    are the input ids themselves, or of a target text those of its window with
+    the same number (windows without one are all label padding)."""
+    bound = F.array(F.struct(ids.alias("i"), (ids if target_ids is None else target_ids).alias("t")))
+
+    def cut(x):
+        longest = F.greatest(F.size(x["i"]), F.size(x["t"]))
+        n = F.greatest(F.lit(1), F.ceil(longest / F.lit(max_len)).cast("int"))
+
+        def window(w):
+            own, lab = F.slice(x["i"], w * max_len + 1, max_len), F.slice(x["t"], w * max_len + 1, max_len)
+            start = F.least(w * max_len, F.size(x["i"]))
+            return F.struct(w.alias("window"), start.alias("start"), (start + F.size(own)).alias("end"),
+                            pad_to(own, max_len, pad_id).alias("input_ids"),
+                            pad_to(F.transform(own, lambda _: F.lit(1)), max_len, 0).alias("attention_mask"),
+                            pad_to(lab, max_len, label_pad).alias("labels"))
+        return F.transform(F.sequence(F.lit(0), n - 1), window)
+    return F.transform(bound, cut)[0]
 
 
 def seq2seq_turn_pairs(conv: DataFrame) -> DataFrame:
@@ -214,5 +233,5 @@ def sft_instruction(fn: DataFrame) -> DataFrame:
     inp = F.concat_ws("\n", F.concat(F.lit("Signature: "), F.coalesce("signature", F.lit(""))),
                       F.concat(F.lit("Callers: "), F.coalesce("callers", F.lit(""))),
                       F.concat(F.lit("Callees: "), F.coalesce("callees", F.lit(""))))
-    return fn.select("id", F.to_json(F.struct(inst.alias("instruction"), inp.alias("input"),
+    return fn.select("id", "part", F.to_json(F.struct(inst.alias("instruction"), inp.alias("input"),
                                               F.coalesce("summary", F.lit("")).alias("output"))).alias("record"))

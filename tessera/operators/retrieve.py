@@ -55,7 +55,7 @@ def _best(k: int):
                     out["qid"] += [qid] * len(top)
                     out["id"] += ids[top[:, j]].tolist()
                     out["distance"] += d[top[:, j], j].tolist()
-        return pd.DataFrame(out)
+        return pd.DataFrame(out, dtype=object)
     return run
 
 
@@ -141,7 +141,7 @@ def _nearest(cs: pd.DataFrame, vs: pd.DataFrame) -> pd.DataFrame:
             out["id"] += vs["id"].iloc[s:s + len(j)].tolist()
             out["center"] += cids[j].tolist()
             out["distance"] += d[np.arange(len(j)), j].tolist()
-    return pd.DataFrame(out)
+    return pd.DataFrame(out, dtype=object)
 
 
 def assign_nearest(vectors: DataFrame, centers: DataFrame, id_col: str = "id", vec_col: str = "embedding",

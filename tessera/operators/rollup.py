@@ -79,20 +79,26 @@ def top_n_per_file(units: DataFrame, n: int = 8, text: str = "summary", path: st
                     F.count(F.lit(1)).alias("n_top")))
 
 
-def dedupe_exact(records: DataFrame, key: str = "sha1", order: str = "id", text: str = "text",
-                 min_chars: int = 0, min_lines: int = 0) -> DataFrame:
-    """One row per ``key`` (the smallest ``order`` wins) after dropping
-    texts shorter than ``min_chars`` / ``min_lines``.
-
-    An aggregate (``min`` of a struct led by the order column) rather than a
-    window: duplicates collapse map-side, so a key shared by a third of the
-    rows is pre-aggregated before the shuffle."""
+def files_in_parts(units: DataFrame, n: int = 8, text: str = "summary", path: str = "file_path") -> DataFrame:
+    """Every function of a file, largest first (ties in start order), ``n`` to a
+    part: (file_path, part, top_text, n_top). Part 0 is ``top_n_per_file``."""
+    w = Window.partitionBy(path).orderBy(F.col("loc").desc(), F.col("start_line").asc())
+    ranked = units.withColumn("rank", F.row_number().over(w)).withColumn("part", F.expr(f"cast((rank - 1) div {n} as int)"))
+    item = F.struct("rank", F.coalesce(F.col(text), F.lit("")).alias("t"))
+    return ranked.groupBy(path, "part").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), "\n\n").alias("top_text"),
+        F.count(F.lit(1)).alias("n_top"))
+
+
+def dedupe_exact(records: DataFrame, order: str = "id", text: str = "text", min_chars: int = 0, min_lines: int = 0,
+                 key: str = "sha256") -> DataFrame:
+    """(key, order): for each whole text, known by its SHA-256, the smallest
+    ``order``, after dropping texts shorter than ``min_chars`` / ``min_lines``.
+    An aggregate, so copies collapse before the shuffle and no text moves;
+    semi-join on ``order`` for further columns."""
     t = F.coalesce(F.col(text), F.lit(""))
-    kept = records.where((F.length(t) >= min_chars) &
-                         (F.size(F.split(t, M.SPLITLINES_RE)) >= min_lines))
-    cols = [c for c in records.columns if c != key]
-    best = kept.groupBy(key).agg(F.min(F.struct(F.col(order).alias("_o"), *[F.col(c) for c in cols])).alias("_r"))
-    return best.select(key, *[F.col("_r")[c].alias(c) for c in cols])
+    kept = records.where((F.length(t) >= min_chars) & (F.size(F.split(t, M.SPLITLINES_RE)) >= min_lines))
+    return kept.groupBy(F.sha2(t.cast("binary"), 256).alias(key)).agg(F.min(order).alias(order))
 
 
 def index_stats(index: DataFrame, size: str = "file_size", sha: str = "sha256") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import metrics as M
 from ..operators import rollup as R
 from ..operators import segment as S
-from ..session import scratch_path
+from ..session import scratch_path, tables_version
 from ..sources import corpus
 
 _MEMO: dict = {}
@@ -16,8 +16,9 @@ _MEMO: dict = {}
 def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """Stage boundary: write ``build()`` once per application as Parquet in
     the shared checkpoint folder and read it back (lineage cut, survives
-    executor loss, reused by every later query of the session)."""
-    key = (spark.sparkContext.applicationId, sf, name)
+    executor loss, reused by every later query of the session while the input
+    tables stay the same)."""
+    key = (spark.sparkContext.applicationId, sf, tables_version(spark, sf), name)
     if key not in _MEMO:
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import metrics as M
 from ..operators import assemble as A
-from ..operators import graph as G
 from ..operators import infer as I
 from ..operators import rollup as R
 from ..operators import segment as S
@@ -25,11 +24,14 @@ from ..streaming import incremental as ST
 from . import pipeline as P
 from .q_graph import GRAPH_CTES
 from .registry import register
-from .sql_code import CODE_CTES, FILES_CTES, FLAGGED, notes_expr, tags_expr
+from .sql_code import (CODE_CTES, FILE_RAW, FILES_CTES, FLAGGED, FUNCTION_RAW, STUB_ANSWER, dedent_sql, list_parts_sql,
+                       notes_expr, tags_expr, windows_sql)
 
 W = "WITH " + CODE_CTES
 WG = W + "," + GRAPH_CTES
 WFG = WG + "," + FLAGGED
+WF = W + "," + FLAGGED
+WFILES_SQL = W + "," + FILES_CTES
 
 # rule-based stand-in model (both engines)
 STUB_SQL = """
@@ -99,70 +101,63 @@ def q_link_headers_contains(spark, sf):
     return protos.join(toks, "name").select("header_path", "name", F.col("file_path").alias("implementation_path"))
 
 
-HEADERS_SQL = """
-hl AS (SELECT function_id AS id, header_file, row_number() OVER (PARTITION BY function_id ORDER BY header_file) AS rk,
-              count(*) OVER (PARTITION BY function_id) AS n FROM links),
-hdr AS (SELECT id, string_agg(header_file, ', ' ORDER BY rk) || CASE WHEN max(n) > 16 THEN ', +' || CAST(max(n) - 16 AS VARCHAR) || ' more' ELSE '' END AS headers,
-               max(n) AS n_headers FROM hl WHERE rk <= 16 GROUP BY id)
-"""
+HEADERS_SQL = list_parts_sql("hdr", "links", "function_id", "header_file", ", ", "headers")
 
 
 def _headers(spark, sf):
-    return A.bounded_list(_header_links(spark, sf).select(F.col("function_id").alias("id"), "header_file"),
-                          "id", "header_file", [F.col("header_file")], 16, ", ").withColumnRenamed("header_file", "headers")
+    pairs = _header_links(spark, sf).select(F.col("function_id").alias("id"), F.col("header_file").alias("headers"))
+    return A.list_parts(pairs, "id", "headers", ", ")
 
 
 @register("qna_header_join", W + "," + LINKS_SQL + "," + HEADERS_SQL + """
-SELECT u.id, h.headers, CAST(coalesce(h.n_headers, 0) AS BIGINT) AS n_headers FROM units2 u LEFT JOIN hdr h ON h.id = u.id
+SELECT u.id, CAST(coalesce(h.part, 0) AS BIGINT) AS part, h.headers, CAST(coalesce(h.n, 0) AS BIGINT) AS n_headers
+FROM units2 u LEFT JOIN hdr h ON h.id = u.id
 """)
 def q_qna_header_join(spark, sf):
     u = P.c_units(spark, sf).select("id")
-    h = _headers(spark, sf)
-    return u.join(h, "id", "left").select("id", "headers", F.coalesce(F.col("n_header_file"), F.lit(0)).cast("bigint").alias("n_headers"))
+    return u.join(_headers(spark, sf), "id", "left").select(
+        "id", F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), "headers", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_headers"))
 
 
 QNA_SQL = """
 qf AS (SELECT e.id, 'Function ''' || e.name || ''' in file ''' || e.file_path || '''' AS base, e.summary, e.notes,
-              array_to_string(e.tags, ', ') AS tags, e.change_recipe, h.headers FROM enr e LEFT JOIN hdr h ON h.id = e.id),
+              array_to_string(e.tags, ', ') AS tags, e.change_recipe FROM enr e),
 qff AS (SELECT id, 'File ''' || file_path || '''' AS base, summary, notes, array_to_string(tags, ', ') AS tags, change_recipe FROM froll),
 qna AS (
-  SELECT id, 0 AS qn, 'What does ' || base || ' do?' AS question, summary AS answer, 'function' AS level FROM qf
-  UNION ALL SELECT id, 1, 'What are the potential risks of ' || base || '?', notes, 'function' FROM qf WHERE notes <> ''
-  UNION ALL SELECT id, 2, 'What intent tags apply to ' || base || '?', tags, 'function' FROM qf WHERE tags <> ''
-  UNION ALL SELECT id, 3, 'What changes might be needed for ' || base || '?', change_recipe, 'function' FROM qf WHERE change_recipe <> ''
-  UNION ALL SELECT id, 4, 'Which headers declare ' || base || '?', headers, 'function' FROM qf WHERE headers IS NOT NULL AND headers <> ''
-  UNION ALL SELECT id, 0, 'What is the overall purpose of ' || base || '?', summary, 'file' FROM qff
-  UNION ALL SELECT id, 1, 'What are the potential risks in ' || base || '?', notes, 'file' FROM qff WHERE notes <> ''
-  UNION ALL SELECT id, 2, 'What intent tags apply to ' || base || '?', tags, 'file' FROM qff WHERE tags <> ''
-  UNION ALL SELECT id, 3, 'What changes might be needed in ' || base || '?', change_recipe, 'file' FROM qff WHERE change_recipe <> '')
+  SELECT id, 0 AS part, 0 AS qn, 'What does ' || base || ' do?' AS question, summary AS answer, 'function' AS level FROM qf
+  UNION ALL SELECT id, 0, 1, 'What are the potential risks of ' || base || '?', notes, 'function' FROM qf WHERE notes <> ''
+  UNION ALL SELECT id, 0, 2, 'What intent tags apply to ' || base || '?', tags, 'function' FROM qf WHERE tags <> ''
+  UNION ALL SELECT id, 0, 3, 'What changes might be needed for ' || base || '?', change_recipe, 'function' FROM qf WHERE change_recipe <> ''
+  UNION ALL SELECT qf.id, h.part, 4, 'Which headers declare ' || base || '?', h.headers, 'function' FROM qf JOIN hdr h ON h.id = qf.id WHERE h.headers <> ''
+  UNION ALL SELECT id, 0, 0, 'What is the overall purpose of ' || base || '?', summary, 'file' FROM qff
+  UNION ALL SELECT id, 0, 1, 'What are the potential risks in ' || base || '?', notes, 'file' FROM qff WHERE notes <> ''
+  UNION ALL SELECT id, 0, 2, 'What intent tags apply to ' || base || '?', tags, 'file' FROM qff WHERE tags <> ''
+  UNION ALL SELECT id, 0, 3, 'What changes might be needed in ' || base || '?', change_recipe, 'file' FROM qff WHERE change_recipe <> '')
 """
 
 
 def _qna(spark, sf):
-    return A.qna_generate(_enriched(spark, sf), _file_rows(spark, sf), _headers(spark, sf).select("id", "headers"))
+    return A.qna_generate(_enriched(spark, sf), _file_rows(spark, sf), _headers(spark, sf).select("id", "part", "headers"))
 
 
 @register("qna_generate", WFG + "," + STUB_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + "," + QNA_SQL + """
-SELECT id, CAST(qn AS INT) AS qn, question, answer, level FROM qna
+SELECT id, CAST(part AS INT) AS part, CAST(qn AS INT) AS qn, question, answer, level FROM qna
 """)
 def q_qna_generate(spark, sf):
-    return _qna(spark, sf).select("id", F.col("qn").cast("int").alias("qn"), "question", "answer", "level")
+    return _qna(spark, sf).select("id", F.col("part").cast("int").alias("part"), F.col("qn").cast("int").alias("qn"),
+                                  "question", "answer", "level")
 
 
-NEIGH_SQL = """
-cl AS (SELECT dst AS id, src AS other, row_number() OVER (PARTITION BY dst ORDER BY src) AS rk, count(*) OVER (PARTITION BY dst) AS n FROM edges),
-ce AS (SELECT src AS id, dst AS other, row_number() OVER (PARTITION BY src ORDER BY dst) AS rk, count(*) OVER (PARTITION BY src) AS n FROM edges),
-callers AS (SELECT id, string_agg(other, ',' ORDER BY rk) || CASE WHEN max(n) > 16 THEN ',+' || CAST(max(n) - 16 AS VARCHAR) || ' more' ELSE '' END AS callers
-            FROM cl WHERE rk <= 16 GROUP BY id),
-callees AS (SELECT id, string_agg(other, ',' ORDER BY rk) || CASE WHEN max(n) > 16 THEN ',+' || CAST(max(n) - 16 AS VARCHAR) || ' more' ELSE '' END AS callees
-            FROM ce WHERE rk <= 16 GROUP BY id)
-"""
+NEIGH_SQL = (list_parts_sql("cr", "edges", "dst", "src", ",", "callers") + "," + list_parts_sql("ce", "edges", "src", "dst", ",", "callees") + """,
+nb AS (SELECT coalesce(cr.id, ce.id) AS id, coalesce(cr.part, ce.part) AS part, cr.callers, ce.callees
+       FROM cr FULL JOIN ce ON ce.id = cr.id AND ce.part = cr.part)
+""")
 FNCTX_SQL = """
-fnctx AS (SELECT e.id, 'Function: ' || e.name || ' | File: ' || e.file_path || ' | LOC: ' || CAST(e.loc AS VARCHAR)
+fnctx AS (SELECT e.id, coalesce(nb.part, 0) AS part, 'Function: ' || e.name || ' | File: ' || e.file_path || ' | LOC: ' || CAST(e.loc AS VARCHAR)
                  || ', Cyclomatic: ' || CAST(e.cyclomatic AS VARCHAR) || ' | Intent tags: ' || array_to_string(e.tags, ',')
-                 || ' | Risk notes: ' || e.notes || ' | Callers: ' || coalesce(c1.callers, '') || ' | Callees: ' || coalesce(c2.callees, '')
+                 || ' | Risk notes: ' || e.notes || ' | Callers: ' || coalesce(nb.callers, '') || ' | Callees: ' || coalesce(nb.callees, '')
                  AS input_text, e.summary AS target_text
-          FROM enr e LEFT JOIN callers c1 ON c1.id = e.id LEFT JOIN callees c2 ON c2.id = e.id),
+          FROM enr e LEFT JOIN nb ON nb.id = e.id),
 filectx AS (SELECT id, 'File: ' || file_path || ' | LOC: ' || CAST(loc AS VARCHAR) || ' | Functions: ' || CAST(num_functions AS VARCHAR)
                    || ' | Intent: ' || array_to_string(tags, ',') AS input_text, summary AS target_text FROM froll),
 hctx AS (SELECT 'Header: ' || header_file || ' | Implementation: ' || implementation_file || ' | Function ID: ' || function_id AS input_text,
@@ -171,30 +166,29 @@ hctx AS (SELECT 'Header: ' || header_file || ' | Implementation: ' || implementa
 
 
 def _neighbors(spark, sf):
-    """Stage output: bounded, sorted caller and callee lists per function."""
+    """Stage output: (id, part, callers, callees), every caller and callee of a
+    function in one of its parts."""
     def build():
         _, edges, _ = P.call_graph(spark, sf)
-        callers = A.bounded_list(edges.select(F.col("dst").alias("id"), F.col("src").alias("callers")), "id", "callers",
-                                 [F.col("callers")], 16, ",")
-        callees = A.bounded_list(edges.select(F.col("src").alias("id"), F.col("dst").alias("callees")), "id", "callees",
-                                 [F.col("callees")], 16, ",")
-        return callers.select("id", "callers").join(callees.select("id", "callees"), "id", "full_outer")
-    nb = P.materialize(spark, sf, "neighbors", build)
-    return (nb.where(F.col("callers").isNotNull()).select("id", "callers"),
-            nb.where(F.col("callees").isNotNull()).select("id", "callees"))
+        callers = A.list_parts(edges.select(F.col("dst").alias("id"), F.col("src").alias("callers")), "id", "callers", ",")
+        callees = A.list_parts(edges.select(F.col("src").alias("id"), F.col("dst").alias("callees")), "id", "callees", ",")
+        return callers.select("id", "part", "callers").join(callees.select("id", "part", "callees"), ["id", "part"], "full_outer")
+    return P.materialize(spark, sf, "neighbors", build)
+
+
+def _with_neighbors(fn, spark, sf):
+    return fn.join(_neighbors(spark, sf), "id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 def _fn_ctx(spark, sf):
-    cr, ce = _neighbors(spark, sf)
-    fn = _enriched(spark, sf).join(cr, "id", "left").join(ce, "id", "left")
-    return A.train_function_context(fn)
+    return A.train_function_context(_with_neighbors(_enriched(spark, sf), spark, sf))
 
 
 @register("train_function_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + FNCTX_SQL + """
-SELECT id, input_text, target_text FROM fnctx
+SELECT id, CAST(part AS INT) AS part, input_text, target_text FROM fnctx
 """)
 def q_train_function_context(spark, sf):
-    return _fn_ctx(spark, sf)
+    return _fn_ctx(spark, sf).withColumn("part", F.col("part").cast("int"))
 
 
 @register("train_file_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + FNCTX_SQL + """
@@ -225,16 +219,15 @@ def q_training_union(spark, sf):
 
 
 @register("sft_instruction", WFG + "," + STUB_SQL + "," + NEIGH_SQL + """
-SELECT e.id, json_object('instruction', 'Explain what the function ' || e.name || ' in ' || e.file_path || ' does.',
-                         'input', 'Signature: ' || e.signature || chr(10) || 'Callers: ' || coalesce(c1.callers, '')
-                                  || chr(10) || 'Callees: ' || coalesce(c2.callees, ''),
-                         'output', e.summary)::VARCHAR AS record
-FROM enr e LEFT JOIN callers c1 ON c1.id = e.id LEFT JOIN callees c2 ON c2.id = e.id
+SELECT e.id, CAST(coalesce(nb.part, 0) AS INT) AS part,
+       json_object('instruction', 'Explain what the function ' || e.name || ' in ' || e.file_path || ' does.',
+                   'input', 'Signature: ' || e.signature || chr(10) || 'Callers: ' || coalesce(nb.callers, '')
+                            || chr(10) || 'Callees: ' || coalesce(nb.callees, ''),
+                   'output', e.summary)::VARCHAR AS record
+FROM enr e LEFT JOIN nb ON nb.id = e.id
 """)
 def q_sft_instruction(spark, sf):
-    cr, ce = _neighbors(spark, sf)
-    fn = _enriched(spark, sf).join(cr, "id", "left").join(ce, "id", "left")
-    return A.sft_instruction(fn)
+    return A.sft_instruction(_with_neighbors(_enriched(spark, sf), spark, sf)).withColumn("part", F.col("part").cast("int"))
 
 
 @register("union_function_file", WFG + "," + STUB_SQL + """
@@ -347,18 +340,12 @@ def q_infer_batched(spark, sf):
                     "infer_failed")
 
 
-@register("enrich_table", """WITH """ + CODE_CTES + "," + FLAGGED + """
-, pr AS (SELECT *, '        Summarize the following C function. IMPORTANT: Return only valid JSON (no surrounding text).' || chr(10)
-                   || '        Required keys: summary (string), intent_tags (list of strings), risk_notes (string), change_recipe (string), confidence (float 0-1).' || chr(10)
-                   || chr(10) || '        Function signature:' || chr(10) || '        ' || signature || chr(10) || chr(10)
-                   || '        Function body:' || chr(10) || '        ' || body || chr(10) || chr(10)
-                   || '        Return a single JSON object and nothing else.' || chr(10) AS prompt FROM flagged),
-h AS (SELECT *, sha1(prompt) AS hh FROM pr)
-SELECT id, file_path, loc, cyclomatic, array_to_string(""" + tags_expr() + """, ',') AS intent_tags,
-       """ + notes_expr() + """ AS risk_notes,
-       'stub summary ' || substring(hh, 1, 8) AS summary, '' AS change_recipe,
-       round(CAST(('0x' || substring(hh, 9, 2)) AS INT) / 255.0, 3) AS confidence_score
-FROM h
+@register("enrich_table", WF + "," + windows_sql("wd", "flagged", "id, signature", "body") + "," + dedent_sql("pr", "wd", "id, win", FUNCTION_RAW) + """
+, ans AS (SELECT id, win, """ + STUB_ANSWER + """ FROM pr),
+al AS (SELECT id, string_agg(answer, ' ' ORDER BY win) AS summary, min(conf) AS conf FROM ans GROUP BY id)
+SELECT f.id, file_path, loc, cyclomatic, array_to_string(""" + tags_expr() + """, ',') AS intent_tags,
+       """ + notes_expr() + """ AS risk_notes, al.summary, '' AS change_recipe, conf AS confidence_score
+FROM flagged f JOIN al ON al.id = f.id
 """)
 def q_enrich_table(spark, sf):
     e = I.enrich_table(P.c_units(spark, sf), "2026-01-01T00:00:00Z")
@@ -366,8 +353,90 @@ def q_enrich_table(spark, sf):
                     "summary", "change_recipe", F.round("confidence_score", 3).alias("confidence_score"))
 
 
+TOP_SQL = """
+topf AS (SELECT file_path, (rk - 1) // 8 AS part, string_agg(summary, chr(10) || chr(10) ORDER BY rk) AS top_text
+         FROM (SELECT file_path, summary, row_number() OVER (PARTITION BY file_path ORDER BY loc DESC, start_line) AS rk FROM enr)
+         GROUP BY file_path, part)
+"""
+
+
+@register("enrich_files", WFG + "," + STUB_SQL + "," + TOP_SQL + "," + dedent_sql("pr", "topf", "file_path, part", FILE_RAW) + """
+, ans AS (SELECT file_path, part, """ + STUB_ANSWER + """ FROM pr),
+al AS (SELECT file_path, string_agg(answer, ' ' ORDER BY part) AS summary, min(conf) AS conf FROM ans GROUP BY file_path)
+SELECT f.id, f.file_path, f.num_functions, f.loc, al.summary, '' AS change_recipe, al.conf AS confidence_score
+FROM froll f JOIN al ON al.file_path = f.file_path
+""")
+def q_enrich_files(spark, sf):
+    """File prompts through the model, all functions of a file in parts of 8."""
+    files = R.file_rollup(P.flagged(spark, sf)).select("id", "file_path", "num_functions", "loc")
+    e = I.enrich_files(R.files_in_parts(_enriched(spark, sf), 8, text="summary"), files)
+    return e.withColumn("confidence_score", F.round("confidence_score", 3))
+
+
+@register("segment_units", WFILES_SQL + """
+SELECT file_path, name, CAST(start_line AS BIGINT) AS start_line, 'c' AS language, 'function' AS kind FROM units2
+UNION ALL
+SELECT 'asm/f_' || s || '_' || (p // 1000) || '.asm', 'fn_' || p,
+       CAST(1 + coalesce(sum(3 + ncalls) OVER (PARTITION BY s, p // 1000 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT),
+       'asm', 'asm_block' FROM fntext WHERE s % 4 = 0
+UNION ALL
+SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.' || lang, '<file>', 1, 'other', 'full_file' FROM documents
+""")
+def q_segment_units(spark, sf):
+    """One tree of C, headers, assembly and other files: each by its suffix."""
+    files = P.code_files(spark, sf).unionByName(P.doc_files(spark, sf).select("file_path", "text"))
+    return S.segment_units(files).select("file_path", "name", F.col("start_line").cast("bigint").alias("start_line"), "language", "kind")
+
+
+def _chunks(spark, sf):
+    u = S.segment_whole_file(P.doc_files(spark, sf))
+    c = S.chunk_lines(u, 40, 30, text="body")
+    return c.select(F.lit("chunk").alias("type"), F.lit("causal").alias("kind"), "name", F.col("chunk_text").alias("text"),
+                    F.col("file_path").alias("source_file"), F.col("chunk_start_line").alias("start_line"),
+                    F.col("chunk_end_line").alias("end_line"), "language")
+
+
+CHUNK_SQL = r"""
+u AS (SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.' || lang AS source_file,
+             string_split(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g'), chr(10)) AS ls FROM documents
+      WHERE length(regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g')) > 0),
+st AS (SELECT *, len(ls) AS n, unnest(generate_series(1, greatest(len(ls) - 40 + 30, 1), 30)) AS s FROM u),
+chunks AS (SELECT source_file, CAST(s AS INT) AS start_line, CAST(least(s + 39, n) AS INT) AS end_line,
+                  array_to_string(ls[s:least(s + 39, n)], chr(10)) AS text FROM st WHERE s = 1 OR s <= n - 10)
+"""
+
+
+@register("chunk_records", "WITH " + CHUNK_SQL + """
+SELECT 'chunk' AS type, 'causal' AS kind, '<file>' AS name, text, source_file, start_line, end_line, 'other' AS language,
+       sha256(text) AS sha256 FROM chunks
+""")
+def q_chunk_records(spark, sf):
+    return _chunks(spark, sf).withColumn("sha256", F.sha2(F.col("text").cast("binary"), 256))
+
+
+def _assist_sql(mode, prompt, instruction):
+    return "WITH " + CHUNK_SQL + f"""
+, a AS (SELECT *, '{prompt}' || chr(10) || text || chr(10) AS prompt FROM chunks),
+o AS (SELECT *, '{{"summary": "stub summary ' || substring(sha1(prompt), 1, 8) || '", "intent_tags": [], "risk_notes": "", "change_recipe": "", "confidence": '
+             || CAST(round(CAST(('0x' || substring(sha1(prompt), 9, 2)) AS INT) / 255.0, 3) AS VARCHAR) || '}}' AS target FROM a)
+SELECT 'seq2seq_pair' AS type, 'seq2seq' AS kind, '<file>' AS name, source_file, start_line, end_line, 'other' AS language,
+       sha256(text || target) AS sha256, '{instruction}' || chr(10) || chr(10) || '### Code:' || chr(10) || text || chr(10) || chr(10) || '### Output:' AS input,
+       target FROM o
+"""
+
+
+@register("assist_pairs", _assist_sql("summarize", "Summarize this code:", "Summarize the purpose of this code:"))
+def q_assist_pairs(spark, sf):
+    return I.assist_pairs(_chunks(spark, sf))
+
+
+@register("assist_pairs_patch", _assist_sql("patch", "Suggest a patch for this code:", "Suggest a short, safe improvement or minimal patch:"))
+def q_assist_pairs_patch(spark, sf):
+    return I.assist_pairs(_chunks(spark, sf), "patch")
+
+
 @register("incremental_enrich", """
-SELECT CAST(doc_id AS VARCHAR) AS id, lang, substring(sha1(substring(coalesce(text, ''), 1, 10000)), 1, 12) AS sha1 FROM documents
+SELECT CAST(doc_id AS VARCHAR) AS id, lang, sha256(coalesce(text, '')) AS sha256 FROM documents
 """)
 def q_incremental_enrich(spark, sf):
     """Documents land as JSON files in two drops; the stream processes each
@@ -377,12 +446,12 @@ def q_incremental_enrich(spark, sf):
     docs = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), "text", "lang")
     schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType()),
                            T.StructField("lang", T.StringType())])
-    proc = lambda df: df.select("id", "lang", M.sha1_short("text").alias("sha1"))
+    proc = lambda df: df.select("id", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
     docs.where(F.col("lang") == "en").write.json(os.path.join(src, "drop1"))
     ST.incremental_enrich(spark, src + "/*", schema, out, ck, proc)
     docs.write.json(os.path.join(src, "drop2"))  # re-sends the English ids too
     ST.incremental_enrich(spark, src + "/*", schema, out, ck, proc)
-    return ST.read_output(spark, out).select("id", "lang", "sha1")
+    return ST.read_output(spark, out).select("id", "lang", "sha256")
 
 
 @register("stream_call_stats", """
@@ -403,27 +472,23 @@ def q_stream_call_stats(spark, sf):
 # sources and sinks over a tree that Spark writes from the documents table
 # --------------------------------------------------------------------------
 
-def _doc_tree(spark, sf):
-    """Documents written as one text file each (``source=<s>/part-*.txt``)
-    under the shared scratch folder."""
-    from ..plans.pipeline import _MEMO
-    key = (spark.sparkContext.applicationId, sf, "doc_tree")
-    if key not in _MEMO:
-        base = scratch_path(spark, "doc-tree")
-        d = load(spark, sf, "documents").select("text", "source")
-        d.write.option("maxRecordsPerFile", 1).partitionBy("source").text(base)
-        _MEMO[key] = base
-    return _MEMO[key]
-
-
 @register("scan_files", """
-SELECT CAST(octet_length(encode(text || chr(10))) AS BIGINT) AS file_size, 'txt' AS file_extension, sha256(text || chr(10)) AS sha256
-FROM documents
+SELECT '_source=' || source || '/b=' || CAST(doc_id // 640 AS VARCHAR) AS folder, true AS named, 'txt' AS file_extension,
+       CAST(octet_length(encode(string_agg(text, chr(10) ORDER BY doc_id) || chr(10))) AS BIGINT) AS file_size,
+       sha256(string_agg(text, chr(10) ORDER BY doc_id) || chr(10)) AS sha256
+FROM documents GROUP BY source, doc_id // 640
 """)
 def q_scan_files(spark, sf):
-    root = _doc_tree(spark, sf)
+    """An index of a tree of text files with hidden-looking folder names, each
+    of the at most 640 documents of a block of ids."""
+    root = scratch_path(spark, "doc-tree")
+    d = load(spark, sf, "documents").select("doc_id", F.col("source").alias("_source"), F.expr("doc_id div 640").alias("b"), "text")
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "text"))), lambda x: x["text"])
+    d.groupBy("_source", "b").agg(F.array_join(lines, "\n").alias("value")).write.partitionBy("_source", "b").text(root)
     idx = IO.file_index(spark, root, ["txt"])
-    return idx.select("file_size", "file_extension", "sha256")
+    named = (F.col("file_name") == F.element_at(F.split("repo_relative_path", "/"), -1)) & F.col("file_path").endswith(F.col("repo_relative_path"))
+    return idx.select(F.regexp_replace("repo_relative_path", "/[^/]+$", "").alias("folder"), named.alias("named"),
+                      "file_extension", "file_size", "sha256")
 
 
 @register("read_jsonl_lenient", """
@@ -480,58 +545,54 @@ def q_load_training_json(spark, sf):
 @register("token_cache", """
 WITH t AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\\S+'),
                   lambda x: CAST(CAST(('0x' || substring(sha1(x), 1, 7)) AS BIGINT) % 32000 AS INT)) AS ids FROM documents),
-c AS (SELECT doc_id, ids[1:64] AS cut FROM t)
-SELECT doc_id, array_to_string(list_concat(cut, list_transform(range(greatest(0, 64 - len(cut))), lambda x: 0)), ',') AS input_ids FROM c
+w AS (SELECT doc_id, ids, unnest(range(greatest(1, CAST(ceil(len(ids) / 64.0) AS BIGINT)))) AS win FROM t),
+c AS (SELECT doc_id, win, ids[win * 64 + 1:(win + 1) * 64] AS cut FROM w)
+SELECT doc_id, CAST(win AS INT) AS win,
+       array_to_string(list_concat(cut, list_transform(range(greatest(0, 64 - len(cut))), lambda x: 0)), ',') AS input_ids FROM c
 """)
 def q_token_cache(spark, sf):
     base = scratch_path(spark, "token-cache")
     d = load(spark, sf, "documents")
 
     def build():
-        ids, mask, labels = A.tokenize_pad(A.tokenize_ids(F.col("text")), 64)
-        return d.select("doc_id", ids.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
-    IO.token_cache(spark, base, sf, {"max_len": 64}, build)
-    return IO.token_cache(spark, base, sf, {"max_len": 64}, build).select("doc_id", P.csv("input_ids").alias("input_ids"))
-
-
-@register("prompt_function_graph", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + """
-SELECT e.id, 'Function ' || e.name || ' in ' || e.file_path || chr(10) || 'Signature: ' || e.signature || chr(10)
-             || 'Callers: ' || coalesce(c1.callers, '') || chr(10) || 'Callees: ' || coalesce(c2.callees, '') || chr(10)
-             || 'Declared in: ' || coalesce(h.headers, '') || chr(10) || 'Body:' || chr(10)
-             || CASE WHEN len(regexp_extract_all(e.body, '\\S+')) <= 512 THEN e.body
-                     ELSE array_to_string(regexp_extract_all(e.body, '\\S+')[1:512], ' ') END AS prompt
-FROM enr e LEFT JOIN callers c1 ON c1.id = e.id LEFT JOIN callees c2 ON c2.id = e.id LEFT JOIN hdr h ON h.id = e.id
+        w = A.tokenize_windows(A.tokenize_ids(F.col("text")), 64)
+        return d.select("doc_id", F.explode(w).alias("w")).select("doc_id", "w.*")
+    version = IO.content_version(d.select("doc_id", "text"))
+    IO.token_cache(spark, base, version, {"max_len": 64}, build)
+    return IO.token_cache(spark, base, version, {"max_len": 64}, build).select(
+        "doc_id", F.col("window").alias("win"), P.csv("input_ids").alias("input_ids"))
+
+
+@register("prompt_function_graph", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + ","
+          + windows_sql("wd", "units2", "id", "body") + """
+, p0 AS (SELECT coalesce(nb.id, h.id) AS id, coalesce(nb.part, h.part) AS part, callers, callees, headers
+         FROM nb FULL JOIN hdr h ON h.id = nb.id AND h.part = nb.part),
+pp AS (SELECT coalesce(p0.id, wd.id) AS id, coalesce(p0.part, wd.win) AS part, callers, callees, headers, piece
+       FROM p0 FULL JOIN wd ON wd.id = p0.id AND wd.win = p0.part)
+SELECT e.id, CAST(part AS INT) AS part, 'Function ' || e.name || ' in ' || e.file_path || chr(10) || 'Signature: ' || e.signature || chr(10)
+             || 'Callers: ' || coalesce(callers, '') || chr(10) || 'Callees: ' || coalesce(callees, '') || chr(10)
+             || 'Declared in: ' || coalesce(headers, '') || chr(10) || 'Body:' || chr(10) || coalesce(piece, '') AS prompt
+FROM enr e JOIN pp ON pp.id = e.id
 """)
 def q_prompt_function_graph(spark, sf):
-    """Graph-aware prompt: callers, callees and declaring headers (each a
-    bounded, sorted list) around the token-cut body."""
+    """Graph-aware prompts: part i of a function has part i of its callers,
+    callees and declaring headers and window i of its body, so each item and
+    each token is in one prompt."""
     from ..functions import text as X
-    cr, ce = _neighbors(spark, sf)
-    h = _headers(spark, sf).select("id", "headers")
-    fn = P.c_units(spark, sf).join(cr, "id", "left").join(ce, "id", "left").join(h, "id", "left")
-    return fn.select("id", X.prompt_function_graph("name", "file_path", "signature", "callers", "callees", "headers",
-                                                   "body").alias("prompt"))
-
-
-@register("prompt_file", WFG + "," + STUB_SQL + """
-, top AS (SELECT file_path, summary, loc, start_line,
-                 row_number() OVER (PARTITION BY file_path ORDER BY loc DESC, start_line) AS rk FROM enr)
-SELECT file_path, '        Summarize this file: ' || file_path || '.' || chr(10)
-       || '        Aggregate the provided function summaries and return only a single JSON object with keys:' || chr(10)
-       || '        - summary (string)' || chr(10) || '        - intent_tags (list of strings)' || chr(10)
-       || '        - risk_notes (string)' || chr(10) || '        - change_recipe (string)' || chr(10)
-       || '        - confidence (float 0-1)' || chr(10) || chr(10)
-       || '        Content (top 8 functions by LOC):' || chr(10)
-       || '        ' || string_agg(summary, chr(10) || chr(10) ORDER BY rk) || chr(10) || chr(10)
-       || '        Return strictly one JSON object and nothing else.' || chr(10) AS prompt
-FROM top WHERE rk <= 8 GROUP BY file_path
+    u = P.c_units(spark, sf)
+    body = u.select("id", F.posexplode(X.token_windows(F.col("body"))).alias("part", "piece"))
+    parts = (_neighbors(spark, sf).join(_headers(spark, sf).select("id", "part", "headers"), ["id", "part"], "full_outer")
+             .join(body, ["id", "part"], "full_outer"))
+    fn = u.select("id", "name", "file_path", "signature").join(parts, "id")
+    return fn.select("id", F.col("part").cast("int").alias("part"),
+                     X.prompt_function_graph("name", "file_path", "signature", "callers", "callees", "headers", "piece").alias("prompt"))
+
+
+@register("prompt_file", WFG + "," + STUB_SQL + "," + TOP_SQL + "," + dedent_sql("pr", "topf", "file_path, part", FILE_RAW) + """
+SELECT file_path, CAST(part AS INT) AS part, prompt FROM pr
 """)
 def q_prompt_file(spark, sf):
-    """File prompt: the 8 largest functions' summaries (top-n per file, cut
-    map-side) inside the file template."""
+    """File prompts: the functions' summaries, largest first, 8 to a prompt."""
     from ..functions import text as X
-    top = R.top_n_per_file(_enriched(spark, sf), 8, text="summary")
-    return top.select("file_path", X.prompt_file(F.col("file_path"), F.col("top_text"), 8).alias("prompt"))
-
-
-_ = (G, STUB_SQL)
+    top = R.files_in_parts(_enriched(spark, sf), 8, text="summary")
+    return top.select("file_path", "part", X.prompt_file(F.col("file_path"), F.col("top_text"), 8).alias("prompt"))

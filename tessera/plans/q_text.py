@@ -12,7 +12,7 @@ from ..operators import segment as S
 from ..session import load
 from . import pipeline as P
 from .registry import register
-from .sql_code import CODE_CTES, q
+from .sql_code import CODE_CTES, FUNCTION_RAW, dedent_sql, windows_sql
 
 DOC_PATH = "source || '/' || CAST(doc_id AS VARCHAR) || '.' || lang"
 STRIP_SQL = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
@@ -108,14 +108,11 @@ def q_chunk_tokens(spark, sf):
 
 
 @register("dedupe_exact", """
-SELECT sha1, min(doc_id) AS doc_id FROM (
-  SELECT doc_id, substring(sha1(substring(coalesce(text, ''), 1, 10000)), 1, 12) AS sha1 FROM documents
-  WHERE length(coalesce(text, '')) >= 20)
-GROUP BY sha1
+SELECT sha256(coalesce(text, '')) AS sha256, min(doc_id) AS doc_id FROM documents
+WHERE length(coalesce(text, '')) >= 20 GROUP BY 1
 """)
 def q_dedupe_exact(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "text", M.sha1_short("text").alias("sha1"))
-    return R.dedupe_exact(d, key="sha1", order="doc_id", text="text", min_chars=20, min_lines=1).select("sha1", "doc_id")
+    return R.dedupe_exact(_docs(spark, sf), order="doc_id", text="text", min_chars=20, min_lines=1)
 
 
 @register("shuffle_split", """
@@ -248,15 +245,31 @@ def q_strip_completion(spark, sf):
     return pairs.select("conv_id", "turn", X.strip_completion(out, F.col("input"), "###").alias("completion"))
 
 
-@register("seq2seq_from_versions", """
+@register("seq2seq_turn_pairs", """
 SELECT u.conv_id, u.turn, u.text AS input, a.text AS target FROM conversations u
 JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
 WHERE u.role = 'user' AND a.role = 'assistant'
 """)
-def q_seq2seq(spark, sf):
+def q_seq2seq_turn_pairs(spark, sf):
     return A.seq2seq_turn_pairs(load(spark, sf, "conversations"))
 
 
+@register("seq2seq_from_versions", f"""
+WITH old AS (SELECT {DOC_PATH} AS file_path, coalesce(text, '') AS t FROM documents WHERE lang <> 'de'),
+new AS (SELECT {DOC_PATH} AS file_path, CASE WHEN source = 'src1' THEN coalesce(text, '') || '!' ELSE coalesce(text, '') END AS t
+        FROM documents WHERE lang <> 'fr')
+SELECT o.file_path, o.t AS before, n.t AS after FROM old o JOIN new n ON n.file_path = o.file_path WHERE o.t <> n.t
+""")
+def q_seq2seq_from_versions(spark, sf):
+    """Before/after pairs of the files that changed between two snapshots."""
+    d = P.doc_files(spark, sf).withColumn("text", F.coalesce("text", F.lit("")))
+    sha = F.sha2(F.col("text").cast("binary"), 256).alias("sha256")
+    old = d.where(F.col("lang") != "de").select("file_path", "text", sha)
+    edited = d.withColumn("text", F.when(F.col("source") == "src1", F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    new = edited.where(F.col("lang") != "fr").select("file_path", "text", sha)
+    return A.seq2seq_from_versions(old, new, ["file_path"], sha="sha256").select("file_path", "before", "after")
+
+
 @register("assist_payload", "WITH " + CODE_CTES + """
 SELECT id, 'Summarize the purpose of this code:' || chr(10) || chr(10) || '### Code:' || chr(10) || body
            || chr(10) || chr(10) || '### Output:' AS input,
@@ -268,38 +281,49 @@ def q_assist_payload(spark, sf):
     return u.select("id", X.assist_payload(F.col("body")).alias("input"), X.assist_prompt(F.col("body")).alias("prompt"))
 
 
-@register("prompt_function", "WITH " + CODE_CTES + """
-SELECT id, '        Summarize the following C function. IMPORTANT: Return only valid JSON (no surrounding text).' || chr(10)
-           || '        Required keys: summary (string), intent_tags (list of strings), risk_notes (string), change_recipe (string), confidence (float 0-1).' || chr(10)
-           || chr(10) || '        Function signature:' || chr(10) || '        ' || signature || chr(10) || chr(10)
-           || '        Function body:' || chr(10) || '        ' || body || chr(10) || chr(10)
-           || '        Return a single JSON object and nothing else.' || chr(10) AS prompt
-FROM units2
+@register("prompt_function", "WITH " + CODE_CTES + "," + windows_sql("wd", "units2", "id, signature", "body") + ","
+          + dedent_sql("pr", "wd", "id, win", FUNCTION_RAW) + """
+SELECT id, CAST(win AS INT) AS win, prompt FROM pr
 """)
 def q_prompt_function(spark, sf):
-    """Function prompts (template + dedent + token cut). Every C body has an
-    unindented line ("{"), so dedent keeps the template's indentation, which
-    is what the SQL twin writes out."""
+    """Function prompts (template + dedent), one for each token window of the body."""
     u = P.c_units(spark, sf)
-    return u.select("id", X.prompt_function(F.col("signature"), F.col("body"),
-                                            M.suffix("file_path") == ".asm").alias("prompt"))
+    w = u.select("id", "signature", (M.suffix("file_path") == ".asm").alias("asm"), F.posexplode(X.token_windows(F.col("body"))).alias("win", "piece"))
+    return w.select("id", "win", X.prompt_function(F.col("signature"), F.col("piece"), F.col("asm")).alias("prompt"))
+
+
+_IDS = "list_transform(regexp_extract_all(coalesce({0}, ''), '\\S+'), lambda x: CAST(CAST(('0x' || substring(sha1(x), 1, 7)) AS BIGINT) % 32000 AS INT))"
+
+
+def _pad_sql(ids, width, pad):
+    return f"array_to_string(list_concat({ids}, list_transform(range(greatest(0, {width} - len({ids}))), lambda x: {pad})), ',')"
 
 
 @register("tokenize_pad", f"""
-WITH t AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '\\S+'),
-                  lambda x: CAST(CAST(('0x' || substring(sha1(x), 1, 7)) AS BIGINT) % 32000 AS INT)) AS ids FROM documents),
-c AS (SELECT doc_id, ids[1:32] AS cut FROM t)
-SELECT doc_id,
-       array_to_string(list_concat(cut, list_transform(range(greatest(0, 32 - len(cut))), lambda x: 0)), ',') AS input_ids,
-       array_to_string(list_concat(list_transform(cut, lambda x: 1), list_transform(range(greatest(0, 32 - len(cut))), lambda x: 0)), ',') AS attention_mask,
-       array_to_string(list_concat(cut, list_transform(range(greatest(0, 32 - len(cut))), lambda x: -100)), ',') AS labels
+WITH t AS (SELECT doc_id, {_IDS.format('text')} AS ids FROM documents),
+w AS (SELECT doc_id, ids, unnest(range(greatest(1, CAST(ceil(len(ids) / 32.0) AS BIGINT)))) AS win FROM t),
+c AS (SELECT doc_id, win, len(ids) AS n, ids[win * 32 + 1:(win + 1) * 32] AS cut FROM w)
+SELECT doc_id, CAST(win AS INT) AS win, CAST(least(win * 32, n) AS INT) AS start, CAST(least(win * 32 + 32, n) AS INT) AS "end",
+       {_pad_sql('cut', 32, 0)} AS input_ids, {_pad_sql('list_transform(cut, lambda y: 1)', 32, 0)} AS attention_mask,
+       {_pad_sql('cut', 32, -100)} AS labels
 FROM c
 """)
 def q_tokenize_pad(spark, sf):
-    d = _docs(spark, sf)
-    ids, mask, labels = A.tokenize_pad(A.tokenize_ids(F.col("text")), 32)
-    return d.select("doc_id", P.csv(ids).alias("input_ids"), P.csv(mask).alias("attention_mask"),
-                    P.csv(labels).alias("labels"))
+    w = A.tokenize_windows(A.tokenize_ids(F.col("text")), 32)
+    d = _docs(spark, sf).select("doc_id", F.explode(w).alias("w")).select("doc_id", "w.*")
+    return d.select("doc_id", F.col("window").alias("win"), "start", "end", *[P.csv(c).alias(c) for c in ("input_ids", "attention_mask", "labels")])
 
 
-_ = q
+@register("tokenize_pad_target", f"""
+WITH t AS (SELECT u.conv_id, u.turn, {_IDS.format('u.text')} AS i, {_IDS.format('a.text')} AS l FROM conversations u
+           JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 WHERE u.role = 'user' AND a.role = 'assistant'),
+w AS (SELECT *, unnest(range(greatest(1, CAST(ceil(greatest(len(i), len(l)) / 16.0) AS BIGINT)))) AS win FROM t),
+c AS (SELECT conv_id, turn, win, i[win * 16 + 1:(win + 1) * 16] AS ci, l[win * 16 + 1:(win + 1) * 16] AS cl FROM w)
+SELECT conv_id, turn, CAST(win AS INT) AS win, {_pad_sql('ci', 16, 0)} AS input_ids, {_pad_sql('cl', 16, -100)} AS labels FROM c
+""")
+def q_tokenize_pad_target(spark, sf):
+    """Labels from the target text (encoder-decoder training)."""
+    pairs = A.seq2seq_turn_pairs(load(spark, sf, "conversations"))
+    w = A.tokenize_windows(A.tokenize_ids(F.col("input")), 16, A.tokenize_ids(F.col("target")))
+    d = pairs.select("conv_id", "turn", F.explode(w).alias("w")).select("conv_id", "turn", "w.*")
+    return d.select("conv_id", "turn", F.col("window").alias("win"), *[P.csv(c).alias(c) for c in ("input_ids", "labels")])

@@ -28,7 +28,7 @@ CODE_CTES = f"""
 defs AS (SELECT DISTINCT l_suppkey AS s, l_partkey AS p FROM lineitem),
 calls AS (SELECT DISTINCT a.l_suppkey AS s, a.l_partkey AS p, b.l_partkey AS c
           FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1
-          WHERE a.l_partkey <> b.l_partkey),
+          WHERE a.l_partkey <> b.l_partkey AND b.l_partkey % 10 <> 0),
 callagg AS (SELECT s, p, count(*) AS ncalls,
                    string_agg('    if (x&&y) fn_' || c || '(x);' || {NL}, '' ORDER BY c) AS call_lines
             FROM calls GROUP BY s, p),
@@ -114,3 +114,53 @@ files AS (
   UNION ALL
   SELECT 'asm/f_' || s || '_' || (p // 1000) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 1000)
 """
+
+
+def list_parts_sql(name: str, source: str, key: str, item: str, sep: str, out: str, size: int = 64) -> str:
+    """Twin of ``assemble.list_parts``."""
+    return f"""
+{name}_n AS (SELECT {key} AS id, {item} AS item, count(*) OVER (PARTITION BY {key}) AS n FROM {source}),
+{name}_p AS (SELECT *, CAST(ceil(n / {size}.0) AS BIGINT) AS parts FROM {name}_n),
+{name} AS (SELECT id, part, parts, n, string_agg(item, '{sep}' ORDER BY item) AS {out}
+           FROM (SELECT *, CAST(('0x' || substring(sha1(CAST(item AS VARCHAR)), 1, 7)) AS BIGINT) % parts AS part FROM {name}_p)
+           GROUP BY id, part, parts, n)
+"""
+
+
+def windows_sql(name: str, source: str, keys: str, text: str, n: int = 512) -> str:
+    """Twin of ``text.token_windows``: {name} has keys, win and piece."""
+    return rf"""
+{name}_p AS (SELECT {keys}, regexp_extract_all({text}, '\s*\S+') AS pc, regexp_extract({text}, '(\s*)\z', 1) AS tl FROM {source}),
+{name}_n AS (SELECT *, greatest(1, CAST(ceil(len(pc) / {n}.0) AS BIGINT)) AS nw FROM {name}_p),
+{name}_w AS (SELECT *, unnest(range(nw)) AS win FROM {name}_n),
+{name}_x AS (SELECT *, array_to_string(pc[win * {n} + 1:(win + 1) * {n}], '') AS x FROM {name}_w),
+{name} AS (SELECT {keys}, win, (CASE WHEN win = 0 THEN x ELSE regexp_replace(x, '^\s+', '') END)
+                  || (CASE WHEN win = nw - 1 THEN tl ELSE '' END) AS piece FROM {name}_x)
+"""
+
+
+def dedent_sql(name: str, source: str, keys: str, raw: str) -> str:
+    """Twin of ``text.dedent``: {name} has keys and prompt."""
+    return rf"""
+{name}_l AS (SELECT {keys}, list_transform(string_split({raw}, chr(10)), lambda l: CASE WHEN regexp_matches(l, '^\s*$') THEN '' ELSE l END) AS ls FROM {source}),
+{name}_m AS (SELECT *, coalesce(list_min(list_transform(list_filter(ls, lambda l: l <> ''), lambda l: length(regexp_extract(l, '^( *)', 1)))), 0) AS mg FROM {name}_l),
+{name} AS (SELECT {keys}, array_to_string(list_transform(ls, lambda l: CASE WHEN l = '' THEN l ELSE substring(l, mg + 1) END), chr(10)) AS prompt FROM {name}_m)
+"""
+
+
+FUNCTION_RAW = (
+    "'        Summarize the following C function. IMPORTANT: Return only valid JSON (no surrounding text).' || chr(10)"
+    " || '        Required keys: summary (string), intent_tags (list of strings), risk_notes (string), change_recipe (string), confidence (float 0-1).' || chr(10)"
+    " || chr(10) || '        Function signature:' || chr(10) || '        ' || signature || chr(10) || chr(10)"
+    " || '        Function body:' || chr(10) || '        ' || piece || chr(10) || chr(10)"
+    " || '        Return a single JSON object and nothing else.' || chr(10)")
+FILE_RAW = (
+    "'        Summarize this file: ' || file_path || '.' || chr(10)"
+    " || '        Aggregate the provided function summaries and return only a single JSON object with keys:' || chr(10)"
+    " || '        - summary (string)' || chr(10) || '        - intent_tags (list of strings)' || chr(10)"
+    " || '        - risk_notes (string)' || chr(10) || '        - change_recipe (string)' || chr(10)"
+    " || '        - confidence (float 0-1)' || chr(10) || chr(10) || '        Content (top 8 functions by LOC):' || chr(10)"
+    " || '        ' || top_text || chr(10) || chr(10) || '        Return strictly one JSON object and nothing else.' || chr(10)")
+# the stand-in model's answer to a prompt
+STUB_ANSWER = ("'stub summary ' || substring(sha1(prompt), 1, 8) AS answer, "
+               "round(CAST(('0x' || substring(sha1(prompt), 9, 2)) AS INT) / 255.0, 3) AS conf")

@@ -65,19 +65,23 @@ def configure(spark: SparkSession) -> SparkSession:
 _LOCAL_CKPT: str | None = None
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one process (``local-cluster`` is not)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; only when it is unset
-    (local tests) point it at a fresh scratch folder."""
+    """The cluster's ``spark.checkpoint.dir``, which all its machines share.
+    Only a local master may leave it unset (tests): it then gets a scratch
+    folder of this process. Anything else raises, since what executors write
+    to their own disks others don't find."""
     global _LOCAL_CKPT
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        try:
-            d = spark.conf.get("spark.checkpoint.dir", None)
-        except Exception:  # noqa: BLE001
-            d = None
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        # unset (local tests only): one scratch folder per process
+        if not is_local(spark):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         d = _LOCAL_CKPT
@@ -86,15 +90,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """A write to ``path`` was completed (its success marker is there)."""
+    fs, p = _fs(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return fs.exists(p)
+
+
+def tables_version(spark: SparkSession, sf_dir: str) -> str:
+    """Name, length and time of what lies in ``sf_dir``: other input, other version."""
+    fs, p = _fs(spark, sf_dir)
+    return "|".join(sorted(f"{x.getPath().getName()}:{x.getLen()}:{x.getModificationTime()}" for x in fs.listStatus(p)))
+
+
 def drop_state(spark: SparkSession, df: DataFrame) -> None:
     """Delete the folder behind a frame produced by :func:`cut_lineage`
     once nothing refers to it (superseded loop state)."""
     path = getattr(df, "_tessera_state_path", None)
-    if not path:
-        return
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    if path:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
 
 
 def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
@@ -113,18 +132,8 @@ def cut_lineage(df: DataFrame, name: str = "state") -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    for t in TABLES:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(p):
-            load(spark, sf_dir, t).createOrReplaceTempView(t)

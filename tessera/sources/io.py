@@ -1,8 +1,8 @@
 """Sources and sinks: file trees, text decoding, JSON Lines, caches.
 
-Note on ``scan_files``: Spark's file listing skips every file or directory
-whose name starts with ``_`` or ``.`` (Hadoop's hidden-file rule); the
-reference keeps them (it only prunes ``.git``). Such files are not indexed.
+Trees are listed level by level as Spark jobs into a manifest of paths, and
+files are read by that manifest. Unlike Spark's own listing this keeps names
+that start with ``_`` or ``.``; only ``.git`` folders are pruned.
 """
 
 from __future__ import annotations
@@ -11,28 +11,73 @@ import hashlib
 import json
 import os
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import metrics as M
+from ..session import cut_lineage, written
+
+_ENTRY = "path string, is_dir boolean, length long, modified double"
 
 
 def _exts(extensions) -> list[str]:
     return sorted({(e if e.startswith(".") else "." + e).lower() for e in extensions})
 
 
+def _uri(path: str) -> str:
+    return path.rstrip("/") if "://" in path else "file://" + os.path.abspath(path.removeprefix("file:"))
+
+
+def _children(batches):
+    """The entries of each folder of a batch."""
+    for pdf in batches:
+        rows = []
+        for uri in pdf["path"]:
+            fs, base = pafs.FileSystem.from_uri(uri)
+            for x in fs.get_file_info(pafs.FileSelector(base)):
+                rows.append((f"{uri}/{x.base_name}", x.type == pafs.FileType.Directory, x.size,
+                             x.mtime.timestamp() if x.mtime else None))
+        yield pd.DataFrame(rows, columns=["path", "is_dir", "length", "modified"])
+
+
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length, modified) of every file below ``root``: one job for each
+    level of folders, whose listings stay on the executors."""
+    level = spark.createDataFrame([(_uri(root),)], "path string")
+    files = None
+    while True:
+        n = max(1, min(level.count(), spark.sparkContext.defaultParallelism * 4))
+        found = cut_lineage(level.repartition(n).mapInPandas(_children, _ENTRY), "manifest")
+        here = found.where(~F.col("is_dir")).drop("is_dir")
+        files = here if files is None else files.unionByName(here)
+        level = found.where("is_dir").where(M.file_name("path") != ".git").select("path")
+        if level.isEmpty():
+            return files
+
+
+def _contents(batches):
+    for pdf in batches:
+        def read(uri):
+            fs, path = pafs.FileSystem.from_uri(uri)
+            with fs.open_input_stream(path) as f:
+                return f.read()
+        for i in range(len(pdf)):  # one file in memory at a time
+            yield pdf.iloc[i:i + 1].assign(content=[read(pdf["path"].iloc[i])])
+
+
 def scan_files(spark: SparkSession, root: str, extensions=None, with_content: bool = True) -> DataFrame:
-    """Recursive listing of ``root`` with a case-insensitive suffix filter.
-
-    Columns: path (URI), file_path (local path), length, modificationTime,
-    content (binary, only read when selected). ``.git`` subtrees are pruned
-    by a path filter after listing."""
-    r = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root))
-    path = F.regexp_replace(F.col("path"), r"^file:", "")
-    df = r.withColumn("file_path", path).where(~F.col("file_path").contains("/.git/"))
+    """Every file of a tree with a case-insensitive suffix filter.
+
+    Columns: path (URI), file_path (local path, or the URI elsewhere),
+    relative_path, length, modified and content (binary)."""
+    base = _uri(root)
+    df = (manifest(spark, root).withColumn("file_path", F.regexp_replace("path", "^file://", ""))
+          .withColumn("relative_path", F.substring(F.col("path"), F.lit(len(base) + 2), F.length("path"))))
     if extensions:
         df = df.where(M.suffix("file_path").isin(*_exts(extensions)))
-    if not with_content:
-        df = df.drop("content")
+    if with_content:
+        df = df.mapInPandas(_contents, T.StructType(df.schema.fields + [T.StructField("content", T.BinaryType())]))
     return df
 
 
@@ -45,13 +90,11 @@ def file_index(spark: SparkSession, root: str, extensions) -> DataFrame:
     """The file index record: name, path, size, mtime, extension, relative
     path, sha256 (content is hashed inside the scan task)."""
     f = scan_files(spark, root, extensions)
-    base = os.path.abspath(root).rstrip("/") + "/"
     return f.select(
         M.file_name("file_path").alias("file_name"), "file_path",
-        F.col("length").alias("file_size"), F.col("modificationTime").alias("last_modified_time"),
+        F.col("length").alias("file_size"), F.timestamp_seconds("modified").alias("last_modified_time"),
         F.lit(None).cast("timestamp").alias("file_creation_time"),
-        M.extension("file_path").alias("file_extension"),
-        F.regexp_replace("file_path", "^" + base.replace(".", r"\."), "").alias("repo_relative_path"),
+        M.extension("file_path").alias("file_extension"), F.col("relative_path").alias("repo_relative_path"),
         M.content_sha256("content").alias("sha256"))
 
 
@@ -91,13 +134,17 @@ def load_training_json(spark: SparkSession, path: str, schema: T.StructType, dry
     return df
 
 
+def content_version(df: DataFrame) -> str:
+    """A version of a table's rows, whatever their order."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("s")).first()
+    return f"{r.n}-{r.s}"
+
+
 def token_cache(spark: SparkSession, base: str, source_version: str, params: dict, build) -> DataFrame:
-    """Reuse a materialised (tokenised) table keyed by input version and
-    parameters; build and write it as Parquet when missing."""
+    """Reuse a materialised (tokenised) table keyed by the input's content
+    version and the parameters; build and write it as Parquet when missing."""
     key = hashlib.sha1(json.dumps([source_version, params], sort_keys=True).encode()).hexdigest()[:16]
-    path = os.path.join(base, f"tokens-{key}")
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - not built yet
+    path = f"{base.rstrip('/')}/tokens-{key}"
+    if not written(spark, path):
         build().write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+    return spark.read.parquet(path)

@@ -28,12 +28,6 @@ def test_shuffle_split_disjoint_and_sized(spark):
     assert capped.where("split = 'train'").count() == 100
 
 
-def test_dedupe_exact_keeps_smallest(spark):
-    df = spark.createDataFrame([(3, "x", "aaaa"), (1, "x", "bbbb"), (2, "y", "cc")], ["id", "sha1", "text"])
-    got = {(r["sha1"], r["id"]) for r in R.dedupe_exact(df, "sha1", "id", "text", min_chars=3).collect()}
-    assert got == {("x", 1)}
-
-
 def test_qna_counts(spark):
     fn = spark.createDataFrame([("i1", "f", "a.c", "does f", "risk", ["memory"], "")],
                                "id string, name string, file_path string, summary string, risk_notes string, "
@@ -46,10 +40,30 @@ def test_qna_counts(spark):
     ]
 
 
-def test_bounded_list(spark):
-    pairs = spark.createDataFrame([("k", f"v{i:02d}") for i in range(20)], ["key", "item"])
-    r = A.bounded_list(pairs, "key", "item", [F.col("item")], 3, ",").first()
-    assert r["item"] == "v00,v01,v02,+17 more" and r["n_item"] == 20
+def test_list_parts_lose_nothing(spark):
+    pairs = spark.createDataFrame([("hub", f"v{i:04d}") for i in range(1000)] + [("one", "x"), ("one", "x")], ["key", "item"])
+    rows = A.list_parts(pairs, "key", "item", ",", size=64).collect()
+    hub = [r for r in rows if r["key"] == "hub"]
+    assert sorted(x for r in hub for x in r["item"].split(",")) == [f"v{i:04d}" for i in range(1000)]
+    assert len(hub) == 16 == hub[0]["parts"] and max(len(r["item"].split(",")) for r in hub) < 128
+    assert [(r["item"], r["n"], r["parts"]) for r in rows if r["key"] == "one"] == [("x,x", 2, 1)]
+
+
+def test_token_windows_keep_every_token(spark):
+    from tessera.functions import text as X
+    texts = ["", "  ", " a  b\n", "a\n b  c\td\n\ne f ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, t string")
+    got = {r["i"]: r["w"] for r in df.select("i", X.token_windows(F.col("t"), 2).alias("w")).collect()}
+    assert got == {0: [""], 1: ["  "], 2: [" a  b\n"], 3: ["a\n b", "c\td", "e f "], 4: [""]}
+    w = A.tokenize_windows(A.tokenize_ids(F.col("t")), 4, A.tokenize_ids(F.lit("x y")))
+    rows = df.where("i = 3").select(F.explode(w).alias("w")).select("w.*").collect()
+    assert [(r["window"], r["start"], r["end"], sum(r["attention_mask"]), r["labels"].count(-100)) for r in rows] == [(0, 0, 4, 4, 2), (1, 4, 6, 2, 4)]
+
+
+def test_dedupe_sees_whole_texts(spark):
+    head = "z" * 10_000
+    df = spark.createDataFrame([(1, head + "a"), (2, head + "b"), (3, head + "a"), (4, "s")], "id long, text string")
+    assert sorted(r["id"] for r in R.dedupe_exact(df, "id", "text", min_chars=3).collect()) == [1, 2]
 
 
 def test_knn_matches_numpy(spark):

@@ -2,10 +2,13 @@
 
 import os
 
-from pyspark.sql import functions as F, types as T
+import pytest
+from pyspark.sql import types as T
 
 from tessera.operators import infer as I
+from tessera import session
 from tessera.session import scratch_path
+from tessera.sources import io as IO
 from tessera.streaming import incremental as ST
 
 
@@ -52,7 +55,6 @@ def test_incremental_enrich_processes_each_id_once(spark):
     # a third run with nothing new adds nothing
     ST.incremental_enrich(spark, src + "/*", schema, out, ck)
     assert ST.read_output(spark, out).count() == 15
-    _ = F
 
 
 def test_changed_files(spark):
@@ -60,3 +62,85 @@ def test_changed_files(spark):
     new = spark.createDataFrame([("a", "1"), ("b", "9"), ("d", "4")], ["file_path", "sha256"])
     got = {(r["file_path"], r["status"]) for r in ST.changed_files(old, new).collect()}
     assert got == {("a", "unchanged"), ("b", "changed"), ("c", "deleted"), ("d", "new")}
+
+
+def test_wrong_length_and_single_prompt_fallback():
+    def short(batch):  # drops the answer to "bad"
+        return [p.upper() for p in batch if p != "bad"]
+    outs, failed, _ = I.generate(short, ["a", "bad", "c"], batch_size=3, retries=1, sleep=lambda s: None)
+    assert outs == ["A", None, "C"] and failed == [False, True, False]
+
+
+def test_two_factories_of_one_function(spark):
+    def make(word):
+        def factory():
+            return lambda prompts: [word] * len(prompts)
+        return factory
+    df = spark.createDataFrame([(1, "x")], "id long, prompt string").coalesce(1)
+    got = [I.infer_batched(df, "prompt", predict_factory=make(w)).first()["output"] for w in ("one", "two")]
+    assert got == ["one", "two"]
+
+
+def test_enrichment_asks_about_every_window(spark):
+    seen = "{\n" + "  call(x);\n" * 900 + "  last_word(x);\n}"
+    units = spark.createDataFrame([("i", "a.c", "f", "int f()", seen, 1, 9, "c", "function")],
+                                  "id string, file_path string, name string, signature string, body string, start_line int, end_line int, language string, kind string")
+
+    def factory():
+        return lambda prompts: [f"{len(p.split())} {'last_word' in p}" for p in prompts]
+    row = I.enrich_table(units, "2026-01-01T00:00:00Z", factory).first()
+    assert row["summary"].split()[1::2] == ["False", "True"]  # two windows, the second holds the end
+
+
+def test_failed_writes_are_not_taken_for_empty_output(spark, tmp_path):
+    """A batch whose processing fails is run again and nothing is emitted twice."""
+    schema = T.StructType([T.StructField("id", T.StringType())])
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    spark.createDataFrame([("a",), ("b",)], schema).coalesce(1).write.json(os.path.join(src, "1"))
+    ST.incremental_enrich(spark, src + "/*", schema, out, ck)
+    spark.createDataFrame([("b",), ("c",)], schema).coalesce(1).write.json(os.path.join(src, "2"))
+
+    def broken(df):
+        raise OSError("storage")
+    with pytest.raises(Exception, match="storage"):
+        ST.incremental_enrich(spark, src + "/*", schema, out, ck, broken)
+    ST.incremental_enrich(spark, src + "/*", schema, out, ck)
+    assert sorted(r["id"] for r in ST.read_output(spark, out).collect()) == ["a", "b", "c"]
+
+
+def test_unset_checkpoint_folder_needs_a_local_master():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+    assert not session.is_local(Session())
+
+
+def test_scan_keeps_hidden_names(spark, tmp_path):
+    (tmp_path / "_sub" / ".git").mkdir(parents=True)
+    (tmp_path / "a.b" / ".git").mkdir(parents=True)
+    for name in ("_start.asm", ".hid.C", "x.c", "_sub/deep.c", "_sub/.git/no.c", "a.b/q.c", "skip.txt"):
+        (tmp_path / name).write_text(name)
+    got = {(r["repo_relative_path"], r["file_name"], r["file_size"]) for r in IO.file_index(spark, str(tmp_path), ["c", ".asm"]).collect()}
+    assert got == {(n, n.split("/")[-1], len(n)) for n in ("_start.asm", ".hid.C", "x.c", "_sub/deep.c", "a.b/q.c")}
+    text = {r["file_path"]: r["text"] for r in IO.read_source_files(spark, "file:" + str(tmp_path), ["asm"]).collect()}
+    assert text == {str(tmp_path / "_start.asm"): "_start.asm"}
+
+
+def test_token_cache_follows_the_content(spark, tmp_path):
+    one, two = spark.createDataFrame([("a",)], "t string"), spark.createDataFrame([("b",)], "t string")
+    get = lambda df: IO.token_cache(spark, str(tmp_path), IO.content_version(df), {}, lambda: df).first()["t"]
+    assert [get(one), get(two), get(one)] == ["a", "b", "a"]
