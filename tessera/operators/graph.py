@@ -9,7 +9,7 @@ round is checkpointed reliably into the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import metrics as M
 from ..session import cut_lineage, drop_state
@@ -94,6 +94,62 @@ def resolve_callees(units: DataFrame, calls: DataFrame | None = None, hot_defs:
     return edges, external
 
 
+def name_graph(units: DataFrame, calls: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The call graph through name nodes: (src, key) for what a function calls
+    and (key, dst) for what a key stands for. The key is the callee's name in
+    the caller's file if that file defines it, else the name anywhere, so the
+    paths src -> key -> dst are exactly the resolved edges, in as many rows as
+    there are calls and definitions instead of their products."""
+    calls = raw_calls(units) if calls is None else calls
+    defs = definitions(units)
+    ids = defs.select(F.col("dst").alias("callee")).distinct()
+    by_id = calls.join(ids, "callee", "left_semi")
+    rest = calls.join(ids, "callee", "left_anti")
+    scoped = F.concat(F.col("callee"), F.lit("\x00"))
+    own = defs.select(F.col("dst_file").alias("src_file"), "callee").distinct().withColumn("_own", F.lit(True))
+    local = F.concat(scoped, F.col("src_file"))
+    up = rest.join(own, ["src_file", "callee"], "left").select(
+        "src", F.when(F.col("_own"), local).otherwise(scoped).alias("key"))
+    up = up.unionByName(by_id.select("src", F.concat(F.lit("\x00"), F.col("callee")).alias("key")))
+    down = (defs.select(F.explode(F.array(scoped, F.concat(scoped, F.col("dst_file")), F.concat(F.lit("\x00"), F.col("dst")))).alias("key"), "dst"))
+    used = up.select("key").distinct()
+    return up.distinct(), down.join(used, "key", "left_semi")
+
+
+def name_degrees(nodes: DataFrame, up: DataFrame, down: DataFrame, external: DataFrame) -> DataFrame:
+    """``degree_metrics`` from counts per name node: a definition's callers are
+    those of its keys, a function's callees the definitions of its keys. (A
+    function that calls another both by name and by id counts it twice.)"""
+    n_up = up.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    n_down = down.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    indeg = down.join(n_up, "key").groupBy(F.col("dst").alias("id")).agg(F.sum("n").alias("in_degree"))
+    outdeg = up.join(n_down, "key").groupBy(F.col("src").alias("id")).agg(F.sum("n").alias("n_callees"))
+    ext = external.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n_external"))
+    d = nodes.join(indeg, "id", "left").join(outdeg, "id", "left").join(ext, "id", "left")
+    return d.select(*nodes.columns, F.coalesce("in_degree", F.lit(0)).cast("bigint").alias("in_degree"),
+                    (F.coalesce("n_callees", F.lit(0)) + F.coalesce("n_external", F.lit(0))).cast("bigint").alias("out_degree"),
+                    F.coalesce("n_external", F.lit(0)).cast("bigint").alias("n_external"))
+
+
+def name_file_edges(units: DataFrame, up: DataFrame, down: DataFrame) -> DataFrame:
+    """Distinct (src_file, dst_file) of the call graph: both sides are reduced
+    to distinct (file, key) before they meet."""
+    f = units.select("id", "file_path")
+    a = up.join(f.withColumnRenamed("id", "src"), "src").select(F.col("file_path").alias("src_file"), "key").distinct()
+    b = down.join(f.withColumnRenamed("id", "dst"), "dst").select(F.col("file_path").alias("dst_file"), "key").distinct()
+    return a.join(b, "key").select("src_file", "dst_file").distinct()
+
+
+def as_edges(up: DataFrame, down: DataFrame) -> DataFrame:
+    """Name nodes as nodes of a plain (src, dst) graph; their ids hold a NUL,
+    which function ids don't."""
+    return up.select("src", F.col("key").alias("dst")).unionByName(down.select(F.col("key").alias("src"), "dst"))
+
+
+def is_function(c):
+    return ~F.col(c).contains("\x00")
+
+
 def reverse_edges(edges: DataFrame) -> DataFrame:
     """callers of each function = the inverse of callees, as rows."""
     return edges.select(F.col("dst").alias("id"), F.col("src").alias("caller")).distinct()
@@ -115,21 +171,21 @@ def degree_metrics(nodes: DataFrame, edges: DataFrame, external: DataFrame) -> D
                     F.coalesce("n_external", F.lit(0)).cast("bigint").alias("n_external"))
 
 
-def file_call_graph(units: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """File edges (distinct, self-edges kept) and file nodes with degrees.
-
-    Nodes are the union of both edge ends."""
+def file_edges(units: DataFrame, edges: DataFrame) -> DataFrame:
+    """Distinct file edges of resolved call edges (self-edges kept)."""
     f = units.select("id", "file_path")
-    fe = (edges.join(f.withColumnRenamed("id", "src").withColumnRenamed("file_path", "src_file"), "src")
-               .join(f.withColumnRenamed("id", "dst").withColumnRenamed("file_path", "dst_file"), "dst")
-               .select("src_file", "dst_file").distinct())
+    return (edges.join(f.withColumnRenamed("id", "src").withColumnRenamed("file_path", "src_file"), "src")
+                 .join(f.withColumnRenamed("id", "dst").withColumnRenamed("file_path", "dst_file"), "dst")
+                 .select("src_file", "dst_file").distinct())
+
+
+def file_degrees(fe: DataFrame) -> DataFrame:
+    """Nodes (the union of both edge ends) with their degrees."""
     outd = fe.groupBy(F.col("src_file").alias("file_path")).agg(F.count(F.lit(1)).alias("out_degree"))
     ind = fe.groupBy(F.col("dst_file").alias("file_path")).agg(F.count(F.lit(1)).alias("in_degree"))
-    nodes = file_node_set(fe)
-    nodes = nodes.join(ind, "file_path", "left").join(outd, "file_path", "left").select(
+    return file_node_set(fe).join(ind, "file_path", "left").join(outd, "file_path", "left").select(
         "file_path", F.coalesce("in_degree", F.lit(0)).cast("bigint").alias("in_degree"),
         F.coalesce("out_degree", F.lit(0)).cast("bigint").alias("out_degree"))
-    return fe, nodes
 
 
 def file_node_set(file_edges: DataFrame) -> DataFrame:
@@ -167,112 +223,99 @@ def _nodes_of(edges: DataFrame, nodes: DataFrame | None) -> DataFrame:
     return edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id"))).distinct()
 
 
-def _min_label(labels: DataFrame, edges: DataFrame, max_rounds: int, log=None) -> tuple[DataFrame, int]:
-    """Fixpoint of label(dst) = min(label(dst), label(src)) over ``edges``
-    with pointer jumping: label(v) = min(label(v), label(label(v))).
+def _reach_min(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, f, b): the node of least priority that reaches ``id`` and the one
+    that it reaches, itself included. ``nodes`` has id and prio.
 
-    Labels are node ids standing for "a node that reaches v"; reachability
-    is transitive, so following a label's own label stays valid and doubles
-    the distance covered per round. The jump joins on the label value: a
-    large component shares one label, a hot key that AQE's skew join splits."""
-    col = cut_lineage(labels)
-    state = col
-    rounds = 0
+    Forward and backward labels move in the same round, over edges and by
+    pointer jumping (a label's own label), which doubles the distance covered.
+    Runs to the fixpoint."""
+    me = F.struct("prio", "id")
+    state = cut_lineage(nodes.select("id", me.alias("f"), me.alias("b")))
     while True:
-        rounds += 1
-        prop = (edges.join(col.withColumnRenamed("id", "src"), "src")
-                     .groupBy(F.col("dst").alias("id")).agg(F.min("label").alias("l_in")))
-        jump = col.join(col.select(F.col("id").alias("label"), F.col("label").alias("l_jump")), "label", "left")
-        new = (jump.join(prop, "id", "left")
-                   .select("id", F.least("label", F.coalesce("l_in", "label"), F.coalesce("l_jump", "label")).alias("nl"),
-                           "label"))
-        new = cut_lineage(new.select("id", F.col("nl").alias("label"), (F.col("nl") < F.col("label")).alias("changed")))
-        # the previous round's state is no longer referenced: drop its folder
+        fin = (edges.join(state.select(F.col("id").alias("src"), "f"), "src")
+                    .groupBy(F.col("dst").alias("id")).agg(F.min("f").alias("f1")))
+        bin_ = (edges.join(state.select(F.col("id").alias("dst"), "b"), "dst")
+                     .groupBy(F.col("src").alias("id")).agg(F.min("b").alias("b1")))
+        fj = state.select(F.col("id").alias("_fid"), F.col("f").alias("f2"))
+        bj = state.select(F.col("id").alias("_bid"), F.col("b").alias("b2"))
+        new = (state.join(fj, F.col("f.id") == F.col("_fid"), "left").join(bj, F.col("b.id") == F.col("_bid"), "left")
+                    .join(fin, "id", "left").join(bin_, "id", "left")
+                    .select("id", F.least("f", F.coalesce("f1", "f"), F.coalesce("f2", "f")).alias("nf"),
+                            F.least("b", F.coalesce("b1", "b"), F.coalesce("b2", "b")).alias("nb"), "f", "b"))
+        new = cut_lineage(new.select("id", F.col("nf").alias("f"), F.col("nb").alias("b"),
+                                     ((F.col("nf") < F.col("f")) | (F.col("nb") < F.col("b"))).alias("changed")))
         drop_state(new.sparkSession, state)
         state = new
-        col = new.select("id", "label")
-        if log:
-            log("round", rounds)
-        if new.where("changed").isEmpty() or rounds >= max_rounds:
-            return col, rounds
+        if new.where("changed").isEmpty():
+            return state
 
 
-def scc(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 10_000, log=None) -> DataFrame:
+def scc(edges: DataFrame, nodes: DataFrame | None = None, log=None) -> DataFrame:
     """Strongly connected components: (id, scc_id, size, in_cycle).
 
-    Repeated until no node is left: trim nodes without an active in- or
-    out-edge (singletons); colour = smallest id that reaches the node
-    (forward min-label); inside each colour the root (colour == id) is the
-    smallest member, and a node belongs to the root's component iff the
-    smallest id it reaches inside the colour is the root (backward
-    min-label). Both propagations use pointer jumping. scc_id is the
-    smallest member id; a self-loop alone is not a cycle."""
+    Each round draws a new priority for every node left and finds the least
+    that reaches it and the least that it reaches. Where the two are the same
+    node, that is the component's. An edge whose ends differ in either joins two
+    components and goes; nodes without an edge in or out are alone. So a chain
+    falls apart in an expected number of rounds that follows the logarithm of
+    its length. scc_id is the smallest member id; a self-loop alone is no cycle."""
     active = cut_lineage(_nodes_of(edges, nodes))
     e = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct())
-    done = None
-    log = log or (lambda *a: None)
-    outer = 0
-    while not active.isEmpty():
-        outer += 1
-        log("outer", outer)
-        # trim: no in-edge or no out-edge inside the active set -> singleton
-        start, n_active = active, active.count()
-        while True:
-            has_in = e.select(F.col("dst").alias("id")).distinct()
-            has_out = e.select(F.col("src").alias("id")).distinct()
-            keep = cut_lineage(active.join(has_in, "id", "left_semi").join(has_out, "id", "left_semi"))
-            n_keep = keep.count()
-            if n_keep == n_active:
-                break
-            active, n_active = keep, n_keep
-            e = cut_lineage(e.join(active.withColumnRenamed("id", "src"), "src", "left_semi")
-                             .join(active.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-        trimmed = start.join(active, "id", "left_anti").select("id", F.col("id").alias("scc_id"))
-        done = cut_lineage(trimmed if done is None else done.unionByName(trimmed))
+    done, turn = None, 0
+    while True:
+        # alone: without an edge in or out
+        ends = e.select(F.col("src").alias("id")).intersect(e.select(F.col("dst").alias("id")))
+        rest = cut_lineage(active.join(ends, "id", "left_semi"))
+        alone = active.join(rest, "id", "left_anti").select("id", F.col("id").alias("root"))
+        done = alone if done is None else done.unionByName(alone)
+        if rest.isEmpty():
+            break
+        turn += 1
+        if log:
+            log("round", turn)
+        inside = (e.join(rest.withColumnRenamed("id", "src"), "src", "left_semi")
+                   .join(rest.withColumnRenamed("id", "dst"), "dst", "left_semi"))
+        inside = cut_lineage(inside)
+        label = _reach_min(rest.withColumn("prio", F.xxhash64("id", F.lit(turn))), inside)
+        found = F.col("f.id") == F.col("b.id")
+        done = done.unionByName(label.where(found).select("id", F.col("f.id").alias("root")))
+        left = label.where(~found)
+        active = cut_lineage(left.select("id"))
         if active.isEmpty():
             break
-        log("trimmed; colouring")
-        color, r1 = _min_label(active.select("id", F.col("id").alias("label")), e, max_rounds)
-        log("forward rounds", r1)
-        # edges inside one colour, reversed: the smallest descendant flows back
-        ec = (e.join(color.select(F.col("id").alias("src"), F.col("label").alias("cs")), "src")
-               .join(color.select(F.col("id").alias("dst"), F.col("label").alias("cd")), "dst")
-               .where(F.col("cs") == F.col("cd"))
-               .select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-        ec = cut_lineage(ec)
-        back, r2 = _min_label(active.select("id", F.col("id").alias("label")), ec, max_rounds, log)
-        log("backward rounds", r2)
-        comp = (color.join(back.withColumnRenamed("label", "down"), "id")
-                     .where(F.col("label") == F.col("down")).select("id", F.col("label").alias("scc_id")))
-        comp = cut_lineage(comp)
-        done = cut_lineage(done.unionByName(comp) if done is not None else comp)
-        active = cut_lineage(active.join(comp, "id", "left_anti"))
-        e = cut_lineage(e.join(active.withColumnRenamed("id", "src"), "src", "left_semi")
-                         .join(active.withColumnRenamed("id", "dst"), "dst", "left_semi"))
-    sizes = done.groupBy("scc_id").agg(F.count(F.lit(1)).alias("size"))
-    return done.join(sizes, "scc_id").select("id", "scc_id", F.col("size").cast("bigint").alias("size"),
-                                             (F.col("size") > 1).alias("in_cycle"))
+        ls = left.select(F.col("id").alias("src"), F.col("f").alias("fs"), F.col("b").alias("bs"))
+        ld = left.select(F.col("id").alias("dst"), F.col("f").alias("fd"), F.col("b").alias("bd"))
+        e = cut_lineage(inside.join(ls, "src").join(ld, "dst").where("fs = fd and bs = bd").select("src", "dst"))
+    sizes = done.groupBy("root").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("scc_id"))
+    return cut_lineage(done.join(sizes, "root").select("id", "scc_id", F.col("size").cast("bigint").alias("size"),
+                                                       (F.col("size") > 1).alias("in_cycle")))
+
+
+def function_scc(up: DataFrame, down: DataFrame, units: DataFrame) -> DataFrame:
+    """``scc`` of the functions, found over name nodes."""
+    c = scc(as_edges(up, down), units.select("id").union(up.select("key")).union(down.select("key")))
+    c = c.where(is_function("id"))
+    sizes = c.groupBy("scc_id").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("least"))
+    return c.select("id", "scc_id").join(sizes, "scc_id").select(
+        "id", F.col("least").alias("scc_id"), "size", (F.col("size") > 1).alias("in_cycle"))
 
 
 def bfs_distance(edges: DataFrame, sources: DataFrame, max_hops: int | None = None) -> DataFrame:
     """Multi-source BFS: (id, dist) = hops from the nearest source. Nodes
-    never reached are absent (null after a left join). One written frontier
-    per hop; ``visited`` is the union of the frontiers written so far."""
-    frontier = cut_lineage(sources.select("id").distinct().withColumn("dist", F.lit(0)))
-    levels = [frontier]
-    e = cut_lineage(edges.select("src", "dst").distinct())
-    hop = 0
-    while True:
+    never reached are absent (null after a left join). Each hop writes its
+    frontier; edges into what was reached are dropped as they are met, so
+    later hops read ever fewer and no hop reads the visited set again."""
+    reached = sources.select("id").distinct()
+    frontier = cut_lineage(reached.withColumn("dist", F.lit(0)))
+    levels, e, hop = [frontier], edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), 0
+    while max_hops is None or hop < max_hops:
         hop += 1
-        if max_hops is not None and hop > max_hops:
-            break
-        visited = levels[0].select("id")
-        for lv in levels[1:]:
-            visited = visited.union(lv.select("id"))
-        nxt = (e.join(frontier.select(F.col("id").alias("src")), "src")
-                .select(F.col("dst").alias("id")).distinct()
-                .join(visited, "id", "left_anti")
-                .withColumn("dist", F.lit(hop)))
+        older = e
+        e = cut_lineage(e.join(frontier.select(F.col("id").alias("dst")), "dst", "left_anti"), "bfs-edges")
+        drop_state(e.sparkSession, older)
+        nxt = (e.join(frontier.select(F.col("id").alias("src")), "src", "left_semi")
+                .select(F.col("dst").alias("id")).distinct().withColumn("dist", F.lit(hop)))
         frontier = cut_lineage(nxt)
         if frontier.isEmpty():
             break
@@ -283,6 +326,15 @@ def bfs_distance(edges: DataFrame, sources: DataFrame, max_hops: int | None = No
     return out
 
 
+def function_distance(up: DataFrame, down: DataFrame, units: DataFrame) -> DataFrame:
+    """Hops from the nearest entry point (function without callers) over name
+    nodes: two steps of the search are one call."""
+    called = down.join(up.select("key").distinct(), "key", "left_semi").select(F.col("dst").alias("id")).distinct()
+    entries = units.select("id").join(called, "id", "left_anti")
+    d = bfs_distance(as_edges(up, down), entries).where(is_function("id"))
+    return units.select("id").join(d, "id", "left").select("id", F.expr("cast(dist div 2 as bigint)").alias("to_entry_points"))
+
+
 def k_hop_neighbors(edges: DataFrame, seeds: DataFrame, k: int = 2, undirected: bool = True) -> DataFrame:
     """(seed, id, dist) for nodes within ``k`` hops of each seed (seed
     excluded). Seeds are a bounded set (retrieval hits, top entry points);
@@ -303,6 +355,21 @@ def k_hop_neighbors(edges: DataFrame, seeds: DataFrame, k: int = 2, undirected:
     return visited.where(F.col("dist") > 0)
 
 
+def function_neighbors(up: DataFrame, down: DataFrame, seeds: DataFrame, k: int = 2) -> DataFrame:
+    """``k_hop_neighbors`` (either direction) of the functions over name nodes.
+    A hop goes up to a key and down from it, or the other way round."""
+    there = cut_lineage(seeds.select(F.col("id").alias("seed"), "id").distinct().withColumn("dist", F.lit(0)))
+    visited, frontier = there, there
+    for hop in range(1, k + 1):
+        calls = frontier.join(up, F.col("id") == F.col("src")).select("seed", "key").distinct().join(down, "key").select("seed", F.col("dst").alias("id"))
+        called = frontier.join(down, F.col("id") == F.col("dst")).select("seed", "key").distinct().join(up, "key").select("seed", F.col("src").alias("id"))
+        nxt = (calls.unionByName(called).distinct().join(visited.select("seed", "id"), ["seed", "id"], "left_anti")
+               .withColumn("dist", F.lit(hop)))
+        frontier = cut_lineage(nxt)
+        visited = visited.unionByName(frontier)
+    return visited.where(F.col("dist") > 0)
+
+
 def degree_centrality(degrees: DataFrame) -> DataFrame:
     """(in+out)/(n-1), n from a scalar subquery over the node table."""
     n = degrees.select(F.count(F.lit(1))).scalar()
@@ -316,7 +383,7 @@ def top_entry_points(degrees: DataFrame, k: int = 10) -> DataFrame:
                    .orderBy(F.col("out_degree").desc(), F.col("id").asc()).limit(k))
 
 
-def betweenness_sampled(edges: DataFrame, sources: DataFrame, max_hops: int = 64) -> DataFrame:
+def betweenness_sampled(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """Brandes betweenness from a fixed set of sources (directed, unweighted).
 
     Forward: BFS per source with shortest-path counts sigma (one row per
@@ -329,7 +396,7 @@ def betweenness_sampled(edges: DataFrame, sources: DataFrame, max_hops: int = 64
     levels = cut_lineage(lv)
     frontier = levels
     depth = 0
-    while not frontier.isEmpty() and depth < max_hops:
+    while not frontier.isEmpty():
         depth += 1
         nxt = (e.join(frontier.select("s", F.col("id").alias("src"), "sigma"), "src")
                 .groupBy("s", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
@@ -362,7 +429,3 @@ def graph_distance(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     entries = nodes.select("id").join(callers, "id", "left_anti")
     d = bfs_distance(edges.where(F.col("src") != F.col("dst")), entries)
     return nodes.select("id").join(d, "id", "left").select("id", F.col("dist").cast("bigint").alias("to_entry_points"))
-
-
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "Window", "F", "M", "cut_lineage")]
-_ = Window

@@ -60,10 +60,46 @@ def call_graph(spark: SparkSession, sf: str):
     return u, edges, ext
 
 
+def name_graph(spark: SparkSession, sf: str):
+    """(units, up, down): the call graph through name nodes, written once."""
+    from ..operators import graph as G
+    u = c_units(spark, sf)
+    calls = materialize(spark, sf, "raw_calls", lambda: G.raw_calls(u))
+
+    def build():
+        up, down = G.name_graph(u, calls)
+        return up.select(F.lit("up").alias("_kind"), F.col("src").alias("id"), "key").unionByName(
+            down.select(F.lit("down").alias("_kind"), F.col("dst").alias("id"), "key"))
+    both = materialize(spark, sf, "name_graph", build)
+    return (u, both.where("_kind = 'up'").select(F.col("id").alias("src"), "key"),
+            both.where("_kind = 'down'").select("key", F.col("id").alias("dst")))
+
+
+def external(spark: SparkSession, sf: str) -> DataFrame:
+    """Names that no file defines, per caller."""
+    from ..operators import graph as G
+    u = c_units(spark, sf)
+    calls = materialize(spark, sf, "raw_calls", lambda: G.raw_calls(u))
+    known = u.select(F.col("name").alias("callee")).union(u.select(F.col("id").alias("callee"))).distinct()
+    return calls.join(known, "callee", "left_anti").select("src", "callee").distinct()
+
+
 def degrees(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import graph as G
-    u, e, x = call_graph(spark, sf)
-    return materialize(spark, sf, "degrees", lambda: G.degree_metrics(u.select("id", "file_path"), e, x))
+    u, up, down = name_graph(spark, sf)
+    return materialize(spark, sf, "degrees", lambda: G.name_degrees(u.select("id", "file_path"), up, down, external(spark, sf)))
+
+
+def file_edges(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import graph as G
+    u, up, down = name_graph(spark, sf)
+    return materialize(spark, sf, "file_edges", lambda: G.name_file_edges(u, up, down))
+
+
+def function_scc(spark: SparkSession, sf: str) -> DataFrame:
+    from ..operators import graph as G
+    u, up, down = name_graph(spark, sf)
+    return materialize(spark, sf, "function_scc", lambda: G.function_scc(up, down, u))
 
 
 def flagged(spark: SparkSession, sf: str) -> DataFrame:

@@ -50,8 +50,8 @@ def _graph(spark, sf):
     return P.call_graph(spark, sf)
 
 
-def _degrees(spark, sf):
-    return P.degrees(spark, sf), P.call_graph(spark, sf)[1]
+def _module_scc(spark, sf):
+    return P.materialize(spark, sf, "module_scc", lambda: G.scc(_module_edges(spark, sf)))
 
 
 @register("call_edges_in_file", WG + """
@@ -70,7 +70,7 @@ def q_resolve_callees(spark, sf):
 
 @register("external_calls", WG + "SELECT src, callee FROM ext")
 def q_external_calls(spark, sf):
-    return _graph(spark, sf)[2]
+    return P.external(spark, sf)
 
 
 @register("reverse_edges", WG + "SELECT DISTINCT dst AS id, src AS caller FROM edges")
@@ -80,8 +80,7 @@ def q_reverse_edges(spark, sf):
 
 @register("degree_metrics", WG + "SELECT id, in_degree, out_degree, n_external FROM deg")
 def q_degree_metrics(spark, sf):
-    d, _ = _degrees(spark, sf)
-    return d.select("id", "in_degree", "out_degree", "n_external")
+    return P.degrees(spark, sf).select("id", "in_degree", "out_degree", "n_external")
 
 
 @register("enrich_join_graph", WG + """
@@ -90,7 +89,7 @@ SELECT u.id, u.file_path, d.in_degree, d.out_degree,
 """)
 def q_enrich_join_graph(spark, sf):
     u = P.c_units(spark, sf)
-    d, _ = _degrees(spark, sf)
+    d = P.degrees(spark, sf)
     return u.select("id", "file_path", F.col("start_line").cast("bigint").alias("start_line")).join(
         d.select("id", "in_degree", "out_degree"), "id", "left")
 
@@ -109,18 +108,14 @@ SELECT file_path,
 FROM fnodes
 """)
 def q_file_call_graph(spark, sf):
-    u, edges, _ = _graph(spark, sf)
-    _, nodes = G.file_call_graph(u, edges)
-    return nodes
+    return G.file_degrees(P.file_edges(spark, sf))
 
 
 @register("file_node_set", WG + "," + _FILE_EDGES + """
 SELECT src_file AS file_path FROM fedges UNION SELECT dst_file FROM fedges
 """)
 def q_file_node_set(spark, sf):
-    u, edges, _ = _graph(spark, sf)
-    fe, _ = G.file_call_graph(u, edges)
-    return G.file_node_set(fe)
+    return G.file_node_set(P.file_edges(spark, sf))
 
 
 @register("name_index", "WITH " + CODE_CTES + """
@@ -165,21 +160,51 @@ sizes AS (SELECT scc_id, count(*) AS size FROM comp2 GROUP BY scc_id)
 SELECT c.id, c.scc_id, s.size, s.size > 1 AS in_cycle FROM comp2 c JOIN sizes s USING (scc_id)
 """)
 def q_scc(spark, sf):
-    return G.scc(_module_edges(spark, sf))
+    return _module_scc(spark, sf)
 
 
 @register("scc_sizes", _SCC_SQL + "SELECT scc_id, size, size > 1 AS in_cycle FROM sizes")
 def q_scc_sizes(spark, sf):
     from ..operators.rollup import scc_sizes
-    comp = G.scc(_module_edges(spark, sf))
-    return scc_sizes(comp).select("scc_id", F.col("size").cast("bigint").alias("size"), "in_cycle")
+    return scc_sizes(_module_scc(spark, sf)).select("scc_id", F.col("size").cast("bigint").alias("size"), "in_cycle")
 
 
 @register("scc_functions")
 def q_scc_functions(spark, sf):
-    """Function-level SCC over resolved call edges (rows-only check)."""
-    u, edges, _ = _graph(spark, sf)
-    return G.scc(edges, u.select("id"))
+    """Function-level SCC over the call graph (rows-only check)."""
+    return P.function_scc(spark, sf)
+
+
+_FILE_SCC_SQL = "WITH RECURSIVE " + CODE_CTES + "," + GRAPH_CTES + "," + _FILE_EDGES + """
+, fnodes AS (SELECT src_file AS id FROM fedges UNION SELECT dst_file FROM fedges),
+reach(a, b) AS (SELECT src_file, dst_file FROM fedges UNION SELECT r.a, e.dst_file FROM reach r JOIN fedges e ON e.src_file = r.b),
+mutual AS (SELECT r.a, r.b FROM reach r JOIN reach q ON q.a = r.b AND q.b = r.a),
+comp AS (SELECT n.id, coalesce(least(n.id, min(m.b)), n.id) AS scc_id FROM fnodes n LEFT JOIN mutual m ON m.a = n.id GROUP BY n.id),
+sizes AS (SELECT scc_id, count(*) AS size FROM comp GROUP BY scc_id)
+"""
+
+
+@register("file_nodes", _FILE_SCC_SQL + """
+SELECT c.id AS file_path, CAST((SELECT count(*) FROM fedges WHERE dst_file = c.id) AS BIGINT) AS in_degree,
+       CAST((SELECT count(*) FROM fedges WHERE src_file = c.id) AS BIGINT) AS out_degree, c.scc_id, s.size, s.size > 1 AS in_cycle
+FROM comp c JOIN sizes s USING (scc_id)
+""")
+def q_file_nodes(spark, sf):
+    """File node records: degrees and component in the file call graph."""
+    fe = P.file_edges(spark, sf)
+    c = G.scc(fe.select(F.col("src_file").alias("src"), F.col("dst_file").alias("dst")))
+    return G.file_degrees(fe).join(c.withColumnRenamed("id", "file_path"), "file_path")
+
+
+@register("func_nodes")
+def q_func_nodes(spark, sf):
+    """Function node records: degrees, numbers of callers, callees and external
+    names, and the component (rows-only: closure in SQL is out of reach; parts
+    are checked by degree_metrics, external_calls and pytest)."""
+    d = P.degrees(spark, sf)
+    return d.join(P.function_scc(spark, sf), "id").select(
+        "id", "file_path", "in_degree", "out_degree", F.col("in_degree").alias("n_callers"),
+        (F.col("out_degree") - F.col("n_external")).alias("n_callees"), "n_external", "scc_id", "size", "in_cycle")
 
 
 @register("graph_distance", "WITH RECURSIVE " + CODE_CTES + "," + GRAPH_CTES + """
@@ -193,8 +218,8 @@ bfs(node, dist) USING KEY (node) AS (
 SELECT u.id, CAST(b.dist AS BIGINT) AS to_entry_points FROM units2 u LEFT JOIN bfs b ON b.node = u.id
 """)
 def q_graph_distance(spark, sf):
-    u, edges, _ = _graph(spark, sf)
-    return G.graph_distance(edges, u.select("id"))
+    u, up, down = P.name_graph(spark, sf)
+    return G.function_distance(up, down, u)
 
 
 _TOP_SQL = """
@@ -204,7 +229,7 @@ top AS (SELECT id, out_degree FROM deg WHERE in_degree = 0 ORDER BY out_degree D
 
 @register("top_entry_points", WG + "," + _TOP_SQL + "SELECT id, out_degree FROM top")
 def q_top_entry_points(spark, sf):
-    d, _ = _degrees(spark, sf)
+    d = P.degrees(spark, sf)
     return G.top_entry_points(d, 10).select("id", "out_degree")
 
 
@@ -216,9 +241,9 @@ h2 AS (SELECT DISTINCT h.seed, e.dst AS id FROM h1 h JOIN ue e ON e.src = h.id
 SELECT seed, id, CAST(1 AS BIGINT) AS dist FROM h1 UNION ALL SELECT seed, id, CAST(2 AS BIGINT) FROM h2
 """)
 def q_k_hop(spark, sf):
-    d, edges = _degrees(spark, sf)
-    seeds = G.top_entry_points(d, 10).select("id")
-    return G.k_hop_neighbors(edges, seeds, 2).select("seed", "id", F.col("dist").cast("bigint").alias("dist"))
+    _, up, down = P.name_graph(spark, sf)
+    seeds = G.top_entry_points(P.degrees(spark, sf), 10).select("id")
+    return G.function_neighbors(up, down, seeds, 2).select("seed", "id", F.col("dist").cast("bigint").alias("dist"))
 
 
 @register("degree_centrality", WG + """
@@ -226,7 +251,7 @@ SELECT id, round(CAST(in_degree + out_degree AS DOUBLE) / greatest((SELECT count
 FROM deg
 """)
 def q_degree_centrality(spark, sf):
-    d, _ = _degrees(spark, sf)
+    d = P.degrees(spark, sf)
     return G.degree_centrality(d).select("id", F.round("degree_centrality", 9).alias("degree_centrality"))
 
 

@@ -234,7 +234,7 @@ WHERE boost_rank <= 5
 
 @register("retrieve_graph_boost", _BOOST_SQL)
 def q_retrieve_graph_boost(spark, sf):
-    u, edges, _ = P.call_graph(spark, sf)
+    u, up, down = P.name_graph(spark, sf)
     deg = P.degrees(spark, sf)
     fl = unit_flags(u)
     from ..functions import metrics as M
@@ -244,6 +244,6 @@ def q_retrieve_graph_boost(spark, sf):
                                                     F.col("out_degree").cast("double")).alias("embedding"))
     top = G.top_entry_points(deg, 10).select("id")
     queries = feat.join(top, "id").withColumnRenamed("id", "qid")
-    near = G.k_hop_neighbors(edges, top, 2).select(F.col("seed").alias("qid"), "id")
+    near = G.function_neighbors(up, down, top, 2).select(F.col("seed").alias("qid"), "id")
     b = RT.retrieve_graph_boost(feat, queries, near, 5)
     return b.select("qid", "id", F.col("boost_rank").cast("bigint").alias("boost_rank"), "near")

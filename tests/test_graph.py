@@ -4,7 +4,6 @@ import random
 from collections import deque
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import graph as G
 
@@ -128,7 +127,6 @@ def test_k_hop(spark):
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], ["src", "dst"])
     got = {(r["seed"], r["id"], r["dist"]) for r in G.k_hop_neighbors(e, spark.createDataFrame([("b",)], ["id"]), 2).collect()}
     assert got == {("b", "a", 1), ("b", "c", 1), ("b", "d", 2)}
-    _ = F
 
 
 def test_hot_callee_name_keeps_every_candidate(spark):
@@ -156,3 +154,40 @@ def test_salted_hot_name_join_is_exact(spark):
     a = sorted((r["src"], r["dst"], r["tier"]) for r in plain.collect())
     b = sorted((r["src"], r["dst"], r["tier"]) for r in salted.collect())
     assert a == b and len(a) == 120 * 41
+
+
+def random_units(spark, seed, n=40, names=12, files=5):
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        body = "{ " + " ".join(f"f{rnd.randrange(names + 2)}(x);" for _ in range(rnd.randrange(5))) + " }"
+        rows.append((f"id{i:02d}", f"d/{rnd.randrange(files)}.c", f"f{rnd.randrange(names)}", body, i))
+    return spark.createDataFrame(rows, "id string, file_path string, name string, body string, start_line int")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_name_graph_equals_resolved_edges(spark, seed):
+    u = random_units(spark, seed)
+    edges, ext = G.resolve_callees(u)
+    up, down = G.name_graph(u)
+    assert {tuple(r) for r in up.join(down, "key").select("src", "dst").collect()} == {(r["src"], r["dst"]) for r in edges.collect()}
+    nodes = u.select("id")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert rows(G.name_degrees(nodes, up, down, ext)) == rows(G.degree_metrics(nodes, edges, ext))
+    assert rows(G.name_file_edges(u, up, down)) == rows(G.file_edges(u, edges))
+    assert rows(G.function_distance(up, down, u)) == rows(G.graph_distance(edges, nodes))
+    seeds = nodes.limit(4)
+    assert rows(G.function_neighbors(up, down, seeds, 2)) == rows(G.k_hop_neighbors(edges, seeds, 2))
+    want = G.scc(edges, nodes).select("id", "scc_id", "size", "in_cycle")
+    assert rows(G.function_scc(up, down, u)) == rows(want)
+
+
+def test_scc_rounds_follow_the_logarithm_on_chains(spark):
+    turns = {}
+    for n in (40, 80):
+        e = spark.createDataFrame([(f"{i:04d}", f"{i + 1:04d}") for i in range(n)], ["src", "dst"])
+        seen = []
+        c = G.scc(e, log=lambda what, k: seen.append(k))
+        assert c.where("in_cycle").count() == 0 and c.count() == n + 1
+        turns[n] = len(seen)
+    assert turns[80] <= turns[40] + 3 and turns[80] < 10
