@@ -43,20 +43,18 @@ def _ngrams(tokens, n):
 
 def corpus_bleu(pairs: DataFrame, cand: str = "candidate", ref: str = "reference", max_n: int = 4) -> DataFrame:
     """Corpus BLEU (single reference, whitespace tokens, uniform weights):
-    candidate and reference n-grams are counted per (pair, n, gram) in one
-    partial aggregate, clipped, and summed per n; the unigram totals give the
+    candidate and reference n-grams are counted per (pair, n, gram), clipped, and summed per n; the unigram totals give the
     lengths for the brevity penalty. 0 when any precision is 0."""
-    toks = pairs.select("pair_id", F.split(F.trim(F.col(cand)), r"\s+").alias("c"),
-                        F.split(F.trim(F.col(ref)), r"\s+").alias("r"))
-    toks = toks.select("pair_id", F.filter("c", lambda x: x != "").alias("c"), F.filter("r", lambda x: x != "").alias("r"))
+    # the token arrays move once, by pair; their n-grams are counted where they
+    # are (and the exchange keeps the split from being worked out per n-gram)
+    words = lambda c: F.filter(F.split(F.trim(F.col(c)), r"\s+"), lambda x: x != "")
+    toks = pairs.select("pair_id", words(cand).alias("c"), words(ref).alias("r")).repartition("pair_id")
 
-    def grams(col, role):
-        arr = F.array(*[F.struct(F.lit(n).alias("n"), _ngrams(F.col(col), n).alias("g")) for n in range(1, max_n + 1)])
-        return (toks.select("pair_id", F.explode(arr).alias("x"))
-                    .select("pair_id", "x.n", F.explode("x.g").alias("gram"), F.lit(role).alias("role")))
+    def grams(col, role, n):
+        return F.transform(_ngrams(F.col(col), n), lambda g: F.struct(F.lit(n).alias("n"), F.lit(role).alias("role"), g.alias("gram")))
 
-    # one shuffle: candidate and reference n-grams counted side by side
-    both = grams("c", 0).unionByName(grams("r", 1))
+    parts = [grams(col, role, n) for col, role in (("c", 0), ("r", 1)) for n in range(1, max_n + 1)]
+    both = toks.select("pair_id", F.explode(F.concat(*parts)).alias("x")).select("pair_id", "x.*")
     per_gram = both.groupBy("pair_id", "n", "gram").agg(
         F.sum((F.col("role") == 0).cast("long")).alias("cnt"), F.sum((F.col("role") == 1).cast("long")).alias("rcnt"))
     per_n = per_gram.groupBy("n").agg(F.sum(F.least("cnt", "rcnt")).alias("match"), F.sum("cnt").alias("total"),

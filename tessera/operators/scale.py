@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 def global_rank(df: DataFrame, order: list[str], n_parts: int | None = None, name: str = "rank") -> DataFrame:
     """Exact 1-based rank in ``order`` without a single-partition window.
@@ -18,7 +20,8 @@ def global_rank(df: DataFrame, order: list[str], n_parts: int | None = None, nam
     s = (df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
-    s = s.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33))
+    # written once: counts and ranks then come from the same sorted rows
+    s = cut_lineage(s.withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), 33)), "ranked")
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: bounded by the partition count, safe to broadcast
     offs = counts.withColumn("_off", F.coalesce(F.sum("_n").over(
