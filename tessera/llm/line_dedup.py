@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BLANKS, arrow_limits, buckets_for, byte_values, stage
+from .common import BLANKS, arrow_limits, buckets_for, byte_values, stage, text_of
 
 #: Distinct lines of one shard, about.
 SHARD_LINES = 65_536
@@ -148,6 +148,11 @@ def _hash_lines(texts: list[bytes], min_chars: int):
     return np.array(doc, np.int64), np.array(line, np.int64), pairs[:, 0], pairs[:, 1]
 
 
+def _own(text_col: str):
+    """What tells the texts of equal doc_ids apart."""
+    return F.xxhash64(text_of(text_col)).alias("own")
+
+
 def distinct_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """doc_id, text hash, hi and lo: one row per document and distinct line.
     Rows equal in doc_id and text give equal rows."""
@@ -162,11 +167,11 @@ def distinct_lines(docs: DataFrame, min_chars: int) -> DataFrame:
             new = np.ones(len(doc), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])
             doc, hi, lo = doc[new], hi[new], lo[new]
-            own = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+            of = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(doc)), pa.array(own[doc]), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))],
+                [b.column(0).take(of), b.column(2).take(of), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64))],
                 names=["doc_id", "own", "hi", "lo"])
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, own long, hi long, lo long")
+    return docs.select("doc_id", "text", _own("text")).mapInArrow(run, "doc_id long, own long, hi long, lo long")
 
 
 def line_index(lines: DataFrame, bits: int) -> DataFrame:
@@ -235,7 +240,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
         F.collect_set(F.struct("hi", "lo")).alias("_ld_drop")).select(
         F.col("doc_id").alias("_ld_id"), F.col("own").alias("_ld_hash"), "_ld_drop")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped") and not c.startswith("_ld_")]
-    hashed = _with_hash(docs.select(*keep), text_col)
+    hashed = docs.select(*keep, _own(text_col).alias("_ld_own"))
     on = hashed[id_col].cast("long").eqNullSafe(told["_ld_id"]) & (hashed["_ld_own"] == told["_ld_hash"])
     joined = hashed.join(told, on, "left").select(*keep, "_ld_drop")
     text_at, drop_at = len(keep) and keep.index(text_col), len(keep)
@@ -266,14 +271,3 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
     return joined.mapInArrow(rebuild, f"{fields}, n_lines long, n_dropped long")
-
-
-def _with_hash(docs: DataFrame, text_col: str) -> DataFrame:
-    at, names = docs.columns.index(text_col), docs.columns
-
-    def run(batches):
-        for b in batches:
-            own = np.array([xxhash.xxh3_64_intdigest(t) for t in byte_values(b.column(at))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(own)], names=[*names, "_ld_own"])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(run, f"{fields}, _ld_own long")
