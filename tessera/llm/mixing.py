@@ -25,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 EPOCHS = 2.0
 #: Documents of a source that one task numbers, and slots of a source.
-DOCS_PER_BUCKET, SLOTS_PER_CHUNK = 20_000, 65_536
+DOCS_PER_BUCKET, SLOTS_PER_CHUNK = 5_000, 65_536
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epochs: float = EPOCHS) -> DataFrame:
