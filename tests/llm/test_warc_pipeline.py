@@ -1,12 +1,10 @@
 import gzip
 import hashlib
-import re
 import zlib
 from collections import Counter, defaultdict
 
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup, packing, queries, warc
 
