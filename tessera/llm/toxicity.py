@@ -200,11 +200,14 @@ def _fold():
 def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> DataFrame:
     """text and toxic of at most ``max_rows`` labelled documents of the training
     fold, by hashed doc_id. A doc_id labelled twice counts as toxic if either
-    says so; null labels and ids don't count."""
+    says so; of rows that share a doc_id the least text is learned from; null
+    labels and ids don't count."""
     told = (labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
             .filter(_fold() != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
     # at most max_rows rows of two numbers: small enough to broadcast, by that bound
-    return docs.select("doc_id", "text").join(F.broadcast(told), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    found = docs.select("doc_id", "text").join(F.broadcast(told), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select(
+        "text", F.col("toxic").cast("int").alias("toxic"))
 
 
 def _stem_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
