@@ -9,8 +9,8 @@ to it. ``read_archives`` parses archives by their Content-Length fields, and
 
 from __future__ import annotations
 
+import gzip
 import hashlib
-import zlib
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -128,7 +128,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for i in range(b.num_rows):
-                raw = zlib.decompressobj(47).decompress(b.column(0)[i].as_py())
+                raw = gzip.decompress(b.column(0)[i].as_py())  # of one member or one a record
                 rows = []
                 for h, block in parse(raw):
                     told = h["warc-payload-digest"].removeprefix("sha256:")
