@@ -13,7 +13,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def arrow_limits(spark: SparkSession, rows: int = 4000, mb: int = 24) -> None:
+def arrow_limits(spark: SparkSession, rows: int = 2000, mb: int = 10) -> None:
     """Bound one Arrow batch by rows and by bytes, so that a Python worker's
     memory follows the batch and not the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -233,7 +233,7 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
     count as documents of their own. Other columns pass through, but input
     columns named ``n_lines``, ``n_dropped`` or with a leading ``_ld_`` are
     replaced."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, rows=1000, mb=8)  # nothing is shared by a batch's texts
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     hits, held = frequent_lines(slim, min_docs, min_chars)
     told = hits.groupBy("doc_id", "own").agg(
