@@ -135,7 +135,7 @@ def tokenize(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
 
     Null text counts as empty: one piece that holds ``eos`` alone. Only texts of
     more than ``capacity`` ids are cut. Other columns of ``docs`` are left out."""
-    arrow_limits(docs.sparkSession)
+    arrow_limits(docs.sparkSession, rows=3000, mb=16)  # the more texts, the fewer distinct words a text
     schema = "doc_id long, piece int, start long, length long, ids binary"
 
     def run(batches):
