@@ -122,8 +122,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quality_ngram")
 def op6_quality_ngram(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality import judge
-    return judge(documents(spark, sf_dir)).select(
+    from .quality import judge_words
+    return judge_words(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "loss")
 
 
