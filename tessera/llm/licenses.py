@@ -83,6 +83,29 @@ MPL was not distributed with this file, You can obtain one at http://mozilla.org
     "CC-BY-NC-SA-4.0 line": "Licensed under CC BY-NC-SA 4.0.",
     "CC0-1.0 line": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     "All rights reserved line": "All rights reserved. No part of this work may be reproduced without permission.",
+    # the customary variants that no text above reaches
+    "All rights reserved short line": "All rights reserved.",
+    "All rights reserved copying line": "All rights reserved. Unauthorized copying of this file is strictly prohibited.",
+    "MIT licensed line": "Licensed under the MIT License.",
+    "MIT project line": "This project is licensed under the MIT License.",
+    "MIT distributed line": "Distributed under the MIT License.",
+    "MIT title line": "The MIT License (MIT)",
+    "Apache-2.0 short line": "Licensed under the Apache License 2.0.",
+    "BSD-2-Clause line": "Released under the BSD 2-Clause License.",
+    "GPL-3.0 released line": "Released under the GNU General Public License, version 3.",
+    "GPL-3.0 short line": "Licensed under the GNU GPL v3.",
+    "GPL-3.0 later line": "Licensed under the GNU General Public License, version 3 or later.",
+    "GPL-2.0 released line": "Released under the GNU General Public License, version 2.",
+    "GPL-2.0 short line": "Licensed under the GNU GPL v2.",
+    "LGPL-3.0 released line": "Released under the GNU Lesser General Public License, version 3.",
+    "MPL-2.0 line": "Licensed under the Mozilla Public License, version 2.0.",
+    "MPL-2.0 short line": "Licensed under the Mozilla Public License, v. 2.0.",
+    "CC-BY-4.0 work line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-SA-4.0 work line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0 work line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-NC-SA-4.0 work line": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-4.0 short work line": "This work is licensed under CC BY 4.0.",
+    "CC0-1.0 dedication line": "This work is dedicated to the public domain under CC0 1.0.",
 }
 
 _NOT_WORD = r"[^\p{L}\p{N}]+"
