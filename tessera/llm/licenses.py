@@ -6,12 +6,17 @@ bigrams are compared with those of the licence templates. Two sets whose sizes
 differ too much cannot reach the least Dice coefficient, so a unit meets only
 the templates within its size bounds. Each document is judged in its own row:
 nothing is joined or shuffled. Spark expressions only.
+
+A longer template is also looked for in runs of consecutive lines, over blank
+lines too, in texts that hold enough of its bigrams to reach the least Dice
+coefficient at all.
 """
 
 from __future__ import annotations
 
 import re
 from fractions import Fraction
+from pathlib import Path
 
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -108,6 +113,14 @@ MPL was not distributed with this file, You can obtain one at http://mozilla.org
     "CC0-1.0 dedication line": "This work is dedicated to the public domain under CC0 1.0.",
 }
 
+# the full texts
+TEMPLATES["BSD-3-Clause"] = TEMPLATES["BSD-2-Clause"].replace("THIS SOFTWARE IS", """3. Neither the name of the copyright holder
+nor the names of its contributors may be used to endorse or promote products derived from this software without specific
+prior written permission. THIS SOFTWARE IS""", 1)
+TEMPLATES |= {x.stem: x.read_text("utf-8") for x in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+#: Templates of fewer bigrams are lines, which aren't looked for in runs of lines.
+LEAST_RUN = 20
 _NOT_WORD = r"[^\p{L}\p{N}]+"
 _GAP = r"\n[\x20\x09-\x0D]*\n"
 
@@ -137,8 +150,8 @@ def _bigrams(units: Column) -> Column:
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = MIN_DICE,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per match: doc_id, license, dice, unit (line, paragraph or text)
-    and place (its number from 0).
+    """One row per match: doc_id, license, dice, unit (line, paragraph, text or
+    lines, a run of them) and place (its number from 0, of a run its first line's).
 
     Null and empty texts, and units of fewer than two words, match nothing. A
     unit may match several templates, and a document one template in several
@@ -173,4 +186,81 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     grams = F.arrays_zip(F.col("units.unit").alias("unit"), F.col("units.place").alias("place"), _bigrams(F.col("units.t")).alias("grams"))
     found = (docs.select(F.col(id_col).alias("doc_id"), units.alias("units"))
              .select("doc_id", F.explode(F.flatten(F.transform(grams, matches))).alias("m")))
-    return found.select("doc_id", "m.license", "m.dice", "m.unit", "m.place")
+    found = found.select("doc_id", "m.license", "m.dice", "m.unit", "m.place")
+    return found.unionByName(_runs(docs.select(F.col(id_col).alias("doc_id"), text.alias("text")), templates, least))
+
+
+def _bound(df: DataFrame, *cols: Column) -> DataFrame:
+    """Columns worked out once a row: no later expression takes them in."""
+    return df.select(F.explode(F.array(F.struct(*cols))).alias("x")).select("x.*")
+
+
+def _runs(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+    """The matches of runs of two lines or more: of those that overlap the best
+    one (of equal ones the shortest, then first), and none that overlaps a
+    paragraph, or lies in a text, that matches the template by itself.
+
+    A run's places of bigrams lie between the template's least size and its
+    largest, times the template's own repeats; it begins and ends with a line
+    that shares a bigram with the template."""
+    t = Fraction(str(least))
+    known = []
+    for name, text in sorted(templates.items()):
+        words = template_words(text)
+        places = [_gram(a, b) for a, b in zip(words, words[1:])]
+        grams = sorted(set(places))
+        if len(grams) >= LEAST_RUN:
+            low, high = size_bounds(len(grams), least)
+            # 2 x / (n + size) >= t and size >= x
+            need = -(-len(grams) * t.numerator // (2 * t.denominator - t.numerator))
+            known.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(len(grams)).alias("n"), F.lit(need).alias("need"),
+                                  F.lit(low).alias("low"), F.lit(-(-high * len(places) // len(grams))).alias("high")))
+    if not known:
+        return docs.select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("dice"), F.lit("").alias("unit"), F.lit(0).alias("place")).filter("false")
+    split = lambda x: F.filter(F.split(F.trim(F.regexp_replace(F.lower(x), _NOT_WORD, " ")), " "), lambda w: w != "")
+    pairs = lambda ws: F.transform(F.slice(ws, 1, F.greatest(F.size(ws) - 1, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(ws, i + 1)))
+    c = F.col
+    df = _bound(docs.filter(F.instr("text", "\n") > 0), c("doc_id"), c("text"), split(c("text")).alias("words"))
+    df = _bound(df, c("doc_id"), c("text"), pairs(c("words")).alias("g"))
+    df = _bound(df, c("doc_id"), c("text"), c("g"), F.array_distinct("g").alias("own"))
+    near = F.filter(F.array(*known), lambda k: F.when(F.size("own") >= k["need"], F.size(F.array_intersect(c("own"), k["grams"])) >= k["need"]).otherwise(False))
+    # few texts are left
+    df = df.select("doc_id", "text", "g", "own", F.explode(near).alias("k"))
+    df = df.filter(F.lit(2.0) * F.size(F.array_intersect("own", "k.grams")) / (F.size("own") + c("k.n")) < least)
+    same = F.array_intersect("own", "k.grams")
+    df = _bound(df, c("doc_id"), c("k"), c("g"), same.alias("same"), F.transform(F.split("text", "\n"), lambda x: F.size(split(x))).alias("sizes"),
+                F.transform(F.split("text", _GAP), lambda x: split(x)).alias("parts"))
+    sums = lambda xs: F.aggregate(xs, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    alone = F.transform(F.transform("parts", lambda p: F.array_distinct(pairs(p))), lambda p: F.lit(2.0) * F.size(
+        F.array_intersect(p, c("k.grams"))) / (F.size(p) + c("k.n")) >= least)
+    df = _bound(df, c("doc_id"), c("k"), c("g"), alone.alias("alone"), sums(F.transform("parts", F.size)).alias("edges"), sums(c("sizes")).alias("starts"),
+                F.transform("g", lambda x: F.array_contains("same", x).cast("int")).alias("hit"))
+    taken = F.filter(F.transform("alone", lambda x, i: F.struct(x.alias("is"), F.get("edges", i).alias("from"), F.get("edges", i + 1).alias("to"))), lambda x: x["is"])
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), taken.alias("taken"), F.size("starts").alias("n_starts"), sums(c("hit")).alias("hits"))
+    at = lambda xs, i: F.get(c(xs), i)
+    # the hits of the bigrams that begin in a line (the last word has none after it)
+    upto = lambda i: at("hits", F.least(i, F.size("g")))
+    shares = F.filter(F.sequence(F.lit(0), c("n_starts") - 2), lambda i: upto(at("starts", i + 1)) > upto(at("starts", i)))
+    # a last line may end the run by the bigram that leads into it
+    ends = F.filter(F.sequence(F.lit(0), c("n_starts") - 2), lambda i: (at("starts", i + 1) > at("starts", i)) & (
+        upto(at("starts", i + 1) - 1) > upto(F.greatest(at("starts", i) - 1, F.lit(0)))))
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), c("taken"), c("hits"), shares.alias("firsts"), ends.alias("lasts"))
+
+    def from_line(i):
+        begin = at("starts", i)
+        size = lambda j: at("starts", j + 1) - begin - 1
+        fit = F.filter("lasts", lambda j: (j > i) & size(j).between(c("k.low"), c("k.high")) & (
+            upto(at("starts", j + 1) - 1) - upto(begin) >= c("k.need")) & ~F.exists(
+                "taken", lambda x: (x["from"] < at("starts", j + 1)) & (begin < x["to"])))
+
+        def judged(j):
+            met = F.transform(F.array(F.array_distinct(F.slice(c("g"), begin + 1, size(j)))), lambda u: F.lit(2.0) * F.size(
+                F.array_intersect(u, c("k.grams"))) / (F.size(u) + c("k.n")))
+            return F.struct((-F.element_at(met, 1)).alias("order"), (j - i).alias("more"), i.alias("first"), j.alias("last"))
+        return F.filter(F.transform(fit, judged), lambda m: m["order"] <= -least)
+    df = _bound(df, c("doc_id"), c("k.license").alias("license"), F.array_sort(F.flatten(F.transform("firsts", from_line))).alias("met"))
+    # from the best on, those that overlap none taken before
+    best = F.aggregate("met", F.slice(c("met"), 1, 0), lambda a, m: F.when(
+        F.exists(a, lambda b: (b["first"] <= m["last"]) & (m["first"] <= b["last"])), a).otherwise(F.concat(a, F.array(m))))
+    df = df.select("doc_id", "license", F.explode(best).alias("m"))
+    return df.select("doc_id", "license", (-c("m.order")).alias("dice"), F.lit("lines").alias("unit"), c("m.first").alias("place"))

@@ -23,3 +23,34 @@ def test_customary_lines_are_found(spark):
     for i, (x, name) in enumerate(SENTENCES):
         assert any(f.startswith(name) for f in found.get(i, ())), x
     assert not {900, 901} & set(found)
+
+
+PROSE = "\n\n".join(" ".join(f"p{i}w{(k * k) % 37}" for k in range(60)) for i in range(40))
+
+
+def _mit():
+    body = Lc.TEMPLATES["MIT"]
+    a, b = body.index("The above copyright"), body.index("THE SOFTWARE IS")
+    return [body[:a], body[a:b], body[b:]]
+
+
+def test_licences_of_several_paragraphs_in_longer_texts(spark):
+    text = lambda name: (Lc.Path(Lc.__file__).parent / "license_texts" / f"{name}.txt").read_text()
+    three = "\n\n".join(x.strip() for x in _mit())
+    bsd = Lc.TEMPLATES["BSD-3-Clause"].replace(" 2. Redis", "\n\n2. Redis").replace(" 3. Neither", "\n\n3. Neither").replace("THIS SOFTWARE", "\n\nTHIS SOFTWARE")
+    long = PROSE.replace("\n\n", "\n")
+    rows = [(1, f"{PROSE}\n\n{three}\n\n{PROSE}"), (2, f"{PROSE}\n\n{bsd}\n\n{PROSE}"),
+            (3, f"{long}\n{three.replace(chr(10) * 2, chr(10))}\n{long}"), (4, f"{PROSE}\n\n{three}\n\n{PROSE}\n\n{three}\n\n{PROSE}"),
+            (5, "\n\n".join([PROSE] * 3 + [text("Apache-2.0")] + [PROSE.replace("p", "q").replace("w", "x")] * 3)), (6, PROSE),
+            (7, text("GPL-3.0")), (8, f"{PROSE}\n\n{three}\n\n{PROSE}\n\n{' '.join(_mit()[:2])}{_mit()[2]}")]
+    got = {}
+    for r in Lc.scan(spark.createDataFrame(rows, SCHEMA)).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.unit, r.place, r.dice))
+    first = rows[0][1].split("\n").index(three.split("\n")[0])
+    assert got[1] == [("MIT", "lines", first, 1.0)]
+    assert max(got[2], key=lambda x: x[3])[0] == "BSD-3-Clause"
+    assert [x[:2] for x in got[3]] == [("MIT", "lines")] and got[3][0][3] == 1.0
+    assert [x[:2] + x[3:] for x in got[4]] == [("MIT", "lines", 1.0)] * 2
+    assert any(x[0] == "Apache-2.0" and x[3] > 0.99 for x in got[5])
+    assert 6 not in got and any(x[0] == "GPL-3.0" and x[1] == "text" for x in got[7])
+    assert sorted(x[:2] + x[3:] for x in got[8]) == [("MIT", "lines", 1.0), ("MIT", "paragraph", 1.0)]
