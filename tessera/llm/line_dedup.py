@@ -10,7 +10,9 @@ shard, which answers from the arrays; only the answers "drop" travel back.
 A line found in a large part of all documents would make its shard's probes
 unbounded. Lines with more than 1 in ``HEAVY`` of all line places number fewer
 than ``HEAVY`` at any size of the corpus, so these go to every task as one more
-such index (bounded, and so broadcast), and only the others are sent.
+such index (bounded, and so broadcast), and only the others are sent. A shard
+whose lines have many places in all is probed in parts, each with the shard's
+index row, so that a task's probes are bounded too.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from .common import BLANKS, arrow_limits, buckets_for, byte_values, stage, text_
 
 #: Distinct lines of one shard, about.
 SHARD_LINES = 65_536
+#: Probes of one part of a shard, about.
+PART_PROBES = 1_000_000
 HEAVY = 1024
 MIN_DOCS, MIN_CHARS = 10, 1
 _PAD = BLANKS.encode()
@@ -187,8 +191,47 @@ def _shard(bits: int):
     return (F.shiftrightunsigned("hi", 64 - bits) if bits else F.lit(0)).cast("long")
 
 
+def shard_parts(lines: DataFrame, bits: int, part_probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shards with more probes than ``part_probes``, and how many parts each
+    has (at most one entry for that many line places)."""
+    sums = lines.groupBy(_shard(bits).alias("shard")).agg(F.sum("docs").alias("n")).filter(F.col("n") > part_probes)
+    found = sorted((r.shard, -(-r.n // part_probes)) for r in sums.collect())
+    return np.array([x[0] for x in found], np.int64), np.array([x[1] for x in found], np.int64)
+
+
+def _parts_of(shard: np.ndarray, parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    if not len(parts[0]):
+        return np.ones(len(shard), np.int64)
+    at = np.minimum(np.searchsorted(parts[0], shard), len(parts[0]) - 1)
+    return np.where(parts[0][at] == shard, parts[1][at], 1)
+
+
+def send_probes(probes: DataFrame, held: tuple, bits: int, parts: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """The probes of all but the heavy lines, with their shard and part."""
+    def light(batches):
+        own = Index(*held)
+        for b in batches:
+            b = b.filter(pa.array(own.probe(_u64(b.column(2)), _u64(b.column(3))) == 0))
+            shard = (_u64(b.column(2)) >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(b.num_rows, np.int64)
+            # null doc_ids are dealt by their text alone
+            salt = _mix(_u64(b.column(1)) ^ _mix(_u64(b.column(0).fill_null(0)), 1), 2)
+            part = (salt % _parts_of(shard, parts).astype(np.uint64)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shard), pa.array(part)], names=["doc_id", "own", "hi", "lo", "shard", "part"])
+    return probes.mapInArrow(light, "doc_id long, own long, hi long, lo long, shard long, part long")
+
+
+def repeat_index(index: DataFrame, parts: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Each shard's row for each of its parts."""
+    def run(batches):
+        for b in batches:
+            for i, n in enumerate(_parts_of(_u64(b.column(0)).view(np.int64), parts).tolist()):
+                for k in range(n):
+                    yield pa.RecordBatch.from_arrays([*b.slice(i, 1).columns, pa.array([k], pa.int64())], names=[*b.schema.names, "part"])
+    return index.mapInArrow(run, f"{INDEX_SCHEMA}, part long")
+
+
 def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-                   shard_lines: int = SHARD_LINES) -> tuple[DataFrame, bytes | None]:
+                   shard_lines: int = SHARD_LINES, part_probes: int = PART_PROBES) -> tuple[DataFrame, bytes | None]:
     """What is to drop: (doc_id, own, hi, lo) rows answered by the shards, and
     the rows of the index of heavy lines, which every task probes itself."""
     probes = stage(distinct_lines(docs, min_chars), "line-probes")
@@ -204,12 +247,6 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
     bits = (buckets_for(sums.n, shard_lines) - 1).bit_length()
     index = stage(line_index(lines, bits), "line-index")
 
-    def light(batches):
-        own = Index(*held)
-        for b in batches:
-            n = own.probe(_u64(b.column(2)), _u64(b.column(3)))
-            yield b.filter(pa.array(n == 0))
-
     def answer(probed: pa.Table, arrays: pa.Table) -> pa.Table:
         if not probed.num_rows or not arrays.num_rows:
             return probed.select(["doc_id", "own", "hi", "lo"]).slice(0, 0)
@@ -218,8 +255,10 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
         return probed.select(["doc_id", "own", "hi", "lo"]).filter(pa.array(n >= min_docs))
 
     schema = "doc_id long, own long, hi long, lo long"
-    sent = probes.mapInArrow(light, schema).withColumn("shard", _shard(bits))
-    hits = sent.groupBy("shard").cogroup(index.groupBy("shard")).applyInArrow(answer, schema)
+    light = lines.filter((F.col("docs") * HEAVY <= sums.places) | (F.col("docs") < min_docs))
+    parts = shard_parts(light, bits, part_probes)
+    sent, rows = send_probes(probes, held, bits, parts), repeat_index(index, parts)
+    hits = sent.groupBy("shard", "part").cogroup(rows.groupBy("shard", "part")).applyInArrow(answer, schema)
     return hits, held
 
 
