@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 from array import array
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -226,7 +227,7 @@ def _pack_part(capacity: int):
     return run
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEMS, max_rounds: int = 8) -> DataFrame:
+def pack(items: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEMS) -> DataFrame:
     """``items`` (doc_id, piece, length and any columns of plain types) with
     ``sequence_id`` and ``offset`` (gapless from 0 in each sequence).
 
@@ -245,14 +246,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEM
     need, n_pool, sealed, done = lower_bound(counts, capacity), int(counts.sum()), 0, []
     if not n_pool:
         return items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    last, last_bins = None, None
-    for turn in range(max_rounds):
+    last, last_bins, first = None, None, 0
+    for turn in count():  # each round but the last saves a bin
         parts = buckets_for(n_pool, part_items)
         dealt = pool.select(*cols, F.pmod(F.xxhash64("doc_id", "piece", F.lit(turn)), F.lit(parts)).cast("long").alias("_part"))
         fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema.fields)
         out = stage(dealt.groupBy("_part").applyInArrow(
             _pack_part(capacity), f"{fields}, _bin long, offset long, _open boolean, _bins long, _gap long"), "pack-round")
-        out = out.withColumn("sequence_id", F.lit(turn << 50) + F.shiftleft(F.col("_part"), 24) + F.col("_bin"))
+        out = out.withColumn("sequence_id", F.lit(first).cast("long") + F.shiftleft(F.col("_part"), 24) + F.col("_bin"))
+        first += parts << 24
         now = out.agg(F.sum(F.when(F.col("offset") == 0, 1)).alias("bins"),
                       F.sum(F.when((F.col("offset") == 0) & F.col("_open"), 1)).alias("open"),
                       F.sum(F.col("_open").cast("int")).alias("items")).first()
@@ -262,7 +264,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, part_items: int = PART_ITEM
         done.append(out.filter(~F.col("_open")))
         last, last_bins, n_pool = out.filter("_open"), now.open or 0, now.items or 0
         sealed += now.bins - last_bins
-        if sealed + last_bins <= need or not n_pool or (parts == 1 and turn):
+        if sealed + last_bins <= need or not n_pool:
             break
         pool = last
     done.append(last)
