@@ -153,3 +153,34 @@ SELECT doc_id, license, dice, unit, CAST(place AS INTEGER) AS place FROM m WHERE
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .licenses import scan
     return scan(documents(spark, sf_dir))
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+p AS (SELECT *, string_split(t, chr(10)) AS parts FROM d),
+c AS (SELECT *, CAST(len(parts) - CASE WHEN t = '' OR ends_with(t, chr(10)) THEN 1 ELSE 0 END AS BIGINT) AS n,
+             CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+             CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM p),
+k AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM c),
+-- lengths of the first a and the first b units: a unit has its line end unless the text ends without one
+l AS (SELECT doc_id, t, n, h3, h4,
+             length(array_to_string(parts[1:a], chr(10))) + CASE WHEN a > 0 AND a < len(parts) THEN 1 ELSE 0 END AS x,
+             length(array_to_string(parts[1:b], chr(10))) + CASE WHEN b > 0 AND b < len(parts) THEN 1 ELSE 0 END AS y FROM k),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                     WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+             substring(t, 1, x) AS pre, substring(t, x + 1, y - x) AS mid, substring(t, y + 1) AS suf FROM l)
+SELECT doc_id, n, form, CAST(CASE WHEN form <> 'plain' THEN x END AS BIGINT) AS prefix_chars,
+       CAST(CASE WHEN form <> 'plain' THEN y - x END AS BIGINT) AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@query("op11_fill_in_middle", OP11_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .fim import fill_in_middle, restore
+    return fill_in_middle(documents(spark, sf_dir)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restore(), 256).alias("restored_sha256"))
