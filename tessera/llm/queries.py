@@ -184,3 +184,11 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle(documents(spark, sf_dir)).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(restore(), 256).alias("restored_sha256"))
+
+
+@query("op12_document_fingerprints")
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ctph import edits
+    return edits(documents(spark, sf_dir)).select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        "near_edited", "near_next")
