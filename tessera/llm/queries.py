@@ -192,3 +192,35 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edits(documents(spark, sf_dir)).select(
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         "near_edited", "near_next")
+
+
+def _kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    dot = "list_inner_product({0}.e, {1}.e)".format
+    near = lambda t: (f"a{t} AS (SELECT v.rid, arg_min(c.k, ({dot('v', 'v')} - 2 * {dot('v', 'c')} + {dot('c', 'c')}) * {k} + c.k) AS k, "
+                      f"min({dot('v', 'v')} - 2 * {dot('v', 'c')} + {dot('c', 'c')}) AS d FROM v, c{t} c GROUP BY v.rid)")
+    steps = []
+    for t in range(rounds):
+        steps.append(near(t))
+        steps.append(f"""m{t} AS (SELECT k, i, floor(sum(x) / count(*)) AS x
+       FROM (SELECT a.k, unnest(v.e) AS x, generate_subscripts(v.e, 1) AS i FROM a{t} a JOIN v USING (rid)) GROUP BY k, i),
+c{t + 1} AS (SELECT k, list(x ORDER BY i) AS e FROM m{t} GROUP BY k
+       UNION ALL SELECT k, e FROM c{t} WHERE k NOT IN (SELECT k FROM a{t}))""")
+    steps.append(near(rounds))
+    return f"""
+WITH v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+           FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')), e) - 1 AS k, e FROM v QUALIFY k < {k}),
+{", ".join(steps)},
+s AS (SELECT k, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY k),
+h AS (SELECT k, sha256(array_to_string(list_transform(e, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256 FROM c{rounds})
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance, s.cluster_inertia,
+       CAST((SELECT sum(d) FROM a{rounds}) AS BIGINT) AS inertia, h.centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN s USING (k) JOIN h USING (k)
+"""
+
+
+@query("op13_centroid_clustering", _kmeans_sql())
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.session import load
+    from .zonemaps import kmeans, with_inertia
+    return with_inertia(kmeans(load(spark, sf_dir, "embeddings"))).drop("compared")
