@@ -26,12 +26,13 @@ def _fmt(template: str, base: Column) -> Column:
 
 
 def qna_generate(functions: DataFrame, files: DataFrame | None = None,
-                 headers: DataFrame | None = None) -> DataFrame:
+                 headers: DataFrame | None = None, long_headers: DataFrame | None = None) -> DataFrame:
     """Questions per function (summary always; risks, tags, change recipe,
     headers when non-empty) and per file (summary always, then risks, tags,
     recipe). ``functions``: id, name, file_path, summary, risk_notes,
-    intent_tags (array), change_recipe; ``headers``: id, part, headers (text).
-    A header list of several parts is asked for once a part."""
+    intent_tags (array), change_recipe; ``headers``: id, headers (text).
+    ``long_headers`` (name, part, headers) are lists that are asked for once a
+    name and part instead of once a function."""
     f = functions
     base = F.concat(F.lit("Function '"), F.coalesce("name", F.lit("<unknown>")), F.lit("' in file '"),
                     F.coalesce("file_path", F.lit("<unknown file>")), F.lit("'"))
@@ -52,9 +53,14 @@ def qna_generate(functions: DataFrame, files: DataFrame | None = None,
     out = f.select("id", none, F.explode(F.array_compact(F.array(*items))).alias("q")).select("id", "part", "q.*")
     if headers is not None:
         (qn, tmpl), = [(i, t) for i, (field, t) in enumerate(FN_QUESTIONS) if field == "headers"]
-        out = out.unionByName(f.join(headers.where(F.col("headers") != ""), "id").select(
-            "id", "part", F.lit(qn).alias("qn"), _fmt(tmpl, base).alias("question"), F.col("headers").alias("answer"),
+        out = out.unionByName(f.join(headers.where(F.col("headers") != "").select("id", "headers"), "id").select(
+            "id", none, F.lit(qn).alias("qn"), _fmt(tmpl, base).alias("question"), F.col("headers").alias("answer"),
             F.lit("function").alias("level")))
+        if long_headers is not None:
+            every = F.concat(F.lit("every function '"), F.col("name"), F.lit("'"))
+            out = out.unionByName(long_headers.select(
+                F.concat(F.lit("name:"), "name").alias("id"), "part", F.lit(qn).alias("qn"), _fmt(tmpl, every).alias("question"),
+                F.col("headers").alias("answer"), F.lit("function").alias("level")))
     if files is not None:
         fbase = F.concat(F.lit("File '"), F.coalesce("file_path", F.lit("<unknown file>")), F.lit("'"))
         fitems = []
@@ -107,10 +113,26 @@ def train_file_context(files: DataFrame) -> DataFrame:
     return files.select("id", ctx.alias("input_text"), F.coalesce("summary", F.lit("")).alias("target_text"))
 
 
+def train_class_context(classes: DataFrame) -> DataFrame:
+    """Of classes that function contexts name in place of a list: their callers
+    and definitions, part by part."""
+    ctx = F.concat(F.lit("Functions: "), F.col("class"), F.lit(" | Callers: "), F.coalesce("callers", F.lit("")),
+                   F.lit(" | Definitions: "), F.coalesce("definitions", F.lit("")))
+    tgt = F.concat(F.col("class"), F.lit(" has "), F.col("n_callers").cast("string"), F.lit(" callers and "),
+                   F.col("n_definitions").cast("string"), F.lit(" definitions."))
+    return classes.select(F.col("class").alias("id"), "part", ctx.alias("input_text"), tgt.alias("target_text"))
+
+
 def train_header_context(links: DataFrame) -> DataFrame:
-    h, i, fid = (F.coalesce(F.col(c), F.lit("")) for c in ("header_file", "implementation_file", "function_id"))
-    ctx = F.concat(F.lit("Header: "), h, F.lit(" | Implementation: "), i, F.lit(" | Function ID: "), fid)
-    tgt = F.concat(F.lit("Linking header "), h, F.lit(" to implementation "), i, F.lit("."))
+    """Header links, a row a part of either side of a class: its headers beside
+    the number of definitions, its definitions beside the number of headers."""
+    items, paths, name = F.col("items"), F.col("paths"), F.col("name")
+    nd, nh = F.col("n_definitions").cast("string"), F.col("n_headers").cast("string")
+    left = F.col("side") == "header"
+    ctx = F.when(left, F.concat(F.lit("Header: "), items, F.lit(" | Function: "), name, F.lit(" | Definitions: "), nd)).otherwise(
+        F.concat(F.lit("Implementation: "), paths, F.lit(" | Function ID: "), items, F.lit(" | Function: "), name, F.lit(" | Headers: "), nh))
+    tgt = F.when(left, F.concat(F.lit("Linking header "), items, F.lit(" to the "), nd, F.lit(" definitions of "), name, F.lit("."))).otherwise(
+        F.concat(F.lit("Linking implementation "), paths, F.lit(" to the "), nh, F.lit(" headers that declare "), name, F.lit(".")))
     return links.select(ctx.alias("input_text"), tgt.alias("target_text"))
 
 

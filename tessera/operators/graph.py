@@ -9,7 +9,7 @@ round is checkpointed reliably into the shared checkpoint folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import metrics as M
 from ..session import cut_lineage, drop_state
@@ -116,6 +116,21 @@ def name_graph(units: DataFrame, calls: DataFrame | None = None) -> tuple[DataFr
     return up.distinct(), down.join(used, "key", "left_semi")
 
 
+def class_id(key: str) -> Column:
+    """A name node's key as text: ``name:f`` (any definition of f),
+    ``file:path:f`` (those of that file) or ``id:...`` (one function)."""
+    k = F.col(key)
+    name, rest = F.substring_index(k, "\x00", 1), F.substring_index(k, "\x00", -1)
+    return (F.when(name == "", F.concat(F.lit("id:"), rest)).when(rest == "", F.concat(F.lit("name:"), name))
+             .otherwise(F.concat(F.lit("file:"), rest, F.lit(":"), name)))
+
+
+def class_tier(class_id_col: str) -> Column:
+    """The tier by which calls of a class were resolved."""
+    kind = F.substring_index(class_id_col, ":", 1)
+    return F.when(kind == "id", 1).when(kind == "file", 2).otherwise(3)
+
+
 def name_degrees(nodes: DataFrame, up: DataFrame, down: DataFrame, external: DataFrame) -> DataFrame:
     """``degree_metrics`` from counts per name node: a definition's callers are
     those of its keys, a function's callees the definitions of its keys. (A
@@ -151,7 +166,8 @@ def is_function(c):
 
 
 def reverse_edges(edges: DataFrame) -> DataFrame:
-    """callers of each function = the inverse of callees, as rows."""
+    """callers of each function = the inverse of callees, as pairs (for chosen
+    functions; ``classes`` keeps the whole relation factored)."""
     return edges.select(F.col("dst").alias("id"), F.col("src").alias("caller")).distinct()
 
 

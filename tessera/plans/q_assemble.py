@@ -15,6 +15,7 @@ from pyspark.sql import functions as F, types as T
 
 from ..functions import metrics as M
 from ..operators import assemble as A
+from ..operators import classes as C
 from ..operators import infer as I
 from ..operators import rollup as R
 from ..operators import segment as S
@@ -22,9 +23,9 @@ from ..session import load, scratch_path
 from ..sources import io as IO
 from ..streaming import incremental as ST
 from . import pipeline as P
-from .q_graph import GRAPH_CTES
+from .q_graph import CALLERS_CTES, CLASS_CTES, GRAPH_CTES
 from .registry import register
-from .sql_code import (CODE_CTES, FILE_RAW, FILES_CTES, FLAGGED, FUNCTION_RAW, STUB_ANSWER, dedent_sql, list_parts_sql,
+from .sql_code import (CODE_CTES, FILE_RAW, FILES_CTES, FLAGGED, FUNCTION_RAW, STEM, STUB_ANSWER, dedent_sql,
                        notes_expr, tags_expr, windows_sql)
 
 W = "WITH " + CODE_CTES
@@ -67,56 +68,96 @@ def _file_rows(spark, sf):
     return P.materialize(spark, sf, "file_rows", build)
 
 
-def _header_links(spark, sf):
-    return P.header_links(spark, sf)
-
-
-LINKS_SQL = """
-links AS (SELECT 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_file, 'include/' || 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_path,
-                 regexp_extract(u.file_path, '([^/]*)$', 1) AS implementation_file, u.file_path AS implementation_path,
-                 u.id AS function_id
+LINKS_SQL = f"""
+hm AS (SELECT 'fn_' || p AS name, 'header' AS side, {STEM} || '.h' AS item, 'include/' || {STEM} || '.h' AS path FROM defs WHERE p % 2 = 0
+       UNION ALL SELECT name, 'definition', id, file_path FROM units2),
+hn AS (SELECT name, count(*) FILTER (WHERE side = 'header') AS n_headers, count(*) FILTER (WHERE side = 'definition') AS n_definitions
+       FROM hm GROUP BY name),
+hc AS (SELECT name, side, part, parts, n_headers, n_definitions, string_agg(item, ',' ORDER BY item, path) AS items,
+              string_agg(path, ',' ORDER BY item, path) AS paths
+       FROM (SELECT *, CAST(('0x' || substring(sha1(item || '|' || path), 1, 7)) AS BIGINT) % parts AS part
+             FROM (SELECT hm.*, n_headers, n_definitions,
+                          CAST(ceil(CASE side WHEN 'header' THEN n_headers ELSE n_definitions END / {P.LIST_ITEMS}.0) AS BIGINT) AS parts
+                   FROM hm JOIN hn ON hn.name = hm.name WHERE n_headers > 0 AND n_definitions > 0))
+       GROUP BY name, side, part, parts, n_headers, n_definitions)
+"""
+# per function the headers that declare its name: the list, or null if it is long
+HEADERS_SQL = """
+hdr AS (SELECT u.id, h.name, CASE WHEN h.parts = 1 THEN replace(h.items, ',', ', ') END AS headers, h.n_headers
+        FROM units2 u JOIN (SELECT name, n_headers, max(parts) AS parts, max(items) AS items FROM hc WHERE side = 'header'
+                            GROUP BY name, n_headers) h ON h.name = u.name),
+hlong AS (SELECT name, part, replace(items, ',', ', ') AS headers, n_headers FROM hc WHERE side = 'header' AND parts > 1)
+"""
+# the expanded pairs, for counts
+PAIRS_SQL = f"""
+links AS (SELECT {STEM.replace("s ||", "d.s ||").replace("(p //", "(d.p //")} AS stem, u.file_path AS implementation_path
           FROM defs d JOIN units2 u ON u.name = 'fn_' || d.p WHERE d.p % 2 = 0)
 """
 
 
-@register("link_headers", W + "," + LINKS_SQL + "SELECT * FROM links")
-def q_link_headers(spark, sf):
-    return _header_links(spark, sf)
+def _class_columns(classes, right, count):
+    side = F.when(F.col("side") == C.LEFT, "header").otherwise(right).alias("side")
+    return classes.select(F.col("key").alias("name"), side, F.col("part").cast("bigint").alias("part"), F.col("parts").cast("bigint").alias("parts"),
+                          F.col("n_left").alias("n_headers"), F.col("n_right").alias(count),
+                          C.joined("item").alias("items"), C.joined("path").alias("paths"))
 
 
-@register("link_headers_contains", W + "," + FILES_CTES + r"""
-, toks AS (SELECT DISTINCT file_path, unnest(regexp_extract_all(text, '[A-Za-z_]\w*')) AS tok FROM files
-           WHERE file_path LIKE '%.c')
-SELECT 'include/' || 'f_' || d.s || '_' || (d.p // 1000) || '.h' AS header_path, 'fn_' || d.p AS name, t.file_path AS implementation_path
-FROM (SELECT DISTINCT s, p FROM defs WHERE p % 2 = 0) d JOIN toks t ON t.tok = 'fn_' || d.p
+@register("link_headers", W + "," + LINKS_SQL + """
+SELECT name, side, CAST(part AS BIGINT) AS part, CAST(parts AS BIGINT) AS parts, n_headers, n_definitions, items, paths FROM hc
 """)
-def q_link_headers_contains(spark, sf):
-    """Header name found in a .c file's identifiers (identifier tokens, not
-    raw substrings: an equi-join instead of a nested loop)."""
-    files = P.code_files(spark, sf)
-    protos = S.extract_prototypes(files).select(F.col("file_path").alias("header_path"), "name")
-    toks = (files.where(M.suffix("file_path") == ".c")
-                 .select("file_path", F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z_]\w*"), 0)).alias("name"))
-                 .distinct())
-    return protos.join(toks, "name").select("header_path", "name", F.col("file_path").alias("implementation_path"))
+def q_link_headers(spark, sf):
+    """Header links as classes: every header of a name declares each of its
+    definitions. Rows follow prototypes and definitions."""
+    return _class_columns(P.header_classes(spark, sf), "definition", "n_definitions")
 
 
-HEADERS_SQL = list_parts_sql("hdr", "links", "function_id", "header_file", ", ", "headers")
+@register("header_link_counts", W + "," + PAIRS_SQL + """
+SELECT 'header' AS side, 'include/' || stem || '.h' AS path, count(*) AS n_links FROM links GROUP BY stem
+UNION ALL SELECT 'implementation', implementation_path, count(*) FROM links GROUP BY implementation_path
+""")
+def q_header_link_counts(spark, sf):
+    """Links per header and per implementation file, summed from class counts
+    (the SQL twin counts the expanded pairs)."""
+    left, right = P.header_sides(spark, sf)
+    n = C.class_counts(left, right)
+    return (C.link_counts(left, n, ["path"], "n_right").withColumn("side", F.lit("header"))
+            .unionByName(C.link_counts(right, n, ["path"], "n_left").withColumn("side", F.lit("implementation"))).select("side", "path", "n_links"))
 
 
-def _headers(spark, sf):
-    pairs = _header_links(spark, sf).select(F.col("function_id").alias("id"), F.col("header_file").alias("headers"))
-    return A.list_parts(pairs, "id", "headers", ", ")
+@register("link_headers_contains", W + "," + FILES_CTES + rf"""
+, toks AS (SELECT DISTINCT file_path, unnest(regexp_extract_all(text, '[A-Za-z_]\w*')) AS tok FROM files
+           WHERE file_path LIKE '%.c'),
+hm AS (SELECT 'fn_' || p AS name, 'header' AS side, {STEM} || '.h' AS item, 'include/' || {STEM} || '.h' AS path FROM defs WHERE p % 2 = 0
+       UNION ALL SELECT tok, 'file', regexp_extract(file_path, '([^/]*)$', 1), file_path FROM toks),
+hn AS (SELECT name, count(*) FILTER (WHERE side = 'header') AS n_headers, count(*) FILTER (WHERE side = 'file') AS n_files FROM hm GROUP BY name),
+hp AS (SELECT hm.*, n_headers, n_files, CAST(ceil(CASE side WHEN 'header' THEN n_headers ELSE n_files END / {P.LIST_ITEMS}.0) AS BIGINT) AS parts
+       FROM hm JOIN hn ON hn.name = hm.name WHERE n_headers > 0 AND n_files > 0)
+SELECT name, side, part, parts, n_headers, n_files, string_agg(item, ',' ORDER BY item, path) AS items, string_agg(path, ',' ORDER BY item, path) AS paths
+FROM (SELECT *, CAST(('0x' || substring(sha1(item || '|' || path), 1, 7)) AS BIGINT) % parts AS part FROM hp)
+GROUP BY name, side, part, parts, n_headers, n_files
+""")
+def q_link_headers_contains(spark, sf):
+    """Header name found in a .c file's identifiers (identifier tokens, not raw
+    substrings: an equi-join instead of a nested loop), as classes."""
+    left, _ = P.header_sides(spark, sf)
+    toks = (P.code_files(spark, sf).where(M.suffix("file_path") == ".c")
+            .select("file_path", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"[A-Za-z_]\w*"), 0))).alias("key")))
+    right = toks.select("key", M.file_name("file_path").alias("item"), F.col("file_path").alias("path"))
+    right = right.join(left.select("key").distinct(), "key", "left_semi")
+    return _class_columns(C.class_parts(left, right, P.LIST_ITEMS), "file", "n_files")
 
 
 @register("qna_header_join", W + "," + LINKS_SQL + "," + HEADERS_SQL + """
-SELECT u.id, CAST(coalesce(h.part, 0) AS BIGINT) AS part, h.headers, CAST(coalesce(h.n, 0) AS BIGINT) AS n_headers
+SELECT u.id, CAST(0 AS BIGINT) AS part, h.name AS class, h.headers, CAST(coalesce(h.n_headers, 0) AS BIGINT) AS n_headers
 FROM units2 u LEFT JOIN hdr h ON h.id = u.id
+UNION ALL SELECT 'name:' || name, CAST(part AS BIGINT), name, headers, n_headers FROM hlong
 """)
 def q_qna_header_join(spark, sf):
     u = P.c_units(spark, sf).select("id")
-    return u.join(_headers(spark, sf), "id", "left").select(
-        "id", F.coalesce("part", F.lit(0)).cast("bigint").alias("part"), "headers", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_headers"))
+    own = u.join(P.headers(spark, sf).withColumnRenamed("name", "class"), "id", "left").withColumn("part", F.lit(0))
+    long = P.long_headers(spark, sf).withColumnRenamed("name", "class").withColumn("id", F.concat(F.lit("name:"), "class"))
+    return own.unionByName(long).select("id", F.col("part").cast("bigint").alias("part"), "class", "headers",
+                                        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_headers"))
 
 
 QNA_SQL = """
@@ -128,7 +169,8 @@ qna AS (
   UNION ALL SELECT id, 0, 1, 'What are the potential risks of ' || base || '?', notes, 'function' FROM qf WHERE notes <> ''
   UNION ALL SELECT id, 0, 2, 'What intent tags apply to ' || base || '?', tags, 'function' FROM qf WHERE tags <> ''
   UNION ALL SELECT id, 0, 3, 'What changes might be needed for ' || base || '?', change_recipe, 'function' FROM qf WHERE change_recipe <> ''
-  UNION ALL SELECT qf.id, h.part, 4, 'Which headers declare ' || base || '?', h.headers, 'function' FROM qf JOIN hdr h ON h.id = qf.id WHERE h.headers <> ''
+  UNION ALL SELECT qf.id, 0, 4, 'Which headers declare ' || base || '?', h.headers, 'function' FROM qf JOIN hdr h ON h.id = qf.id WHERE h.headers <> ''
+  UNION ALL SELECT 'name:' || name, part, 4, 'Which headers declare every function ''' || name || '''?', headers, 'function' FROM hlong
   UNION ALL SELECT id, 0, 0, 'What is the overall purpose of ' || base || '?', summary, 'file' FROM qff
   UNION ALL SELECT id, 0, 1, 'What are the potential risks in ' || base || '?', notes, 'file' FROM qff WHERE notes <> ''
   UNION ALL SELECT id, 0, 2, 'What intent tags apply to ' || base || '?', tags, 'file' FROM qff WHERE tags <> ''
@@ -137,7 +179,7 @@ qna AS (
 
 
 def _qna(spark, sf):
-    return A.qna_generate(_enriched(spark, sf), _file_rows(spark, sf), _headers(spark, sf).select("id", "part", "headers"))
+    return A.qna_generate(_enriched(spark, sf), _file_rows(spark, sf), P.headers(spark, sf).select("id", "headers"), P.long_headers(spark, sf))
 
 
 @register("qna_generate", WFG + "," + STUB_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + "," + QNA_SQL + """
@@ -148,66 +190,61 @@ def q_qna_generate(spark, sf):
                                   "question", "answer", "level")
 
 
-NEIGH_SQL = (list_parts_sql("cr", "edges", "dst", "src", ",", "callers") + "," + list_parts_sql("ce", "edges", "src", "dst", ",", "callees") + """,
-nb AS (SELECT coalesce(cr.id, ce.id) AS id, coalesce(cr.part, ce.part) AS part, cr.callers, ce.callees
-       FROM cr FULL JOIN ce ON ce.id = cr.id AND ce.part = cr.part)
-""")
+NEIGH_SQL = CLASS_CTES + "," + CALLERS_CTES
 FNCTX_SQL = """
 fnctx AS (SELECT e.id, coalesce(nb.part, 0) AS part, 'Function: ' || e.name || ' | File: ' || e.file_path || ' | LOC: ' || CAST(e.loc AS VARCHAR)
                  || ', Cyclomatic: ' || CAST(e.cyclomatic AS VARCHAR) || ' | Intent tags: ' || array_to_string(e.tags, ',')
                  || ' | Risk notes: ' || e.notes || ' | Callers: ' || coalesce(nb.callers, '') || ' | Callees: ' || coalesce(nb.callees, '')
                  AS input_text, e.summary AS target_text
-          FROM enr e LEFT JOIN nb ON nb.id = e.id),
+          FROM enr e LEFT JOIN nb ON nb.id = e.id
+          UNION ALL
+          SELECT class, part, 'Functions: ' || class || ' | Callers: ' || coalesce(callers, '') || ' | Definitions: ' || coalesce(definitions, ''),
+                 class || ' has ' || n_callers || ' callers and ' || n_definitions || ' definitions.' FROM nbc),
 filectx AS (SELECT id, 'File: ' || file_path || ' | LOC: ' || CAST(loc AS VARCHAR) || ' | Functions: ' || CAST(num_functions AS VARCHAR)
-                   || ' | Intent: ' || array_to_string(tags, ',') AS input_text, summary AS target_text FROM froll),
-hctx AS (SELECT 'Header: ' || header_file || ' | Implementation: ' || implementation_file || ' | Function ID: ' || function_id AS input_text,
-                'Linking header ' || header_file || ' to implementation ' || implementation_file || '.' AS target_text FROM links)
+                   || ' | Intent: ' || array_to_string(tags, ',') AS input_text, summary AS target_text FROM froll)
+"""
+HCTX_SQL = """
+hctx AS (SELECT CASE side WHEN 'header' THEN 'Header: ' || items || ' | Function: ' || name || ' | Definitions: ' || n_definitions
+                ELSE 'Implementation: ' || paths || ' | Function ID: ' || items || ' | Function: ' || name || ' | Headers: ' || n_headers END AS input_text,
+                CASE side WHEN 'header' THEN 'Linking header ' || items || ' to the ' || n_definitions || ' definitions of ' || name || '.'
+                ELSE 'Linking implementation ' || paths || ' to the ' || n_headers || ' headers that declare ' || name || '.' END AS target_text FROM hc)
 """
-
-
-def _neighbors(spark, sf):
-    """Stage output: (id, part, callers, callees), every caller and callee of a
-    function in one of its parts."""
-    def build():
-        _, edges, _ = P.call_graph(spark, sf)
-        callers = A.list_parts(edges.select(F.col("dst").alias("id"), F.col("src").alias("callers")), "id", "callers", ",")
-        callees = A.list_parts(edges.select(F.col("src").alias("id"), F.col("dst").alias("callees")), "id", "callees", ",")
-        return callers.select("id", "part", "callers").join(callees.select("id", "part", "callees"), ["id", "part"], "full_outer")
-    return P.materialize(spark, sf, "neighbors", build)
 
 
 def _with_neighbors(fn, spark, sf):
-    return fn.join(_neighbors(spark, sf), "id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    return fn.join(P.neighbors(spark, sf), "id", "left").withColumn("part", F.coalesce("part", F.lit(0)))
 
 
 def _fn_ctx(spark, sf):
-    return A.train_function_context(_with_neighbors(_enriched(spark, sf), spark, sf))
+    return (A.train_function_context(_with_neighbors(_enriched(spark, sf), spark, sf))
+            .unionByName(A.train_class_context(P.class_rows(spark, sf))))
 
 
-@register("train_function_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + FNCTX_SQL + """
+@register("train_function_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + FNCTX_SQL + """
 SELECT id, CAST(part AS INT) AS part, input_text, target_text FROM fnctx
 """)
 def q_train_function_context(spark, sf):
     return _fn_ctx(spark, sf).withColumn("part", F.col("part").cast("int"))
 
 
-@register("train_file_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + FNCTX_SQL + """
+@register("train_file_context", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + FNCTX_SQL + """
 SELECT id, input_text, target_text FROM filectx
 """)
 def q_train_file_context(spark, sf):
     return A.train_file_context(_file_rows(spark, sf))
 
 
-@register("train_header_context", W + "," + LINKS_SQL + """
-SELECT 'Header: ' || header_file || ' | Implementation: ' || implementation_file || ' | Function ID: ' || function_id AS input_text,
-       'Linking header ' || header_file || ' to implementation ' || implementation_file || '.' AS target_text FROM links
-""")
+@register("train_header_context", W + "," + LINKS_SQL + "," + HCTX_SQL + "SELECT input_text, target_text FROM hctx")
 def q_train_header_context(spark, sf):
-    return A.train_header_context(_header_links(spark, sf))
+    return A.train_header_context(_header_rows(spark, sf))
+
+
+def _header_rows(spark, sf):
+    return _class_columns(P.header_classes(spark, sf), "definition", "n_definitions")
 
 
 @register("training_union", WFG + "," + STUB_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + "," + QNA_SQL + "," + NEIGH_SQL + ","
-          + FNCTX_SQL + """
+          + FNCTX_SQL + "," + HCTX_SQL + """
 SELECT 'qna' AS source, question AS input_text, answer AS target_text FROM qna
 UNION ALL SELECT 'function', input_text, target_text FROM fnctx
 UNION ALL SELECT 'file', input_text, target_text FROM filectx
@@ -215,7 +252,7 @@ UNION ALL SELECT 'header', input_text, target_text FROM hctx
 """)
 def q_training_union(spark, sf):
     return A.training_union(_qna(spark, sf), _fn_ctx(spark, sf), A.train_file_context(_file_rows(spark, sf)),
-                            A.train_header_context(_header_links(spark, sf)))
+                            A.train_header_context(_header_rows(spark, sf)))
 
 
 @register("sft_instruction", WFG + "," + STUB_SQL + "," + NEIGH_SQL + """
@@ -565,8 +602,9 @@ def q_token_cache(spark, sf):
 
 @register("prompt_function_graph", WFG + "," + STUB_SQL + "," + NEIGH_SQL + "," + LINKS_SQL + "," + HEADERS_SQL + ","
           + windows_sql("wd", "units2", "id", "body") + """
-, p0 AS (SELECT coalesce(nb.id, h.id) AS id, coalesce(nb.part, h.part) AS part, callers, callees, headers
-         FROM nb FULL JOIN hdr h ON h.id = nb.id AND h.part = nb.part),
+, h0 AS (SELECT id, 0 AS part, coalesce(headers, n_headers || ' headers of name:' || name) AS headers FROM hdr),
+p0 AS (SELECT coalesce(nb.id, h.id) AS id, coalesce(nb.part, h.part) AS part, callers, callees, headers
+         FROM nb FULL JOIN h0 h ON h.id = nb.id AND h.part = nb.part),
 pp AS (SELECT coalesce(p0.id, wd.id) AS id, coalesce(p0.part, wd.win) AS part, callers, callees, headers, piece
        FROM p0 FULL JOIN wd ON wd.id = p0.id AND wd.win = p0.part)
 SELECT e.id, CAST(part AS INT) AS part, 'Function ' || e.name || ' in ' || e.file_path || chr(10) || 'Signature: ' || e.signature || chr(10)
@@ -577,11 +615,14 @@ FROM enr e JOIN pp ON pp.id = e.id
 def q_prompt_function_graph(spark, sf):
     """Graph-aware prompts: part i of a function has part i of its callers,
     callees and declaring headers and window i of its body, so each item and
-    each token is in one prompt."""
+    each token is in one prompt; classes stand for their lists where those are
+    long."""
     from ..functions import text as X
     u = P.c_units(spark, sf)
     body = u.select("id", F.posexplode(X.token_windows(F.col("body"))).alias("part", "piece"))
-    parts = (_neighbors(spark, sf).join(_headers(spark, sf).select("id", "part", "headers"), ["id", "part"], "full_outer")
+    named = F.concat(F.col("n").cast("string"), F.lit(" headers of name:"), "name")
+    headers = P.headers(spark, sf).select("id", F.lit(0).alias("part"), F.coalesce("headers", named).alias("headers"))
+    parts = (P.neighbors(spark, sf).join(headers, ["id", "part"], "full_outer")
              .join(body, ["id", "part"], "full_outer"))
     fn = u.select("id", "name", "file_path", "signature").join(parts, "id")
     return fn.select("id", F.col("part").cast("int").alias("part"),

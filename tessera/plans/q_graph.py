@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import metrics as M
+from ..operators import classes as C
 from ..operators import graph as G
 from ..operators import segment as S
 from . import pipeline as P
 from .registry import register
-from .sql_code import CODE_CTES, FILES_CTES, q
+from .sql_code import CODE_CTES, FILES_CTES, list_parts_sql, q
 
 CALL_RE = q(M.CALL_SITE_RE)
 
@@ -62,10 +63,53 @@ def q_call_edges_in_file(spark, sf):
     return G.call_edges_in_file(P.c_units(spark, sf))
 
 
-@register("resolve_callees", WG + "SELECT src, dst, tier FROM edges")
+# the call graph through classes: a call belongs to the class of the callee's
+# name in the caller's file if it is defined there, else of the name anywhere
+CLASS_CTES = f"""
+upc AS (SELECT DISTINCT src, CASE WHEN callee IN (SELECT id FROM units2) THEN 'id:' || callee
+                 WHEN EXISTS (SELECT 1 FROM units2 u WHERE u.file_path = src_file AND u.name = callee) THEN 'file:' || src_file || ':' || callee
+                 ELSE 'name:' || callee END AS class FROM calls_raw),
+downc AS (SELECT 'name:' || name AS class, id FROM units2 UNION ALL SELECT 'file:' || file_path || ':' || name, id FROM units2
+          UNION ALL SELECT 'id:' || id, id FROM units2),
+cm AS (SELECT class, 'caller' AS side, src AS item FROM upc UNION ALL SELECT class, 'definition', id FROM downc),
+cn AS (SELECT class, count(*) FILTER (WHERE side = 'caller') AS n_callers, count(*) FILTER (WHERE side = 'definition') AS n_definitions
+       FROM cm GROUP BY class),
+cc AS (SELECT class, side, part, parts, n_callers, n_definitions, string_agg(item, ',' ORDER BY item) AS members
+       FROM (SELECT cm.class, side, item, n_callers, n_definitions, parts,
+                    CAST(('0x' || substring(sha1(item), 1, 7)) AS BIGINT) % parts AS part
+             FROM (SELECT cm.*, n_callers, n_definitions,
+                          CAST(ceil(CASE side WHEN 'caller' THEN n_callers ELSE n_definitions END / {P.LIST_ITEMS}.0) AS BIGINT) AS parts
+                   FROM cm JOIN cn ON cn.class = cm.class WHERE n_callers > 0 AND n_definitions > 0) cm)
+       GROUP BY class, side, part, parts, n_callers, n_definitions)
+"""
+WGC = WG + "," + CLASS_CTES
+
+
+@register("resolve_callees", WGC + """
+SELECT class, CAST(CASE split_part(class, ':', 1) WHEN 'id' THEN 1 WHEN 'file' THEN 2 ELSE 3 END AS BIGINT) AS tier, side,
+       CAST(part AS BIGINT) AS part, CAST(parts AS BIGINT) AS parts, n_callers, n_definitions, members FROM cc
+""")
 def q_resolve_callees(spark, sf):
-    _, edges, _ = _graph(spark, sf)
-    return edges.select("src", "dst", F.col("tier").cast("bigint").alias("tier"))
+    """Resolved calls as classes: every caller of a class calls each of its
+    definitions. Rows follow calls and definitions, not their products."""
+    c = P.call_classes(spark, sf)
+    return c.select(F.col("key").alias("class"), G.class_tier("key").cast("bigint").alias("tier"),
+                    F.when(F.col("side") == C.LEFT, "caller").otherwise("definition").alias("side"),
+                    F.col("part").cast("bigint").alias("part"), F.col("parts").cast("bigint").alias("parts"),
+                    F.col("n_left").alias("n_callers"), F.col("n_right").alias("n_definitions"), C.joined("item").alias("members"))
+
+
+@register("resolved_links", WG + """
+SELECT 'caller' AS side, src AS id, count(*) AS n_links FROM edges GROUP BY src
+UNION ALL SELECT 'definition', dst, count(*) FROM edges GROUP BY dst
+""")
+def q_resolved_links(spark, sf):
+    """Links of every caller and definition, summed from class counts (the SQL
+    twin counts the expanded pairs)."""
+    up, down = P.call_sides(spark, sf)
+    n = C.class_counts(up, down)
+    return (C.link_counts(up, n, ["item"], "n_right").select(F.lit("caller").alias("side"), F.col("item").alias("id"), "n_links")
+            .unionByName(C.link_counts(down, n, ["item"], "n_left").select(F.lit("definition").alias("side"), F.col("item").alias("id"), "n_links")))
 
 
 @register("external_calls", WG + "SELECT src, callee FROM ext")
@@ -73,9 +117,32 @@ def q_external_calls(spark, sf):
     return P.external(spark, sf)
 
 
-@register("reverse_edges", WG + "SELECT DISTINCT dst AS id, src AS caller FROM edges")
+# lists of a class: its only part's text, or null if it has several
+CALLERS_CTES = f"""
+lists AS (SELECT class, side, n_callers, n_definitions, max(parts) AS parts, max(members) AS members FROM cc GROUP BY class, side, n_callers, n_definitions),
+fcallers AS (SELECT d.id, string_agg(CASE WHEN l.parts = 1 THEN l.members ELSE 'callers of ' || l.class END, ',' ORDER BY l.class) AS callers,
+                    CAST(sum(l.n_callers) AS BIGINT) AS n
+             FROM downc d JOIN lists l ON l.class = d.class AND l.side = 'caller' GROUP BY d.id),
+ced AS (SELECT u.src AS id, CASE WHEN l.n_definitions = 1 THEN l.members ELSE l.class END AS item
+        FROM upc u JOIN lists l ON l.class = u.class AND l.side = 'definition'),
+{list_parts_sql("ce", "ced", "id", "item", ",", "callees", P.LIST_ITEMS)},
+nb AS (SELECT coalesce(f.id, ce.id) AS id, coalesce(ce.part, 0) AS part, f.callers, ce.callees
+       FROM fcallers f FULL JOIN ce ON ce.id = f.id AND ce.part = 0
+       UNION ALL SELECT id, part, NULL, callees FROM ce WHERE part > 0),
+nbc AS (SELECT class, part, n_callers, n_definitions, max(CASE WHEN side = 'caller' THEN members END) AS callers,
+               max(CASE WHEN side = 'definition' THEN members END) AS definitions
+        FROM cc WHERE (side = 'caller' AND parts > 1) OR (side = 'definition' AND n_definitions > 1)
+        GROUP BY class, part, n_callers, n_definitions)
+"""
+
+
+@register("reverse_edges", WGC + "," + CALLERS_CTES + """
+SELECT id, CAST(0 AS BIGINT) AS part, callers, n AS n_callers FROM fcallers
+UNION ALL SELECT class, CAST(part AS BIGINT), members, n_callers FROM cc WHERE side = 'caller' AND parts > 1
+""")
 def q_reverse_edges(spark, sf):
-    return G.reverse_edges(_graph(spark, sf)[1])
+    """Callers of every function, and of the classes that have many."""
+    return P.callers(spark, sf).select("id", F.col("part").cast("bigint").alias("part"), "callers", F.col("n").alias("n_callers"))
 
 
 @register("degree_metrics", WG + "SELECT id, in_degree, out_degree, n_external FROM deg")
@@ -233,6 +300,17 @@ def q_top_entry_points(spark, sf):
     return G.top_entry_points(d, 10).select("id", "out_degree")
 
 
+@register("callees_of_entry_points", WG + "," + _TOP_SQL + """
+SELECT e.src, e.dst, e.tier FROM edges e JOIN top t ON t.id = e.src
+""")
+def q_callees_of_entry_points(spark, sf):
+    """Pairs of a chosen set: the resolved callees of the top entry points."""
+    up, down = P.call_sides(spark, sf)
+    top = G.top_entry_points(P.degrees(spark, sf), 10).select(F.col("id").alias("item"))
+    pairs = C.pairs_of(up.join(top, "item", "left_semi").withColumnRenamed("item", "src"), down.withColumnRenamed("item", "dst"))
+    return pairs.groupBy("src", "dst").agg(F.min(G.class_tier("key")).cast("bigint").alias("tier"))
+
+
 @register("k_hop_neighbors", WG + "," + _TOP_SQL + """
 , ue AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
 h1 AS (SELECT DISTINCT t.id AS seed, e.dst AS id FROM top t JOIN ue e ON e.src = t.id WHERE e.dst <> t.id),
