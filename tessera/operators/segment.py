@@ -58,63 +58,113 @@ def _count_char(c: Column, ch: str) -> Column:
     return F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))
 
 
+# Tokens of C that hide what is inside them: a directive (up to a comment),
+# comments, strings and character constants, each up to its end, the line's or
+# the text's. Possessive loops run in constant stack on texts of any length.
+_ESCAPED = r"\\(?:\r\n|[\s\S])"
+_STRING = rf'"(?:[^"\\\n]|{_ESCAPED})*+"?'
+_CHAR = rf"'(?:[^'\\\n]|{_ESCAPED})*+'?"
+C_TOKEN_RE = "|".join([
+    rf"(?dm:^)[^\S\n]*#(?:[^\\\n/\"']|{_ESCAPED}|/(?!\*)|{_STRING}|{_CHAR})*+",
+    r"/\*(?s:.*?)(?:\*/|\z)", rf"//(?:[^\\\n]|{_ESCAPED})*+", _STRING, _CHAR, r"[^/\"'\n#]++", r"[/\n#]"])
+# what opens a linkage or namespace block, whose members stand at depth 0
+BLOCK_RE = r'(\bextern\s+"\s*"\s*|\bnamespace\b[\w\s:]*)\{'
+
+
+def code_view(text: Column) -> Column:
+    """``text`` with everything blanked that isn't code: comments, the inside of
+    strings and character constants, and directives (their ``#`` stays). Lengths
+    and lines are the same, so a place in the one is the place in the other.
+
+    The brace that opens a linkage or namespace block becomes a ``;``: it ends a
+    statement, adds no depth, and its closing brace is a stray one."""
+    def shown(t):
+        hidden = t.startswith("'") | t.startswith("/*") | t.startswith("//")
+        return (F.when(t.startswith('"'), F.regexp_replace(t, r'[^\n"]', " ")).when(hidden, F.regexp_replace(t, r"[^\n]", " "))
+                 .when(t.rlike(r"^[^\S\n]*#"), F.regexp_replace(t, r"[^\n#]", " ")).otherwise(t))
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(C_TOKEN_RE), 0)
+    return F.regexp_replace(F.array_join(F.transform(tokens, shown), ""), BLOCK_RE, "$1;")
+
+
+def _code_lines(files: DataFrame) -> DataFrame:
+    """(file_path, line_no, line, code) per line, whole files partitioned by
+    path; ``code`` is the line in the :func:`code_view`."""
+    t = F.coalesce(F.col("text"), F.lit(""))
+    t = F.when(t.endswith("\n"), F.substring(t, F.lit(1), F.length(t) - 1)).otherwise(t)
+    both = files.repartition("file_path").select("file_path", F.posexplode(F.arrays_zip(
+        F.split(t, "\n").alias("line"), F.split(code_view(t), "\n").alias("code"))).alias("pos", "l"))
+    return both.select("file_path", (F.col("pos") + 1).alias("line_no"), "l.line", "l.code")
+
+
 def statements(files: DataFrame) -> DataFrame:
     """Lines with the statement that they belong to: ``stmt`` numbers the
     file's depth-0 statements. One ends with a line after which the brace
-    depth is 0 and that holds ``;`` or ``}`` or is a preprocessor line, so a
-    header of any number of lines stands with its body. Depth never falls
-    below 0 (a stray ``}`` changes nothing for what follows)."""
-    lines = split_lines(files)
+    depth is 0 and whose code ends with ``;`` or holds ``}`` or is a directive,
+    so a header of any number of lines stands with its body. Depth counts braces of
+    code alone and never falls below 0 (a stray ``}`` changes nothing for what
+    follows)."""
+    lines = _code_lines(files)
     w = Window.partitionBy("file_path").orderBy("line_no")
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    line = F.col("line")
-    l1 = lines.withColumn("sum_", F.sum(_count_char(line, "{") - _count_char(line, "}")).over(running))
+    code = F.col("code")
+    l1 = lines.withColumn("sum_", F.sum(_count_char(code, "{") - _count_char(code, "}")).over(running))
     l2 = l1.withColumn("depth", F.col("sum_") - F.least(F.lit(0), F.min("sum_").over(running)))
-    ends = (F.col("depth") == 0) & (line.contains(";") | line.contains("}") | line.rlike(r"^\s*#"))
+    ends = (F.col("depth") == 0) & (code.rlike(r";\s*$") | code.contains("}") | code.rlike(r"^\s*#"))
     return (l2.withColumn("stmt", F.coalesce(F.sum(ends.cast("int")).over(before), F.lit(0)))
-              .select("file_path", "line_no", "line", "depth", "stmt"))
+              .select("file_path", "line_no", "line", "code", "depth", "stmt"))
 
 
-def _gathered(lines: DataFrame, keep: Column | None = None) -> DataFrame:
-    """One row per statement: its text (the lines that ``keep`` holds for),
-    first and last line and final depth. Same clustering as the windows."""
-    item = F.struct("line_no", "line")
+def _gathered(lines: DataFrame) -> DataFrame:
+    """One row per statement: its text and code, first and last line and final
+    depth. Same clustering as the windows."""
     return (lines.groupBy("file_path", "stmt")
                  .agg(F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line"),
                       F.max(F.struct("line_no", "depth"))["depth"].alias("depth"),
-                      F.array_sort(F.collect_list(item if keep is None else F.when(keep, item))).alias("ls"))
-                 .withColumn("text", F.array_join(F.transform("ls", lambda x: x["line"]), "\n")).drop("ls"))
+                      F.array_sort(F.collect_list(F.struct("line_no", "line", "code"))).alias("ls"))
+                 .withColumn("text", F.array_join(F.transform("ls", lambda x: x["line"]), "\n"))
+                 .withColumn("code", F.array_join(F.transform("ls", lambda x: x["code"]), "\n")).drop("ls"))
 
 
 def segment_c_units(files: DataFrame) -> DataFrame:
     """Top-level C functions of ``.c``/``.h`` files, with their whole body.
 
-    A unit is a depth-0 statement whose text up to its first ``{`` matches the
+    A unit is a depth-0 statement whose code up to its first ``{`` matches the
     header pattern; it starts on the pattern's first non-blank line and ends
-    where the depth returns to 0. ``body`` runs from the opening ``{`` to the
-    closing ``}``; one that is never closed runs to the end of the file, and
-    its end line is the brace's."""
+    where the depth returns to 0. ``body`` is the text from the opening ``{``
+    to the closing ``}``; one that is never closed runs to the end of the file,
+    and its end line is the brace's. Braces in strings, comments and directives
+    are no braces, and functions of linkage and namespace blocks are at depth
+    0. Comments in a header are blanks in its signature."""
     c_files = files.where(M.suffix("file_path").isin(".c", ".h"))
-    u = _gathered(statements(c_files)).where(F.col("text").contains("{"))
-    head = F.concat(F.substring_index("text", "{", 1), F.lit("{"))
+    u = _gathered(statements(c_files)).where(F.col("code").contains("{"))
+    head = F.concat(F.substring_index("code", "{", 1), F.lit("{"))
     u = (u.withColumn("head", head)
-          .withColumn("pos", F.regexp_instr("head", F.lit(C_HEADER_AT_LINE)))
-          .withColumn("m", F.regexp_extract("head", C_HEADER_AT_LINE, 0))
-          .withColumn("name", F.regexp_extract("head", C_HEADER_AT_LINE, 2))
+          .withColumn("last", F.substring_index("head", ";", -1))  # declarations on the same line go before
+          .withColumn("pos", F.regexp_instr("last", F.lit(C_HEADER_AT_LINE)))
+          .withColumn("m", F.regexp_extract("last", C_HEADER_AT_LINE, 0))
+          .withColumn("name", F.regexp_extract("last", C_HEADER_AT_LINE, 2))
           .where((F.col("pos") > 0) & ~F.col("name").isin(*C_KEYWORDS)))
-    sig = F.concat(_strip(F.regexp_extract("head", C_HEADER_AT_LINE, 1)), F.lit(" "), F.col("name"), F.lit("("),
-                   _strip(F.regexp_extract("head", C_HEADER_AT_LINE, 3)), F.lit(")"))
-    start = F.col("first_line") + _count_char(F.substring(F.col("head"), F.lit(1), F.col("pos") - 1), "\n")
-    rest = F.substring(F.col("text"), F.length("head"), F.length("text"))
+    sig = F.concat(_strip(F.regexp_extract("last", C_HEADER_AT_LINE, 1)), F.lit(" "), F.col("name"), F.lit("("),
+                   _strip(F.regexp_extract("last", C_HEADER_AT_LINE, 3)), F.lit(")"))
+    ahead = F.length("head") - F.length("last") + F.col("pos") - 1
+    start = F.col("first_line") + _count_char(F.substring(F.col("head"), F.lit(1), ahead), "\n")
+    rest = F.substring(F.col("code"), F.length("head"), F.length("code"))
     closed = F.col("depth") == 0
-    body = F.when(closed, F.substring(rest, F.lit(1), F.length(rest) - F.length(F.substring_index(rest, "}", -1)))).otherwise(rest)
+    size = F.length(rest) - F.when(closed, F.length(F.substring_index(rest, "}", -1))).otherwise(0)
     return u.select(
-        "file_path", "name", sig.alias("signature"), body.alias("body"), start.cast("int").alias("start_line"),
+        "file_path", "name", sig.alias("signature"), F.substring(F.col("text"), F.length("head"), size).alias("body"),
+        start.cast("int").alias("start_line"),
         F.when(closed, F.col("last_line")).otherwise(start + _count_char(F.col("m"), "\n")).cast("int").alias("end_line"),
         F.lit("c").alias("language"), F.lit("function").alias("kind"))
 
 
+def running_depth(files: DataFrame) -> DataFrame:
+    """Per file the greatest brace depth after a line and the lines at depth 0."""
+    return statements(files).groupBy("file_path").agg(
+        F.max("depth").cast("bigint").alias("max_depth"), F.sum((F.col("depth") == 0).cast("int")).cast("bigint").alias("depth0_lines"))
+
+
 def segment_asm_units(files: DataFrame) -> DataFrame:
     """Label blocks of ``.asm`` files (label to next label).
 
@@ -235,10 +285,8 @@ def chunk_tokens(units: DataFrame, size: int = 512, stride: int = 384, text: str
 # Includes and prototypes
 # ---------------------------------------------------------------------------
 INCLUDE_RE = r'(?m)^\s*#\s*include\s*[<"]([^>"]+)[>"]'
-PROTOTYPE_RE = r"^\s*([A-Za-z_][\w\s\*]*?)\s*\b([A-Za-z_]\w*)\s*\(([^)]*)\)\s*;\s*$"
-
-
-PROTOTYPE_AT_LINE = r"(?m)^[^\S\n]*" + PROTOTYPE_RE[len(r"^\s*"):-len(r"\s*$")] + r"[^\S\n]*$"
+# a declaration up to its semicolon
+PROTOTYPE_RE = r"^\s*([A-Za-z_][\w\s\*]*?)\s*\b([A-Za-z_]\w*)\s*\(([^)]*)\)\s*$"
 
 
 def extract_includes(files: DataFrame) -> DataFrame:
@@ -249,14 +297,15 @@ def extract_includes(files: DataFrame) -> DataFrame:
 
 def extract_prototypes(files: DataFrame) -> DataFrame:
     """Depth-0 declarations ending in ``);`` in header files, over any number
-    of lines: (file_path, name, signature, line_no of the first)."""
+    of lines and any number on a line: (file_path, name, signature, line_no of
+    the first). Linkage and namespace blocks add no depth; comments are blanks
+    in the signature."""
     h = files.where(M.suffix("file_path") == ".h")
-    t = _gathered(statements(h)).where((F.col("depth") == 0) & ~F.col("text").contains("{"))
-    text = F.col("text")
-    name = F.regexp_extract(text, PROTOTYPE_AT_LINE, 2)
-    found = F.regexp_extract(text, PROTOTYPE_AT_LINE, 0)
-    pos = F.regexp_instr(text, F.lit(PROTOTYPE_AT_LINE))
-    line_no = F.col("first_line") + _count_char(F.substring(text, F.lit(1), pos - 1), "\n")
-    return t.where((found != "") & ~name.isin(*C_KEYWORDS)).select(
-        "file_path", name.alias("name"), F.regexp_replace(_strip(found), r"\s*;$", "").alias("signature"),
-        line_no.cast("int").alias("line_no"))
+    t = _gathered(statements(h)).where((F.col("depth") == 0) & ~F.col("code").contains("{"))
+    pieces = t.select("file_path", "first_line", F.split("code", ";").alias("ps"))
+    p = pieces.select("file_path", "first_line", "ps", F.posexplode("ps").alias("i", "p")).where(F.col("i") < F.size("ps") - 1)
+    name = F.regexp_extract("p", PROTOTYPE_RE, 2)
+    ahead = F.array_join(F.slice("ps", F.lit(1), F.col("i")), ";")
+    line_no = F.col("first_line") + _count_char(ahead, "\n") + _count_char(F.regexp_extract("p", r"^\s*", 0), "\n")
+    return p.where((name != "") & ~name.isin(*C_KEYWORDS)).select(
+        "file_path", name.alias("name"), _strip(F.col("p")).alias("signature"), line_no.cast("int").alias("line_no"))

@@ -151,11 +151,12 @@ def q_extract_includes(spark, sf):
 
 
 @register("extract_prototypes", W + """
-, pr AS (SELECT *, CASE WHEN p % 34 = 0 THEN 3 ELSE 1 END AS nl FROM defs WHERE p % 2 = 0)
+, pr AS (SELECT *, CASE WHEN p % 34 = 0 THEN 3 ELSE 1 END AS nl, p % 34 <> 0 AND p % 8 = 0 AS two FROM defs WHERE p % 2 = 0),
+ln AS (SELECT *, CAST(6 + coalesce(sum(nl) OVER (PARTITION BY s, p // 1000 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no FROM pr)
 SELECT 'include/f_' || s || '_' || (p // 1000) || '.h' AS file_path, 'fn_' || p AS name,
        CASE WHEN nl = 3 THEN 'int fn_' || p || '(' || chr(10) || '    int x' || chr(10) || ')' ELSE 'int fn_' || p || '(int x)' END AS signature,
-       CAST(1 + coalesce(sum(nl) OVER (PARTITION BY s, p // 1000 ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS line_no
-FROM pr
+       line_no FROM ln
+UNION ALL SELECT 'include/f_' || s || '_' || (p // 1000) || '.h', 'alt_' || p, 'int alt_' || p || '(void)', line_no FROM ln WHERE two
 """)
 def q_extract_prototypes(spark, sf):
     return S.extract_prototypes(P.code_files(spark, sf)).select(
@@ -173,27 +174,13 @@ def q_top_n(spark, sf):
     return R.top_n_per_file(u, 8, text="name").select("file_path", "top_text", F.col("n_top").cast("bigint").alias("n_top"))
 
 
-@register("running_depth", WFILES + """
-, ln AS (SELECT file_path, generate_subscripts(string_split(text, chr(10)), 1) AS line_no,
-                unnest(string_split(text, chr(10))) AS line FROM files WHERE file_path LIKE '%.c'),
-d AS (SELECT file_path, line_no,
-             length(line) - length(replace(line, '{', '')) - (length(line) - length(replace(line, '}', ''))) AS delta
-      FROM ln)
-SELECT file_path, CAST(max(depth) AS BIGINT) AS max_depth, CAST(sum(CASE WHEN depth = 0 THEN 1 ELSE 0 END) AS BIGINT) AS depth0_lines
-FROM (SELECT file_path, line_no, sum(delta) OVER (PARTITION BY file_path ORDER BY line_no) AS depth FROM d)
-GROUP BY file_path
+@register("running_depth", W + f"""
+SELECT 'src/m' || (s % 5) || '/f_' || s || '_' || (p // 1000) || '.c' AS file_path, CAST(1 AS BIGINT) AS max_depth,
+       CAST(2 + CASE WHEN s % 3 = 0 THEN 6 ELSE 0 END + sum(nhead + 1) AS BIGINT) AS depth0_lines
+FROM fn GROUP BY s, p // 1000
 """)
 def q_running_depth(spark, sf):
-    from pyspark.sql import Window
-    files = P.code_files(spark, sf).where(F.col("file_path").endswith(".c"))
-    lines = files.select("file_path", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    line = F.col("line")
-    delta = (F.length(line) - F.length(F.replace(line, F.lit("{"), F.lit("")))) - \
-            (F.length(line) - F.length(F.replace(line, F.lit("}"), F.lit(""))))
-    w = Window.partitionBy("file_path").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    d = lines.withColumn("depth", F.sum(delta).over(w))
-    return d.groupBy("file_path").agg(F.max("depth").cast("bigint").alias("max_depth"),
-                                      F.sum((F.col("depth") == 0).cast("int")).cast("bigint").alias("depth0_lines"))
+    return S.running_depth(P.code_files(spark, sf).where(F.col("file_path").endswith(".c")))
 
 
 @register("file_members", W + """

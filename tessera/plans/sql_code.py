@@ -22,6 +22,9 @@ def q(s: str) -> str:
 # the lines before its brace; of a long body, its filler lines.
 STEM = "'f_' || s || '_' || (p // 1000)"
 ARGS = f"'int x,' || {NL} || '    int a,' || {NL} || '    int b,' || {NL} || '    int c'"
+TRICK = "'    puts(\"}{{\\\"}\", ''}''); /* } */ // {{'".replace("{{", "{")
+OPEN_LINKAGE = f"""'#ifdef __cplusplus' || {NL} || 'extern "C" {{' || {NL} || '#endif' || {NL}"""
+CLOSE_LINKAGE = f"""'#ifdef __cplusplus' || {NL} || '}}' || {NL} || '#endif' || {NL}"""
 FILL = f"CASE WHEN p % 499 = 0 THEN repeat('    x += 1;' || {NL}, 10001) ELSE '' END"
 
 CODE_CTES = f"""
@@ -36,15 +39,17 @@ fn AS (SELECT d.s, d.p, coalesce(ca.ncalls, 0) AS ncalls, coalesce(ca.call_lines
               (CASE WHEN d.p % 3 = 0 THEN '    printf(msg);' || {NL} ELSE '' END) ||
               (CASE WHEN d.p % 7 = 0 THEN '    char *q = malloc(x);' || {NL} ELSE '' END) ||
               (CASE WHEN d.p % 11 = 0 THEN '    strcpy(a, b);' || {NL} ELSE '' END) ||
-              (CASE WHEN d.p % 13 = 0 THEN '    pthread_mutex_lock(m);' || {NL} ELSE '' END) AS feat,
+              (CASE WHEN d.p % 13 = 0 THEN '    pthread_mutex_lock(m);' || {NL} ELSE '' END) ||
+              (CASE WHEN d.p % 5 = 0 THEN {TRICK} || {NL} ELSE '' END) ||
+              (CASE WHEN d.p % 23 = 0 THEN '    /* {{' || {NL} || '       {{ */' || {NL} ELSE '' END) AS feat,
               CAST(d.p % 3 = 0 AS INT) + CAST(d.p % 7 = 0 AS INT) + CAST(d.p % 11 = 0 AS INT)
-                + CAST(d.p % 13 = 0 AS INT) AS nfeat,
+                + CAST(d.p % 13 = 0 AS INT) + CAST(d.p % 5 = 0 AS INT) + 2 * CAST(d.p % 23 = 0 AS INT) AS nfeat,
               CASE WHEN d.p % 17 = 0 THEN 7 ELSE 1 END AS nhead, CASE WHEN d.p % 499 = 0 THEN 10001 ELSE 0 END AS nfill
        FROM defs d LEFT JOIN callagg ca ON ca.s = d.s AND ca.p = d.p),
 units AS (SELECT s, p, 'src/m' || (s % 5) || '/' || {STEM} || '.c' AS file_path, 'fn_' || p AS name,
                  CASE WHEN p % 17 = 0 THEN 'static int fn_' || p || '(' || {ARGS} || ')' ELSE 'int fn_' || p || '(int x)' END AS signature,
                  '{{' || {NL} || {FILL} || call_lines || feat || '    return x;' || {NL} || '}}' AS body,
-                 CAST(3 + coalesce(sum(3 + nhead + nfill + ncalls + nfeat) OVER (PARTITION BY s, p // 1000 ORDER BY p
+                 CAST(3 + (CASE WHEN s % 3 = 0 THEN 3 ELSE 0 END) + coalesce(sum(3 + nhead + nfill + ncalls + nfeat) OVER (PARTITION BY s, p // 1000 ORDER BY p
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
                  3 + nhead + nfill + ncalls + nfeat AS nl
           FROM fn),
@@ -101,16 +106,21 @@ fntext AS (SELECT f.s, f.p, f.ncalls,
                        ELSE 'int fn_' || f.p || '(int x)' || {NL} || '{{' || {NL} END
                     || {FILL.replace('p %', 'f.p %')} || f.call_lines || f.feat || '    return x;' || {NL} || '}}' || {NL} AS c_text,
                   CASE WHEN f.p % 34 = 0 THEN 'int fn_' || f.p || '(' || {NL} || '    int x' || {NL} || ');' || {NL}
+                       WHEN f.p % 8 = 0 THEN 'int alt_' || f.p || '(void); int fn_' || f.p || '(int x);' || {NL}
+                       WHEN f.p % 6 = 0 THEN 'int fn_' || f.p || '(int x); /* as fn_0(); }}{{ */' || {NL}
                        WHEN f.p % 2 = 0 THEN 'int fn_' || f.p || '(int x);' || {NL} END AS h_text,
                   'fn_' || f.p || ':' || {NL} || '  mov a, x' || {NL} || coalesce(ci.call_ins, '') || '  ret' || {NL} AS a_text
            FROM fn f LEFT JOIN callins ci ON ci.s = f.s AND ci.p = f.p),
 files AS (
   SELECT 'src/m' || (s % 5) || '/f_' || s || '_' || (p // 1000) || '.c' AS file_path,
          '#include "f_' || s || '_' || (p // 1000) || '.h"' || {NL} || '#include "f_' || ((s * 7 + 1) % (SELECT m FROM m)) || '_' || (p // 1000) || '.h"' || {NL}
-           || string_agg(c_text, '' ORDER BY p) AS text
+           || CASE WHEN s % 3 = 0 THEN {OPEN_LINKAGE} ELSE '' END || string_agg(c_text, '' ORDER BY p)
+           || CASE WHEN s % 3 = 0 THEN {CLOSE_LINKAGE} ELSE '' END AS text
   FROM fntext GROUP BY s, p // 1000
   UNION ALL
-  SELECT 'include/f_' || s || '_' || (p // 1000) || '.h', string_agg(h_text, '' ORDER BY p) FROM fntext GROUP BY s, p // 1000 HAVING count(h_text) > 0
+  SELECT 'include/f_' || s || '_' || (p // 1000) || '.h', '#ifndef F_' || s || '_' || (p // 1000) || '_H' || {NL}
+           || '#define F_' || s || '_' || (p // 1000) || '_H' || {NL} || {OPEN_LINKAGE} || string_agg(h_text, '' ORDER BY p)
+           || {CLOSE_LINKAGE} || '#endif' || {NL} FROM fntext GROUP BY s, p // 1000 HAVING count(h_text) > 0
   UNION ALL
   SELECT 'asm/f_' || s || '_' || (p // 1000) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 1000)
 """

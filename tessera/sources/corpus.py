@@ -12,7 +12,11 @@ tree that Spark derives from ``lineitem`` (its size grows with the table):
 
 Awkward shapes are part of it: every 17th part has its header over seven
 lines (and its prototype over three), and every 499th a body of more than
-120,000 characters with the calls behind the filler.
+120,000 characters with the calls behind the filler. Every 5th part has braces
+in a string, a character constant and comments, every 23rd in a comment over
+two lines. Headers have an include guard and a linkage block, as have the .c
+files of every 3rd supplier; prototypes come two on a line (every 8th part) or
+with a comment behind them (every 6th).
 
 One group is one source file of at most ``STEP`` functions, whatever the
 size of the table, so a supplier with a third of ``lineitem`` has more files
@@ -29,6 +33,12 @@ NL = "\n"
 STEP = 1000
 WIDE, LONG, FILL, ENTRY = 17, 499, 10_001, 10
 FILL_LINE = "    x += 1;" + NL
+TRICK, COMMENT = 5, 23
+TRICK_LINE = """    puts("}{\\"}", '}'); /* } */ // {""" + NL
+COMMENT_LINES = "    /* {" + NL + "       { */" + NL
+LINKED, TWO, REMARK = 3, 8, 6
+OPEN_LINKAGE = '#ifdef __cplusplus' + NL + 'extern "C" {' + NL + '#endif' + NL
+CLOSE_LINKAGE = '#ifdef __cplusplus' + NL + '}' + NL + '#endif' + NL
 
 
 def _ordered_concat(key: str, text: str) -> F.Column:
@@ -67,13 +77,17 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
         F.when(p % 7 == 0, F.lit("    char *q = malloc(x);" + NL)).otherwise(""),
         F.when(p % 11 == 0, F.lit("    strcpy(a, b);" + NL)).otherwise(""),
         F.when(p % 13 == 0, F.lit("    pthread_mutex_lock(m);" + NL)).otherwise(""),
+        F.when(p % TRICK == 0, F.lit(TRICK_LINE)).otherwise(""),
+        F.when(p % COMMENT == 0, F.lit(COMMENT_LINES)).otherwise(""),
     )
     head = F.when(p % WIDE == 0, F.format_string(
         NL.join(["static int", "fn_%d(", "    int x,", "    int a,", "    int b,", "    int c", ")", "{", ""]), p)).otherwise(
         F.format_string("int fn_%d(int x)" + NL + "{" + NL, p))
     filler = F.when(p % LONG == 0, F.repeat(F.lit(FILL_LINE), FILL)).otherwise("")
-    proto = F.when(p % WIDE == 0, F.format_string("int fn_%d(" + NL + "    int x" + NL + ");" + NL, p)).otherwise(
-        F.format_string("int fn_%d(int x);" + NL, p))
+    proto = (F.when(p % WIDE == 0, F.format_string("int fn_%d(" + NL + "    int x" + NL + ");" + NL, p))
+              .when(p % TWO == 0, F.format_string("int alt_%d(void); int fn_%d(int x);" + NL, p, p))
+              .when(p % REMARK == 0, F.format_string("int fn_%d(int x); /* as fn_0(); }{ */" + NL, p))
+              .otherwise(F.format_string("int fn_%d(int x);" + NL, p)))
     fn = (defs.join(callee, ["s", "p"], "left")
               .withColumn("c_text", F.concat(head, filler, F.coalesce("call_lines", F.lit("")), feature,
                                              F.lit("    return x;" + NL + "}" + NL)))
@@ -94,9 +108,12 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
         F.format_string("src/m%d/%s.c", s % 5, stem).alias("file_path"),
         F.concat(F.format_string('#include "f_%d_%d.h"' + NL, s, k),
                  F.format_string('#include "f_%d_%d.h"' + NL, (s * 7 + 1) % n_sup, k),
-                 F.col("c_body")).alias("text"))
+                 F.when(s % LINKED == 0, F.lit(OPEN_LINKAGE)).otherwise(""), F.col("c_body"),
+                 F.when(s % LINKED == 0, F.lit(CLOSE_LINKAGE)).otherwise("")).alias("text"))
+    guard = F.format_string("#ifndef F_%d_%d_H" + NL + "#define F_%d_%d_H" + NL, s, k, s, k)
     h_files = per_s.where(F.col("n_proto") > 0).select(
-        F.format_string("include/%s.h", stem).alias("file_path"), F.col("h_body").alias("text"))
+        F.format_string("include/%s.h", stem).alias("file_path"),
+        F.concat(guard, F.lit(OPEN_LINKAGE), F.col("h_body"), F.lit(CLOSE_LINKAGE + "#endif" + NL)).alias("text"))
     out = c_files.unionByName(h_files)
     if with_asm:
         a_files = per_s.where(s % 4 == 0).select(

@@ -1,5 +1,7 @@
 """Segmentation edge cases on hand-written files."""
 
+from pyspark.sql import functions as F
+
 from tessera.operators import segment as S
 
 C_FILE = "\n".join([
@@ -143,3 +145,173 @@ def test_corpus_keeps_every_definition(spark, sf, monkeypatch):
     units = S.segment_c_units(files)
     n_defs = corpus.definitions(spark, sf).count()
     assert units.where(units.file_path.endswith(".c")).count() == n_defs
+
+
+GUARDED = """#ifndef API_H
+#define API_H
+#ifdef __cplusplus
+extern "C"
+{
+#endif
+int a(void);
+int b(int x); /* see } and { */
+int c(void); int d(int x,
+  int y); // two on a line; the second over two
+/* int old(void);
+   { */
+#define BEGIN { \\
+   if (x) {
+int e(char q); // ' " {
+static const char *s = "}{;\\\\"; int f(void);
+#if 0 // don't
+#endif
+namespace inner { int g(void); }
+inline namespace v1::x
+{
+int h(void);
+}
+struct t { int not_this(void); };
+#ifdef __cplusplus
+}
+#endif
+int last(void);
+#endif
+"""
+
+
+def test_prototypes_of_a_guarded_header(spark):
+    files = spark.createDataFrame([("api.h", GUARDED)], ["file_path", "text"])
+    got = {(r["name"], r["line_no"], r["signature"]) for r in S.extract_prototypes(files).collect()}
+    assert got == {("a", 7, "int a(void)"), ("b", 8, "int b(int x)"), ("c", 9, "int c(void)"), ("d", 9, "int d(int x,\n  int y)"),
+                   ("e", 15, "int e(char q)"), ("f", 16, "int f(void)"), ("g", 19, "int g(void)"), ("h", 22, "int h(void)"),
+                   ("last", 28, "int last(void)")}
+
+
+def test_measured_headers(spark):
+    """One line each, as found wanting before."""
+    for text, names in (('#ifdef __cplusplus\nextern "C" {\n#endif\nint a(void);\nint b(void);\n#ifdef __cplusplus\n}\n#endif\n', {"a", "b"}),
+                        ("int a(void); int b(void);\n", {"a", "b"}), ("int e(void); /* c */\n", {"e"})):
+        files = spark.createDataFrame([("m.h", text)], ["file_path", "text"])
+        assert {r["name"] for r in S.extract_prototypes(files).collect()} == names
+
+
+def test_braces_that_are_no_braces(spark):
+    text = "\n".join([
+        '#include "a.h"',                                   # 1
+        'extern "C" {',                                     # 2
+        "/* int ghost(void) {",                             # 3
+        "   } */",                                          # 4
+        "int f(int x) // opens {",                          # 5
+        "{",                                                # 6
+        '    puts("}"); puts("\\"}"); c = \'}\'; d = \'\\\'\'; /* } */', # 7
+        "    // } and a line that goes on \\",              # 8
+        "    }}}",                                          # 9
+        '    s = "over \\',                                 # 10
+        '         lines }";',                               # 11
+        "#define END }",                                    # 12
+        "    /* { */ if (x) { y(); }",                      # 13
+        "}",                                                # 14
+        "}",                                                # 15  of the linkage block
+        'extern "C" int g(void); int h(void) { return "{"[0]; }',  # 16
+        "int k(void) {",                                    # 17
+        "    /* never closed }",                            # 18
+    ])
+    u = units(spark, [("t.c", text)])
+    assert set(u) == {("f", 5, 14), ("k", 17, 17)} | {x for x in u if x[0] == "h"}
+    f = u[("f", 5, 14)]
+    assert f["body"] == "\n".join(text.split("\n")[5:14]) and f["signature"] == "int f(int x)"
+    assert u[("k", 17, 17)]["body"] == "{\n    /* never closed }"
+
+
+def slow_view(text):
+    """The code view, one character at a time."""
+    out, i, n = [], 0, len(text)
+    blank = lambda c, keep="": c if c == "\n" or c in keep and c else " "
+    at_start = True
+    while i < n:
+        c = text[i]
+        if at_start:
+            j = i
+            while j < n and text[j] in " \t\r\x0b\x0c":
+                j += 1
+            if j < n and text[j] == "#":
+                while i < n:
+                    if text[i] == "\\" and i + 1 < n:
+                        step = 3 if text[i + 1:i + 3] == "\r\n" else 2
+                        out += [blank(x, "#") for x in text[i:i + step]]
+                        i += step
+                    elif text[i] == "\\" or text[i] == "\n" or text.startswith("/*", i):
+                        break
+                    elif text[i] in "\"'":
+                        k = quoted(text, i)
+                        out += [blank(x, "#") for x in text[i:k]]
+                        i = k
+                    else:
+                        out.append(blank(text[i], "#"))
+                        i += 1
+                at_start = False
+                if i < n and text[i] == "\\":
+                    out.append("\\")
+                    i += 1
+                continue
+        at_start = False
+        if text.startswith("/*", i):
+            k = text.find("*/", i + 2)
+            k = n if k < 0 else k + 2
+            out += [blank(x) for x in text[i:k]]
+        elif text.startswith("//", i):
+            k = i + 2
+            while k < n and text[k] != "\n":
+                if text[k] == "\\":
+                    if k + 1 >= n:
+                        break
+                    k += 3 if text[k + 1:k + 3] == "\r\n" else 2
+                else:
+                    k += 1
+            out += [blank(x) for x in text[i:k]]
+        elif c in "\"'":
+            k = quoted(text, i)
+            out += [blank(x, '"' if c == '"' else "") for x in text[i:k]]
+        else:
+            k = i + 1
+            out.append(c)
+            at_start = c == "\n"
+        i = k
+    return "".join(out)
+
+
+def quoted(text, i):
+    q, k, n = text[i], i + 1, len(text)
+    while k < n and text[k] not in (q, "\n"):
+        if text[k] == "\\":
+            if k + 1 >= n:
+                return k
+            k += 3 if text[k + 1:k + 3] == "\r\n" else 2
+        else:
+            k += 1
+    return k + 1 if k < n and text[k] == q else k
+
+
+def test_code_view_equals_a_character_loop(spark):
+    import random
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice(['"', "'", "/", "*", "/*", "*/", "//", "\\", "\n", "\r\n", "#", " ", "a", "{", "}", ";", "é", "\U0001F600"])
+                     for _ in range(rnd.randrange(40))) for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for r in df.select("t", S.code_view(F.col("t")).alias("v")).collect():
+        assert r["v"] == slow_view(r["t"]), repr(r["t"])
+
+
+def test_code_view_of_long_tokens(spark):
+    """Constant stack: strings, comments and directives of a million characters."""
+    parts = ['"' + '\\x00' * 300_000 + '"', "/*" + "*" * 1_000_000 + "*/", "//" + " /*" * 300_000 + "\n", "#define X " + "\\\n{" * 300_000 + "\n",
+             "'" + "\\'" * 300_000 + "'", '"' * 300_001 + "\n"]
+    df = spark.createDataFrame([(p + "\nint x;",) for p in parts], "t string")
+    got = df.select(F.length(S.code_view(F.col("t"))).alias("n"), F.length("t").alias("m"), S.code_view(F.col("t")).endswith("\nint x;").alias("end"),
+                    S.code_view(F.col("t")).contains("{").alias("brace")).collect()
+    assert all(r["n"] == r["m"] and r["end"] and not r["brace"] for r in got)
+
+
+def test_running_depth(spark):
+    files = spark.createDataFrame([("a.c", 'int f(void)\n{\n  puts("}}");\n  if (x) {\n  }\n}\n')], ["file_path", "text"])
+    assert [tuple(r) for r in S.running_depth(files).collect()] == [("a.c", 2, 2)]
