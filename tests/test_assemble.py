@@ -78,8 +78,8 @@ def test_knn_matches_numpy(spark):
     for j in range(4):
         for rank, i in enumerate(np.lexsort((np.arange(300), d[:, j]))[:3], start=1):
             assert got[(j, rank)] == i
-    # many blocks and slices give the same answer
-    got2 = {(r["qid"], r["rank"]): r["id"] for r in RT.knn_l2(vec, qs, 3, block_rows=1, slice_rows=40).collect()}
+    # many rounds give the same answer
+    got2 = {(r["qid"], r["rank"]): r["id"] for r in RT.knn_l2(vec, qs, 3, round_rows=1).collect()}
     assert got2 == got
     assert RT.knn_l2(vec, qs.limit(0), 3).collect() == [] and RT.knn_l2(vec.limit(0), qs, 3).collect() == []
 
@@ -101,6 +101,38 @@ def test_knn_and_nearest_at_many_queries(spark):
         assert near[i] == (best[1], float(best[0]))
 
 
+def test_knn_spares_pairs_and_changes_nothing(spark):
+    """Clustered vectors: bounds discard most groups; ties, copies, far-off
+    lengths and string ids come out as by the plain formula."""
+    import numpy as np
+    rnd = np.random.default_rng(2)
+    hubs = rnd.normal(size=(40, 16)) * 50
+    x = np.concatenate([hubs[rnd.integers(0, 40, 6000)] + rnd.normal(size=(6000, 16)) * 0.1, np.repeat(hubs[:1], 50, axis=0)])
+    q = np.concatenate([hubs + 0.05, rnd.normal(size=(20, 16)) * 50, hubs[:1], [x[17]]])
+    vec = spark.createDataFrame([(f"v{i:05d}", row.tolist()) for i, row in enumerate(x)], "id string, embedding array<double>")
+    bad = spark.createDataFrame([("n", None), ("s", [1.0]), ("h", [None] + [0.0] * 15)], "id string, embedding array<double>")
+    qs = spark.createDataFrame([(j, row.tolist()) for j, row in enumerate(q)], "qid long, embedding array<double>")
+    got = {(r["qid"], r["rank"]): (r["id"], r["distance"]) for r in RT.knn_l2(vec.union(bad).repartition(3), qs, 5).collect()}
+    for j, one in enumerate(q):
+        d = ((x - one) ** 2).sum(1)
+        order = np.lexsort((np.arange(len(x)), d))[:5]
+        assert [got[(j, r + 1)][0] for r in range(5)] == [f"v{i:05d}" for i in order]
+        assert np.allclose([got[(j, r + 1)][1] for r in range(5)], d[order], rtol=1e-12, atol=0)
+    work = RT.knn_work(vec.repartition(3), qs, 5).first()
+    assert work["pairs"] == len(x) * len(q) and work["spared"] > 0.7
+
+
+def test_knn_plan_moves_no_vector(spark, monkeypatch):
+    """The only exchange carries ids and distances."""
+    seen = []
+    monkeypatch.setattr(RT, "cut_lineage", lambda df, name="": (seen.append((name, df._jdf.queryExecution().executedPlan().toString())), df)[1])
+    vec = spark.createDataFrame([(i, [float(i)]) for i in range(50)], "id long, embedding array<double>")
+    out = RT.knn_l2(vec, vec.select(F.col("id").alias("qid"), "embedding").limit(3), 2)
+    plans = dict(seen)
+    assert "Exchange" not in plans["knn-round"] and "MapInPandas" in plans["knn-round"]
+    assert "embedding" not in str(out.schema)
+
+
 def test_graph_boost_finds_far_neighbours(spark):
     vec = spark.createDataFrame([(i, [float(i)]) for i in range(100)], ["id", "embedding"])
     qs = spark.createDataFrame([(0, [0.0])], ["qid", "embedding"])
