@@ -155,6 +155,18 @@ def call_stats_total(calls: DataFrame, prompts: str, tokens: str, latency: str,
                      F.avg(latency).alias("average_latency_s"), F.max(ts).alias("last_update"))
 
 
+def call_stats_running(calls: DataFrame, order: list[str], prompts: str, tokens: str, latency: str, ts: str) -> DataFrame:
+    """After every call the totals, mean latency and last time so far, in
+    ``order`` (unique). Latencies are summed as decimals, so the mean doesn't
+    depend on how rows are grouped."""
+    from .scale import running
+    exact = F.col(latency).cast("decimal(28,9)")
+    c = calls.withColumn("_one", F.lit(1)).withColumn("_timed", exact.isNotNull().cast("int")).withColumn("_latency", exact)
+    r = running(c, order, {"total_calls": "_one", "total_prompts": prompts, "total_tokens": tokens, "_sum": "_latency", "_n": "_timed"},
+                {"last_update": ts})
+    return r.withColumn("average_latency_s", F.when(F.col("_n") > 0, F.col("_sum").cast("double") / F.col("_n"))).drop("_one", "_timed", "_latency", "_sum", "_n")
+
+
 def scc_sizes(nodes: DataFrame, comp: str = "scc_id") -> DataFrame:
     """Component sizes; ``in_cycle`` = size > 1."""
     return nodes.groupBy(comp).agg(F.count(F.lit(1)).alias("size")).withColumn("in_cycle", F.col("size") > 1)

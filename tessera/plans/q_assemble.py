@@ -359,6 +359,24 @@ def q_call_stats_total(spark, sf):
                     F.date_format("last_update", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_update"))
 
 
+@register("call_stats_running", """
+WITH e AS (SELECT event_id, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, length(props) AS t, CAST(value AS DECIMAL(28,9)) AS v FROM events),
+r AS (SELECT event_id, count(*) OVER w AS total_calls, CAST(sum(k) OVER w AS BIGINT) AS total_prompts, CAST(sum(t) OVER w AS BIGINT) AS total_tokens,
+             CAST(sum(v) OVER w AS DOUBLE) / count(v) OVER w AS average_latency_s, max(ts) OVER w AS last_update
+      FROM e WINDOW w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING))
+SELECT event_id, total_calls, total_prompts, total_tokens, round(average_latency_s, 6) AS average_latency_s,
+       strftime(last_update, '%Y-%m-%dT%H:%M:%SZ') AS last_update FROM r
+""")
+def q_call_stats_running(spark, sf):
+    """Totals and mean latency after every call, by a prefix scan."""
+    e = load(spark, sf, "events").select("event_id", "ts", F.get_json_object("props", "$.k").cast("bigint").alias("prompts"),
+                                         F.length("props").alias("tokens"), "value")
+    r = R.call_stats_running(e, ["ts", "event_id"], "prompts", "tokens", "value", "ts")
+    return r.select("event_id", "total_calls", F.col("total_prompts").cast("bigint").alias("total_prompts"),
+                    F.col("total_tokens").cast("bigint").alias("total_tokens"), F.round("average_latency_s", 6).alias("average_latency_s"),
+                    F.date_format("last_update", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("last_update"))
+
+
 # --------------------------------------------------------------------------
 # inference and incremental runs (rows-only: the model path is Python)
 # --------------------------------------------------------------------------

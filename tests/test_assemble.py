@@ -18,6 +18,34 @@ def test_global_rank_is_exact(spark):
     assert [r["rank"] for r in ranked.orderBy("rank").collect()] == list(range(1, 5001))
 
 
+def test_running_totals_equal_a_loop(spark):
+    """Half of the rows share one key; chunks and partitions are crossed; nulls
+    pass; an empty frame stays empty."""
+    import random
+    from tessera.operators.scale import running
+    rnd = random.Random(6)
+    rows = [(rnd.choice([7, 7, rnd.randrange(20)]), i, rnd.choice([None, rnd.randrange(100)]), rnd.choice([None, rnd.randrange(-50, 50)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "t int, id int, x long, y long")
+    got = {r["id"]: (r["sx"], r["my"]) for r in running(df, ["t", "id"], {"sx": "x"}, {"my": "y"}, n_parts=5, chunk_rows=64).collect()}
+    sx = my = None
+    for t, i, x, y in sorted(rows, key=lambda r: r[:2]):
+        sx = x if sx is None else sx + (x or 0)
+        my = y if my is None else (my if y is None else max(my, y))
+        assert got[i] == (sx, my)
+    assert running(df.limit(0), ["t", "id"], {"sx": "x"}).collect() == []
+
+
+def test_running_plan_has_no_window_over_all_rows(spark):
+    from tessera.operators.scale import running
+    df = spark.range(0, 20_000, 1, 4).withColumn("x", F.lit(1))
+    out = running(df, ["id"], {"s": "x"}, n_parts=4, chunk_rows=1000)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # one exchange of the rows for the chunks' windows; what goes to a single
+    # partition is a row a partition
+    assert plan.count("SinglePartition") == 1 and "windowspecdefinition(_pid" in plan
+    assert [r["s"] for r in out.orderBy("id").collect()] == list(range(1, 20_001))
+
+
 def test_shuffle_split_disjoint_and_sized(spark):
     df = spark.range(0, 1234).withColumnRenamed("id", "doc_id")
     s = A.shuffle_split(df, "doc_id", val_frac=0.1, seed="s")
