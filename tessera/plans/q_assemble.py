@@ -21,6 +21,7 @@ from ..operators import rollup as R
 from ..operators import segment as S
 from ..session import load, scratch_path
 from ..sources import io as IO
+from ..streaming import delta as D
 from ..streaming import incremental as ST
 from . import pipeline as P
 from .q_graph import CALLERS_CTES, CLASS_CTES, GRAPH_CTES
@@ -509,6 +510,27 @@ def q_incremental_enrich(spark, sf):
     return ST.read_output(spark, out).select("id", "lang", "sha256")
 
 
+@register("incremental_changes", """
+SELECT CAST(doc_id AS VARCHAR) AS id, lang, sha256(coalesce(text, '')) AS sha256,
+       CAST(CASE WHEN lang = 'en' AND source = 'src1' THEN 2 ELSE 1 END AS BIGINT) AS n_processed FROM documents
+""")
+def q_incremental_changes(spark, sf):
+    """As above, but the first drop holds other texts for one source: an id is
+    processed again when its content changed, and only then."""
+    base = scratch_path(spark, "incremental-changes")
+    src, out, ck = (os.path.join(base, x) for x in ("in", "out", "ck"))
+    docs = load(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("id"), F.coalesce("text", F.lit("")).alias("text"), "lang", "source")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "text", "lang", "source")])
+    proc = lambda df: df.select("id", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256"))
+    draft = F.when(F.col("source") == "src1", F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    docs.where(F.col("lang") == "en").withColumn("text", draft).write.json(os.path.join(src, "drop1"))
+    ST.incremental_enrich(spark, src + "/*", schema, out, ck, proc, content="text")
+    docs.write.json(os.path.join(src, "drop2"))
+    ST.incremental_enrich(spark, src + "/*", schema, out, ck, proc, content="text")
+    n = ST.read_output(spark, out).groupBy("id").agg(F.count(F.lit(1)).alias("n_processed"))
+    return ST.read_output(spark, out, latest="id").select("id", "lang", "sha256").join(n, "id")
+
+
 @register("stream_call_stats", """
 SELECT count(*) AS total_calls, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS total_prompts,
        CAST(sum(length(props)) AS BIGINT) AS total_tokens, round(avg(value), 6) AS average_latency_s
@@ -523,6 +545,24 @@ def q_stream_call_stats(spark, sf):
     return r.select("total_calls", "total_prompts", "total_tokens", F.round("average_latency_s", 6).alias("average_latency_s"))
 
 
+@register("delta_update", WG + "SELECT id, file_path, in_degree, out_degree, n_external FROM deg")
+def q_delta_update(spark, sf):
+    """Degrees kept up to date by signed rows over two snapshots of the corpus:
+    the first lacks a quarter of the files, has other texts in another and one
+    file more. The SQL twin works from the second alone."""
+    files = P.code_files(spark, sf).where(M.suffix("file_path") == ".c")
+    s = F.pmod(F.xxhash64("file_path"), F.lit(4))
+    text = F.when(s == 2, F.replace("text", F.lit("fn_"), F.lit("gn_"))).otherwise(F.col("text"))
+    extra = spark.range(1).select(F.lit("src/old.c").alias("file_path"), F.lit("int fn_1(int x)\n{\n    fn_2(x);\n}\n").alias("text"))
+    first = files.where(s != 1).withColumn("text", text).unionByName(extra)
+    path = scratch_path(spark, "delta-state")
+    for snapshot in (first, files):
+        index = snapshot.select("file_path", F.sha2("text", 256).alias("sha256"))
+        D.update(spark, path, index, lambda paths, t=snapshot: t.join(paths, "file_path", "left_semi"),
+                 lambda f: P.with_id(S.segment_c_units(f)))
+    return D.CodeState(spark, path).degrees
+
+
 # --------------------------------------------------------------------------
 # sources and sinks over a tree that Spark writes from the documents table
 # --------------------------------------------------------------------------
@@ -580,8 +620,9 @@ SELECT * FROM conversations
 def q_write_jsonl_atomic(spark, sf):
     base = scratch_path(spark, "jsonl-out")
     c = load(spark, sf, "conversations")
+    IO.write_jsonl_atomic(c.limit(0), base)
     IO.write_jsonl_atomic(c, base)
-    return spark.read.schema(c.schema).json(base)
+    return IO.read_jsonl_strict(spark, base, c.schema)
 
 
 @register("load_training_json", """
@@ -606,15 +647,16 @@ SELECT doc_id, CAST(win AS INT) AS win,
        array_to_string(list_concat(cut, list_transform(range(greatest(0, 64 - len(cut))), lambda x: 0)), ',') AS input_ids FROM c
 """)
 def q_token_cache(spark, sf):
+    """Filled by the English documents, then asked for all: the second run
+    tokenizes the others alone."""
     base = scratch_path(spark, "token-cache")
-    d = load(spark, sf, "documents")
+    d = load(spark, sf, "documents").select("doc_id", "text", "lang")
 
-    def build():
+    def tokenize(texts):
         w = A.tokenize_windows(A.tokenize_ids(F.col("text")), 64)
-        return d.select("doc_id", F.explode(w).alias("w")).select("doc_id", "w.*")
-    version = IO.content_version(d.select("doc_id", "text"))
-    IO.token_cache(spark, base, version, {"max_len": 64}, build)
-    return IO.token_cache(spark, base, version, {"max_len": 64}, build).select(
+        return texts.select("key", F.explode(w).alias("w")).select("key", "w.*")
+    IO.token_cache(spark, base, d.where("lang = 'en'"), "text", {"max_len": 64}, tokenize)
+    return IO.token_cache(spark, base, d, "text", {"max_len": 64}, tokenize).select(
         "doc_id", F.col("window").alias("win"), P.csv("input_ids").alias("input_ids"))
 
 

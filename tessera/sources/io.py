@@ -16,7 +16,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import metrics as M
-from ..session import cut_lineage, written
+from ..session import cut_lineage, drop_state
+from .publish import publish, resolve, versions
 
 _ENTRY = "path string, is_dir boolean, length long, modified double"
 
@@ -106,7 +107,9 @@ def read_source_files(spark: SparkSession, root: str, extensions) -> DataFrame:
 
 def read_jsonl_lenient(spark: SparkSession, path: str, schema: T.StructType, count_bad: bool = False) -> DataFrame:
     """Blank and malformed lines are skipped (DROPMALFORMED); with
-    ``count_bad`` they are kept in ``_corrupt_record`` instead."""
+    ``count_bad`` they are kept in ``_corrupt_record`` instead. Of a published
+    output (:func:`write_jsonl_atomic`) the current version is read."""
+    path = resolve(spark, path)
     if count_bad:
         s = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
         return (spark.read.schema(s).option("mode", "PERMISSIVE")
@@ -116,19 +119,20 @@ def read_jsonl_lenient(spark: SparkSession, path: str, schema: T.StructType, cou
 
 def read_jsonl_strict(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Any bad line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(resolve(spark, path))
 
 
 def write_jsonl_atomic(df: DataFrame, path: str, partitions: int | None = None) -> None:
-    """JSON Lines, UTF-8 unescaped; the output committer publishes the
-    directory only when every task has committed (temp + rename)."""
+    """JSON Lines, UTF-8 unescaped, as a new version of ``path`` that one step
+    publishes (:mod:`.publish`): until then, and if the write fails, readers
+    find the rows that were there before."""
     out = df if partitions is None else df.repartition(partitions)
-    out.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    publish(df.sparkSession, path, lambda folder: out.write.option("ignoreNullFields", "false").json(folder))
 
 
 def load_training_json(spark: SparkSession, path: str, schema: T.StructType, dry_run: bool = False):
     """Dataset load; ``dry_run`` returns only (rows, columns) statistics."""
-    df = spark.read.schema(schema).json(path)
+    df = spark.read.schema(schema).json(resolve(spark, path))
     if dry_run:
         return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(schema.fields)))
     return df
@@ -140,11 +144,29 @@ def content_version(df: DataFrame) -> str:
     return f"{r.n}-{r.s}"
 
 
-def token_cache(spark: SparkSession, base: str, source_version: str, params: dict, build) -> DataFrame:
-    """Reuse a materialised (tokenised) table keyed by the input's content
-    version and the parameters; build and write it as Parquet when missing."""
-    key = hashlib.sha1(json.dumps([source_version, params], sort_keys=True).encode()).hexdigest()[:16]
-    path = f"{base.rstrip('/')}/tokens-{key}"
-    if not written(spark, path):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def token_cache(spark: SparkSession, base: str, rows: DataFrame, text: str, params: dict, tokenize) -> DataFrame:
+    """``rows`` (without ``text``) beside the cached windows of their texts.
+
+    The cache under ``base`` is addressed by content: a row a window, keyed by
+    the SHA-256 of the whole text, one cache for each set of ``params``. Texts
+    that it lacks are found by an anti-join on the key alone; only these are
+    tokenized, each once, and appended as a folder of their own that one step
+    publishes. ``tokenize`` takes (key, text) and returns key, ``window`` and
+    further columns. Null texts count as empty."""
+    store = f"{base.rstrip('/')}/tokens-{hashlib.sha1(json.dumps(params, sort_keys=True).encode()).hexdigest()[:16]}"
+    keyed = rows.withColumn("key", F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
+    parts = versions(spark, store)
+    missing = keyed.select("key", F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if parts:
+        missing = missing.join(spark.read.parquet(*parts).select("key"), "key", "left_anti")
+    missing = cut_lineage(missing.dropDuplicates(["key"]), "token-misses")
+    if not missing.isEmpty():
+        publish(spark, store, lambda folder: tokenize(missing).write.parquet(folder), keep=None)
+    drop_state(spark, missing)
+    parts = versions(spark, store)
+    if not parts:  # no rows: the columns are the tokenizer's
+        none = spark.createDataFrame([], "key string, text string")
+        return keyed.drop(text).join(tokenize(none), "key").drop("key")
+    # two runs at a time may both have added a text; its windows are the same
+    cache = spark.read.parquet(*parts).repartition("key").dropDuplicates(["key", "window"])
+    return keyed.drop(text).join(cache, "key").drop("key")

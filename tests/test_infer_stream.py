@@ -140,7 +140,62 @@ def test_scan_keeps_hidden_names(spark, tmp_path):
     assert text == {str(tmp_path / "_start.asm"): "_start.asm"}
 
 
-def test_token_cache_follows_the_content(spark, tmp_path):
-    one, two = spark.createDataFrame([("a",)], "t string"), spark.createDataFrame([("b",)], "t string")
-    get = lambda df: IO.token_cache(spark, str(tmp_path), IO.content_version(df), {}, lambda: df).first()["t"]
-    assert [get(one), get(two), get(one)] == ["a", "b", "a"]
+def test_token_cache_tokenizes_only_what_it_lacks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    asked = []
+
+    def tokenize(texts):
+        asked.append(sorted(r["text"] for r in texts.collect()))
+        return texts.select("key", F.posexplode(F.split("text", " ")).alias("window", "tok"))
+    rows = [(i, f"word{i % 7} x") for i in range(70)] + [(100, None), (101, "")]
+    get = lambda rs, params={}: IO.token_cache(
+        spark, str(tmp_path), spark.createDataFrame(rs, "id long, t string"), "t", params, tokenize)
+    want = lambda rs: sorted((i, w, tok) for i, t in rs for w, tok in enumerate((t or "").split(" ")))
+    shown = lambda df: sorted((r["id"], r["window"], r["tok"]) for r in df.collect())
+    assert shown(get(rows)) == want(rows)
+    assert asked == [["", *[f"word{i} x" for i in range(7)]]]  # each text once
+    more = rows + [(200, "new one"), (201, "word3 x")]
+    assert shown(get(more)) == want(more) and asked[1:] == [["new one"]]
+    assert shown(get(more)) == want(more) and len(asked) == 2  # nothing is lacking
+    assert shown(get(rows[:3], {"other": 1})) == want(rows[:3]) and len(asked) == 3
+    assert get([], {"none": 1}).collect() == []
+
+
+def test_token_cache_survives_a_failed_run(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(1, "a b")], "id long, t string")
+
+    def broken(texts):
+        raise OSError("lost")
+    with pytest.raises(OSError):
+        IO.token_cache(spark, str(tmp_path), df, "t", {}, broken)
+    good = lambda t: t.select("key", F.posexplode(F.split("text", " ")).alias("window", "tok"))
+    assert IO.token_cache(spark, str(tmp_path), df, "t", {}, good).count() == 2
+
+
+def test_failed_write_leaves_the_old_lines(spark, tmp_path):
+    from pyspark.sql import functions as F
+    path = str(tmp_path / "out.jsonl")
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    IO.write_jsonl_atomic(spark.range(5).select(F.col("id").alias("x")), path)
+    bad = spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("no"))).otherwise(F.col("id")).cast("long").alias("x"))
+    with pytest.raises(Exception, match="no"):
+        IO.write_jsonl_atomic(bad, path)
+    assert sorted(r["x"] for r in IO.read_jsonl_strict(spark, path, schema).collect()) == list(range(5))
+    IO.write_jsonl_atomic(spark.range(2).select(F.col("id").alias("x")), path)
+    assert IO.read_jsonl_lenient(spark, path, schema).count() == 2 == IO.load_training_json(spark, path, schema).count()
+
+
+def test_changed_content_is_processed_again(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n", T.LongType())])
+    src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))
+    drops = [[("a", "one", 1), ("b", "two", 1), ("n", None, 1)], [("a", "one", 2), ("b", "three", 2), ("c", "x", 2), ("c", "y", 3)],
+             [("b", "two", 4), ("n", "", 4), ("c", "y", 4)]]
+    seen = []
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, schema).coalesce(1).write.json(os.path.join(src, str(i)))
+        ST.incremental_enrich(spark, src + "/*", schema, out, ck, content="text", order="n")
+        seen.append(ST.read_output(spark, out).count())
+    assert seen == [3, 5, 6]  # then b and c, then b again; null and empty are the same
+    got = {r["id"]: r["text"] for r in ST.read_output(spark, out, latest="id").collect()}
+    assert got == {"a": "one", "b": "two", "c": "y", "n": None}
