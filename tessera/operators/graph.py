@@ -399,43 +399,61 @@ def top_entry_points(degrees: DataFrame, k: int = 10) -> DataFrame:
                    .orderBy(F.col("out_degree").desc(), F.col("id").asc()).limit(k))
 
 
-def betweenness_sampled(edges: DataFrame, sources: DataFrame) -> DataFrame:
-    """Brandes betweenness from a fixed set of sources (directed, unweighted).
-
-    Forward: BFS per source with shortest-path counts sigma (one row per
-    (source, node)). Backward: dependencies delta accumulated level by
-    level from the deepest. Result: (id, betweenness) summed over sources."""
-    e = edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct()
-    e = cut_lineage(e)
-    lv = sources.select(F.col("id").alias("s"), "id").distinct() \
-        .withColumn("d", F.lit(0)).withColumn("sigma", F.lit(1).cast("double"))
-    levels = cut_lineage(lv)
-    frontier = levels
-    depth = 0
-    while not frontier.isEmpty():
-        depth += 1
-        nxt = (e.join(frontier.select("s", F.col("id").alias("src"), "sigma"), "src")
+def betweenness_sampled(edges: DataFrame, sources: DataFrame, targets: Column | None = None, log=None) -> DataFrame:
+    """Brandes betweenness from a fixed set of sources (directed, unweighted):
+    (id, betweenness) summed over sources.
+
+    Forward, a table a level of (s, id, sigma): the nodes that the search from s
+    reaches there and their numbers of shortest paths. Backward, a table a level
+    of their dependencies delta, from the deepest up. Each is written once and
+    reads the level next to it (forward also the ids reached before). Paths end
+    at nodes that ``targets`` (on ``id``) accepts, and only those are returned.
+    ``log`` gets the level and its rows."""
+    spark = edges.sparkSession
+    e = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), "paths-edges")
+    levels = [cut_lineage(sources.select(F.col("id").alias("s"), "id").distinct().withColumn("sigma", F.lit(1.0)), "paths-level")]
+    while True:
+        reached = levels[0].select("s", "id")
+        for lv in levels[1:]:
+            reached = reached.unionByName(lv.select("s", "id"))
+        nxt = (e.join(levels[-1].withColumnRenamed("id", "src"), "src")
                 .groupBy("s", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
-                .join(levels.select("s", "id"), ["s", "id"], "left_anti")
-                .withColumn("d", F.lit(depth)))
-        frontier = cut_lineage(nxt)
-        levels = cut_lineage(levels.unionByName(frontier.select("s", "id", "d", "sigma")))
-    # backward accumulation: delta(v) = sum over successors w on a shortest
-    # path (d(w) = d(v)+1) of sigma(v)/sigma(w) * (1 + delta(w))
-    delta = levels.select("s", "id", "d", "sigma", F.lit(0.0).alias("delta"))
-    delta = cut_lineage(delta)
-    for lvl in range(depth, 0, -1):
-        w = delta.where(F.col("d") == lvl).select("s", F.col("id").alias("dst"), F.col("sigma").alias("sw"),
-                                                   F.col("delta").alias("dw"))
-        v = delta.where(F.col("d") == lvl - 1).select("s", F.col("id").alias("src"), F.col("sigma").alias("sv"))
-        contrib = (e.join(w, "dst").join(v, ["s", "src"])
-                    .groupBy("s", F.col("src").alias("id"))
-                    .agg(F.sum(F.col("sv") / F.col("sw") * (1 + F.col("dw"))).alias("add")))
-        delta = cut_lineage(delta.join(contrib, ["s", "id"], "left")
-                                 .select("s", "id", "d", "sigma",
-                                         (F.col("delta") + F.coalesce("add", F.lit(0.0))).alias("delta")))
-    return (delta.where(F.col("id") != F.col("s")).groupBy("id")
-                 .agg(F.sum("delta").alias("betweenness")))
+                .join(reached, ["s", "id"], "left_anti"))
+        nxt = cut_lineage(nxt, "paths-level")
+        rows = nxt.count()
+        if log:
+            log(len(levels), rows)
+        if not rows:
+            drop_state(spark, nxt)
+            break
+        levels.append(nxt)
+    ends = F.lit(1.0) if targets is None else F.when(targets, 1.0).otherwise(0.0)
+    # delta(v) = sum over successors w one level down of sigma(v) / sigma(w) * (ends(w) + delta(w))
+    below = levels[-1].withColumn("delta", F.lit(0.0))
+    deltas = [below]
+    for lv in reversed(levels[:-1]):
+        w = below.select("s", F.col("id").alias("dst"), ((ends + F.col("delta")) / F.col("sigma")).alias("share"))
+        back = (e.join(w, "dst").groupBy("s", F.col("src").alias("id")).agg(F.sum("share").alias("share"))
+                 .join(lv, ["s", "id"]).select("s", "id", (F.col("sigma") * F.col("share")).alias("delta")))
+        below = cut_lineage(lv.join(back, ["s", "id"], "left").select("s", "id", "sigma", F.coalesce("delta", F.lit(0.0)).alias("delta")), "paths-delta")
+        deltas.append(below)
+    out = None
+    for d in deltas:
+        out = d if out is None else out.unionByName(d)
+    out = out.where(F.col("id") != F.col("s"))
+    out = out if targets is None else out.where(targets)
+    total = cut_lineage(out.groupBy("id").agg(F.sum("delta").alias("betweenness")), "betweenness")
+    for state in (e, *levels, *deltas[1:]):
+        drop_state(spark, state)
+    return total
+
+
+def function_betweenness(up: DataFrame, down: DataFrame, sources: DataFrame, log=None) -> DataFrame:
+    """Betweenness of functions with paths and dependencies factored through
+    name nodes: a call is two steps, and a source reaches a name node once, so
+    a level holds no more than the calls and definitions next to it. (A function
+    that calls another both by name and by id has two paths to it.)"""
+    return betweenness_sampled(as_edges(up, down), sources, is_function("id"), log)
 
 
 def graph_distance(edges: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -47,10 +47,6 @@ mnodes AS (SELECT src AS id FROM medges UNION SELECT dst FROM medges)
 """
 
 
-def _graph(spark, sf):
-    return P.call_graph(spark, sf)
-
-
 def _module_scc(spark, sf):
     return P.materialize(spark, sf, "module_scc", lambda: G.scc(_module_edges(spark, sf)))
 
@@ -333,9 +329,27 @@ def q_degree_centrality(spark, sf):
     return G.degree_centrality(d).select("id", F.round("degree_centrality", 9).alias("degree_centrality"))
 
 
-@register("betweenness_sampled")
+#: Levels that the SQL twin unrolls.
+_LEVELS = 48
+_BETWEEN_SQL = "WITH RECURSIVE " + CODE_CTES + "," + GRAPH_CTES + """
+, e2 AS (SELECT src, dst FROM edges WHERE src <> dst),
+srcs AS (SELECT id FROM units2 ORDER BY sha1(id), id LIMIT 8),
+bfs(s, id, d, sigma) USING KEY (s, id) AS (
+  SELECT id, id, 0, CAST(1 AS DOUBLE) FROM srcs
+  UNION
+  SELECT b.s, e.dst, b.d + 1, sum(b.sigma) FROM bfs b JOIN e2 e ON e.src = b.id
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.bfs r WHERE r.s = b.s AND r.id = e.dst) GROUP BY b.s, e.dst, b.d),
+""" + f"d{_LEVELS} AS (SELECT s, id, sigma, CAST(0 AS DOUBLE) AS delta FROM bfs WHERE d = {_LEVELS})," + ",".join(f"""
+d{n} AS (SELECT v.s, v.id, v.sigma, coalesce(sum(v.sigma / w.sigma * (1 + w.delta)), 0) AS delta
+         FROM (SELECT * FROM bfs WHERE d = {n}) v LEFT JOIN e2 e ON e.src = v.id LEFT JOIN d{n + 1} w ON w.s = v.s AND w.id = e.dst
+         GROUP BY v.s, v.id, v.sigma)""" for n in range(_LEVELS - 1, -1, -1)) + """
+SELECT id, round(sum(delta), 6) AS betweenness FROM (
+""" + " UNION ALL ".join(f"SELECT s, id, delta FROM d{n}" for n in range(_LEVELS + 1)) + ") WHERE id <> s GROUP BY id"
+
+
+@register("betweenness_sampled", _BETWEEN_SQL)
 def q_betweenness(spark, sf):
-    """Brandes from the 8 sources with the smallest id hash (rows-only)."""
-    u, edges, _ = _graph(spark, sf)
+    """Brandes from the 8 sources with the smallest id hash."""
+    u, up, down = P.name_graph(spark, sf)
     src = u.select("id").orderBy(F.sha1(F.col("id")), "id").limit(8)
-    return G.betweenness_sampled(edges, src)
+    return G.function_betweenness(up, down, src).select("id", F.round("betweenness", 6).alias("betweenness"))

@@ -178,6 +178,11 @@ def test_name_graph_equals_resolved_edges(spark, seed):
     assert rows(G.function_distance(up, down, u)) == rows(G.graph_distance(edges, nodes))
     seeds = nodes.limit(4)
     assert rows(G.function_neighbors(up, down, seeds, 2)) == rows(G.k_hop_neighbors(edges, seeds, 2))
+    seen = []
+    between = {r["id"]: r["betweenness"] for r in G.function_betweenness(up, down, seeds, lambda *x: seen.append(x)).collect()}
+    want = {r["id"]: r["betweenness"] for r in G.betweenness_sampled(edges, seeds).collect()}
+    assert set(between) == set(want) and all(abs(between[i] - want[i]) < 1e-9 for i in want)
+    assert sum(n for _, n in seen) <= 4 * (up.count() + down.count())
     want = G.scc(edges, nodes).select("id", "scc_id", "size", "in_cycle")
     assert rows(G.function_scc(up, down, u)) == rows(want)
 
