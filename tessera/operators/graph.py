@@ -412,10 +412,16 @@ def betweenness_sampled(edges: DataFrame, sources: DataFrame, targets: Column |
     spark = edges.sparkSession
     e = cut_lineage(edges.select("src", "dst").where(F.col("src") != F.col("dst")).distinct(), "paths-edges")
     levels = [cut_lineage(sources.select(F.col("id").alias("s"), "id").distinct().withColumn("sigma", F.lit(1.0)), "paths-level")]
+    older, merged = [], []
     while True:
-        reached = levels[0].select("s", "id")
-        for lv in levels[1:]:
-            reached = reached.unionByName(lv.select("s", "id"))
+        older.append(levels[-1].select("s", "id"))
+        reached = older[0]
+        for lv in older[1:]:
+            reached = reached.unionByName(lv)
+        if len(older) > 8:  # few tables to look in, however deep the search
+            reached = cut_lineage(reached, "paths-reached")
+            merged.append(reached)
+            older = [reached]
         nxt = (e.join(levels[-1].withColumnRenamed("id", "src"), "src")
                 .groupBy("s", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
                 .join(reached, ["s", "id"], "left_anti"))
@@ -443,7 +449,7 @@ def betweenness_sampled(edges: DataFrame, sources: DataFrame, targets: Column |
     out = out.where(F.col("id") != F.col("s"))
     out = out if targets is None else out.where(targets)
     total = cut_lineage(out.groupBy("id").agg(F.sum("delta").alias("betweenness")), "betweenness")
-    for state in (e, *levels, *deltas[1:]):
+    for state in (e, *levels, *merged, *deltas[1:]):
         drop_state(spark, state)
     return total
 
