@@ -69,5 +69,30 @@ def running_number(df: DataFrame, groups: list[str], order: list[Column], spread
             .drop("_b", "_r", "_first", *[f"_k_{k}" for k in keys]))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def as_row(docs: DataFrame, without: list[str] = ()) -> Column:
+    """The columns of ``docs`` as one struct (its fields numbered), so that an
+    operator's own columns beside it can't clash with them, whatever their
+    names."""
+    fields = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in without]
+    return F.struct(F.lit(True).alias("here"), *fields)
+
+
+def from_row(docs: DataFrame, row: str = "row", replace: dict[str, Column] | None = None, without: list[str] = ()) -> list[Column]:
+    """The columns of ``docs`` again, in their order, some replaced."""
+    replace = replace or {}
+    return [(replace[c] if c in replace else F.col(row)[f"c{i}"]).alias(c) for i, c in enumerate(docs.columns) if c not in without]
+
+
+def row_order(docs: DataFrame, without: list[str]) -> Column:
+    """What orders rows that agree in the columns ``without``: their others as
+    text, so a rerun orders them alike."""
+    rest = [F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in without]
+    return F.to_json(F.struct(*rest)) if rest else F.lit("")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "documents")

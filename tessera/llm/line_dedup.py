@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import BLANKS, arrow_limits, buckets_for, byte_values, stage, text_of
+from .common import BLANKS, arrow_limits, as_row, buckets_for, byte_values, from_row, stage, text_of
 
 #: Distinct lines of one shard, about.
 SHARD_LINES = 65_536
@@ -263,31 +264,30 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
 
 
 def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with its text rebuilt without lines whose key is found in at
     least ``min_docs`` documents, and ``n_lines`` (before) and ``n_dropped``.
 
     A null or empty text is one empty line, which stays, and comes back as an
     empty text. A document counts once for a line that it repeats; repeated rows
-    count as documents of their own. Other columns pass through, but input
-    columns named ``n_lines``, ``n_dropped`` or with a leading ``_ld_`` are
-    replaced."""
+    count as documents of their own. Other columns pass through unchanged,
+    whatever their names, but input columns named ``n_lines`` or ``n_dropped``
+    give way to the counts; without ``counts`` these are left out and such
+    columns stay as well. An empty table gives no rows."""
     arrow_limits(docs.sparkSession, rows=1000, mb=8)  # nothing is shared by a batch's texts
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     hits, held = frequent_lines(slim, min_docs, min_chars)
-    told = hits.groupBy("doc_id", "own").agg(
-        F.collect_set(F.struct("hi", "lo")).alias("_ld_drop")).select(
-        F.col("doc_id").alias("_ld_id"), F.col("own").alias("_ld_hash"), "_ld_drop")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped") and not c.startswith("_ld_")]
-    hashed = docs.select(*keep, _own(text_col).alias("_ld_own"))
-    on = hashed[id_col].cast("long").eqNullSafe(told["_ld_id"]) & (hashed["_ld_own"] == told["_ld_hash"])
-    joined = hashed.join(told, on, "left").select(*keep, "_ld_drop")
-    text_at, drop_at = len(keep) and keep.index(text_col), len(keep)
+    told = hits.groupBy("doc_id", "own").agg(F.collect_set(F.struct("hi", "lo")).alias("drop")).select(
+        F.col("doc_id").alias("told_id"), F.col("own").alias("told_own"), "drop")
+    rows = docs.select(F.col(text_col).alias("text"), as_row(docs, [text_col]).alias("row"),
+                       F.col(id_col).cast("long").alias("doc_id"), _own(text_col).alias("own"))
+    joined = rows.join(told, F.col("doc_id").eqNullSafe(F.col("told_id")) & (F.col("own") == F.col("told_own")), "left")
+    joined = joined.select("text", "row", "drop")
 
     def rebuild(batches):
         own = Index(*held) if held else None
         for b in batches:
-            texts, drops = byte_values(b.column(text_at)), b.column(drop_at).to_pylist()
+            texts, drops = byte_values(b.column(0)), b.column(2).to_pylist()
             doc, line, hi, lo = _hash_lines(texts, min_chars)
             gone = own.probe(hi, lo) >= min_docs if own is not None and len(doc) else np.zeros(len(doc), bool)
             starts = np.searchsorted(doc, np.arange(len(texts) + 1))
@@ -303,10 +303,13 @@ def drop_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_C
                 n_lines.append(len(parts))
                 n_dropped.append(len(away))
                 out.append(b"\n".join(x for j, x in enumerate(parts) if j not in away) if away else t)
-            cols = [pa.array(out, pa.binary()).cast(pa.string()) if j == text_at else b.column(j) for j in range(len(keep))]
             yield pa.RecordBatch.from_arrays(
-                [*cols, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                names=[*keep, "n_lines", "n_dropped"])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
-    return joined.mapInArrow(rebuild, f"{fields}, n_lines long, n_dropped long")
+                [pa.array(out, pa.binary()).cast(pa.string()), b.column(1), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
+                names=["text", "row", "n_lines", "n_dropped"])
+
+    schema = StructType([*joined.schema.fields[:2], StructField("n_lines", LongType()), StructField("n_dropped", LongType())])
+    rebuilt = joined.mapInArrow(rebuild, schema)
+    if not counts:
+        return rebuilt.select(*from_row(docs, replace={text_col: F.col("text")}))
+    own = ["n_lines", "n_dropped"]
+    return rebuilt.select(*from_row(docs, replace={text_col: F.col("text")}, without=own), *own)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import WORD, buckets_for, stage, text_of
+from .common import WORD, as_row, buckets_for, from_row, row_order, stage, text_of
 
 #: Words of a block.
 BLOCK = 1024
@@ -161,8 +161,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """The rows of ``docs`` as often as the mix takes them: once for each epoch
     in which it takes at least half of the document's words. A source's slots
     end inside at most one document, so whole documents differ from its target
-    by less than one. Documents without words are in no mix."""
-    keyed = docs.withColumn("_own", F.xxhash64(text_of(text_col)))
+    by less than one. Documents without words are in no mix.
+
+    All columns pass through unchanged, whatever their names. Null ids and
+    sources are values like others. Rows that agree in id, source and text share
+    their turns evenly; an odd one goes to the first by their other columns, so
+    reruns agree. An empty table gives no rows."""
+    keyed = docs.select(as_row(docs).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+                        F.xxhash64(text_of(text_col)).alias("own"), row_order(docs, [id_col, source_col, text_col]).alias("rest"))
     placed, spans = mix(docs, id_col, source_col, text_col, **how)
     turns = (spans.groupBy("source", "at", "epoch").agg(F.sum("words").alias("n"), F.first("size").alias("size"))
              .filter("2 * n >= size").groupBy(F.col("source").alias("_s"), F.col("at").alias("_at"))
@@ -170,11 +176,11 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     on = F.col("source").eqNullSafe(F.col("_s")) & (F.col("at") == F.col("_at"))
     # rows equal in doc_id, source and text stand for each other
     per = (placed.filter("size > 0").join(turns, on, "left").groupBy("doc_id", "source", "own")
-           .agg(F.coalesce(F.sum("times"), F.lit(0)).alias("_times"), F.count(F.lit(1)).alias("_rows"))
-           .filter("_times > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("own").alias("_hash"), "_times", "_rows"))
-    both = keyed.join(per, keyed[id_col].eqNullSafe(per["_id"]) & keyed[source_col].eqNullSafe(per["_source"]) & (keyed["_own"] == per["_hash"]))
+           .agg(F.coalesce(F.sum("times"), F.lit(0)).alias("times"), F.count(F.lit(1)).alias("rows")).filter("times > 0")
+           .select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("own").alias("_own"), "times", "rows"))
+    both = keyed.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("own") == F.col("_own")))
     # n equal rows share their turns: each takes every n-th of them
-    w = Window.partitionBy("_id", "_source", "_own").orderBy(F.lit(0))
-    share = F.expr("_times div _rows") + (F.col("_k") <= F.expr("_times % _rows")).cast("long")
-    out = both.withColumn("_k", F.row_number().over(w)).withColumn("_times", share).filter("_times > 0")
-    return out.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_times").cast("int"))).alias("_turn")).select(*docs.columns)
+    w = Window.partitionBy("_id", "_source", "_own").orderBy("rest")
+    share = F.expr("times div rows") + (F.col("k") <= F.expr("times % rows")).cast("long")
+    out = both.withColumn("k", F.row_number().over(w)).withColumn("times", share).filter("times > 0")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("turn")).select(*from_row(docs))

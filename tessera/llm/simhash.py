@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_limits, buckets_for, byte_values, stage
+from .common import arrow_limits, as_row, buckets_for, byte_values, from_row, row_order, stage
 from .components import components
 
 #: Contract of this operator: words of a shingle, bits that may differ, seed.
@@ -249,21 +249,26 @@ def near_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def one_per_group(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: of each component, the row with the
-    smallest doc_id (null is the largest), and of rows that share it one."""
+    smallest doc_id (null is the largest), and of rows that share it one (those
+    equal in doc_id and text: the least by their other columns). All columns
+    pass through unchanged, whatever their names. Null, empty and blank texts
+    have fingerprint 0; an empty table gives no rows."""
     # rows equal in doc_id and text are one here
-    own = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    own = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    all_rows = docs.select(as_row(docs).alias("row"), F.col(id_col).cast("long").alias("doc_id"), own.alias("own"),
+                           row_order(docs, [id_col, text_col]).alias("rest"))
     arrow_limits(docs.sparkSession)
 
     def run(batches):
         for b in batches:
             fp = np.array([fingerprint(t, shingle) for t in byte_values(b.column(1))], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fp.view(np.int64))], names=["doc_id", "own", "fp"])
-    rows = stage(own.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col("_own").alias("own"))
+    rows = stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), own.alias("own"))
                  .mapInArrow(run, "doc_id long, own long, fp long"), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "own")).alias("first")
     distinct = stage(rows.groupBy("fp").agg(first), "gray-distinct")
     roots = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
     stays = (distinct.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("s"))
-             .select(F.col("s.doc_id").alias("_id"), F.col("s.own").alias("_hash")))
-    kept = own.join(stays, own[id_col].cast("long").eqNullSafe(stays["_id"]) & (own["_own"] == stays["_hash"]))
-    return kept.select(*docs.columns, "_own").dropDuplicates([id_col, "_own"]).select(*docs.columns)
+             .select(F.col("s.doc_id").alias("stays_id"), F.col("s.own").alias("stays_own")))
+    kept = all_rows.join(stays, F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col("own") == F.col("stays_own")))
+    return kept.groupBy("doc_id", "own").agg(F.min_by("row", "rest").alias("row")).select(*from_row(docs))

@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import arrow_limits, stage
+from .common import arrow_limits, as_row, from_row, stage
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most.
 MAX_TRAIN = 20_000
@@ -295,22 +296,42 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Mode
     return Model(stems, fit_weights(np.array([r.x for r in rows])[order], y[order]))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] = ()) -> DataFrame:
-    """doc_id, held_out, score, predicted of every row (and the columns named in
-    ``keep``). Only the text is scored. Null and empty texts have no matches and
-    score as the bias says; a null doc_id is not held out."""
+def _scores(lexicon: Lexicon, weights: np.ndarray, texts: pa.Array) -> pa.Array:
+    z = np.clip(features(lexicon, texts.cast(pa.string())) @ weights[:-1] + weights[-1], -30, 30)
+    return pa.array(1 / (1 + np.exp(-z)))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, held_out, score, predicted of every row. Only the text is scored.
+
+    Null and empty texts have no matches and score as the bias says; a null
+    doc_id is not held out; repeated rows give repeated results; texts of any
+    length are read whole; other columns are not read, so their names don't
+    matter; an empty table gives no rows."""
     arrow_limits(docs.sparkSession)
-    stems, weights, names = model.stems, model.weights, list(keep)
-    cols = docs.select(F.col(text_col).alias("_text"), F.col(id_col).alias("_id"), *names)
+    stems, weights = model.stems, model.weights
 
     def run(batches):
         lexicon = Lexicon(stems)
         for b in batches:
-            x = features(lexicon, b.column(0).cast(pa.string()))
-            z = np.clip(x @ weights[:-1] + weights[-1], -30, 30)
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(1 / (1 + np.exp(-z)))], names=["_id", *names, "_score"])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[1:])
-    out = cols.mapInArrow(run, f"{fields}, _score double")
-    held = F.coalesce(F.crc32(F.col("_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    return out.select(F.col("_id").alias("doc_id"), held.alias("held_out"), F.col("_score").alias("score"),
-                      (F.col("_score") >= 0.5).cast("int").alias("predicted"), *names)
+            yield pa.RecordBatch.from_arrays([b.column(1), _scores(lexicon, weights, b.column(0))], names=["doc_id", "score"])
+    cols = docs.select(F.col(text_col).alias("text"), F.col(id_col).alias("doc_id"))
+    out = cols.mapInArrow(run, StructType([StructField("doc_id", cols.schema["doc_id"].dataType), StructField("score", DoubleType())]))
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score below 0.5, with all their columns
+    unchanged, whatever their names. Nulls, empty and long texts, repeated rows
+    and empty tables as in :func:`score`."""
+    arrow_limits(docs.sparkSession)
+    stems, weights = model.stems, model.weights
+    rows = docs.select(F.col(text_col).alias("text"), as_row(docs, [text_col]).alias("row"))
+
+    def run(batches):
+        lexicon = Lexicon(stems)
+        for b in batches:
+            clean = pc.less(_scores(lexicon, weights, b.column(0)), 0.5)
+            yield b.filter(clean)
+    return rows.mapInArrow(run, rows.schema).select(*from_row(docs, replace={text_col: F.col("text")}))
