@@ -6,7 +6,7 @@ document of each near-duplicate group stays, and sources are taken up to their
 targets (a document comes once for each time that the mix takes it). The last
 returns the packed pieces. Null and repeated rows, empty texts, empty tables and
 further columns are handled as the operators' docstrings say; further columns of
-``documents`` pass through.
+``documents`` pass through unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,16 +18,14 @@ from tessera.session import cut_lineage, load
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.learn(docs, load(spark, sf_dir, "labels"))
-    rest = [c for c in docs.columns if c != "doc_id"]
-    return toxicity.score(docs, model, keep=rest).filter("predicted = 0").select(*docs.columns)
+    return toxicity.drop_toxic(docs, toxicity.learn(docs, load(spark, sf_dir, "labels")))
 
 
 def drop_frequent_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_lines(docs)
+    out = line_dedup.drop_lines(docs, counts=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    return out
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
