@@ -14,6 +14,7 @@ coefficient at all.
 
 from __future__ import annotations
 
+import json
 import re
 from fractions import Fraction
 from pathlib import Path
@@ -134,6 +135,12 @@ def _gram(a: str, b: str) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _table(rows: list[dict], schema: str) -> Column:
+    """The templates as one constant, which the optimizer reads once: as many
+    literals as they have bigrams would take seconds to plan."""
+    return F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+
+
 def size_bounds(n: int, least: float) -> tuple[int, int]:
     """The set sizes that can reach a Dice coefficient of ``least`` with ``n``."""
     t = Fraction(str(least))
@@ -163,8 +170,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
         grams = sorted({_gram(a, b) for a, b in zip(words, words[1:])})
         if grams:
             low, high = size_bounds(len(grams), least)
-            known.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(len(grams)).alias("n"),
-                                  F.lit(low).alias("low"), F.lit(high).alias("high")))
+            known.append({"license": name, "grams": grams, "n": len(grams), "low": low, "high": high})
     text = text_of(text_col)
     lines, paragraphs = F.split(text, "\n"), F.split(text, _GAP)
     several = F.filter(F.transform(paragraphs, lambda x, i: F.struct(F.lit("paragraph").alias("unit"), i.alias("place"), x.alias("t"))),
@@ -172,7 +178,7 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float =
     whole = F.when(F.size(paragraphs) > 1, F.array(F.struct(F.lit("text").alias("unit"), F.lit(0).alias("place"), text.alias("t"))))
     units = F.concat(F.transform(lines, lambda x, i: F.struct(F.lit("line").alias("unit"), i.alias("place"), x.alias("t"))),
                      several, F.coalesce(whole, F.filter(several, lambda p: F.lit(False))))
-    table = F.array(*known)
+    table = _table(known, "license string, grams array<bigint>, n int, low int, high int")
 
     def matches(u):
         n = F.size(u["grams"])
@@ -195,6 +201,31 @@ def _bound(df: DataFrame, *cols: Column) -> DataFrame:
     return df.select(F.explode(F.array(F.struct(*cols))).alias("x")).select("x.*")
 
 
+#: Items of a chunk of running sums.
+SUM_CHUNK = 512
+
+
+def _summed(df: DataFrame, **arrays: Column) -> DataFrame:
+    """``df`` with the running sums of arrays of whole numbers, from 0 on (one
+    item more than the array). Chunks are summed by themselves, then their
+    totals, so the work follows the length and not its square."""
+    old, names = [F.col(x) for x in df.columns], list(arrays)
+    text = lambda tag: [F.col(f"{n}{tag}") for n in names]
+    fold = lambda xs: F.aggregate(xs, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+    df = _bound(df, *old, *[x.alias(f"{n}_x") for n, x in arrays.items()])
+
+    def chunks(x: str) -> Column:
+        last = F.floor(F.greatest(F.size(x) - 1, F.lit(0)) / SUM_CHUNK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda k: fold(F.slice(x, k * SUM_CHUNK + 1, SUM_CHUNK)))
+    df = _bound(df, *old, *[chunks(f"{n}_x").alias(f"{n}_c") for n in names])
+    df = _bound(df, *old, *text("_c"), *[fold(F.transform(f"{n}_c", lambda c: F.element_at(c, -1))).alias(f"{n}_t") for n in names])
+
+    def whole(n: str) -> Column:
+        return F.concat(F.array(F.lit(0)), F.flatten(F.transform(f"{n}_c", lambda c, i: F.transform(
+            F.slice(c, 2, SUM_CHUNK), lambda v: v + F.get(F.col(f"{n}_t"), i)))))
+    return _bound(df, *old, *[whole(n).alias(n) for n in names])
+
+
 def _runs(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
     """The matches of runs of two lines or more: of those that overlap the best
     one (of equal ones the shortest, then first), and none that overlaps a
@@ -213,8 +244,7 @@ def _runs(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame
             low, high = size_bounds(len(grams), least)
             # 2 x / (n + size) >= t and size >= x
             need = -(-len(grams) * t.numerator // (2 * t.denominator - t.numerator))
-            known.append(F.struct(F.lit(name).alias("license"), F.lit(grams).alias("grams"), F.lit(len(grams)).alias("n"), F.lit(need).alias("need"),
-                                  F.lit(low).alias("low"), F.lit(-(-high * len(places) // len(grams))).alias("high")))
+            known.append({"license": name, "grams": grams, "n": len(grams), "need": need, "low": low, "high": -(-high * len(places) // len(grams))})
     if not known:
         return docs.select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("dice"), F.lit("").alias("unit"), F.lit(0).alias("place")).filter("false")
     split = lambda x: F.filter(F.split(F.trim(F.regexp_replace(F.lower(x), _NOT_WORD, " ")), " "), lambda w: w != "")
@@ -223,33 +253,38 @@ def _runs(docs: DataFrame, templates: dict[str, str], least: float) -> DataFrame
     df = _bound(docs.filter(F.instr("text", "\n") > 0), c("doc_id"), c("text"), split(c("text")).alias("words"))
     df = _bound(df, c("doc_id"), c("text"), pairs(c("words")).alias("g"))
     df = _bound(df, c("doc_id"), c("text"), c("g"), F.array_distinct("g").alias("own"))
-    near = F.filter(F.array(*known), lambda k: F.when(F.size("own") >= k["need"], F.size(F.array_intersect(c("own"), k["grams"])) >= k["need"]).otherwise(False))
+    near = F.filter(_table(known, "license string, grams array<bigint>, n int, need int, low int, high int"), lambda k: F.when(F.size("own") >= k["need"], F.size(F.array_intersect(c("own"), k["grams"])) >= k["need"]).otherwise(False))
     # few texts are left
     df = df.select("doc_id", "text", "g", "own", F.explode(near).alias("k"))
     df = df.filter(F.lit(2.0) * F.size(F.array_intersect("own", "k.grams")) / (F.size("own") + c("k.n")) < least)
     same = F.array_intersect("own", "k.grams")
     df = _bound(df, c("doc_id"), c("k"), c("g"), same.alias("same"), F.transform(F.split("text", "\n"), lambda x: F.size(split(x))).alias("sizes"),
                 F.transform(F.split("text", _GAP), lambda x: split(x)).alias("parts"))
-    sums = lambda xs: F.aggregate(xs, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
     alone = F.transform(F.transform("parts", lambda p: F.array_distinct(pairs(p))), lambda p: F.lit(2.0) * F.size(
         F.array_intersect(p, c("k.grams"))) / (F.size(p) + c("k.n")) >= least)
-    df = _bound(df, c("doc_id"), c("k"), c("g"), alone.alias("alone"), sums(F.transform("parts", F.size)).alias("edges"), sums(c("sizes")).alias("starts"),
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("sizes"), alone.alias("alone"), F.transform("parts", F.size).alias("part_sizes"),
                 F.transform("g", lambda x: F.array_contains("same", x).cast("int")).alias("hit"))
+    df = _summed(df, edges=c("part_sizes"), starts=c("sizes"), hits=c("hit"))
     taken = F.filter(F.transform("alone", lambda x, i: F.struct(x.alias("is"), F.get("edges", i).alias("from"), F.get("edges", i + 1).alias("to"))), lambda x: x["is"])
-    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), taken.alias("taken"), F.size("starts").alias("n_starts"), sums(c("hit")).alias("hits"))
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), taken.alias("taken"), F.size("starts").alias("n_starts"), c("hits"))
     at = lambda xs, i: F.get(c(xs), i)
     # the hits of the bigrams that begin in a line (the last word has none after it)
     upto = lambda i: at("hits", F.least(i, F.size("g")))
     shares = F.filter(F.sequence(F.lit(0), c("n_starts") - 2), lambda i: upto(at("starts", i + 1)) > upto(at("starts", i)))
     # a last line may end the run by the bigram that leads into it
-    ends = F.filter(F.sequence(F.lit(0), c("n_starts") - 2), lambda i: (at("starts", i + 1) > at("starts", i)) & (
-        upto(at("starts", i + 1) - 1) > upto(F.greatest(at("starts", i) - 1, F.lit(0)))))
-    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), c("taken"), c("hits"), shares.alias("firsts"), ends.alias("lasts"))
+    ends = F.transform(F.sequence(F.lit(0), c("n_starts") - 2), lambda i: ((at("starts", i + 1) > at("starts", i)) & (
+        upto(at("starts", i + 1) - 1) > upto(F.greatest(at("starts", i) - 1, F.lit(0))))).cast("int"))
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), c("taken"), c("hits"), shares.alias("firsts"), ends.alias("ends"))
+    df = _summed(df, ends_before=c("ends"))
+    lasts = F.filter(F.transform("ends", lambda x, i: F.when(x == 1, i)), lambda i: i.isNotNull())
+    df = _bound(df, c("doc_id"), c("k"), c("g"), c("starts"), c("taken"), c("hits"), c("firsts"), c("ends_before"), lasts.alias("lasts"))
 
     def from_line(i):
         begin = at("starts", i)
         size = lambda j: at("starts", j + 1) - begin - 1
-        fit = F.filter("lasts", lambda j: (j > i) & size(j).between(c("k.low"), c("k.high")) & (
+        # last lines after this one; each has a word, so no more than the words of the longest run
+        later = F.slice("lasts", at("ends_before", i + 1) + 1, c("k.high") + 1)
+        fit = F.filter(later, lambda j: (j > i) & size(j).between(c("k.low"), c("k.high")) & (
             upto(at("starts", j + 1) - 1) - upto(begin) >= c("k.need")) & ~F.exists(
                 "taken", lambda x: (x["from"] < at("starts", j + 1)) & (begin < x["to"])))
 

@@ -54,3 +54,20 @@ def test_licences_of_several_paragraphs_in_longer_texts(spark):
     assert any(x[0] == "Apache-2.0" and x[3] > 0.99 for x in got[5])
     assert 6 not in got and any(x[0] == "GPL-3.0" and x[1] == "text" for x in got[7])
     assert sorted(x[:2] + x[3:] for x in got[8]) == [("MIT", "lines", 1.0), ("MIT", "paragraph", 1.0)]
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """Eight times the text around a licence in three paragraphs, well within
+    ten times the time (before, the time grew with the square)."""
+    import time
+    three = "\n\n".join(x.strip() for x in _mit())
+
+    def took(n):
+        half = "\n".join(" ".join(f"the w{(k * 7 + r) % 997} of" for k in range(15)) for r in range(n // 90))
+        docs = spark.createDataFrame([(1, f"{half}\n\n{three}\n\n{half}")], SCHEMA)
+        began = time.perf_counter()
+        got = [(r.license, r.unit, r.place, r.dice) for r in Lc.scan(docs).collect()]
+        assert got == [("MIT", "lines", n // 90 + 1, 1.0)]
+        return time.perf_counter() - began
+    took(20_000)
+    assert took(160_000) < 10 * took(20_000)
