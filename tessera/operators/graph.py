@@ -216,11 +216,42 @@ def name_index(units: DataFrame) -> DataFrame:
                                      F.countDistinct("file_path").alias("n_files"))
 
 
+def _upwards(parts: Column, most: Column) -> Column:
+    """The folders from the root (empty) down to ``most`` levels of a path."""
+    return F.transform(F.sequence(F.lit(0), most), lambda n: F.struct(F.array_join(F.slice(parts, 1, n), "/").alias("folder"), n.alias("level")))
+
+
 def include_graph(files: DataFrame, includes: DataFrame) -> DataFrame:
-    """file -> included file, resolved by base name (all matches kept)."""
-    idx = files.select(F.col("file_path").alias("dst_file"), M.file_name("file_path").alias("include"))
-    return (includes.join(idx, "include")
-                    .select(F.col("file_path").alias("src_file"), "dst_file").distinct())
+    """file -> included file. An include names a path suffix; of the files that
+    end with it the one nearest to the including file counts: that below the
+    deepest folder that both are in, then with the fewest folders between, then
+    the first by path. One with ``..`` is a path from the file's own folder.
+
+    Both sides go through (suffix, folder): a file offers itself to every folder
+    above it, which keeps the nearest, and an include asks the folders above its
+    file. So a name that many files have and include is no product of the two."""
+    c = F.col
+    parts = F.split("file_path", "/")
+    f = files.select("file_path", parts.alias("ps"), F.size(parts).alias("n"))
+    f = f.select("file_path", "ps", "n", F.explode(F.sequence(F.lit(1), "n")).alias("k"))  # the last k parts
+    f = f.select("file_path", "n", "k", F.array_join(F.slice("ps", c("n") - c("k") + 1, c("k")), "/").alias("include"),
+                 F.explode(_upwards(c("ps"), c("n") - c("k"))).alias("up"))
+    nearest = f.groupBy("include", c("up.folder").alias("folder")).agg(
+        F.min(F.struct((c("n") - c("k") - c("up.level")).alias("between"), "file_path"))["file_path"].alias("dst_file"))
+    plain = F.array_join(F.filter(F.split("include", "/"), lambda x: ~x.isin("", ".")), "/")
+    asked = includes.select(c("file_path").alias("src_file"), "include", plain.alias("plain"), F.split("file_path", "/").alias("ps")).distinct()
+    climbs = F.array_contains(F.split("include", "/"), "..")
+    ask = asked.where(~climbs).select("src_file", c("plain").alias("include"), F.explode(_upwards(c("ps"), F.size("ps") - 1)).alias("up"))
+    found = (ask.select("src_file", "include", c("up.folder").alias("folder"), c("up.level").alias("level")).join(nearest, ["include", "folder"])
+             .groupBy("src_file", "include").agg(F.max_by("dst_file", "level").alias("dst_file")))
+
+    def step(path, x):
+        return F.when(x.isin("", "."), path).when((x == "..") & (F.size(path) > 0), F.slice(path, 1, F.greatest(F.size(path) - 1, F.lit(0)))).otherwise(
+            F.concat(path, F.array(x)))
+    whole = F.aggregate(F.concat(F.slice("ps", F.lit(1), F.size("ps") - 1), F.split("include", "/")), F.array().cast("array<string>"), step)
+    exact = asked.where(climbs).select("src_file", F.array_join(whole, "/").alias("dst_file")).join(
+        files.select(c("file_path").alias("dst_file")), "dst_file", "left_semi")
+    return found.select("src_file", "dst_file").unionByName(exact.select("src_file", "dst_file")).distinct()
 
 
 def module_edges(file_edges: DataFrame) -> DataFrame:

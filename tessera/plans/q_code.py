@@ -176,7 +176,7 @@ def q_top_n(spark, sf):
 
 @register("running_depth", W + f"""
 SELECT 'src/m' || (s % 5) || '/f_' || s || '_' || (p // 1000) || '.c' AS file_path, CAST(1 AS BIGINT) AS max_depth,
-       CAST(2 + CASE WHEN s % 3 = 0 THEN 6 ELSE 0 END + sum(nhead + 1) AS BIGINT) AS depth0_lines
+       CAST(2 + CASE WHEN s % 3 = 0 THEN 6 ELSE 0 END + CASE WHEN s % 7 = 0 THEN 1 ELSE 0 END + sum(nhead + 1) AS BIGINT) AS depth0_lines
 FROM fn GROUP BY s, p // 1000
 """)
 def q_running_depth(spark, sf):

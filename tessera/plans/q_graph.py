@@ -38,8 +38,12 @@ WGF = WG + "," + FILES_CTES
 
 INCLUDE_CTES = r"""
 inc AS (SELECT file_path, unnest(regexp_extract_all(text, '(?m)^\s*#\s*include\s*[<"]([^>"]+)[>"]', 1)) AS include FROM files),
-incg AS (SELECT DISTINCT i.file_path AS src_file, f.file_path AS dst_file
-         FROM inc i JOIN files f ON regexp_extract(f.file_path, '([^/]*)$', 1) = i.include),
+incp AS (SELECT i.file_path AS src_file, i.include, f.file_path AS dst_file,
+                string_split(i.file_path, '/')[1:-2] AS home, string_split(f.file_path, '/')[1:-1 - len(string_split(i.include, '/'))] AS base
+         FROM inc i JOIN files f ON f.file_path = i.include OR ends_with(f.file_path, '/' || i.include)),
+incc AS (SELECT *, coalesce(list_max(list_filter(range(1, least(len(home), len(base)) + 1), lambda n: home[1:n] = base[1:n])), 0) AS shared FROM incp),
+incg AS (SELECT DISTINCT src_file, dst_file FROM (
+           SELECT src_file, dst_file, row_number() OVER (PARTITION BY src_file, include ORDER BY shared DESC, len(base), dst_file) AS rk FROM incc) WHERE rk = 1),
 medges AS (SELECT DISTINCT regexp_extract(regexp_extract(src_file, '([^/]*)$', 1), '^(.+?)(\.[^.]*)?$', 1) AS src,
                            regexp_extract(regexp_extract(dst_file, '([^/]*)$', 1), '^(.+?)(\.[^.]*)?$', 1) AS dst
            FROM incg),

@@ -49,7 +49,7 @@ fn AS (SELECT d.s, d.p, coalesce(ca.ncalls, 0) AS ncalls, coalesce(ca.call_lines
 units AS (SELECT s, p, 'src/m' || (s % 5) || '/' || {STEM} || '.c' AS file_path, 'fn_' || p AS name,
                  CASE WHEN p % 17 = 0 THEN 'static int fn_' || p || '(' || {ARGS} || ')' ELSE 'int fn_' || p || '(int x)' END AS signature,
                  '{{' || {NL} || {FILL} || call_lines || feat || '    return x;' || {NL} || '}}' AS body,
-                 CAST(3 + (CASE WHEN s % 3 = 0 THEN 3 ELSE 0 END) + coalesce(sum(3 + nhead + nfill + ncalls + nfeat) OVER (PARTITION BY s, p // 1000 ORDER BY p
+                 CAST(3 + (CASE WHEN s % 3 = 0 THEN 3 ELSE 0 END) + (CASE WHEN s % 7 = 0 THEN 1 ELSE 0 END) + coalesce(sum(3 + nhead + nfill + ncalls + nfeat) OVER (PARTITION BY s, p // 1000 ORDER BY p
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_line,
                  3 + nhead + nfill + ncalls + nfeat AS nl
           FROM fn),
@@ -114,6 +114,7 @@ fntext AS (SELECT f.s, f.p, f.ncalls,
 files AS (
   SELECT 'src/m' || (s % 5) || '/f_' || s || '_' || (p // 1000) || '.c' AS file_path,
          '#include "f_' || s || '_' || (p // 1000) || '.h"' || {NL} || '#include "f_' || ((s * 7 + 1) % (SELECT m FROM m)) || '_' || (p // 1000) || '.h"' || {NL}
+           || CASE WHEN s % 7 = 0 THEN '#include "util.h"' || {NL} ELSE '' END
            || CASE WHEN s % 3 = 0 THEN {OPEN_LINKAGE} ELSE '' END || string_agg(c_text, '' ORDER BY p)
            || CASE WHEN s % 3 = 0 THEN {CLOSE_LINKAGE} ELSE '' END AS text
   FROM fntext GROUP BY s, p // 1000
@@ -122,6 +123,8 @@ files AS (
            || '#define F_' || s || '_' || (p // 1000) || '_H' || {NL} || {OPEN_LINKAGE} || string_agg(h_text, '' ORDER BY p)
            || {CLOSE_LINKAGE} || '#endif' || {NL} FROM fntext GROUP BY s, p // 1000 HAVING count(h_text) > 0
   UNION ALL
+  SELECT unnest(['include/util.h', 'src/m0/util.h', 'src/m2/util.h']), '#define UTIL 1' || {NL}
+  UNION ALL
   SELECT 'asm/f_' || s || '_' || (p // 1000) || '.asm', string_agg(a_text, '' ORDER BY p) FROM fntext WHERE s % 4 = 0 GROUP BY s, p // 1000)
 """
 

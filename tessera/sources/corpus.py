@@ -16,7 +16,8 @@ lines (and its prototype over three), and every 499th a body of more than
 in a string, a character constant and comments, every 23rd in a comment over
 two lines. Headers have an include guard and a linkage block, as have the .c
 files of every 3rd supplier; prototypes come two on a line (every 8th part) or
-with a comment behind them (every 6th).
+with a comment behind them (every 6th). Files of every 7th supplier include
+``util.h``, of which there are three.
 
 One group is one source file of at most ``STEP`` functions, whatever the
 size of the table, so a supplier with a third of ``lineitem`` has more files
@@ -36,7 +37,9 @@ FILL_LINE = "    x += 1;" + NL
 TRICK, COMMENT = 5, 23
 TRICK_LINE = """    puts("}{\\"}", '}'); /* } */ // {""" + NL
 COMMENT_LINES = "    /* {" + NL + "       { */" + NL
-LINKED, TWO, REMARK = 3, 8, 6
+LINKED, TWO, REMARK, UTIL = 3, 8, 6, 7
+UTIL_PATHS = ["include/util.h", "src/m0/util.h", "src/m2/util.h"]
+UTIL_TEXT = "#define UTIL 1" + NL
 OPEN_LINKAGE = '#ifdef __cplusplus' + NL + 'extern "C" {' + NL + '#endif' + NL
 CLOSE_LINKAGE = '#ifdef __cplusplus' + NL + '}' + NL + '#endif' + NL
 
@@ -108,13 +111,15 @@ def code_files(spark: SparkSession, sf_dir: str, with_asm: bool = True) -> DataF
         F.format_string("src/m%d/%s.c", s % 5, stem).alias("file_path"),
         F.concat(F.format_string('#include "f_%d_%d.h"' + NL, s, k),
                  F.format_string('#include "f_%d_%d.h"' + NL, (s * 7 + 1) % n_sup, k),
+                 F.when(s % UTIL == 0, F.lit('#include "util.h"' + NL)).otherwise(""),
                  F.when(s % LINKED == 0, F.lit(OPEN_LINKAGE)).otherwise(""), F.col("c_body"),
                  F.when(s % LINKED == 0, F.lit(CLOSE_LINKAGE)).otherwise("")).alias("text"))
     guard = F.format_string("#ifndef F_%d_%d_H" + NL + "#define F_%d_%d_H" + NL, s, k, s, k)
     h_files = per_s.where(F.col("n_proto") > 0).select(
         F.format_string("include/%s.h", stem).alias("file_path"),
         F.concat(guard, F.lit(OPEN_LINKAGE), F.col("h_body"), F.lit(CLOSE_LINKAGE + "#endif" + NL)).alias("text"))
-    out = c_files.unionByName(h_files)
+    utils = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in UTIL_PATHS])).alias("file_path"), F.lit(UTIL_TEXT).alias("text"))
+    out = c_files.unionByName(h_files).unionByName(utils)
     if with_asm:
         a_files = per_s.where(s % 4 == 0).select(
             F.format_string("asm/%s.asm", stem).alias("file_path"), F.col("a_body").alias("text"))

@@ -196,3 +196,17 @@ def test_scc_rounds_follow_the_logarithm_on_chains(spark):
         assert c.where("in_cycle").count() == 0 and c.count() == n + 1
         turns[n] = len(seen)
     assert turns[80] <= turns[40] + 3 and turns[80] < 10
+
+
+def test_includes_resolve_to_the_nearest(spark):
+    paths = ["util.h", "lib/util.h", "lib/net/util.h", "app/ui/util.h", "app/ui/x.c", "app/db/deep/y.c", "lib/net/z.c", "lib/q.c", "w.c",
+             "inc/sys/types.h", "lib/sys/types.h", "other/util.h"]
+    files = spark.createDataFrame([(p,) for p in paths], ["file_path"])
+    asks = [("app/ui/x.c", "util.h"), ("app/db/deep/y.c", "util.h"), ("lib/net/z.c", "./util.h"), ("lib/q.c", "util.h"), ("w.c", "util.h"),
+            ("lib/q.c", "sys/types.h"), ("w.c", "sys/types.h"), ("lib/net/z.c", "../util.h"), ("lib/net/z.c", "../../app/ui/util.h"),
+            ("w.c", "../util.h"), ("w.c", "missing.h"), ("w.c", "til.h"), ("lib/q.c", "net//util.h")]
+    inc = spark.createDataFrame(asks, ["file_path", "include"])
+    got = {(r["src_file"], r["dst_file"]) for r in G.include_graph(files, inc).collect()}
+    assert got == {("app/ui/x.c", "app/ui/util.h"), ("app/db/deep/y.c", "app/ui/util.h"), ("lib/net/z.c", "lib/net/util.h"), ("lib/q.c", "lib/util.h"),
+                   ("w.c", "util.h"), ("lib/q.c", "lib/sys/types.h"), ("w.c", "inc/sys/types.h"), ("lib/net/z.c", "lib/util.h"),
+                   ("lib/net/z.c", "app/ui/util.h"), ("lib/q.c", "lib/net/util.h")}
