@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import metrics as M
+from ..functions import tokenizer as K
 
 # The C function header and the assembly label / directive
 # patterns (the reference's definitions of a unit).
@@ -259,11 +260,21 @@ def chunk_lines(units: DataFrame, size: int = 200, stride: int = 150, text: str
               .drop("_lines", "_n", "s"))
 
 
-def chunk_tokens(units: DataFrame, size: int = 512, stride: int = 384, text: str = "text") -> DataFrame:
-    """Overlapping windows over whitespace tokens with token_start/token_end
-    (0-based, end exclusive). The chunk is a piece of the text as it stands:
-    from its first token to its last, the white space between unchanged."""
+def chunk_tokens(units: DataFrame, size: int = 512, stride: int = 384, text: str = "text", tokenizer=None) -> DataFrame:
+    """Overlapping windows over tokens with token_start/token_end (0-based, end
+    exclusive): whitespace tokens, or those of a ``tokenizer`` (a factory of an
+    encoder, see :mod:`tessera.functions.tokenizer`). The chunk is a piece of
+    the text as it stands: from its first token to its last, what is between
+    unchanged."""
     t = F.coalesce(F.col(text), F.lit(""))
+    if tokenizer is not None:
+        n = F.size("_spans")
+        base = units.withColumn("_spans", K.spans(t, tokenizer)).where(n > 0)
+        ex = base.select("*", F.posexplode(F.sequence(F.lit(0), F.greatest(n - size + stride - 1, F.lit(0)), F.lit(stride))).alias("chunk_idx", "token_start"))
+        ex = ex.where((F.col("token_start") == 0) | (F.col("token_start") + size - stride < n))
+        ex = ex.withColumn("token_end", F.least(F.col("token_start") + size, n).cast("int"))
+        piece = K.cut(t, F.col("_spans"), F.col("token_start"), F.col("token_end") - F.col("token_start"))
+        return ex.withColumn("chunk_text", piece).withColumn("token_start", F.col("token_start").cast("int")).drop("_spans")
     # token i is words[i] and gaps[i] the white space before it
     words = F.regexp_extract_all(t, F.lit(r"\S+"), 0)
     gaps = F.regexp_extract_all(t, F.lit(r"(\s*)\S+"), 1)
