@@ -1,14 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
 Words are tagged by a lexicon (insult, threat, target, negation, reported
-speech); three small transducers then rewrite the tags of a clause: one marks
-insults and threats in the scope of a negation, one those in reported speech,
-one those aimed at somebody. Composed, they are one machine that reads a clause
-once and emits a pattern for each insult or threat. A document's score is a
-logistic function of the weights that its matched clauses add up to by pattern.
-
-Word lists hold common terms of four languages. Further terms, as word stems,
-and all weights are learned from labelled rows of the training fold.
+speech); small transducers then rewrite the tags of a clause: one marks insults
+and threats in the scope of a negation, one those in reported speech, one those
+aimed at somebody. The speech verb and the target may stand on either side, so
+one composed machine reads the clause from the left and one reads what that
+gives from the right. Each insult or threat gets a pattern. A document's score
+is a logistic function of the weights that its matched clauses add up to by
+pattern.
+
+Word lists hold common terms of four languages. Further terms, as word stems of
+insults or of threats, and all weights are learned from labelled rows of the
+training fold.
 """
 
 from __future__ import annotations
@@ -26,9 +29,13 @@ from .common import arrow_limits, as_row, from_row, stage
 
 #: Labelled rows that the lexicon and the weights are fitted on, at most.
 MAX_TRAIN = 20_000
-#: Learned stems: letters, training documents of label 1 that hold one, least
-#: log odds, and stems kept.
-STEM_LETTERS, MIN_SUPPORT, MIN_ODDS, MAX_STEMS = range(4, 13), 8, 2.0, 1024
+#: Learned stems: letters (shorter words are learned whole), training documents
+#: of label 1 that hold one, least log odds, and how many of its standard errors
+#: these are at least.
+STEM_LETTERS, MIN_SUPPORT, MIN_ODDS, MIN_ERRORS = range(4, 13), 8, 2.0, 2.0
+#: A learned stem is a threat if targets follow it within so many words more often than they precede it.
+NEAR = 3
+_WHOLE = "$"  # ends a stem that is a whole word
 
 # Fixed word lists of the grammar.
 TERMS = {
@@ -44,6 +51,8 @@ TERMS = {
             dijo escribió según afirmó""".split(),
 }
 TAGS = "OITYNRB"  # B ends a clause
+#: Targets, negations and speech verbs keep their tags, whatever is learned.
+_MARKS = {w: tag for tag in "YNR" for w in TERMS[tag]}
 _END, _TRIM = ".!?;:", "\"'()[]{}<>.,!?;:#*$%&|~_-+=/\\@^`“”«»¿¡…"
 
 
@@ -97,19 +106,24 @@ def _negation(scope: int = 3) -> Transducer:
     return t
 
 
+def _mark(pattern: str, mark: str) -> str:
+    """``pattern`` with a further mark, in the order of PATTERNS."""
+    return pattern[0] + "".join(m for m in "nrt" if m in pattern[1:] + mark)
+
+
 def _marker(by: str, mark: str, kinds: list[str]) -> Transducer:
-    """Marks insults and threats that follow ``by`` in their clause."""
+    """Marks insults and threats that it reads after ``by`` in their clause."""
     t = Transducer()
     for state in (0, 1):
         t.arcs[(state, by)] = (1, by)
         t.arcs[(state, "B")] = (0, "B")
     for k in kinds:
-        t.arcs[(1, k)] = (1, k + mark)
+        t.arcs[(1, k)] = (1, _mark(k, mark))
     return t
 
 
 def grammar() -> Transducer:
-    """Negation, then reported speech, then targets."""
+    """Negation, then reported speech, then targets, from the left."""
     plain = ["I", "T", "In", "Tn"]
     told = plain + [k + "r" for k in plain]
     both = compose(_negation(), _marker("R", "r", plain), TAGS)
@@ -118,23 +132,41 @@ def grammar() -> Transducer:
 
 PATTERNS = [k + n + r + t for k in "IT" for n in ("", "n") for r in ("", "r") for t in ("", "t")]
 MACHINE = grammar()
+#: From the right: reported speech, then targets, over what the first machine gives.
+BACK = compose(_marker("R", "r", PATTERNS), _marker("Y", "t", PATTERNS), [*"OYNRB", *PATTERNS])
+
+
+def read(tags) -> list[str]:
+    """The tags of a clause with its insults and threats as patterns."""
+    out, state = [], MACHINE.start
+    for t in tags:
+        state, o = MACHINE.step(state, t)
+        out.append(o)
+    state = BACK.start
+    for i in range(len(out) - 1, -1, -1):
+        state, out[i] = BACK.step(state, out[i])
+    return out
 
 
 class Lexicon:
-    """Tags and weights of words: whole words of the lists, learned stems."""
+    """Tags and weights of words: whole words of the lists, learned stems (with
+    tag and weight). Stems go before the lists' insults and threats."""
 
-    def __init__(self, stems: dict[str, float]):
+    def __init__(self, stems: dict[str, tuple[str, float]]):
         self.words = {w: (tag, 1.0) for tag, ws in TERMS.items() for w in ws}
         self.stems = stems
-        self.lengths = sorted({len(s) for s in stems}, reverse=True)
+        self.lengths = sorted({len(s) for s in stems if not s.endswith(_WHOLE)}, reverse=True)
 
     def tag(self, word: str) -> tuple[str, float, str]:
         """(tag, weight, term)."""
         end = "B" if word[-1:] in _END else ""
         w = word.lower().strip(_TRIM)
-        for n in self.lengths:
-            if w[:n] in self.stems and len(w) >= n:
-                return "I" + end, self.stems[w[:n]], w[:n]
+        if w in _MARKS:
+            return _MARKS[w] + end, 1.0, w
+        for stem in (*(w[:n] for n in self.lengths if len(w) >= n), w + _WHOLE):
+            if stem in self.stems:
+                tag, weight = self.stems[stem]
+                return tag + end, weight, stem
         tag, weight = self.words.get(w, ("O", 0.0))
         return tag + end, weight, w
 
@@ -177,11 +209,10 @@ def features(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
     n_hits = np.zeros(len(texts))
     for c in np.unique(clause[hits]).tolist():
         lo, hi = starts[c], starts[c + 1]
-        doc, state = int(owner[lo]), MACHINE.start
+        doc = int(owner[lo])
         own = terms.setdefault(doc, set())
-        for code in codes[lo:hi].tolist():
-            tag, weight, term = tags[code]
-            state, out = MACHINE.step(state, tag[0])
+        clause_tags = [tags[code] for code in codes[lo:hi].tolist()]
+        for (tag, weight, term), out in zip(clause_tags, read([t[0][0] for t in clause_tags])):
             if tag[0] in "IT":
                 x[doc, place[out]] += weight
                 n_hits[doc] += 1
@@ -217,8 +248,9 @@ def _stem_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
         n = Counter()
         for b in batches:
             for text in b.column(0).to_pylist():
-                words = {w.lower().strip(_TRIM) for w in set((text or "").split())}
+                words = {w.lower().strip(_TRIM) for w in set((text or "").split())} - _MARKS.keys()
                 stems = {w[:k] for w in words for k in STEM_LETTERS if len(w) >= k}
+                stems |= {w + _WHOLE for w in words if 0 < len(w) < STEM_LETTERS[0]}
                 n.update(stems if among is None else stems & among)
         names = list(n)
         for i in range(0, len(names), 100_000):
@@ -227,11 +259,35 @@ def _stem_counts(rows: DataFrame, among: set[str] | None = None) -> DataFrame:
     return rows.select("text").mapInArrow(run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
 
 
-def learn_stems(train: DataFrame) -> dict[str, float]:
-    """Word stems that tell label 1 from 0, with their log odds. Of stems that
-    start with one another, those with the most evidence stay. Texts of label 1
-    name the candidates; only those are counted in the others. ``train`` is
-    bounded, and so is what its stems take."""
+def _sides(rows: DataFrame, stems: set[str]) -> DataFrame:
+    """stem and how many more targets follow it within NEAR words of its clause
+    than precede it."""
+    def run(batches):
+        lexicon, n = Lexicon({s: ("I", 1.0) for s in stems}), Counter()
+        for b in batches:
+            owner, codes, tags = _tagged(lexicon, b.column(0).cast(pa.string()))
+            if not len(owner):
+                continue
+            kind = np.array([t[0][0] for t in tags])[codes]
+            ends = np.array([t[0][-1] == "B" for t in tags])[codes]
+            ends[np.flatnonzero(owner[1:] != owner[:-1])] = True
+            clause = np.concatenate([[0], np.cumsum(ends)[:-1]])
+            hits = np.flatnonzero(np.array([t[2] in stems for t in tags])[codes])
+            for step in (k for k in range(-NEAR, NEAR + 1) if k):
+                at = hits[(hits + step >= 0) & (hits + step < len(codes))]
+                at = at[(clause[at] == clause[at + step]) & (kind[at + step] == "Y")]
+                for code, times in zip(*(x.tolist() for x in np.unique(codes[at], return_counts=True))):
+                    n[tags[code][2]] += times if step > 0 else -times
+        names = list(n)
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[s] for s in names], pa.int64())], names=["stem", "n"])
+    return rows.select("text").mapInArrow(run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+
+
+def learn_stems(train: DataFrame) -> dict[str, tuple[str, float]]:
+    """Word stems that tell label 1 from 0, with their tag and log odds. Of stems
+    that start with one another, the one with the most evidence stays; there is
+    no cap on their number. Texts of label 1 name the candidates; only those are
+    counted in the others. ``train`` is bounded, and so is what its stems take."""
     n = {r.toxic: r["count"] for r in train.groupBy("toxic").count().collect()}
     n_pos, n_neg = n.get(1, 0), sum(v for k, v in n.items() if k != 1)
     if n_pos < MIN_SUPPORT or n_neg < MIN_SUPPORT:
@@ -241,14 +297,21 @@ def learn_stems(train: DataFrame) -> dict[str, float]:
     neg = _stem_counts(train.filter("toxic <> 1"), among).withColumnRenamed("n", "neg")
     seen = seen.join(neg, "stem", "left").withColumn("neg", F.coalesce("neg", F.lit(0)))
     odds = F.log((F.col("pos") + 0.5) / (n_pos + 1)) - F.log((F.col("neg") + 0.5) / (n_neg + 1))
-    best = (seen.withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
+    error = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
+    best = (seen.withColumn("odds", odds).filter((F.col("odds") >= MIN_ODDS) & (F.col("odds") >= MIN_ERRORS * error))
             .withColumn("proof", F.col("pos") * F.col("odds"))
-            .orderBy(F.desc("proof"), F.desc(F.length("stem")), "stem").limit(8 * MAX_STEMS).collect())
+            .orderBy(F.desc("proof"), F.desc(F.length("stem")), "stem").collect())
     kept: dict[str, float] = {}
+    starts: set[str] = set()  # of those kept
     for r in best:
-        if len(kept) < MAX_STEMS and not any(r.stem.startswith(k) or k.startswith(r.stem) for k in kept):
+        own = [r.stem[:k] for k in range(1, len(r.stem) + 1)]
+        if r.stem not in starts and not any(x in kept for x in own):
             kept[r.stem] = float(r.odds)
-    return kept
+            starts.update(own)
+    if not kept:
+        return {}
+    side = {r.stem: r.n for r in _sides(train.filter("toxic = 1"), set(kept)).collect()}
+    return {x: ("T" if side.get(x, 0) > 0 else "I", w) for x, w in kept.items()}
 
 
 def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, turns: int = 50) -> np.ndarray:
@@ -277,7 +340,7 @@ class Model:
 
 
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_TRAIN) -> Model:
-    """Fit stems and weights on the training fold. At most ``max_rows`` rows of
+    """Fit stems (with their tags) and weights on the training fold. At most ``max_rows`` rows of
     features reach the driver."""
     arrow_limits(docs.sparkSession)
     train = stage(training_rows(docs, labels, max_rows), "toxic-train")

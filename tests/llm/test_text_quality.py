@@ -43,7 +43,7 @@ def test_grammar_composes_its_transducers():
 
 
 def test_features_by_clause():
-    lexicon = T.Lexicon({"zork": 3.0})
+    lexicon = T.Lexicon({"zork": ("I", 3.0)})
     x = T.features(lexicon, pa.array(["you are an idiot. a table", "you said. an idiot", "not an idiot", None, "", "Zorkish!\nZORKED???", "clean words only"]))
     col = {p: i for i, p in enumerate(T.PATTERNS)}
     one = math.log1p(1.0)
@@ -52,6 +52,70 @@ def test_features_by_clause():
     assert np.allclose([x[5][col["I"]], x[5][-2], x[5][-3]], np.log1p([6, 2, 1]))
 
 
+@pytest.mark.parametrize("text, pattern", [
+    ("I will kill you", "Tt"), ("you idiot", "It"), ("idiot, you are", "It"), ("he is an idiot, she said", "Ir"), ("she said he is an idiot", "Ir"),
+    ("I will not kill you, he wrote", "Tnrt"), ("ich werde dich töten", "Tt"), ("an idiot. you are right", "I"), ("not an idiot", "In")])
+def test_targets_and_speech_on_both_sides(text, pattern):
+    x = T.features(T.Lexicon({}), pa.array([text]))[0]
+    assert [p for p, v in zip(T.PATTERNS, x) if v] == [pattern]
+
+
+def plain_score(text, stems, weights):
+    """The score by its definition, without machines: a clause's insults and threats are
+    reported or aimed if it has a speech verb or a target anywhere, negated if one of the three words before them says so."""
+    lists = {w: k for k, ws in T.TERMS.items() for w in ws}
+    marks = {w for w, k in lists.items() if k in "YNR"}
+    x, terms, hits, clauses, n_words = Counter(), set(), 0, 0, 0
+    clause = []
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", (text or "").replace("\n", " . "))
+    for i, word in enumerate(tokens):
+        n_words += 1
+        w = word.lower().strip(T._TRIM)
+        found = [s for s in stems if w not in marks and (w == s[:-1] if s.endswith("$") else w.startswith(s))]
+        best = max(found, key=len, default=None)
+        clause.append((*stems[best], best) if best else (lists.get(w, "O"), 1.0, w))
+        if word[-1] in ".!?;:" or i == len(tokens) - 1:
+            kinds = [c[0] for c in clause]
+            clauses += any(k in "IT" for k in kinds)
+            for at, (k, weight, term) in enumerate(clause):
+                if k in "IT":
+                    p = k + "n" * ("N" in kinds[max(0, at - 3):at]) + "r" * ("R" in kinds) + "t" * ("Y" in kinds)
+                    x[p] += weight
+                    terms.add(term)
+                    hits += 1
+            clause = []
+    v = [math.log1p(x[p]) for p in T.PATTERNS] + [math.log1p(len(terms)), math.log1p(clauses), 10 * hits / max(1, n_words)]
+    return 1 / (1 + math.exp(-max(-30, min(30, sum(a * b for a, b in zip(v, weights)) + weights[-1]))))
+
+
+def test_score_equals_plain_scorer(spark, odd, odd_rows):
+    rng = random.Random(8)
+    weights = np.array([rng.uniform(-1, 2) for _ in range(T.N_FEATURES + 1)])
+    stems = {"that": ("I", 0.5), "ofhe": ("T", 1.5), "la$": ("T", 0.7), "inst": ("I", 2.0)}
+    bits = "idiot kill you not said der said. you? never! la verheit thatx hello töten".split()
+    more = [(1000 + k, " ".join(rng.choices(bits, k=rng.randint(1, 40)))) for k in range(80)]
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    got = Counter((r.doc_id, round(r.score, 9)) for r in T.score(docs, T.Model(stems, weights)).collect())
+    assert got == Counter((i, round(plain_score(t, stems, weights), 9)) for i, t in [r[:2] for r in odd_rows] + more)
+
+
+def test_stems_are_learned_by_tag_without_a_cap(spark):
+    rng = random.Random(6)
+    letters = "bcdfghklmnprstvz"
+    insults, threats = ([a + v + b + c for a in letters[i::2] for v in "ae" for b in letters[:12] for c in "ox"] for i in (0, 1))
+    rows = []
+    for i in range(2400):
+        words = [f"w{rng.randrange(60):02d}word" for _ in range(30)]
+        if i % 2:
+            for k in range(16):
+                words += ["you", "w01word", rng.choice(insults) + "."] if k % 2 else ["w02word", rng.choice(threats), "you."]
+        rows.append((f"{' '.join(words)} {'zq' if i % 2 else 'ok'}", i % 2))
+    stems = T.learn_stems(spark.createDataFrame(rows, "text string, toxic int"))
+    assert sum(x in stems for x in insults) > 0.95 * len(insults) and sum(x in stems for x in threats) > 0.95 * len(threats)
+    assert all(stems[x][0] == "I" for x in insults if x in stems) and all(stems[x][0] == "T" for x in threats if x in stems)
+    assert "zq$" in stems
+
+
 def test_learns_and_scores_held_out_rows(spark):
     rng = random.Random(5)
     plain = [f"w{i:03d}word" for i in range(300)]
