@@ -41,30 +41,43 @@ def _ngrams(tokens, n):
     return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
 
 
+def _clipped(grams):
+    """Of sorted (gram, role) the sum over grams of the lesser count of the two roles."""
+    zero = F.lit(0).cast("long")
+    start = F.struct(F.lit("").alias("gram"), zero.alias("c"), zero.alias("r"), zero.alias("match"))
+
+    def step(a, x):
+        own, other = (x["role"] == 0).cast("long"), (x["role"] == 1).cast("long")
+        same = a["gram"] == x["gram"]
+        return F.struct(x["gram"].alias("gram"), (F.when(same, a["c"]).otherwise(zero) + own).alias("c"),
+                        (F.when(same, a["r"]).otherwise(zero) + other).alias("r"),
+                        (a["match"] + F.when(same, zero).otherwise(F.least(a["c"], a["r"]))).alias("match"))
+    return F.aggregate(grams, start, step, lambda a: a["match"] + F.least(a["c"], a["r"]))
+
+
 def corpus_bleu(pairs: DataFrame, cand: str = "candidate", ref: str = "reference", max_n: int = 4) -> DataFrame:
-    """Corpus BLEU (single reference, whitespace tokens, uniform weights):
-    candidate and reference n-grams are counted per (pair, n, gram), clipped, and summed per n; the unigram totals give the
-    lengths for the brevity penalty. 0 when any precision is 0."""
-    # the token arrays move once, by pair; their n-grams are counted where they
-    # are (and the exchange keeps the split from being worked out per n-gram)
-    words = lambda c: F.filter(F.split(F.trim(F.col(c)), r"\s+"), lambda x: x != "")
-    toks = pairs.select("pair_id", words(cand).alias("c"), words(ref).alias("r")).repartition("pair_id")
-
-    def grams(col, role, n):
-        return F.transform(_ngrams(F.col(col), n), lambda g: F.struct(F.lit(n).alias("n"), F.lit(role).alias("role"), g.alias("gram")))
-
-    parts = [grams(col, role, n) for col, role in (("c", 0), ("r", 1)) for n in range(1, max_n + 1)]
-    both = toks.select("pair_id", F.explode(F.concat(*parts)).alias("x")).select("pair_id", "x.*")
-    per_gram = both.groupBy("pair_id", "n", "gram").agg(
-        F.sum((F.col("role") == 0).cast("long")).alias("cnt"), F.sum((F.col("role") == 1).cast("long")).alias("rcnt"))
-    per_n = per_gram.groupBy("n").agg(F.sum(F.least("cnt", "rcnt")).alias("match"), F.sum("cnt").alias("total"),
-                                      F.sum("rcnt").alias("ref_total"))
-    row = per_n.groupBy().agg(
-        *[F.max(F.when(F.col("n") == n, F.col("match") / F.col("total"))).alias(f"p{n}") for n in range(1, max_n + 1)],
-        F.max(F.when(F.col("n") == 1, F.col("total"))).alias("c_len"),
-        F.max(F.when(F.col("n") == 1, F.col("ref_total"))).alias("r_len"))
-    p = row.select(*[F.coalesce(F.col(f"p{n}"), F.lit(0.0)).alias(f"p{n}") for n in range(1, max_n + 1)],
-                   F.coalesce("c_len", F.lit(0)).alias("c_len"), F.coalesce("r_len", F.lit(0)).alias("r_len"))
+    """Corpus BLEU (single reference, whitespace tokens, uniform weights): the
+    n-grams of a pair's candidate and reference are clipped in the pair's own row
+    and only counts leave it; they are summed per n, and the unigram totals give
+    the lengths for the brevity penalty. 0 when any precision is 0. Rows that
+    share a ``pair_id`` are one pair; one without either text is left out."""
+    words = lambda t: F.filter(F.split(F.trim(t), r"\s+"), lambda x: x != "")
+    rows = pairs.where(F.col(cand).isNotNull() & F.col(ref).isNotNull()).groupBy("pair_id").agg(F.collect_list(F.struct(F.col(cand).alias("c"), F.col(ref).alias("r"))).alias("rows"))
+    tokens = lambda side: F.transform("rows", lambda x: words(x[side]))
+    bound = F.array(F.struct(tokens("c").alias("c"), tokens("r").alias("r")))
+
+    def counted(x):
+        def of(n):
+            grams = lambda side, role: F.flatten(F.transform(x[side], lambda t: F.transform(
+                _ngrams(t, n), lambda g: F.struct(g.alias("gram"), F.lit(role).alias("role")))))
+            both = F.array(F.struct(grams("c", 0).alias("c"), grams("r", 1).alias("r")))
+            return F.transform(both, lambda g: F.struct(_clipped(F.sort_array(F.concat(g["c"], g["r"]))).alias("match"),
+                                                        F.size(g["c"]).cast("long").alias("total"), F.size(g["r"]).cast("long").alias("ref_total")))[0]
+        return F.struct(*[of(n).alias(f"n{n}") for n in range(1, max_n + 1)])
+    per_pair = rows.select(F.transform(bound, counted)[0].alias("x"))
+    p = per_pair.groupBy().agg(
+        *[F.coalesce(F.try_divide(F.sum(f"x.n{n}.match"), F.sum(f"x.n{n}.total")), F.lit(0.0)).alias(f"p{n}") for n in range(1, max_n + 1)],
+        F.coalesce(F.sum("x.n1.total"), F.lit(0)).alias("c_len"), F.coalesce(F.sum("x.n1.ref_total"), F.lit(0)).alias("r_len"))
     logs = [F.log(F.col(f"p{n}")) for n in range(1, max_n + 1)]
     any_zero = None
     for n in range(1, max_n + 1):
