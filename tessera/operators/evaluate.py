@@ -60,10 +60,10 @@ def corpus_bleu(pairs: DataFrame, cand: str = "candidate", ref: str = "reference
     n-grams of a pair's candidate and reference are clipped in the pair's own row
     and only counts leave it; they are summed per n, and the unigram totals give
     the lengths for the brevity penalty. 0 when any precision is 0. Rows that
-    share a ``pair_id`` are one pair; one without either text is left out."""
+    share a ``pair_id`` are one pair, and a null text has no words."""
     words = lambda t: F.filter(F.split(F.trim(t), r"\s+"), lambda x: x != "")
-    rows = pairs.where(F.col(cand).isNotNull() & F.col(ref).isNotNull()).groupBy("pair_id").agg(F.collect_list(F.struct(F.col(cand).alias("c"), F.col(ref).alias("r"))).alias("rows"))
-    tokens = lambda side: F.transform("rows", lambda x: words(x[side]))
+    rows = pairs.groupBy("pair_id").agg(F.collect_list(F.struct(F.col(cand).alias("c"), F.col(ref).alias("r"))).alias("rows"))
+    tokens = lambda side: F.array_compact(F.transform("rows", lambda x: words(x[side])))
     bound = F.array(F.struct(tokens("c").alias("c"), tokens("r").alias("r")))
 
     def counted(x):

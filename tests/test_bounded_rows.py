@@ -11,14 +11,14 @@ from tessera.streaming import incremental as ST
 
 def test_bleu_counts_leave_the_row_and_no_gram(spark):
     pairs = spark.createDataFrame([("a", "the the cat sat on it", "the cat sat on the mat"), ("a", "on it", "it"), ("b", "x", "y z"),
-                                   ("c", None, "never counted"), ("d", "", "left")], "pair_id string, candidate string, reference string")
+                                   ("c", None, "no words"), ("d", "", "left"), ("e", "q q", None)], "pair_id string, candidate string, reference string")
     got = EV.corpus_bleu(pairs)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
     r = got.first()
-    # pair a as a whole: the 2 of 2, cat, sat, on 1 of 2, it 1 of 2 -> 6 of 8; b none of 1
-    assert math.isclose(r.p1, 6 / 9) and math.isclose(r.p2, 3 / 6) and math.isclose(r.p3, 2 / 4) and math.isclose(r.p4, 1 / 3)
-    assert math.isclose(r.bp, math.exp(1 - 10 / 9)) and math.isclose(r.bleu, r.bp * (r.p1 * r.p2 * r.p3 * r.p4) ** 0.25)
+    # of pair a as a whole 6 of 8 words, of b none of 1, of e none of 2; references have 7 + 2 + 2 + 1 words
+    assert math.isclose(r.p1, 6 / 11) and math.isclose(r.p2, 3 / 7) and math.isclose(r.p3, 2 / 4) and math.isclose(r.p4, 1 / 3)
+    assert math.isclose(r.bp, math.exp(1 - 12 / 11)) and math.isclose(r.bleu, r.bp * (r.p1 * r.p2 * r.p3 * r.p4) ** 0.25)
 
 
 def test_workers_get_bounded_batches(spark):
