@@ -1,5 +1,7 @@
 """Units come from a file's own row: no exchange, window or sort over lines."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tessera.operators import segment as S
@@ -54,3 +56,41 @@ def test_corpus_moves_keys_alone(spark, sf):
     assert plan.count("Exchange hashpartitioning(s") == 1 and "format_string" not in behind
     n = corpus.code_files(spark, sf).groupBy("file_path").agg(F.count(F.lit(1)).alias("n")).where("n > 1").count()
     assert n == 0
+
+
+def _by_line(view):
+    """Depth after each line, and (line, depth) of each statement's last, line by line."""
+    lines = view.split("\n")
+    total = low = 0
+    depths, ends = [], []
+    for i, c in enumerate(lines, 1):
+        total += c.count("{") - c.count("}")
+        low = min(low, total)
+        depths.append(total - low)
+        if not depths[-1] and ("}" in c or c.rstrip().endswith(";") or c.lstrip().startswith("#")):
+            ends.append((i, 0))
+    return depths, ends + ([(len(lines), depths[-1])] if (ends[-1][0] if ends else 0) < len(lines) else [])
+
+
+def test_scan_equals_a_walk_over_the_lines(spark):
+    rng = random.Random(5)
+    pieces = ["{", "}", "{ }", "{{ }}", "} {", "a;", "int f(x)", "b", "# define", " ", "  # x", "};", "x = {1, {2}};", "{ {"]
+    texts = ["\n".join(" ".join(rng.choices(pieces, k=rng.randint(0, 3))) for _ in range(rng.randint(1, 14))) + rng.choice(["", "\n"]) for _ in range(400)]
+    texts += ["{\n" * 6 + "a;\n" + "}\n" * 6, "a\n{\n{1}\n b;\n}\nc;\n{\n{\n}\n", "}\n}\n{\n a\n}\nb;"]
+    f = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file_path string, text string")
+    got = f.select("file_path", "text", F.transform(F.array("text"), S._scan)[0].alias("s")).collect()
+    for r in got:
+        depths, ends = _by_line(r.text)
+        assert [(e.line, e.depth) for e in r.s.ends] == ends, r.text
+        assert r.s.most == max(depths) and r.s.flat == depths.count(0), r.text
+
+
+def test_plain_code_is_few_tokens_and_blocks(spark):
+    """Function bodies are passed over at once, whatever their length."""
+    text = "".join(f"int f{i}(int x)\n{{\n" + "    x += 1 / 2;\n" * 200 + "}\n" for i in range(10))
+    text += "#define A \\\n {\n/* { # */ # b\nextern \"C\" {\nmyextern \"C\" {\nnamespace a::b {\nxnamespace c {\n"
+    r = spark.createDataFrame([(text,)], "t string").select(
+        F.size(F.regexp_extract_all("t", F.lit(S.C_TOKEN_RE), 0)).alias("tokens"),
+        F.size(F.regexp_extract_all(F.col("t"), F.lit(S.BLOCK_LINES_RE), 0)).alias("blocks"), S.code_view(F.col("t")).alias("view")).first()
+    assert r.tokens < 30 and r.blocks < 40
+    assert r.view.split("\n")[-8:] == ["#" + " " * 10, "  ", " " * 9 + " # b", 'extern " " ;', 'myextern " " {', "namespace a::b ;", "xnamespace c {", ""]
