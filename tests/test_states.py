@@ -47,3 +47,16 @@ def test_stage_outputs_are_packed_tightly(spark, sf):
     P.code_files(spark, sf)
     path = next(v for k, v in P._MEMO.items() if k[3] == "code_files" and k[1] == sf).removeprefix("file:")
     assert all(".zstd." in f for f in os.listdir(path) if f.endswith(".parquet"))
+
+
+def test_rounds_of_components_broadcast_no_table(spark, monkeypatch):
+    """However small the files of a round's tables, they don't go through the driver."""
+    plans, cut = [], G.cut_lineage
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(G, "cut_lineage", lambda df, *name: plans.append(plan(df)) or cut(df, *name))
+    up = spark.createDataFrame([("0a", "n:f"), ("0b", "n:g"), ("0c", "n:f")], "src string, key string")
+    down = spark.createDataFrame([("n:f", "0b"), ("n:g", "0a")], "key string, dst string")
+    units = spark.createDataFrame([("0a",), ("0b",), ("0c",)], "id string")
+    c = G.function_scc(up, down, units)
+    assert any("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastHashJoin" in p or "BroadcastExchange" in p for p in [*plans, plan(c)])
